@@ -16,7 +16,7 @@ TINY = 1e-10
 
 
 def score_curve(df: DataFrame, score: str, label: str) -> DataFrame:
-    """One row per distinct score: rows at it (n, pos), rows at or above it (tp, fp), all (p_all, n_all)."""
+    """One row per distinct score: rows at it (n, pos), at or above it (cum_n, tp, fp), all (p_all, n_all)."""
     positive = F.count_if(F.col(label) == 1)
     counts = df.groupBy(F.col(score).alias("score")).agg(F.count(F.lit(1)).alias("n"), positive.alias("pos"))
     counts = checkpoint(counts)
@@ -27,6 +27,7 @@ def score_curve(df: DataFrame, score: str, label: str) -> DataFrame:
     return curve.select(
         "score",
         "n",
+        "cum_n",
         "pos",
         F.col("cum_pos").alias("tp"),
         (F.col("cum_n") - F.col("cum_pos")).alias("fp"),
@@ -45,22 +46,35 @@ def _precision_recall() -> tuple[Column, Column]:
     return F.try_divide("tp", F.col("tp") + F.col("fp")), F.try_divide("tp", "p_all")
 
 
-def pr_auc(curve: DataFrame) -> DataFrame:
-    """Area under precision over recall by trapezoids; the first point repeats the first precision."""
+def _pr_area() -> Column:
     precision, recall = _precision_recall()
     tp_before, fp_before = F.col("tp") - F.col("pos"), F.col("fp") - (F.col("n") - F.col("pos"))
     earlier_precision = F.coalesce(F.try_divide(tp_before, tp_before + fp_before), precision)
     step = recall - F.coalesce(F.try_divide(tp_before, F.col("p_all")), F.lit(0.0))
-    return curve.agg(F.sum(step * (precision + earlier_precision) / 2).alias("pr_auc"))
+    return F.sum(step * (precision + earlier_precision) / 2)
 
 
-def roc_auc(curve: DataFrame) -> DataFrame:
-    """Share of (positive, negative) pairs in the right order, ties counting one half."""
+def _roc_area() -> Column:
     negatives = F.col("n") - F.col("pos")
     tp_before = F.col("tp") - F.col("pos")
     doubled = negatives.cast("decimal(19,0)") * (tp_before + F.col("tp")).cast("decimal(19,0)")
     pairs = F.max("p_all").cast("double") * F.max("n_all").cast("double")
-    return curve.agg(F.try_divide(F.sum(doubled).cast("double"), pairs * 2).alias("roc_auc"))
+    return F.try_divide(F.sum(doubled).cast("double"), pairs * 2)
+
+
+def pr_auc(curve: DataFrame) -> DataFrame:
+    """Area under precision over recall by trapezoids; the first point repeats the first precision."""
+    return curve.agg(_pr_area().alias("pr_auc"))
+
+
+def roc_auc(curve: DataFrame) -> DataFrame:
+    """Share of (positive, negative) pairs in the right order, ties counting one half."""
+    return curve.agg(_roc_area().alias("roc_auc"))
+
+
+def curve_areas(curve: DataFrame) -> DataFrame:
+    """pr_auc and roc_auc in one pass."""
+    return curve.agg(_pr_area().alias("pr_auc"), _roc_area().alias("roc_auc"))
 
 
 def best_threshold(curve: DataFrame) -> DataFrame:
@@ -113,9 +127,14 @@ def weighted_precision_recall(df: DataFrame, label: str, prediction: str) -> Dat
     )
 
 
-def top_capture(df: DataFrame, score: str, label: str, key: str, share: float) -> DataFrame:
-    """Share of all positives found among the int(rows * share) highest scores."""
-    top = top_share(df.select(key, score, label), score, key, share)
+def top_capture(
+    df: DataFrame, score: str, label: str, key: str, share: float, counts: DataFrame | None = None
+) -> DataFrame:
+    """Share of all positives found among the int(rows * share) highest scores.
+
+    `counts` is a known score curve of the same rows.
+    """
+    top = top_share(df.select(key, score, label), score, key, share, counts)
     captured = top.agg(F.count_if(F.col(label) == 1).alias("captured"), F.count(F.lit(1)).alias("top_rows"))
     positives = df.agg(F.count_if(F.col(label) == 1)).scalar()
     return captured.select(

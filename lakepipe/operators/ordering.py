@@ -109,19 +109,26 @@ def dense_row_ids(
     return pieces.select(*quoted, F.explode(F.sequence("_first", "_last")).alias(id_col))
 
 
-def top_share(df: DataFrame, score: str, key: str, share: float) -> DataFrame:
+def score_counts(df: DataFrame, score: str) -> DataFrame:
+    """(score, n, cum_n): rows at each score, and at it or above."""
+    counts = checkpoint(df.groupBy(F.col(score).alias("score")).agg(F.count(F.lit(1)).alias("n")))
+    return running_totals(counts, "score", ["n"], descending=True)
+
+
+def top_share(df: DataFrame, score: str, key: str, share: float, counts: DataFrame | None = None) -> DataFrame:
     """The int(rows * share) rows with the highest score; rows of equal score go by `key`.
 
-    The cut is found on the counts per score. Only the rows exactly on it need ranking, and that
-    is done by running totals, so neither a large n nor a huge tie ends up in one task.
+    The cut is found on the counts per score (`counts` hands over known ones). Only the rows
+    exactly on it need ranking, and that is done by running totals, so neither a large n nor a
+    huge tie ends up in one task.
     """
-    wanted = int(df.count() * share)
+    counts = score_counts(df, score) if counts is None else counts
+    rows = counts.agg(F.max("cum_n")).first()[0] or 0
+    wanted = int(rows * share)
     if wanted == 0:
         return df.limit(0)
-    counts = checkpoint(df.groupBy(score).agg(F.count(F.lit(1)).alias("n")))
-    curve = running_totals(counts, score, ["n"], descending=True)
-    edge = curve.filter(F.col("cum_n") >= wanted).orderBy(F.desc(score)).first()
-    cut, missing = edge[score], wanted - (edge["cum_n"] - edge["n"])
+    edge = counts.filter(F.col("cum_n") >= wanted).orderBy(F.desc("score")).first()
+    cut, missing = edge["score"], wanted - (edge["cum_n"] - edge["n"])
     above, tied = df.filter(F.col(score) > F.lit(cut)), df.filter(F.col(score) == F.lit(cut))
     if missing < edge["n"]:
         tied = dense_ids(tied, key, "_rank").filter(F.col("_rank") < missing).drop("_rank")

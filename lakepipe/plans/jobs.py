@@ -13,6 +13,7 @@ from lakepipe.operators.quality import quality_report, require_clean
 from lakepipe.plans import bronze, dimensions, facts, features, marts, models, silver, training
 from lakepipe.session import scratch_path
 from lakepipe.sources.readers import read_table
+from lakepipe.sources.state import run_values
 from lakepipe.sources.writers import overwrite, stage
 
 
@@ -145,8 +146,8 @@ class Jobs:
 
     def threshold_predictions(self, run_id: str) -> None:
         """Hold-out predictions cut at the threshold the run found best."""
-        threshold = models.run_values(self.spark, self.layout.run_registry, run_id, "threshold")
-        version = models.run_values(self.spark, self.layout.run_registry, run_id, "metadata")["model_version"]
+        threshold = run_values(self.spark, self.layout.run_registry, run_id, "threshold")
+        version = run_values(self.spark, self.layout.run_registry, run_id, "metadata")["model_version"]
         predictions = read_table(self.spark, self.layout.predictions(f"holdout_{version}"))
         flagged = models.threshold_predictions(predictions, threshold["optimal_threshold"])
         overwrite(flagged, self.layout.predictions("fraud_predictions_v3"))

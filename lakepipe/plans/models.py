@@ -1,4 +1,8 @@
-"""Training, tuning and scoring of fraud models with MLlib."""
+"""Training, tuning and scoring of fraud models with MLlib.
+
+Training tables are expected to be stored tables. They are split first and assembled into vectors
+afterwards, so that the split reaches the Parquet scan.
+"""
 
 from __future__ import annotations
 
@@ -19,8 +23,7 @@ from lakepipe.functions.risk import flag_above, positive_probability, risk_bucke
 from lakepipe.layout import Layout
 from lakepipe.operators.evaluation import (
     best_threshold,
-    pr_auc,
-    roc_auc,
+    curve_areas,
     score_curve,
     threshold_report,
     top_capture,
@@ -93,13 +96,13 @@ def metrics(
     """PR-AUC, ROC-AUC, precision and recall, their weighted forms, and capture rates of the top shares."""
     curve = score_curve(predictions, SCORE, LABEL)
     result = {
-        "pr_auc": pr_auc(curve).first()[0],
-        "roc_auc": roc_auc(curve).first()[0],
+        **curve_areas(curve).first().asDict(),
         **threshold_report(predictions, SCORE, LABEL, threshold).first().asDict(),
         **weighted_precision_recall(predictions, LABEL, "prediction").first().asDict(),
     }
     for share in shares:
-        result[f"top_{share:g}_capture"] = top_capture(predictions, SCORE, LABEL, KEY, share).first()["capture_rate"]
+        captured = top_capture(predictions, SCORE, LABEL, KEY, share, counts=curve).first()
+        result[f"top_{share:g}_capture"] = captured["capture_rate"]
     return result
 
 
@@ -111,9 +114,9 @@ def train_logistic_regression(
     training: DataFrame, predictions_path: str, features: Sequence[str], max_iter: int = 100
 ):
     """Weighted logistic regression on an 80/20 split: (model, predictions of the hold-out)."""
-    train, test = hash_split(with_class_weights(assemble(training, features), LABEL), KEY, 0.8, SEED)
-    model = logistic_regression(max_iter).fit(train)
-    return model, predict(model, test, predictions_path)
+    train, test = hash_split(with_class_weights(training, LABEL), KEY, 0.8, SEED)
+    model = logistic_regression(max_iter).fit(assemble(train, features))
+    return model, predict(model, assemble(test, features), predictions_path)
 
 
 def train_trees(
@@ -123,9 +126,9 @@ def train_trees(
     settings: TreeSettings = TreeSettings(),
 ):
     """Boosted trees on an 80/20 split: (model, predictions of the hold-out)."""
-    train, test = hash_split(assemble(training, features), KEY, 0.8, SEED)
-    model = gradient_boosted_trees(settings).fit(train)
-    return model, predict(model, test, predictions_path)
+    train, test = hash_split(training, KEY, 0.8, SEED)
+    model = gradient_boosted_trees(settings).fit(assemble(train, features))
+    return model, predict(model, assemble(test, features), predictions_path)
 
 
 def train_balanced_trees(
@@ -135,12 +138,11 @@ def train_balanced_trees(
     settings: TreeSettings = EXPLORATORY_TREES,
 ):
     """Boosted trees on a stratified 80% sample with at most three negatives per positive."""
-    data = assemble(training, features)
-    train = stratified_sample(data, KEY, LABEL, {0: 0.8, 1: 0.8}, SEED)
-    test = holdout(data, train, KEY)
+    train = stratified_sample(training, KEY, LABEL, {0: 0.8, 1: 0.8}, SEED)
+    test = holdout(training, train, KEY)
     balanced = downsample_majority(train, KEY, LABEL, 3.0, SEED + 1)
-    model = gradient_boosted_trees(settings).fit(balanced)
-    return model, predict(model, test, predictions_path)
+    model = gradient_boosted_trees(settings).fit(assemble(balanced, features))
+    return model, predict(model, assemble(test, features), predictions_path)
 
 
 def tune_trees(
@@ -152,8 +154,9 @@ def tune_trees(
     parallelism: int = 2,
 ) -> DataFrame:
     """(max_depth, max_iter, pr_auc, is_best) for every point of the grid on one hold-out."""
-    train, test = hash_split(assemble(training, features), KEY, 0.8, SEED)
-    train, test = train.select("features", LABEL).persist(), test.select("features", LABEL).persist()
+    train, test = [
+        assemble(part, features).select("features", LABEL).persist() for part in hash_split(training, KEY, 0.8, SEED)
+    ]
     estimator = gradient_boosted_trees(TreeSettings(step_size=step_size))
     grid = (
         ParamGridBuilder()
@@ -192,9 +195,9 @@ def train_final_model(
     """
     spark = training.sparkSession
     run_id = run_id or f"{version}-{uuid.uuid4().hex[:12]}"
-    train, test = hash_split(assemble(training, features), KEY, 0.8, SEED)
-    model = gradient_boosted_trees(settings).fit(train)
-    predictions = predict(model, test, layout.predictions(f"holdout_{version}"))
+    train, test = hash_split(training, KEY, 0.8, SEED)
+    model = gradient_boosted_trees(settings).fit(assemble(train, features))
+    predictions = predict(model, assemble(test, features), layout.predictions(f"holdout_{version}"))
     model.write().overwrite().save(layout.model(version))
 
     curve = score_curve(predictions, SCORE, LABEL)
@@ -213,7 +216,7 @@ def train_final_model(
                 "step_size": settings.step_size,
                 "seed": settings.seed,
             },
-            "metric": {"pr_auc": pr_auc(curve).first()[0], "roc_auc": roc_auc(curve).first()[0]},
+            "metric": curve_areas(curve).first().asDict(),
             "threshold": threshold,
             "feature": {name: i for i, name in enumerate(features)},
             "importance": feature_importance(model, features),

@@ -57,7 +57,8 @@ def weighted_prf(spark, sf_dir):
 
 def topk_capture(spark, sf_dir):
     scored = views.scored_events(spark, sf_dir)
-    rows = [evaluation.top_capture(scored, SCORE, LABEL, "transaction_sk", share) for share in SHARES]
+    curve = _curve(spark, sf_dir)
+    rows = [evaluation.top_capture(scored, SCORE, LABEL, "transaction_sk", share, curve) for share in SHARES]
     return reduce(DataFrame.unionByName, rows)
 
 

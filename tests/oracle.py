@@ -64,7 +64,7 @@ if __name__ == "__main__":
     from lakepipe.session import build_session
 
     sf_dir, wanted = sys.argv[1], sys.argv[2:]
-    spark = build_session(master="local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false"})
+    spark = build_session(master="local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g"})
     spark.sparkContext.setLogLevel("ERROR")
     connection, failed = connect(sf_dir), []
     for name, query in queries().items():
