@@ -35,8 +35,11 @@ def holdout(df: DataFrame, train: DataFrame, key: str) -> DataFrame:
 
 
 def except_rows(df: DataFrame, other: DataFrame) -> DataFrame:
-    """Set difference of whole rows: repeated rows are returned once."""
-    return df.subtract(other)
+    """Set difference of whole rows: repeated rows are returned once.
+
+    Both sides lose their copies on the map side, before the rows meet.
+    """
+    return df.distinct().subtract(other.distinct())
 
 
 def downsample_majority(

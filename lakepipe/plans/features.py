@@ -15,7 +15,8 @@ from pyspark.sql.window import Window, WindowSpec
 
 from lakepipe.functions.money import exact_avg, exact_sum, from_units, rate, units
 from lakepipe.functions.times import day_number
-from lakepipe.operators.joins import lookup_join
+from lakepipe.operators.joins import fits_broadcast, lookup_join
+from lakepipe.session import checkpoint
 
 DAY_KEY = ["customer_sk", "date_sk"]
 ROLLING = ["transactions_last_7d", "total_spent_last_7d", "fraud_count_last_7d", "fraud_ratio_last_7d"]
@@ -34,7 +35,7 @@ def _tie(fact: DataFrame) -> Column:
 def customer_days(fact: DataFrame, calendar: DataFrame) -> DataFrame:
     """One row per customer and calendar day with transactions; days outside the calendar drop out."""
     days = calendar.select("date_sk", day_number("full_date").alias("_day"))
-    return (
+    grouped = (
         fact.join(days, "date_sk")
         .groupBy(*DAY_KEY, "_day")
         .agg(
@@ -45,6 +46,8 @@ def customer_days(fact: DataFrame, calendar: DataFrame) -> DataFrame:
             F.min(_tie(fact)).alias("_first"),
         )
     )
+    # A table too large to broadcast is read again by the salted join, for its counts.
+    return grouped if fits_broadcast(grouped) else checkpoint(grouped)
 
 
 def _by_customer() -> WindowSpec:

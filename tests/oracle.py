@@ -1,4 +1,4 @@
-"""Compare queries with their SQL in DuckDB: python tests/oracle.py SF_DIR [name ...]"""
+"""Compare queries with their SQL in DuckDB: python tests/oracle.py SF_DIR [--no-broadcast] [name ...]"""
 
 from __future__ import annotations
 
@@ -63,9 +63,11 @@ if __name__ == "__main__":
     from __spark_entry__ import oracle_sql, queries
     from lakepipe.session import build_session
 
-    sf_dir, wanted = sys.argv[1], sys.argv[2:]
+    sf_dir, wanted = sys.argv[1], [a for a in sys.argv[2:] if not a.startswith("--")]
     spark = build_session(master="local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g"})
     spark.sparkContext.setLogLevel("ERROR")
+    if "--no-broadcast" in sys.argv:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     connection, failed = connect(sf_dir), []
     for name, query in queries().items():
         if wanted and name not in wanted:
