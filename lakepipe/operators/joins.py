@@ -17,10 +17,25 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def fits_broadcast(df: DataFrame) -> bool:
-    """Whether Spark's own limit lets this table be broadcast."""
+def fits_broadcast(df: DataFrame, at_most: int | None = None) -> bool:
+    """Whether Spark's own limit lets this table be broadcast.
+
+    `at_most` is a bound on its size the caller knows. Catalyst's estimate can be far too high: it
+    takes a join for a product.
+    """
     limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    return estimated_bytes(df) <= limit
+    return estimated_bytes(df) <= limit or (at_most is not None and at_most <= limit)
+
+
+def use_all_cores(df: DataFrame, key: str) -> DataFrame:
+    """Cut an input with fewer file splits than the cluster has cores into one piece per core.
+
+    For iterative work on small tables; a large one already has enough splits and is not moved.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    return df.repartition(cores, key) if estimated_bytes(df) < cores * split else df
 
 
 def hot_keys(
@@ -82,13 +97,14 @@ def lookup_join(
     spread: Sequence[str],
     how: str = "inner",
     counts: tuple[DataFrame, str] | None = None,
+    right_at_most: int | None = None,
 ) -> DataFrame:
     """Attach `right` (unique on `keys`) to `left`.
 
     A right side under Spark's broadcast limit needs no shuffle of `left`; a larger one is joined
     by salted_join.
     """
-    if fits_broadcast(right):
+    if fits_broadcast(right, right_at_most):
         return left.join(right, list(keys), how)
     return salted_join(left, right, keys, spread, how, counts)
 

@@ -15,7 +15,7 @@ from pyspark.sql.window import Window, WindowSpec
 
 from lakepipe.functions.money import exact_avg, exact_sum, from_units, rate, units
 from lakepipe.functions.times import day_number
-from lakepipe.operators.joins import fits_broadcast, lookup_join
+from lakepipe.operators.joins import estimated_bytes, fits_broadcast, lookup_join
 from lakepipe.session import checkpoint
 
 DAY_KEY = ["customer_sk", "date_sk"]
@@ -47,7 +47,13 @@ def customer_days(fact: DataFrame, calendar: DataFrame) -> DataFrame:
         )
     )
     # A table too large to broadcast is read again by the salted join, for its counts.
-    return grouped if fits_broadcast(grouped) else checkpoint(grouped)
+    return grouped if fits_broadcast(grouped, _size_bound(fact)) else checkpoint(grouped)
+
+
+def _size_bound(fact: DataFrame) -> int:
+    """Bound on the customer-days with their features: no more rows than facts, each at most four times
+    as wide. It only decides whether hot keys need salting; broadcasting is left to Spark."""
+    return 4 * estimated_bytes(fact)
 
 
 def _by_customer() -> WindowSpec:
@@ -90,7 +96,10 @@ def _recency(fact: DataFrame) -> Column:
 def _attach(fact: DataFrame, days: DataFrame, columns: list[str]) -> DataFrame:
     """Bring features of a customer-day to its transactions."""
     per_day = days.select(*DAY_KEY, *columns)
-    return lookup_join(fact, per_day, DAY_KEY, spread=["transaction_sk"], counts=(days.select(*DAY_KEY, "_n"), "_n"))
+    counts = (days.select(*DAY_KEY, "_n"), "_n")
+    return lookup_join(
+        fact, per_day, DAY_KEY, spread=["transaction_sk"], counts=counts, right_at_most=_size_bound(fact)
+    )
 
 
 def rolling_7d(fact: DataFrame, calendar: DataFrame, leak_free: bool = False) -> DataFrame:

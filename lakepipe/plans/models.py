@@ -29,6 +29,7 @@ from lakepipe.operators.evaluation import (
     top_capture,
     weighted_precision_recall,
 )
+from lakepipe.operators.joins import use_all_cores
 from lakepipe.operators.sampling import (
     downsample_majority,
     hash_split,
@@ -115,7 +116,7 @@ def train_logistic_regression(
 ):
     """Weighted logistic regression on an 80/20 split: (model, predictions of the hold-out)."""
     train, test = hash_split(with_class_weights(training, LABEL), KEY, 0.8, SEED)
-    model = logistic_regression(max_iter).fit(assemble(train, features))
+    model = logistic_regression(max_iter).fit(assemble(use_all_cores(train, KEY), features))
     return model, predict(model, assemble(test, features), predictions_path)
 
 
@@ -127,7 +128,7 @@ def train_trees(
 ):
     """Boosted trees on an 80/20 split: (model, predictions of the hold-out)."""
     train, test = hash_split(training, KEY, 0.8, SEED)
-    model = gradient_boosted_trees(settings).fit(assemble(train, features))
+    model = gradient_boosted_trees(settings).fit(assemble(use_all_cores(train, KEY), features))
     return model, predict(model, assemble(test, features), predictions_path)
 
 
@@ -141,7 +142,7 @@ def train_balanced_trees(
     train = stratified_sample(training, KEY, LABEL, {0: 0.8, 1: 0.8}, SEED)
     test = holdout(training, train, KEY)
     balanced = downsample_majority(train, KEY, LABEL, 3.0, SEED + 1)
-    model = gradient_boosted_trees(settings).fit(assemble(balanced, features))
+    model = gradient_boosted_trees(settings).fit(assemble(use_all_cores(balanced, KEY), features))
     return model, predict(model, assemble(test, features), predictions_path)
 
 
@@ -155,7 +156,8 @@ def tune_trees(
 ) -> DataFrame:
     """(max_depth, max_iter, pr_auc, is_best) for every point of the grid on one hold-out."""
     train, test = [
-        assemble(part, features).select("features", LABEL).persist() for part in hash_split(training, KEY, 0.8, SEED)
+        assemble(use_all_cores(part, KEY), features).select("features", LABEL).persist()
+        for part in hash_split(training, KEY, 0.8, SEED)
     ]
     estimator = gradient_boosted_trees(TreeSettings(step_size=step_size))
     grid = (
@@ -196,7 +198,7 @@ def train_final_model(
     spark = training.sparkSession
     run_id = run_id or f"{version}-{uuid.uuid4().hex[:12]}"
     train, test = hash_split(training, KEY, 0.8, SEED)
-    model = gradient_boosted_trees(settings).fit(assemble(train, features))
+    model = gradient_boosted_trees(settings).fit(assemble(use_all_cores(train, KEY), features))
     predictions = predict(model, assemble(test, features), layout.predictions(f"holdout_{version}"))
     model.write().overwrite().save(layout.model(version))
 
