@@ -27,9 +27,12 @@ def row_key(*columns: str) -> Column:
 
 
 def hash_unit(key: Column | str, seed: int = 42) -> Column:
-    """A number in [0, 1) drawn from the key and a seed; any engine with md5 can repeat it."""
+    """A number in [0, 1) drawn from the key and a seed; any engine with md5 can repeat it.
+
+    A missing key draws the number of the empty text, so its row is in a split as well.
+    """
     column = F.col(key) if isinstance(key, str) else key
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), column.cast("string")))
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(column.cast("string"), F.lit(""))))
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") / F.lit(4294967296.0)
 
 

@@ -13,14 +13,16 @@ from pyspark.sql.window import Window
 from lakepipe.functions.keys import row_token
 from lakepipe.session import checkpoint
 
-MAX_BLOCKS = 2048
+BLOCKS_PER_PARTITION = 4
+MAX_BLOCKS = 20_000
 COPIES_PER_STEP = 1_000_000
 
 
 def _with_blocks(df: DataFrame, order: str, blocks: int) -> DataFrame:
     """Add `_block`: which quantile range of `order` a row is in."""
     shares = [i / blocks for i in range(1, blocks)]
-    marks = df.agg(F.percentile_approx(order, shares, 10_000)).first()[0] if shares else None
+    accuracy = max(10_000, 10 * blocks)
+    marks = df.agg(F.percentile_approx(order, shares, accuracy)).first()[0] if shares else None
     inner = sorted({float(m) for m in marks or []})
     if not inner:
         return df.withColumn("_block", F.lit(0))
@@ -46,10 +48,11 @@ def running_totals(
 
     `order` is numeric and (nearly) unique: group by it first. The table is cut into quantile
     ranges; each range is summed by itself and starts from the total of the ranges before it, so
-    no task holds more than one range. The broadcast side has one row per range.
+    no task sorts more than one range at a time. The broadcast side has one row per range.
     """
     if blocks is None:
-        blocks = min(MAX_BLOCKS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        blocks = min(MAX_BLOCKS, BLOCKS_PER_PARTITION * partitions)
     blocked = _with_blocks(df, order, blocks)
     direction = F.desc if descending else F.asc
 

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -113,6 +114,19 @@ def quality_report(df: DataFrame, table_name: str, rules: Sequence) -> DataFrame
     return reduce(DataFrame.unionByName, parts)
 
 
+def availability_report(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:
+    """Whether each table of {name: path} is there and has rows; looks at one row of each."""
+
+    def missing(path: str) -> int:
+        try:
+            return int(spark.read.parquet(path).isEmpty())
+        except AnalysisException:
+            return 1
+
+    rows = [(name, "available", missing(path)) for name, path in paths.items()]
+    return spark.createDataFrame(rows, "table_name string, rule string, violations bigint")
+
+
 def require_clean(report: DataFrame) -> None:
     """Raise when a rule is violated; a report has one row per rule."""
     broken = report.filter("violations > 0").collect()

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakepipe.functions.money import exact_sum
 from lakepipe.layout import Layout
 from lakepipe.plans.silver import load_transactions, transform_customers, transform_transactions
 from lakepipe.queries import views
@@ -13,7 +14,7 @@ from lakepipe.session import scratch_path
 from lakepipe.sources.readers import newer_than, read_csv, read_table
 from lakepipe.sources.state import advance_high_mark, high_marks, read_high_mark
 from lakepipe.sources.writers import overwrite, write_partitioned
-from lakepipe.streaming.incremental import start_incremental_load
+from lakepipe.streaming.incremental import start_incremental_load, start_silver_load
 
 # Where the two-batch loads cut the events.
 FIRST_BATCH_END = "2024-01-15"
@@ -109,7 +110,7 @@ def stream_incremental(spark, sf_dir):
         ).awaitTermination()
     loaded = read_table(spark, target)
     return loaded.groupBy("event_date").agg(
-        F.count(F.lit(1)).alias("events"), F.round(F.sum("value"), 2).alias("total")
+        F.count(F.lit(1)).alias("events"), exact_sum("value").alias("total")
     )
 
 
@@ -153,15 +154,30 @@ def silver_load(spark, sf_dir):
         write_partitioned(raw.filter(part), layout.bronze("transactions"), ["ingest_date"])
         load_transactions(spark, layout, against_history=True)
     load_transactions(spark, layout, against_history=True)
-    silver = read_table(spark, layout.silver("transactions"))
+    return _daily(read_table(spark, layout.silver("transactions")))
+
+
+def _daily(silver):
     return silver.groupBy("transaction_date").agg(
         F.count(F.lit(1)).alias("transactions"),
-        F.round(F.sum("amount"), 2).alias("total_amount"),
+        exact_sum("amount").alias("total_amount"),
         F.sum("fraud_flag").alias("fraud_count"),
     )
 
 
+def stream_silver(spark, sf_dir):
+    """The streaming form of the Silver load, run twice over one Bronze table."""
+    layout = Layout(scratch_path(spark, "lake"))
+    overwrite(views.customers(spark, sf_dir), layout.silver("customers"))
+    write_partitioned(views.raw_transactions(spark, sf_dir), layout.bronze("transactions"), ["ingest_date"])
+    progress = scratch_path(spark, "silver-progress")
+    for _ in range(2):
+        start_silver_load(spark, layout, progress).awaitTermination()
+    return _daily(read_table(spark, layout.silver("transactions")))
+
+
 QUERIES = {
+    "q_stream_silver": stream_silver,
     "q_csv_roundtrip": csv_roundtrip,
     "q_partitioned_append": partitioned_append,
     "q_partition_replace": partition_replace,
@@ -175,6 +191,12 @@ QUERIES = {
     "q_silver_load": silver_load,
 }
 
+SILVER_DAILY_SQL = f"""
+    SELECT transaction_date, COUNT(*) AS transactions, {money("amount")} AS total_amount,
+        CAST(SUM(fraud_flag) AS BIGINT) AS fraud_count
+    FROM ({SILVER_SQL}) GROUP BY transaction_date
+"""
+
 ORACLE = {
     "q_csv_roundtrip": """
         SELECT 'part' AS source, p_partkey AS id, p_name || ', "' || p_brand || '"; ' || p_type AS label,
@@ -210,9 +232,6 @@ ORACLE = {
         FROM ({SILVER_SQL})
     """,
     "q_transaction_key": f"SELECT COUNT(*) AS silver_rows, COUNT(*) AS transaction_keys FROM ({SILVER_SQL})",
-    "q_silver_load": f"""
-        SELECT transaction_date, COUNT(*) AS transactions, {money("amount")} AS total_amount,
-            CAST(SUM(fraud_flag) AS BIGINT) AS fraud_count
-        FROM ({SILVER_SQL}) GROUP BY transaction_date
-    """,
+    "q_silver_load": SILVER_DAILY_SQL,
+    "q_stream_silver": SILVER_DAILY_SQL,
 }

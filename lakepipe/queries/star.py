@@ -12,6 +12,8 @@ from lakepipe.plans.dimensions import customer_dimension
 from lakepipe.plans.facts import build_fact
 from lakepipe.queries import views
 from lakepipe.queries.views import ORDER_FACT_SQL, money
+from lakepipe.session import scratch_path
+from lakepipe.sources.writers import stage
 
 
 def dim_date(spark, sf_dir):
@@ -28,7 +30,8 @@ def scd2_merge(spark, sf_dir):
     snapshot = views.table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("customer_id"), "c_acctbal", F.col("c_mktsegment").alias("segment")
     )
-    before = customer_dimension(snapshot.filter("segment <> 'MACHINERY'"), "2024-01-01")
+    first = customer_dimension(snapshot.filter("segment <> 'MACHINERY'"), "2024-01-01")
+    before = stage(first, scratch_path(spark, "dim-customer"))
     after = snapshot.filter("segment <> 'FURNITURE'").replace("BUILDING", "CONSTRUCTION", "segment")
     return merge_history(before, after, "customer_id", "customer_sk", "2024-06-01")
 

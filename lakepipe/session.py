@@ -19,6 +19,7 @@ def build_session(app_name: str = "lakepipe", master: str | None = None, **setti
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     for name, value in {**defaults, **settings}.items():
         builder = builder.config(name, value)

@@ -13,6 +13,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from lakepipe.layout import Layout
+from lakepipe.operators.quality import quality_report, require_clean
+from lakepipe.plans.bronze import TRANSACTION_SOURCE
+from lakepipe.plans.silver import TRANSACTION_RULES, transform_transactions
+from lakepipe.sources.readers import read_table
 from lakepipe.sources.writers import write_partitioned
 
 BATCH_COLUMN = "batch_id"
@@ -54,3 +59,22 @@ def start_incremental_load(
         .trigger(availableNow=True)
         .start()
     )
+
+
+def start_silver_load(
+    spark: SparkSession, layout: Layout, checkpoint_path: str, max_files: int | None = None
+) -> StreamingQuery:
+    """Bronze transactions not seen yet to Silver: cleaned, deduplicated per batch, checked."""
+    customer_count = read_table(spark, layout.silver("customers")).count()
+    schema = T.StructType([*TRANSACTION_SOURCE.fields, T.StructField("ingest_date", T.DateType())])
+    return start_incremental_load(
+        spark,
+        layout.bronze("transactions"),
+        schema,
+        lambda batch: transform_transactions(batch, customer_count),
+        layout.silver("transactions"),
+        checkpoint_path,
+        partition_by=["transaction_date"],
+        max_files=max_files,
+        check=lambda batch: require_clean(quality_report(batch, "silver_transactions", TRANSACTION_RULES)),
+    )

@@ -10,6 +10,7 @@ from lakepipe.operators.quality import (
     NotNull,
     QualityError,
     UniqueKey,
+    availability_report,
     orphans,
     quality_report,
     require_clean,
@@ -135,6 +136,14 @@ def test_quality_rules(spark, rows):
         require_clean(quality_report(df, "t", rules))
 
 
+def test_availability(spark, tmp_path):
+    full, empty = str(tmp_path / "full"), str(tmp_path / "empty")
+    spark.range(3).write.parquet(full)
+    spark.range(0).write.parquet(empty)
+    report = availability_report(spark, {"full": full, "empty": empty, "gone": str(tmp_path / "gone")})
+    assert {r["table_name"]: r["violations"] for r in report.collect()} == {"full": 0, "empty": 1, "gone": 1}
+
+
 def test_quality_of_an_empty_table(spark):
     empty = spark.createDataFrame([], "id bigint")
     report = {r["rule"]: r["violations"] for r in quality_report(empty, "t", [NotEmpty(), NotNull("id")]).collect()}
