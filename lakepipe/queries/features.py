@@ -50,9 +50,12 @@ def training_asof(spark, sf_dir):
 
 
 def features_v2(spark, sf_dir):
+    """Ratios and products are compared to the last digit; logarithms differ there between libraries."""
     derived = training.add_derived_features(views.event_training(spark, sf_dir))
-    rounded = [F.round(c, 6).alias(c) for c in training.DERIVED_FEATURES]
-    return derived.select("transaction_sk", *rounded)
+    columns = [
+        F.round(c, 6).alias(c) if c.startswith("log_") else F.col(c) for c in training.DERIVED_FEATURES
+    ]
+    return derived.select("transaction_sk", *columns)
 
 
 def feature_vector(spark, sf_dir):
@@ -134,13 +137,12 @@ ORACLE = {
     """,
     "q_features_v2": f"""
         SELECT transaction_sk,
-            ROUND(CASE WHEN avg_transaction_amount > 0 THEN amount / avg_transaction_amount ELSE 0 END, 6)
-                AS amount_vs_avg,
-            ROUND(COALESCE(amount / (total_spent_last_7d / transactions_last_7d), 0), 6) AS amount_vs_7d_avg,
+            CASE WHEN avg_transaction_amount > 0 THEN amount / avg_transaction_amount ELSE 0 END AS amount_vs_avg,
+            COALESCE(amount / (total_spent_last_7d / transactions_last_7d), 0) AS amount_vs_7d_avg,
             ROUND(ln(1 + amount), 6) AS log_amount, ROUND(ln(1 + total_spent), 6) AS log_total_spent,
             ROUND(ln(1 + total_transactions), 6) AS log_total_transactions,
-            ROUND(amount * fraud_ratio, 6) AS amount_x_fraud_ratio,
-            ROUND(transactions_last_7d * fraud_ratio_last_7d, 6) AS velocity_x_fraud_ratio
+            amount * fraud_ratio AS amount_x_fraud_ratio,
+            transactions_last_7d * fraud_ratio_last_7d AS velocity_x_fraud_ratio
         FROM ({TRAINING_SQL})
     """,
     "q_feature_vector": "SELECT transaction_sk, "
