@@ -109,15 +109,15 @@ def confusion_matrix(df: DataFrame, label: str, prediction: str) -> DataFrame:
 def weighted_precision_recall(df: DataFrame, label: str, prediction: str) -> DataFrame:
     """Precision and recall per label, averaged with the labels' row counts as weights."""
     matrix = confusion_matrix(df, label, prediction)
-    right = F.when(F.col(label) == F.col(prediction), F.col("count")).otherwise(0)
-    cells = matrix.select(
-        F.explode(
-            F.array(
-                F.struct(F.col(label).cast("double").alias("cls"), F.col("count").alias("actual"), F.lit(0).cast("bigint").alias("predicted"), right.alias("hit")),
-                F.struct(F.col(prediction).cast("double").alias("cls"), F.lit(0).cast("bigint").alias("actual"), F.col("count").alias("predicted"), F.lit(0).cast("bigint").alias("hit")),
-            )
-        ).alias("c")
-    ).select("c.*")
+    n, none = F.col("count"), F.lit(0).cast("bigint")
+    right = F.when(F.col(label) == F.col(prediction), n).otherwise(none)
+
+    def cell(cls: str, actual: Column, predicted: Column, hit: Column) -> Column:
+        counts = [actual.alias("actual"), predicted.alias("predicted"), hit.alias("hit")]
+        return F.struct(F.col(cls).cast("double").alias("cls"), *counts)
+
+    both = F.array(cell(label, n, none, right), cell(prediction, none, n, none))
+    cells = matrix.select(F.explode(both).alias("c")).select("c.*")
     classes = cells.groupBy("cls").agg(*[F.sum(c).alias(c) for c in ("actual", "predicted", "hit")])
     weight = F.col("actual")
     precision = F.coalesce(F.try_divide("hit", "predicted"), F.lit(0.0))

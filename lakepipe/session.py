@@ -19,6 +19,9 @@ def build_session(app_name: str = "lakepipe", master: str | None = None, **setti
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        # A join whose smaller side has only small partitions needs no sort.
+        "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
+        # A checkpoint goes when nothing uses it any more.
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     for name, value in {**defaults, **settings}.items():

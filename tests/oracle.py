@@ -64,7 +64,8 @@ if __name__ == "__main__":
     from lakepipe.session import build_session
 
     sf_dir, wanted = sys.argv[1], [a for a in sys.argv[2:] if not a.startswith("--")]
-    spark = build_session(master="local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g"})
+    settings = {"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g"}
+    spark = build_session(master="local[8]", **settings)
     spark.sparkContext.setLogLevel("ERROR")
     if "--no-broadcast" in sys.argv:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
@@ -80,7 +81,8 @@ if __name__ == "__main__":
             kind = "sql" if sql else f"rows only: {df.count()}"
         except Exception as error:
             problem, kind = f"{type(error).__name__}: {str(error)[:600]}", "error"
-        print(f"{name:28} {time.time() - start:6.2f}s {kind:16} {'ok' if problem is None else 'DIFF ' + problem}", flush=True)
+        verdict = "ok" if problem is None else f"DIFF {problem}"
+        print(f"{name:28} {time.time() - start:6.2f}s {kind:16} {verdict}", flush=True)
         if problem:
             failed.append(name)
     print("failed:", failed)
