@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from lakepipe.sources.readers import read_csv
 from lakepipe.sources.writers import write_partitioned
 
+# The columns of the transaction source.
 FEATURE_COLUMNS = [f"V{i}" for i in range(1, 29)]
 
 TRANSACTION_SOURCE = T.StructType(

@@ -50,6 +50,8 @@ SEED = 42
 class TreeSettings:
     """Boosted-tree parameters. Defaults: the final model; `EXPLORATORY_TREES` the earlier ones."""
 
+    # Fixed values.
+
     max_depth: int = 3
     max_iter: int = 50
     step_size: float = 0.1

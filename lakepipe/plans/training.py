@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from lakepipe.operators.joins import lookup_join
 from lakepipe.plans.features import LIFETIME, ROLLING, transaction_features
 
+# The model inputs in the order of the feature vector.
 BASE_FEATURES = ["amount", *ROLLING, "days_since_last_txn", *LIFETIME]
 DERIVED_FEATURES = [
     "amount_vs_avg",
