@@ -31,7 +31,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakepipe.llm.arrays import slices
+from lakepipe.llm.arrays import gather, slices
 from lakepipe.llm.frames import quoted, ship, table
 
 RANKS_FILE = "byte_bpe_multi_50k.tiktoken"
@@ -47,13 +47,6 @@ LATIN_PATTERN = (
 )
 
 
-def gather(flat: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
-    """flat[start:start+length] of every row, one after the other."""
-    ends = np.cumsum(length)
-    total = int(ends[-1]) if len(ends) else 0
-    return flat[np.repeat(start - ends + length, length) + np.arange(total)]
-
-
 class Ranks:
     """A vocabulary: bytes to rank (which is the token's id), and the rank of every mergeable pair."""
 

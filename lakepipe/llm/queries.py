@@ -1,7 +1,15 @@
 """Every operator of this package as a query, next to its SQL where there is one."""
 
-from lakepipe.llm import byte_bpe, decontamination, exact_dedup, jaccard_join, language_id
+from lakepipe.llm import (
+    byte_bpe,
+    decontamination,
+    exact_dedup,
+    jaccard_join,
+    language_id,
+    line_dedup,
+    substring_dedup,
+)
 
-MODULES = (decontamination, exact_dedup, jaccard_join, byte_bpe, language_id)
+MODULES = (line_dedup, substring_dedup, decontamination, exact_dedup, jaccard_join, byte_bpe, language_id)
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 ORACLE = {name: sql for module in MODULES for name, sql in module.ORACLE.items()}
