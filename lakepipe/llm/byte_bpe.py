@@ -9,7 +9,7 @@ positions that still start a token.
 
 `SegmentTree` does this for one piece of any length. Pieces of up to SHORT bytes, nearly all there
 are, run as a forest: trees of equal size advance one merge at a time together in numpy. A worker
-keeps the ids of up to KEEP distinct pieces.
+keeps the ids of a bounded number of distinct pieces.
 
 Defined results: a null or empty text has no tokens and decodes to no bytes; null ids decode to
 null; an id outside the vocabulary is an error. Special tokens are ordinary text. Every other column
@@ -33,9 +33,10 @@ from pyspark.sql import functions as F
 
 from lakepipe.llm.arrays import gather, slices
 from lakepipe.llm.frames import quoted, ship, table
+from lakepipe.llm.pieces import PieceCache
 
 RANKS_FILE = "byte_bpe_multi_50k.tiktoken"
-SHORT, KEEP, CELLS = 64, 500_000, 1 << 17
+SHORT, CELLS = 64, 1 << 17
 NONE = 1 << 40
 
 # The letters, numbers and white space among the first 256 code points. With them the
@@ -165,13 +166,13 @@ def merge_forest(ranks: Ranks, pieces: list[bytes], size: int) -> tuple[np.ndarr
     return ids[:, :size][starts_token], starts_token.sum(axis=1)
 
 
-class Encoder:
-    """Texts to ids; remembers the ids of distinct pieces, KEEP of them at most."""
+class Encoder(PieceCache):
+    """Texts to ids."""
 
     def __init__(self, file: bytes, pattern: str):
+        super().__init__()
         self.ranks, self.pattern = Ranks(file), regex.compile(pattern)
         self.latin = re.compile(LATIN_PATTERN) if pattern == public_tokenizers.PATTERN else None
-        self._forget()
 
     def split(self, text: str) -> list[str]:
         if self.latin is not None:
@@ -182,13 +183,8 @@ class Encoder:
                 pass
         return self.pattern.findall(text)
 
-    def _forget(self) -> None:
-        self.code: dict[str, int] = {}
-        self.flat = np.zeros(0, np.int32)
-        self.start = self.length = np.zeros(0, np.int64)
-
-    def _learn(self, pieces: list[str]) -> None:
-        """Encode new pieces: whole tokens by look-up, short ones as forests, long ones one by one."""
+    def encode_pieces(self, pieces: list[str]) -> tuple[list[int], np.ndarray, np.ndarray]:
+        """Whole tokens by look-up, short pieces as forests, long ones one by one."""
         encoded = [p.encode() for p in pieces]
         whole = list(map(self.ranks.rank.get, encoded))
         classes: dict[int, list[int]] = {}
@@ -211,32 +207,7 @@ class Encoder:
                 order += part
                 counts.append(own)
                 ids.append(found.astype(np.int32))
-        length = np.concatenate(counts)
-        base = len(self.start)
-        self.code.update(zip([pieces[i] for i in order], range(base, base + len(order))))
-        self.start = np.concatenate([self.start, len(self.flat) + np.cumsum(length) - length])
-        self.length = np.concatenate([self.length, length])
-        self.flat = np.concatenate([self.flat, *ids])
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, bounds): text t has ids[bounds[t]:bounds[t+1]]."""
-        pieces: list[str] = []
-        ends = []
-        for text in texts:
-            pieces += self.split(text)
-            ends.append(len(pieces))
-        known = list(map(self.code.get, pieces))
-        if None in known:
-            new = {p for p, code in zip(pieces, known) if code is None}
-            if len(new) + len(self.code) > KEEP:
-                self._forget()
-                new = set(pieces)
-            self._learn(list(new))
-            known = list(map(self.code.__getitem__, pieces))
-        codes = np.array(known, np.int64)
-        length = self.length[codes]
-        before = np.concatenate([[0], np.cumsum(length)])
-        return gather(self.flat, self.start[codes], length), before[np.concatenate([[0], ends]).astype(np.int64)]
+        return order, np.concatenate(ids), np.concatenate(counts)
 
 
 @lru_cache(maxsize=2)

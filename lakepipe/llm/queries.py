@@ -7,9 +7,23 @@ from lakepipe.llm import (
     jaccard_join,
     language_id,
     line_dedup,
+    sharding,
     substring_dedup,
+    token_files,
+    toxicity,
 )
 
-MODULES = (line_dedup, substring_dedup, decontamination, exact_dedup, jaccard_join, byte_bpe, language_id)
+MODULES = (
+    line_dedup,
+    substring_dedup,
+    decontamination,
+    toxicity,
+    exact_dedup,
+    jaccard_join,
+    byte_bpe,
+    sharding,
+    token_files,
+    language_id,
+)
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 ORACLE = {name: sql for module in MODULES for name, sql in module.ORACLE.items()}
