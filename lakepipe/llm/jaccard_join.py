@@ -202,45 +202,50 @@ def _signature_rows(buckets: int):
     return emit
 
 
-def _runs(group: pa.Table) -> pa.Table:
-    """Members of the signatures that several classes of this bucket share: (sign, class, rank, size)."""
-    signs = np.frombuffer(b"".join(group.column("signs").to_pylist()), np.uint64)
-    classes = np.frombuffer(b"".join(group.column("classes").to_pylist()), np.int64)
-    order = np.argsort(signs, kind="stable")
-    ordered = signs[order]
-    near = np.zeros(len(ordered), bool)
-    near[1:] = ordered[1:] == ordered[:-1]
-    near[:-1] |= near[1:]
-    signs, classes = ordered[near], classes[order[near]]
-    order = np.lexsort((classes, signs))
-    signs, classes = signs[order], classes[order]
-    fresh = np.ones(len(signs), bool)
-    fresh[1:] = (signs[1:] != signs[:-1]) | (classes[1:] != classes[:-1])
-    signs, classes = signs[fresh], classes[fresh]
-    starts = np.flatnonzero(np.concatenate([[True], signs[1:] != signs[:-1]])) if len(signs) else np.zeros(0, np.int64)
-    sizes = np.diff(np.append(starts, len(signs)))
-    rank, size = np.arange(len(signs)) - np.repeat(starts, sizes), np.repeat(sizes, sizes)
-    pairs_a, pairs_b = [], []
-    # Small buckets: every pair. Larger ones: the first member with every other one.
-    for step in range(1, SMALL):
-        later = np.flatnonzero((rank >= step) & (size <= SMALL))
-        pairs_a.append(classes[later - step])
-        pairs_b.append(classes[later])
-    star = np.flatnonzero((rank > 0) & (size > SMALL))
-    pairs_a.append(classes[(np.arange(len(signs)) - rank)[star]])
-    pairs_b.append(classes[star])
-    a, b = np.concatenate(pairs_a), np.concatenate(pairs_b)
-    if len(a):
-        both = np.unique(np.stack([a, b], axis=1), axis=0)
-        a, b = both[:, 0], both[:, 1]
-    large, n = np.flatnonzero(size > SMALL), len(a)
-    return pa.table(
-        {
-            "a": pa.array(np.concatenate([a, classes[large]])),
-            "b": pa.array(np.concatenate([b, signs[large].view(np.int64)])),
-            "rank": pa.array(np.concatenate([np.full(n, -1), rank[large]]).astype(np.int64)),
-        }
-    )
+def _runs(small: int):
+    """Pairs (a, b) of classes that share a signature of this bucket, rank -1, and the members (class, sign)
+    of signatures that more than `small` classes share, ranked."""
+
+    def find(group: pa.Table) -> pa.Table:
+        signs = np.frombuffer(b"".join(group.column("signs").to_pylist()), np.uint64)
+        classes = np.frombuffer(b"".join(group.column("classes").to_pylist()), np.int64)
+        order = np.argsort(signs, kind="stable")
+        ordered = signs[order]
+        near = np.zeros(len(ordered), bool)
+        near[1:] = ordered[1:] == ordered[:-1]
+        near[:-1] |= near[1:]
+        signs, classes = ordered[near], classes[order[near]]
+        order = np.lexsort((classes, signs))
+        signs, classes = signs[order], classes[order]
+        fresh = np.ones(len(signs), bool)
+        fresh[1:] = (signs[1:] != signs[:-1]) | (classes[1:] != classes[:-1])
+        signs, classes = signs[fresh], classes[fresh]
+        starts = np.flatnonzero(np.concatenate([[True], signs[1:] != signs[:-1]])) if len(signs) else np.zeros(0, np.int64)
+        sizes = np.diff(np.append(starts, len(signs)))
+        rank, size = np.arange(len(signs)) - np.repeat(starts, sizes), np.repeat(sizes, sizes)
+        pairs_a, pairs_b = [], []
+        # Small buckets: every pair. Larger ones: the first member with every other one.
+        for step in range(1, small):
+            later = np.flatnonzero((rank >= step) & (size <= small))
+            pairs_a.append(classes[later - step])
+            pairs_b.append(classes[later])
+        star = np.flatnonzero((rank > 0) & (size > small))
+        pairs_a.append(classes[(np.arange(len(signs)) - rank)[star]])
+        pairs_b.append(classes[star])
+        a, b = np.concatenate(pairs_a), np.concatenate(pairs_b)
+        if len(a):
+            both = np.unique(np.stack([a, b], axis=1), axis=0)
+            a, b = both[:, 0], both[:, 1]
+        large, n = np.flatnonzero(size > small), len(a)
+        return pa.table(
+            {
+                "a": pa.array(np.concatenate([a, classes[large]])),
+                "b": pa.array(np.concatenate([b, signs[large].view(np.int64)])),
+                "rank": pa.array(np.concatenate([np.full(n, -1), rank[large]]).astype(np.int64)),
+            }
+        )
+
+    return find
 
 
 def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -260,8 +265,8 @@ def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     return known.filter(apart).drop("root_a", "root_b")
 
 
-def _close(large: DataFrame, sets: DataFrame, links: DataFrame) -> DataFrame:
-    """Compare what the large buckets (sign, class, rank) still hold apart, PIVOTS members at a time."""
+def _close(large: DataFrame, sets: DataFrame, links: DataFrame, pivots_at_once: int) -> DataFrame:
+    """Compare what the large buckets (sign, class, rank) still hold apart, some pivots at a time."""
     low = 1
     while True:
         roots = connected_components(links)
@@ -273,22 +278,24 @@ def _close(large: DataFrame, sets: DataFrame, links: DataFrame) -> DataFrame:
         members = checkpoint(placed.join(open_signs, "sign", "left_semi"))
         if members.isEmpty():
             return links
-        pivots = members.filter(F.col("rank").between(low, low + PIVOTS - 1)).select(
+        chosen = members.filter(F.col("rank").between(low, low + pivots_at_once - 1)).select(
             "sign", F.col("class").alias("a"), F.col("root").alias("root_a"), F.col("rank").alias("at")
         )
         pairs = (
-            members.join(pivots, "sign")
+            members.join(chosen, "sign")
             .filter((F.col("rank") > F.col("at")) & (F.col("root") != F.col("root_a")))
             .select("a", F.col("class").alias("b"))
             .distinct()
         )
         large = members.select("sign", "class", "rank")
         links = checkpoint(links.unionByName(_linked(pairs, sets)))
-        low += PIVOTS
+        low += pivots_at_once
 
 
-def similarity_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(documents, links): (key, class, n) of every row, and the links (a, b) between classes.
+def similarity_classes(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", small: int = SMALL, pivots: int = PIVOTS
+) -> tuple[DataFrame, DataFrame]:
+    """(documents, links): (key, text_hash, class, n) of every row, and the links (a, b) between classes.
 
     The links hold enough of all links to give the components of all.
     """
@@ -300,7 +307,7 @@ def similarity_classes(docs: DataFrame, key: str = "doc_id", text: str = "text")
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
     rows = texts.select("text").mapInArrow(_signature_rows(buckets), "bucket int, signs binary, classes binary")
-    found = checkpoint(rows.groupBy("bucket").applyInArrow(_runs, "a bigint, b bigint, rank bigint"))
+    found = checkpoint(rows.groupBy("bucket").applyInArrow(_runs(small), "a bigint, b bigint, rank bigint"))
 
     pairs = found.filter("rank < 0").select("a", "b").distinct()
     large = found.filter("rank >= 0").select(F.col("b").alias("sign"), F.col("a").alias("class"), "rank")
@@ -326,13 +333,15 @@ def similarity_classes(docs: DataFrame, key: str = "doc_id", text: str = "text")
     links = checkpoint(_linked(nearest, sets))
     rest = _apart(pairs.join(nearest, ["a", "b"], "left_anti"), connected_components(links))
     links = checkpoint(links.unionByName(_linked(rest, sets)))
-    return described, _close(large, sets, links)
+    return described, _close(large, sets, links, pivots)
 
 
-def components(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def components(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", small: int = SMALL, pivots: int = PIVOTS
+) -> DataFrame:
     """One row per input row: key, text_hash, n (distinct shingles), component (smallest key it is
     connected with), first (whether it is the document of that key)."""
-    described, links = similarity_classes(docs, key, text)
+    described, links = similarity_classes(docs, key, text, small, pivots)
     roots = connected_components(links)
     rooted = described.join(roots.withColumnRenamed("node", "class"), "class", "left").withColumn(
         "root", F.coalesce("root", "class")
