@@ -13,10 +13,12 @@ strangers. It is left out wherever the scheme has enough other agreeing partitio
 (see `_signatures`), so nothing is lost.
 
 Sets equal in all elements are one class, so copies cost one row each. Signatures of classes travel
-packed by signature range. In a bucket of equal signatures up to SMALL members are all paired;
-in a larger one its smallest member is paired with the rest, the links are verified and merged into
-components, and only members still apart are paired further, some pivots at a time (`_close`), until
-every pair is in one component or has been compared. Every candidate is verified exactly.
+packed by signature range. In a bucket of equal signatures up to SMALL members are all paired; in a
+larger one its smallest member is paired with the rest. First every class is compared with its
+smallest partner, and the links are merged into components. Then only what is still apart is
+compared (`_close`): components that share a signature form families, and the sets of a family meet
+in blocks of bounded size, where every pair that shares a signature and is not in one component yet
+is verified. Every link comes from an exact comparison, and no candidate is left out.
 
 Defined results: words are runs of bytes other than [\\x20\\x09-\\x0D], A-Z lower-cased; a text with
 fewer words than a shingle has its word sequence as its only one; null, empty and blank texts have
@@ -46,7 +48,7 @@ SHINGLE = 5
 SIMILAR, OF = 80, 100
 #: Signature ranges are about this many bytes of text.
 BUCKET_BYTES = 12 << 20
-SMALL, PIVOTS = 16, 16
+SMALL, BLOCK = 16, 512
 
 
 @dataclass(frozen=True)
@@ -257,43 +259,108 @@ def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").filter(OF * shared >= SIMILAR * either).select("a", "b")
 
 
-def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose ends are not in one component yet."""
-    at = [roots.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}")) for c in ("a", "b")]
-    known = pairs.join(at[0], "a", "left").join(at[1], "b", "left")
-    apart = F.coalesce("root_a", "a") != F.coalesce("root_b", "b")
-    return known.filter(apart).drop("root_a", "root_b")
+def _verify(group: pa.Table) -> pa.Table:
+    """The links between members of one block that share a signature and are in different components.
 
+    Members of side 0 and side 1 are compared with each other, or all of them if there is one side.
+    """
+    classes, roots = (group.column(c).to_numpy() for c in ("class", "root"))
+    sets = [np.sort(np.array(s, np.int64).view(np.uint64)) for s in group.column("shingles").to_pylist()]
+    sides = group.column("side").to_numpy()
+    signs = group.column("signs").to_pylist()
+    owner = np.repeat(np.arange(len(signs)), [len(x) for x in signs])
+    sign = np.array([x for own in signs for x in own], np.int64)
+    order = np.argsort(sign, kind="stable")
+    edges = np.flatnonzero(np.concatenate([[True], np.diff(sign[order]) != 0, [True]]))
+    candidate = np.zeros((len(classes), len(classes)), bool)
+    for low, high in zip(edges[:-1], edges[1:]):
+        members = owner[order[low:high]]
+        candidate[np.ix_(members, members)] = True
+    if sides.any() and not sides.all():
+        candidate &= sides[:, None] != sides[None, :]
+    sizes = np.array([len(x) for x in sets])
+    found_a, found_b = [], []
+    for i in range(len(classes)):
+        near = np.flatnonzero(candidate[i, i + 1 :]) + i + 1
+        near = near[(roots[near] != roots[i]) & (OF * np.minimum(sizes[near], sizes[i]) >= SIMILAR * np.maximum(sizes[near], sizes[i]))]
+        if not len(near):
+            continue
+        joined = np.concatenate([sets[j] for j in near])
+        at = np.minimum(np.searchsorted(sets[i], joined), len(sets[i]) - 1)
+        shared = np.add.reduceat((sets[i][at] == joined).astype(np.int64), np.cumsum(sizes[near]) - sizes[near])
+        linked = near[OF * shared >= SIMILAR * (sizes[i] + sizes[near] - shared)]
+        for j in linked.tolist():
+            if roots[j] != roots[i]:
+                found_a.append(classes[i])
+                found_b.append(classes[j])
+                roots = np.where(roots == roots[j], roots[i], roots)
+    return pa.table({"a": pa.array(found_a, pa.int64()), "b": pa.array(found_b, pa.int64())})
+
+
+def _blocks(members: DataFrame, block: int) -> DataFrame:
+    """Deal the members (family, class, root, ...) to blocks in which all needed pairs meet.
+
+    A family of up to `block` classes is one block. In a larger one the classes of its largest
+    component need not meet each other: they are dealt to chunks, and every other class goes to all
+    of these; the others also meet in pairs of chunks among themselves.
+    """
+    by_root = members.groupBy("family", "root").agg(F.count(F.lit(1)).alias("n"))
+    families = by_root.groupBy("family").agg(F.sum("n").alias("size"), F.max(F.struct("n", "root")).alias("top"))
+    families = families.filter(F.col("size") > block).select(
+        "family",
+        F.col("top.root").alias("top"),
+        F.ceil(F.col("top.n") / block).alias("tops"),
+        F.greatest(F.lit(1), F.ceil((F.col("size") - F.col("top.n")) / block)).alias("others"),
+    )
+    placed = members.join(families, "family", "left")
+    own = F.pmod(F.xxhash64("class"), F.col("others"))
+    spread = F.transform(
+        F.sequence(F.lit(0), F.col("others") - 1),
+        lambda j: F.struct(
+            F.least(own, j).alias("x"), F.greatest(own, j).alias("y"), (own > j).cast("int").alias("side")
+        ),
+    )
+    beside = F.transform(
+        F.sequence(F.lit(0), F.col("tops") - 1),
+        lambda j: F.struct(F.lit(-1).cast("bigint").alias("x"), j.alias("y"), F.lit(0).alias("side")),
+    )
+    chunk = F.pmod(F.xxhash64("class"), F.col("tops"))
+    alone = F.array(F.struct(F.lit(-1).cast("bigint").alias("x"), chunk.alias("y"), F.lit(1).alias("side")))
+    whole = F.array(F.struct(F.lit(0).cast("bigint").alias("x"), F.lit(0).cast("bigint").alias("y"), F.lit(0).alias("side")))
+    place = (
+        F.when(F.col("tops").isNull(), whole)
+        .when(F.col("root") == F.col("top"), alone)
+        .otherwise(F.concat(spread, beside))
+    )
+    dealt = placed.withColumn("place", F.explode(place)).drop("top", "tops", "others")
+    return dealt.select("family", "place.*", "class", "root", "shingles", "signs")
 
-def _close(large: DataFrame, sets: DataFrame, links: DataFrame, pivots_at_once: int) -> DataFrame:
-    """Compare what the large buckets (sign, class, rank) still hold apart, some pivots at a time."""
-    low = 1
-    while True:
-        roots = connected_components(links)
-        placed = large.join(roots.withColumnRenamed("node", "class"), "class", "left").withColumn(
-            "root", F.coalesce("root", "class")
-        )
-        open_signs = placed.groupBy("sign").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.max("rank").alias("top"))
-        open_signs = open_signs.filter((F.col("x") != F.col("y")) & (F.col("top") > low)).select("sign")
-        members = checkpoint(placed.join(open_signs, "sign", "left_semi"))
-        if members.isEmpty():
-            return links
-        chosen = members.filter(F.col("rank").between(low, low + pivots_at_once - 1)).select(
-            "sign", F.col("class").alias("a"), F.col("root").alias("root_a"), F.col("rank").alias("at")
-        )
-        pairs = (
-            members.join(chosen, "sign")
-            .filter((F.col("rank") > F.col("at")) & (F.col("root") != F.col("root_a")))
-            .select("a", F.col("class").alias("b"))
-            .distinct()
-        )
-        large = members.select("sign", "class", "rank")
-        links = checkpoint(links.unionByName(_linked(pairs, sets)))
-        low += pivots_at_once
+
+def _close(pairs: DataFrame, large: DataFrame, sets: DataFrame, links: DataFrame, block: int) -> DataFrame:
+    """Compare what the pairs (a, b) and the large buckets (sign, class) still hold apart.
+
+    Components that some signature ties are a family; a family's sets meet in one block, or in
+    several if it is large. Only links come out.
+    """
+    roots = connected_components(links).withColumnRenamed("node", "class")
+    ties = pairs.select(F.explode(F.array("a", "b")).alias("class"), F.xxhash64("a", "b").alias("sign"))
+    ties = ties.unionByName(large).join(roots, "class", "left").withColumn("root", F.coalesce("root", "class"))
+    ties = checkpoint(ties)
+    by_sign = ties.groupBy("sign").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+    still_open = ties.join(by_sign.filter("low <> high"), "sign")
+    still_open = checkpoint(still_open.select("sign", "class", "root", "low"))
+    family = connected_components(still_open.select(F.col("root").alias("a"), F.col("low").alias("b")).distinct())
+    members = (
+        still_open.groupBy("class", "root")
+        .agg(F.collect_set("sign").alias("signs"))
+        .join(family.select(F.col("node").alias("root"), F.col("root").alias("family")), "root")
+    )
+    rows = _blocks(checkpoint(members).join(sets, "class"), block)
+    return links.unionByName(rows.groupBy("family", "x", "y").applyInArrow(_verify, "a bigint, b bigint"))
 
 
 def similarity_classes(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", small: int = SMALL, pivots: int = PIVOTS
+    docs: DataFrame, key: str = "doc_id", text: str = "text", small: int = SMALL, block: int = BLOCK
 ) -> tuple[DataFrame, DataFrame]:
     """(documents, links): (key, text_hash, class, n) of every row, and the links (a, b) between classes.
 
@@ -310,7 +377,7 @@ def similarity_classes(
     found = checkpoint(rows.groupBy("bucket").applyInArrow(_runs(small), "a bigint, b bigint, rank bigint"))
 
     pairs = found.filter("rank < 0").select("a", "b").distinct()
-    large = found.filter("rank >= 0").select(F.col("b").alias("sign"), F.col("a").alias("class"), "rank")
+    large = found.filter("rank >= 0").select(F.col("b").alias("sign"), F.col("a").alias("class"))
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
     # One document of each class that is in a pair.
     first = (
@@ -331,17 +398,16 @@ def similarity_classes(
     # First every class with the smallest partner it has, then what that leaves apart.
     nearest = pairs.groupBy("b").agg(F.min("a").alias("a"))
     links = checkpoint(_linked(nearest, sets))
-    rest = _apart(pairs.join(nearest, ["a", "b"], "left_anti"), connected_components(links))
-    links = checkpoint(links.unionByName(_linked(rest, sets)))
-    return described, _close(large, sets, links, pivots)
+    rest = pairs.join(nearest, ["a", "b"], "left_anti")
+    return described, checkpoint(_close(rest, large, sets, links, block))
 
 
 def components(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", small: int = SMALL, pivots: int = PIVOTS
+    docs: DataFrame, key: str = "doc_id", text: str = "text", small: int = SMALL, block: int = BLOCK
 ) -> DataFrame:
     """One row per input row: key, text_hash, n (distinct shingles), component (smallest key it is
     connected with), first (whether it is the document of that key)."""
-    described, links = similarity_classes(docs, key, text, small, pivots)
+    described, links = similarity_classes(docs, key, text, small, block)
     roots = connected_components(links)
     rooted = described.join(roots.withColumnRenamed("node", "class"), "class", "left").withColumn(
         "root", F.coalesce("root", "class")
