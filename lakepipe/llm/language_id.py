@@ -26,8 +26,8 @@ from lakepipe.llm.arrays import flat, slices
 from lakepipe.llm.frames import fresh_name, held_out, quoted, ship, table
 
 UNDETERMINED = "und"
-#: Bound of the training sample: so many documents of each language, so many windows of each.
-DOCS_PER_LANGUAGE, WINDOWS_PER_DOC = 400, 3
+#: Bounds of the training sample: documents of each language and of all, windows of each document.
+DOCS_PER_LANGUAGE, SAMPLE_DOCS, WINDOWS_PER_DOC = 400, 4096, 3
 WINDOW = 256
 WIDTHS, FILTERS, EMBEDDING = (2, 3, 4), 16, 8
 EPOCHS, BATCH, RATE = 5, 64, 0.01
@@ -156,8 +156,10 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
         F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & ~held_out(F.col("key"))
     )
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("key"), "key"))
-    chosen = known.select("key", "lang").withColumn("rank", rank).filter(F.col("rank") <= DOCS_PER_LANGUAGE)
-    sample = known.drop("lang").join(chosen.drop("rank"), "key").select("lang", "text")
+    ranked = known.select("key", "lang").withColumn("rank", rank).filter(F.col("rank") <= DOCS_PER_LANGUAGE)
+    chosen = ranked.orderBy("rank", F.xxhash64("key"), "lang").limit(SAMPLE_DOCS).drop("rank")
+    # At most SAMPLE_DOCS rows of a key and a language.
+    sample = known.drop("lang").join(F.broadcast(chosen), "key").select("lang", "text")
     rows = sample.mapInArrow(_sampled_windows, "lang string, window binary").orderBy("lang", "window").toArrow()
     languages = sorted(set(rows.column("lang").to_pylist()))
     code = {name: i for i, name in enumerate(languages)}
