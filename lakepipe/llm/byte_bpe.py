@@ -37,6 +37,8 @@ from lakepipe.llm.pieces import PieceCache
 
 RANKS_FILE = "byte_bpe_multi_50k.tiktoken"
 SHORT, CELLS = 64, 1 << 17
+#: Texts are encoded in pieces of so many bytes, ids decoded so many at a time.
+ENCODE_BYTES, DECODE_IDS = 1 << 20, 1 << 18
 NONE = 1 << 40
 
 # The letters, numbers and white space among the first 256 code points. With them the
@@ -239,7 +241,7 @@ def encode(
         encoder = _encoder(file.value, pattern)
         for column in columns:
             parts = [pa.array([], pa.list_(pa.int32()))]
-            for _, part in slices(column):
+            for _, part in slices(column, ENCODE_BYTES):
                 found, bounds = encoder.encode(part.to_pylist())
                 parts.append(pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(found)))
             yield pa.concat_arrays(parts)
@@ -247,6 +249,19 @@ def encode(
     return docs.withColumn(into, ids(quoted(text)))
 
 
+def _decoded(ranks: Ranks, column: pa.Array, counts: np.ndarray) -> pa.Array:
+    tokens = column.flatten().to_numpy(zero_copy_only=False)
+    if len(tokens) and (tokens.min() < 0 or tokens.max() >= len(ranks.token_length)):
+        raise ValueError("an id is outside the vocabulary")
+    length = ranks.token_length[tokens]
+    data = gather(ranks.token_bytes, ranks.token_start[tokens], length)
+    ends = np.concatenate([[0], np.cumsum(length)])[np.concatenate([[0], np.cumsum(counts)])]
+    out = pa.Array.from_buffers(
+        pa.large_binary(), len(column), [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(data)]
+    ).cast(pa.binary())
+    return pc.if_else(column.is_valid(), out, None) if column.null_count else out
+
+
 def decode(df: DataFrame, ids: str = "ids", into: str = "decoded", path: str | None = None) -> DataFrame:
     """Add the bytes that an array of ids stands for; a column of that name is replaced."""
     ship(df.sparkSession)
@@ -257,16 +272,13 @@ def decode(df: DataFrame, ids: str = "ids", into: str = "decoded", path: str | N
         ranks = _encoder(file.value, public_tokenizers.PATTERN).ranks
         for column in columns:
             counts = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-            tokens = column.flatten().to_numpy(zero_copy_only=False)
-            if len(tokens) and (tokens.min() < 0 or tokens.max() >= len(ranks.token_length)):
-                raise ValueError("an id is outside the vocabulary")
-            length = ranks.token_length[tokens]
-            data = gather(ranks.token_bytes, ranks.token_start[tokens], length)
-            ends = np.concatenate([[0], np.cumsum(length)])[np.concatenate([[0], np.cumsum(counts)])]
-            out = pa.Array.from_buffers(
-                pa.large_binary(), len(column), [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(data)]
-            ).cast(pa.binary())
-            yield pc.if_else(column.is_valid(), out, None) if column.null_count else out
+            ends, at, parts = np.cumsum(counts), 0, [pa.array([], pa.binary())]
+            while at < len(column):
+                before = ends[at - 1] if at else 0
+                to = max(at + 1, int(np.searchsorted(ends, before + DECODE_IDS, side="right")))
+                parts.append(_decoded(ranks, column.slice(at, to - at), counts[at:to]))
+                at = to
+            yield pa.concat_arrays(parts)
 
     return df.withColumn(into, content(quoted(ids)))
 
