@@ -38,10 +38,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakepipe.llm.arrays import mix, packed, shingle_sets, slices, words_of
+from lakepipe.llm.arrays import mix, shingle_sets, slices, words_of
 from lakepipe.llm.components import connected_components
 from lakepipe.llm.frames import LOWER, UPPER, fresh_name, quoted, ship, table
-from lakepipe.session import checkpoint
+from lakepipe.session import checkpoint, scratch_path
 
 SHINGLE = 5
 #: Similarity as a ratio of whole numbers: 80 * |A or B| <= 100 * |A and B|.
@@ -49,6 +49,8 @@ SIMILAR, OF = 80, 100
 #: Signature ranges are about this many bytes of text.
 BUCKET_BYTES = 12 << 20
 SMALL, BLOCK = 16, 512
+#: A signature travels as its bucket and these low bytes; strangers that agree in them cost a comparison.
+SIGN_BYTES = 5
 
 
 @dataclass(frozen=True)
@@ -166,13 +168,13 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for at, part in slices(batch.column("text")):
-            bounds, elements = shingle_sets(words_of(part, lower=True), SHINGLE)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("class").slice(at, len(part)), packed(bounds, elements)], ["class", "shingles"]
-            )
+def _sets_of(column: pa.ChunkedArray) -> list[np.ndarray]:
+    """The ascending shingle hashes of every text."""
+    out = []
+    for _, part in slices(column.combine_chunks()):
+        bounds, elements = shingle_sets(words_of(part, lower=True), SHINGLE)
+        out += np.split(elements, bounds[1:-1])
+    return out
 
 
 def _signature_rows(buckets: int):
@@ -192,10 +194,11 @@ def _signature_rows(buckets: int):
                 bucket, signs, owner = bucket[order].astype(np.int32), signs[order], classes[owner[order]]
                 starts = np.flatnonzero(np.diff(bucket, prepend=-1))
                 ends = np.append(starts[1:], len(bucket))
+                low = np.ascontiguousarray(signs).view(np.uint8).reshape(-1, 8)[:, :SIGN_BYTES]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(bucket[starts]),
-                        pa.array([signs[a:b].tobytes() for a, b in zip(starts, ends)], pa.binary()),
+                        pa.array([low[a:b].tobytes() for a, b in zip(starts, ends)], pa.binary()),
                         pa.array([owner[a:b].tobytes() for a, b in zip(starts, ends)], pa.binary()),
                     ],
                     ["bucket", "signs", "classes"],
@@ -209,7 +212,9 @@ def _runs(small: int):
     of signatures that more than `small` classes share, ranked."""
 
     def find(group: pa.Table) -> pa.Table:
-        signs = np.frombuffer(b"".join(group.column("signs").to_pylist()), np.uint64)
+        low = np.frombuffer(b"".join(group.column("signs").to_pylist()), np.uint8).reshape(-1, SIGN_BYTES)
+        signs = np.pad(low, ((0, 0), (0, 8 - SIGN_BYTES))).view("<u8")[:, 0].astype(np.uint64)
+        signs |= np.uint64(group.column("bucket")[0].as_py() << 8 * SIGN_BYTES)
         classes = np.frombuffer(b"".join(group.column("classes").to_pylist()), np.int64)
         order = np.argsort(signs, kind="stable")
         ordered = signs[order]
@@ -250,13 +255,44 @@ def _runs(small: int):
     return find
 
 
-def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose sets are similar."""
-    left = sets.select(F.col("class").alias("a"), F.col("shingles").alias("x"))
-    right = sets.select(F.col("class").alias("b"), F.col("shingles").alias("y"))
-    shared = F.size(F.array_intersect("x", "y"))
-    either = F.size("x") + F.size("y") - shared
-    return pairs.join(left, "a").join(right, "b").filter(OF * shared >= SIMILAR * either).select("a", "b")
+def _similar(one: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
+    """Which of some sets are similar to one; all are ascending and none is empty."""
+    sizes = np.array([len(x) for x in others])
+    joined = np.concatenate(others)
+    at = np.minimum(np.searchsorted(one, joined), len(one) - 1)
+    shared = np.add.reduceat((one[at] == joined).astype(np.int64), np.cumsum(sizes) - sizes)
+    return OF * shared >= SIMILAR * (len(one) + sizes - shared)
+
+
+def _verify_stars(group: pa.Table) -> pa.Table:
+    """The links (a, b) among rows (a, class, text) that give each class b its partner a; a's own row has a = class."""
+    partner, classes = (group.column(c).to_numpy() for c in ("a", "class"))
+    sets = _sets_of(group.column("text"))
+    centre = {int(classes[i]): i for i in np.flatnonzero(partner == classes)}
+    members: dict[int, list[int]] = {}
+    for i in np.flatnonzero(partner != classes).tolist():
+        members.setdefault(int(partner[i]), []).append(i)
+    found_a, found_b = [], []
+    for a, own in members.items():
+        similar = _similar(sets[centre[a]], [sets[i] for i in own])
+        found_b += classes[own][similar].tolist()
+        found_a += [a] * int(similar.sum())
+    return pa.table({"a": pa.array(found_a, pa.int64()), "b": pa.array(found_b, pa.int64())})
+
+
+def _linked(nearest: DataFrame, texts: DataFrame, block: int) -> DataFrame:
+    """The similar pairs among (a, b), b unique. A partner of many classes meets them in chunks."""
+    counts = nearest.groupBy("a").agg(F.count(F.lit(1)).alias("n"))
+    parts = F.lit(max(1, -(-nearest.count() // block)))
+    sized = counts.select("a", F.ceil(F.col("n") / block).alias("chunks"))
+    part = F.pmod(F.xxhash64("a"), parts).alias("part")
+    chunk = F.pmod(F.xxhash64("b"), F.col("chunks"))
+    members = nearest.join(sized, "a").select("a", F.col("b").alias("class"), part, chunk.alias("chunk"))
+    centres = sized.select(
+        "a", F.col("a").alias("class"), part, F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk")
+    )
+    rows = members.unionByName(centres).join(texts, "class")
+    return rows.groupBy("part", "chunk").applyInArrow(_verify_stars, "a bigint, b bigint")
 
 
 def _verify(group: pa.Table) -> pa.Table:
@@ -265,7 +301,7 @@ def _verify(group: pa.Table) -> pa.Table:
     Members of side 0 and side 1 are compared with each other, or all of them if there is one side.
     """
     classes, roots = (group.column(c).to_numpy() for c in ("class", "root"))
-    sets = [np.sort(np.array(s, np.int64).view(np.uint64)) for s in group.column("shingles").to_pylist()]
+    sets = _sets_of(group.column("text"))
     sides = group.column("side").to_numpy()
     signs = group.column("signs").to_pylist()
     owner = np.repeat(np.arange(len(signs)), [len(x) for x in signs])
@@ -285,10 +321,7 @@ def _verify(group: pa.Table) -> pa.Table:
         near = near[(roots[near] != roots[i]) & (OF * np.minimum(sizes[near], sizes[i]) >= SIMILAR * np.maximum(sizes[near], sizes[i]))]
         if not len(near):
             continue
-        joined = np.concatenate([sets[j] for j in near])
-        at = np.minimum(np.searchsorted(sets[i], joined), len(sets[i]) - 1)
-        shared = np.add.reduceat((sets[i][at] == joined).astype(np.int64), np.cumsum(sizes[near]) - sizes[near])
-        linked = near[OF * shared >= SIMILAR * (sizes[i] + sizes[near] - shared)]
+        linked = near[_similar(sets[i], [sets[j] for j in near])]
         for j in linked.tolist():
             if roots[j] != roots[i]:
                 found_a.append(classes[i])
@@ -333,13 +366,13 @@ def _blocks(members: DataFrame, block: int) -> DataFrame:
         .otherwise(F.concat(spread, beside))
     )
     dealt = placed.withColumn("place", F.explode(place)).drop("top", "tops", "others")
-    return dealt.select("family", "place.*", "class", "root", "shingles", "signs")
+    return dealt.select("family", "place.*", "class", "root", "text", "signs")
 
 
-def _close(pairs: DataFrame, large: DataFrame, sets: DataFrame, links: DataFrame, block: int) -> DataFrame:
+def _close(pairs: DataFrame, large: DataFrame, texts: DataFrame, links: DataFrame, block: int) -> DataFrame:
     """Compare what the pairs (a, b) and the large buckets (sign, class) still hold apart.
 
-    Components that some signature ties are a family; a family's sets meet in one block, or in
+    Components that some signature ties are a family; a family's texts meet in one block, or in
     several if it is large. Only links come out.
     """
     roots = connected_components(links).withColumnRenamed("node", "class")
@@ -355,7 +388,7 @@ def _close(pairs: DataFrame, large: DataFrame, sets: DataFrame, links: DataFrame
         .agg(F.collect_set("sign").alias("signs"))
         .join(family.select(F.col("node").alias("root"), F.col("root").alias("family")), "root")
     )
-    rows = _blocks(checkpoint(members).join(sets, "class"), block)
+    rows = _blocks(checkpoint(members).join(texts, "class"), block)
     return links.unionByName(rows.groupBy("family", "x", "y").applyInArrow(_verify, "a bigint, b bigint"))
 
 
@@ -379,27 +412,26 @@ def similarity_classes(
     pairs = found.filter("rank < 0").select("a", "b").distinct()
     large = found.filter("rank >= 0").select(F.col("b").alias("sign"), F.col("a").alias("class"))
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
-    # One document of each class that is in a pair.
+    # The text of one document of each class that is in a pair; similar sets are made from it again.
     first = (
         described.join(wanted, "class", "left_semi")
         .groupBy("class")
         .agg(F.min(F.struct("key", "text_hash")).alias("doc"))
     )
     same = texts["key"].eqNullSafe(F.col("doc.key")) & (texts["text_hash"] == F.col("doc.text_hash"))
-    sets = (
-        texts.join(first, same)
-        .select("class", "text")
-        .mapInArrow(_sets, "class bigint, shingles array<bigint>")
-        .groupBy("class")
-        .agg(F.first("shingles").alias("shingles"))
-    )
-    sets = checkpoint(sets)
+    chosen = texts.join(first, same).select("class", "text")
+    twice = described.groupBy("key", "text_hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    if not twice.isEmpty():
+        chosen = chosen.dropDuplicates(["class"])
+    path = scratch_path(spark, "candidate-texts")
+    chosen.write.parquet(path)
+    chosen = spark.read.parquet(path)
 
     # First every class with the smallest partner it has, then what that leaves apart.
     nearest = pairs.groupBy("b").agg(F.min("a").alias("a"))
-    links = checkpoint(_linked(nearest, sets))
+    links = checkpoint(_linked(nearest, chosen, block))
     rest = pairs.join(nearest, ["a", "b"], "left_anti")
-    return described, checkpoint(_close(rest, large, sets, links, block))
+    return described, checkpoint(_close(rest, large, chosen, links, block))
 
 
 def components(
