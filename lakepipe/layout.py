@@ -17,9 +17,6 @@ class Layout:
     def silver(self, table: str) -> str:
         return f"{self.base}/silver/{table}"
 
-    def warehouse(self, table: str) -> str:
-        return f"{self.base}/warehouse/{table}"
-
     def gold(self, table: str) -> str:
         return f"{self.base}/gold/{table}"
 

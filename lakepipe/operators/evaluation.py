@@ -24,15 +24,18 @@ def score_curve(df: DataFrame, score: str, label: str) -> DataFrame:
     all_positive = totals["pos"] or 0
     all_negative = (totals["n"] or 0) - all_positive
     curve = running_totals(counts, "score", ["n", "pos"], descending=True)
-    return curve.select(
-        "score",
-        "n",
-        "cum_n",
-        "pos",
-        F.col("cum_pos").alias("tp"),
-        (F.col("cum_n") - F.col("cum_pos")).alias("fp"),
-        F.lit(all_positive).cast("bigint").alias("p_all"),
-        F.lit(all_negative).cast("bigint").alias("n_all"),
+    # Areas, thresholds and top shares all read the finished curve.
+    return checkpoint(
+        curve.select(
+            "score",
+            "n",
+            "cum_n",
+            "pos",
+            F.col("cum_pos").alias("tp"),
+            (F.col("cum_n") - F.col("cum_pos")).alias("fp"),
+            F.lit(all_positive).cast("bigint").alias("p_all"),
+            F.lit(all_negative).cast("bigint").alias("n_all"),
+        )
     )
 
 

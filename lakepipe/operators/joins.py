@@ -7,7 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-HOT_SHARE = 0.001
+# A piece of a key holds at most HOT_FLOOR rows, or this share of the table if that is more: the
+# list of hot keys has at most 1/HOT_SHARE rows, so it may be broadcast.
+HOT_SHARE = 0.00001
 HOT_FLOOR = 1_000_000
 NULL_SALTS = 1024
 
@@ -27,17 +29,6 @@ def fits_broadcast(df: DataFrame, at_most: int | None = None) -> bool:
     return estimated_bytes(df) <= limit or (at_most is not None and at_most <= limit)
 
 
-def use_all_cores(df: DataFrame, key: str) -> DataFrame:
-    """Cut an input with fewer file splits than the cluster has cores into one piece per core.
-
-    For iterative work on small tables; a large one already has enough splits and is not moved.
-    """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
-    return df.repartition(cores, key) if estimated_bytes(df) < cores * split else df
-
-
 def hot_keys(
     counts: DataFrame, keys: Sequence[str], rows: str, share: float = HOT_SHARE, floor: int = HOT_FLOOR
 ) -> DataFrame:

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,26 +12,19 @@ from pyspark.sql.window import Window
 from lakepipe.functions.keys import row_token
 from lakepipe.session import checkpoint
 
-BLOCKS_PER_PARTITION = 4
-MAX_BLOCKS = 20_000
+ROWS_PER_BLOCK = 2_000_000
 COPIES_PER_STEP = 1_000_000
 
 
 def _with_blocks(df: DataFrame, order: str, blocks: int) -> DataFrame:
-    """Add `_block`: which quantile range of `order` a row is in."""
-    shares = [i / blocks for i in range(1, blocks)]
-    accuracy = max(10_000, 10 * blocks)
-    marks = df.agg(F.percentile_approx(order, shares, accuracy)).first()[0] if shares else None
-    inner = sorted({float(m) for m in marks or []})
-    if not inner:
+    """Add `_block`: which range of `order` a row is in, and write the table once.
+
+    Spark draws the cut points from a sample of each partition. Any cut points give the right
+    totals; they have to be the same for both uses of the table, which the written copy sees to.
+    """
+    if blocks <= 1:
         return df.withColumn("_block", F.lit(0))
-    cuts = Bucketizer(
-        splits=[float("-inf"), *inner, float("inf")],
-        inputCol=order,
-        outputCol="_block",
-        handleInvalid="keep",
-    )
-    return cuts.transform(df).withColumn("_block", F.coalesce(F.col("_block").cast("int"), F.lit(-1)))
+    return checkpoint(df.repartitionByRange(blocks, order).withColumn("_block", F.spark_partition_id()))
 
 
 def running_totals(
@@ -46,27 +38,28 @@ def running_totals(
 ) -> DataFrame:
     """Add `cum_<c>`: the total of `c` over all rows up to this one in the order of `order`.
 
-    `order` is numeric and (nearly) unique: group by it first. The table is cut into quantile
-    ranges; each range is summed by itself and starts from the total of the ranges before it, so
-    no task sorts more than one range at a time. The broadcast side has one row per range.
+    `order` is (nearly) unique: group by it first. The table is cut into ranges of about
+    ROWS_PER_BLOCK rows; each range is summed by itself and starts from the total of the ranges
+    before it, so no task sorts more than one range at a time. The broadcast side has one row per
+    range: 500,000 for 10^12 rows.
     """
     if blocks is None:
-        partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        blocks = min(MAX_BLOCKS, BLOCKS_PER_PARTITION * partitions)
+        blocks = -(-df.count() // ROWS_PER_BLOCK)
     blocked = _with_blocks(df, order, blocks)
     direction = F.desc if descending else F.asc
+    within = (
+        Window.partitionBy("_block")
+        .orderBy(direction(order), *[direction(t) for t in ties])
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    if blocks <= 1:
+        return blocked.withColumns({f"cum_{c}": F.sum(c).over(within) for c in sums}).drop("_block")
 
     earlier = Window.orderBy(direction("_block")).rowsBetween(Window.unboundedPreceding, -1)
     per_block = blocked.groupBy("_block").agg(*[F.sum(c).alias(c) for c in sums])
     starts = per_block.select(
         "_block", *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"_start_{c}") for c in sums]
     )
-
-    within = (
-        Window.partitionBy("_block")
-        .orderBy(direction(order), *[direction(t) for t in ties])
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
     totals = {f"cum_{c}": F.col(f"_start_{c}") + F.sum(c).over(within) for c in sums}
     joined = blocked.join(F.broadcast(starts), "_block")
     return joined.withColumns(totals).drop("_block", *[f"_start_{c}" for c in sums])

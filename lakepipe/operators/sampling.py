@@ -23,10 +23,18 @@ def stratified_sample(
     df: DataFrame, key: str, label: str, fractions: Mapping[int, float], seed: int = 42
 ) -> DataFrame:
     """Keep about `fractions[label]` of each label; a label not named is left out."""
+    return stratified_split(df, key, label, fractions, seed)[0]
+
+
+def stratified_split(
+    df: DataFrame, key: str, label: str, fractions: Mapping[int, float], seed: int = 42
+) -> tuple[DataFrame, DataFrame]:
+    """(sample, all other rows): about `fractions[label]` of each label, none of a label not named."""
     wanted = F.lit(0.0)
     for value, fraction in fractions.items():
         wanted = F.when(F.col(label) == value, F.lit(float(fraction))).otherwise(wanted)
-    return df.filter(hash_unit(key, seed) < wanted)
+    draw = hash_unit(key, seed)
+    return df.filter(draw < wanted), df.filter(draw >= wanted)
 
 
 def holdout(df: DataFrame, train: DataFrame, key: str) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window, WindowSpec
 
-from lakepipe.functions.money import exact_avg, exact_sum, from_units, rate, units
+from lakepipe.functions.money import exact, exact_avg, exact_sum, rate
 from lakepipe.functions.times import day_number
 from lakepipe.operators.joins import estimated_bytes, fits_broadcast, lookup_join
 from lakepipe.session import checkpoint
@@ -41,7 +41,7 @@ def customer_days(fact: DataFrame, calendar: DataFrame) -> DataFrame:
         .agg(
             F.count(F.lit(1)).alias("_n"),
             F.count("amount").alias("_amounts"),
-            F.sum(units("amount")).alias("_units"),
+            F.sum(exact("amount")).alias("_spent"),
             F.sum("fraud_flag").alias("_fraud"),
             F.min(_tie(fact)).alias("_first"),
         )
@@ -65,7 +65,7 @@ def _rolling(from_day: int, to_day: int) -> dict[str, Column]:
     count, fraud = F.sum("_n").over(frame), F.sum("_fraud").over(frame)
     return {
         "transactions_last_7d": F.coalesce(count, F.lit(0)),
-        "total_spent_last_7d": from_units(F.sum("_units").over(frame)),
+        "total_spent_last_7d": F.sum("_spent").over(frame).cast("double"),
         "fraud_count_last_7d": fraud,
         "fraud_ratio_last_7d": rate(fraud, count),
     }
@@ -73,7 +73,7 @@ def _rolling(from_day: int, to_day: int) -> dict[str, Column]:
 
 def _lifetime(frame: WindowSpec) -> dict[str, Column]:
     count, fraud = F.sum("_n").over(frame), F.sum("_fraud").over(frame)
-    spent = from_units(F.sum("_units").over(frame))
+    spent = F.sum("_spent").over(frame).cast("double")
     return {
         "total_transactions": F.coalesce(count, F.lit(0)),
         "total_spent": spent,

@@ -29,12 +29,10 @@ from lakepipe.operators.evaluation import (
     top_capture,
     weighted_precision_recall,
 )
-from lakepipe.operators.joins import use_all_cores
 from lakepipe.operators.sampling import (
     downsample_majority,
     hash_split,
-    holdout,
-    stratified_sample,
+    stratified_split,
     with_class_weights,
 )
 from lakepipe.plans.training import ALL_FEATURES, LABEL, fill_missing
@@ -44,6 +42,8 @@ from lakepipe.sources.writers import overwrite
 KEY = "transaction_sk"
 SCORE = "fraud_probability"
 SEED = 42
+# Training rows are dealt to parts of about this many rows, at least FIT_PARTS of them.
+FIT_ROWS, FIT_PARTS = 250_000, 8
 
 
 @dataclass(frozen=True)
@@ -83,6 +83,16 @@ def logistic_regression(max_iter: int = 100, weight: str | None = "class_weight"
     return estimator.setWeightCol(weight) if weight else estimator
 
 
+def fit_order(train: DataFrame, key: str = KEY) -> DataFrame:
+    """Training rows in parts and an order that follow from the rows alone.
+
+    MLlib draws from rows by their place, so the parts must not depend on cores, file splits or
+    the order in which shuffled blocks arrive.
+    """
+    parts = max(FIT_PARTS, -(-train.count() // FIT_ROWS))
+    return train.repartition(parts, key).sortWithinPartitions(key, *[c for c in train.columns if c != key])
+
+
 def predict(model, df: DataFrame, path: str | None = None) -> DataFrame:
     """Predictions with the probability of class 1. With `path` they are written once and read
     back, so that several metrics do not score the rows again."""
@@ -118,7 +128,7 @@ def train_logistic_regression(
 ):
     """Weighted logistic regression on an 80/20 split: (model, predictions of the hold-out)."""
     train, test = hash_split(with_class_weights(training, LABEL), KEY, 0.8, SEED)
-    model = logistic_regression(max_iter).fit(assemble(use_all_cores(train, KEY), features))
+    model = logistic_regression(max_iter).fit(assemble(fit_order(train), features))
     return model, predict(model, assemble(test, features), predictions_path)
 
 
@@ -130,7 +140,7 @@ def train_trees(
 ):
     """Boosted trees on an 80/20 split: (model, predictions of the hold-out)."""
     train, test = hash_split(training, KEY, 0.8, SEED)
-    model = gradient_boosted_trees(settings).fit(assemble(use_all_cores(train, KEY), features))
+    model = gradient_boosted_trees(settings).fit(assemble(fit_order(train), features))
     return model, predict(model, assemble(test, features), predictions_path)
 
 
@@ -141,10 +151,9 @@ def train_balanced_trees(
     settings: TreeSettings = EXPLORATORY_TREES,
 ):
     """Boosted trees on a stratified 80% sample with at most three negatives per positive."""
-    train = stratified_sample(training, KEY, LABEL, {0: 0.8, 1: 0.8}, SEED)
-    test = holdout(training, train, KEY)
+    train, test = stratified_split(training, KEY, LABEL, {0: 0.8, 1: 0.8}, SEED)
     balanced = downsample_majority(train, KEY, LABEL, 3.0, SEED + 1)
-    model = gradient_boosted_trees(settings).fit(assemble(use_all_cores(balanced, KEY), features))
+    model = gradient_boosted_trees(settings).fit(assemble(fit_order(balanced), features))
     return model, predict(model, assemble(test, features), predictions_path)
 
 
@@ -158,7 +167,7 @@ def tune_trees(
 ) -> DataFrame:
     """(max_depth, max_iter, pr_auc, is_best) for every point of the grid on one hold-out."""
     train, test = [
-        assemble(use_all_cores(part, KEY), features).select("features", LABEL).persist()
+        assemble(fit_order(part), features).select("features", LABEL).persist()
         for part in hash_split(training, KEY, 0.8, SEED)
     ]
     estimator = gradient_boosted_trees(TreeSettings(step_size=step_size))
@@ -200,7 +209,7 @@ def train_final_model(
     spark = training.sparkSession
     run_id = run_id or f"{version}-{uuid.uuid4().hex[:12]}"
     train, test = hash_split(training, KEY, 0.8, SEED)
-    model = gradient_boosted_trees(settings).fit(assemble(use_all_cores(train, KEY), features))
+    model = gradient_boosted_trees(settings).fit(assemble(fit_order(train), features))
     predictions = predict(model, assemble(test, features), layout.predictions(f"holdout_{version}"))
     model.write().overwrite().save(layout.model(version))
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,15 +31,14 @@ def build_session(app_name: str = "lakepipe", master: str | None = None, **setti
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors see: the session's checkpoint folder.
 
-    It comes from `spark.checkpoint.dir`. Only a local session may do without that setting.
+    It comes from `spark.checkpoint.dir`. A session without that setting uses a folder of its
+    warehouse (`spark.sql.warehouse.dir`), which its executors share as well.
     """
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         configured = spark.conf.get("spark.checkpoint.dir", None)
         if configured is None:
-            if not context.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-            configured = tempfile.mkdtemp(prefix="lakepipe-")
+            configured = f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints"
         context.setCheckpointDir(configured)
     return context.getCheckpointDir()
 
