@@ -24,6 +24,7 @@ rows there is a file without documents, or none. Keys are integers; other column
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -37,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 from tokenizers import Tokenizer
 
-from lakepipe.llm.arrays import slices
+from lakepipe.llm.arrays import LOWER_BYTES, slices
 from lakepipe.llm.frames import quoted, ship, table
 from lakepipe.llm.pieces import PieceCache
 from lakepipe.session import scratch_path
@@ -48,6 +49,7 @@ MAGIC = int.from_bytes(b"pforids1", "little")
 #: A file holds the ids of about this many bytes of text.
 FILE_BYTES = 16 << 20
 _GROUP = 512
+_STOP = re.compile(rb"([a-z])([.,])(?=[ \t\n\r\f\v]|$)")
 
 
 def pack_blocks(ids: np.ndarray) -> tuple[bytes, np.ndarray]:
@@ -68,8 +70,11 @@ def pack_blocks(ids: np.ndarray) -> tuple[bytes, np.ndarray]:
         members = np.flatnonzero(width == w)
         for at in range(0, len(members), _GROUP):
             part = members[at : at + _GROUP]
-            bits = (rest[part][:, :, None] >> np.arange(w)) & 1
-            rows = np.packbits(bits.astype(np.uint8).reshape(len(part), -1), axis=1, bitorder="little")
+            if w == 16:  # whole bytes, lowest first
+                rows = rest[part].astype("<u2").view(np.uint8)
+            else:
+                bits = (rest[part][:, :, None] >> np.arange(w)) & 1
+                rows = np.packbits(bits.astype(np.uint8).reshape(len(part), -1), axis=1, bitorder="little")
             for i, row in zip(part, rows):
                 packed[i] = row.tobytes()
     blocks = []
@@ -93,6 +98,9 @@ def unpack_blocks(data: np.ndarray, starts: np.ndarray, total: int) -> np.ndarra
         for at in range(0, len(members), _GROUP):
             part = members[at : at + _GROUP]
             rows = data[starts[part, None] + 7 + np.arange(BLOCK * w // 8)]
+            if w == 16:
+                grid[part] = rows.view("<u2")
+                continue
             bits = np.unpackbits(rows, axis=1, bitorder="little").reshape(len(part), BLOCK, w)
             grid[part] = bits.astype(np.int64) @ (1 << np.arange(w, dtype=np.int64)) if w else 0
     grid += low[:, None]
@@ -130,7 +138,9 @@ class WordEncoder(PieceCache):
     """Ids by the tokenizers library, which gets every distinct word once.
 
     The tokenizer drops white space and treats no two words together, so the ids of a text are those
-    of its words; words here end at ASCII white space only.
+    of its words; words here end at ASCII white space only. It also lower-cases, and takes letters
+    and a full stop or comma after them apart, so doing that first gives the same ids and makes
+    fewer words differ. Texts that may spell special tokens are left as they are.
     """
 
     def __init__(self, definition: str):
@@ -139,7 +149,10 @@ class WordEncoder(PieceCache):
         self.tokenizer = Tokenizer.from_str(definition)
 
     def split(self, text: str) -> list[bytes]:
-        return text.encode().split()
+        data = text.encode()
+        if b"<|" not in data:
+            data = _STOP.sub(rb"\1 \2", data.translate(LOWER_BYTES))
+        return data.split()
 
     def encode_pieces(self, pieces: list[bytes]) -> tuple[list[int], np.ndarray, np.ndarray]:
         found = self.tokenizer.encode_batch_fast([p.decode() for p in pieces], add_special_tokens=False)
@@ -213,10 +226,16 @@ def read_tokens(spark: SparkSession, path: str, ids: bool = True) -> DataFrame:
 
     schema = "part bigint, key bigint, inside bigint, n_tokens bigint, ids_crc32 bigint" + ", ids array<int>" * ids
     names = [c.split()[0] for c in schema.split(", ")]
-    rows = spark.read.format("binaryFile").load(path).select("content").mapInArrow(documents, schema)
+    def heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [np.frombuffer(content.as_buffer(), "<i8", 5) for content in batch.column("content")]
+            yield pa.RecordBatch.from_arrays([pa.array([int(h[i]) for h in found]) for i in (1, 3)], ["part", "size"])
+
+    stored = spark.read.format("binaryFile").load(path).select("content")
+    rows = stored.mapInArrow(documents, schema)
     # One row for each file.
     before = F.sum("size").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
-    parts = rows.groupBy("part").agg(F.sum("n_tokens").alias("size"))
+    parts = stored.mapInArrow(heads, "part bigint, size bigint")
     parts = parts.select("part", F.coalesce(before, F.lit(0)).alias("before"))
     joined = rows.join(parts, "part").withColumn("start", F.col("before") + F.col("inside"))
     return joined.select("key", "start", "n_tokens", *["ids"] * ids, "ids_crc32")
