@@ -7,6 +7,10 @@ from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+#: A bounded sample is drawn from at most so many groups, the largest ones.
+MOST_GROUPS = 4096
 
 _ROOT = str(Path(__file__).resolve().parents[2])
 
@@ -55,3 +59,18 @@ def fold(doc_id: Column) -> Column:
 
 def held_out(doc_id: Column) -> Column:
     return fold(doc_id) == 2
+
+
+def bounded_sample(rows: DataFrame, group: str, key: str, most: int) -> DataFrame:
+    """Up to `most` rows of each group, those with the smallest hashes of the key.
+
+    Counts come first: only about twice the wanted rows of a group pass a threshold on the hash and
+    meet in one task to be ranked, whatever the size of the table.
+    """
+    draw = F.shiftrightunsigned(F.xxhash64(key), 11) / F.lit(float(1 << 53))
+    counts = rows.groupBy(group).agg(F.count(F.lit(1)).alias("_n")).orderBy(F.desc("_n"), group).limit(MOST_GROUPS)
+    # At most MOST_GROUPS rows.
+    near = rows.withColumn("_draw", draw).join(F.broadcast(counts), group)
+    near = near.filter(F.col("_draw") * F.col("_n") <= 2.0 * most + 100)
+    rank = F.row_number().over(Window.partitionBy(group).orderBy("_draw", key))
+    return near.withColumn("_rank", rank).filter(F.col("_rank") <= most).drop("_n", "_draw", "_rank")

@@ -20,10 +20,9 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from lakepipe.llm.arrays import flat, slices
-from lakepipe.llm.frames import fresh_name, held_out, quoted, ship, table
+from lakepipe.llm.frames import bounded_sample, fresh_name, held_out, quoted, ship, table
 
 UNDETERMINED = "und"
 #: Bounds of the training sample: documents of each language and of all, windows of each document.
@@ -155,9 +154,8 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
     known = docs.select(quoted(key).alias("key"), quoted(text).alias("text"), quoted(lang).alias("lang")).filter(
         F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & ~held_out(F.col("key"))
     )
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("key"), "key"))
-    ranked = known.select("key", "lang").withColumn("rank", rank).filter(F.col("rank") <= DOCS_PER_LANGUAGE)
-    chosen = ranked.orderBy("rank", F.xxhash64("key"), "lang").limit(SAMPLE_DOCS).drop("rank")
+    drawn = bounded_sample(known.select("key", "lang"), "lang", "key", DOCS_PER_LANGUAGE)
+    chosen = drawn.orderBy(F.xxhash64("key"), "key", "lang").limit(SAMPLE_DOCS)
     # At most SAMPLE_DOCS rows of a key and a language.
     sample = known.drop("lang").join(F.broadcast(chosen), "key").select("lang", "text")
     rows = sample.mapInArrow(_sampled_windows, "lang string, window binary").orderBy("lang", "window").toArrow()

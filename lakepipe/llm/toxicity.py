@@ -29,10 +29,9 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from lakepipe.llm.arrays import LOWER_BYTES
-from lakepipe.llm.frames import fresh_name, held_out, quoted, ship, table
+from lakepipe.llm.frames import bounded_sample, fresh_name, held_out, quoted, ship, table
 
 WINDOW, LEVEL = 64, 6
 SAMPLE, TEXT_BYTES = 2000, 1 << 16
@@ -149,8 +148,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     """Learn from a bounded sample of labelled documents that are not held out, drawn by the key's hash."""
     named = labels.select(quoted(key).alias("key"), quoted(label).cast("int").alias("label"))
     usable = named.filter(F.col("label").isin(0, 1) & F.col("key").isNotNull() & ~held_out(F.col("key")))
-    rank = F.row_number().over(Window.partitionBy("label").orderBy(F.xxhash64("key"), "key"))
-    chosen = usable.withColumn("rank", rank).filter(F.col("rank") <= SAMPLE).drop("rank")
+    chosen = bounded_sample(usable, "label", "key", SAMPLE)
     texts = docs.select(quoted(key).alias("key"), quoted(text).alias("text")).filter(
         F.octet_length("text").between(1, TEXT_BYTES)
     )
