@@ -9,8 +9,8 @@ regression on the largest gaps of a text, how many are large, and the number of
 on other training rows than the dictionaries, and its scores are scaled piece by piece so that the
 threshold with the best F1 is CUT.
 
-The training sample is bounded: SAMPLE rows of each label, of at most TEXT_BYTES each. Everything
-else reads whole texts.
+The training sample is bounded: TOXIC_DOCS and ORDINARY_DOCS rows, of at most TEXT_BYTES each. The
+threshold weighs them as the labels are in the whole table. Everything else reads whole texts.
 
 Defined results: null, empty and blank texts have no window and get the score of a text without any
 gap. A null label is no label; a document that is labelled twice counts twice. Without rows of both
@@ -34,9 +34,10 @@ from lakepipe.llm.arrays import LOWER_BYTES
 from lakepipe.llm.frames import bounded_sample, fresh_name, held_out, quoted, ship, table
 
 WINDOW, LEVEL = 64, 6
-SAMPLE, TEXT_BYTES = 2000, 1 << 16
+TOXIC_DOCS, ORDINARY_DOCS, TEXT_BYTES = 2000, 6000, 1 << 16
 TOXIC_BYTES, ORDINARY_BYTES = 1024, 16384
-LEAST_DOCS = 3
+#: Toxic words stand in at least so many toxic documents of the sample, and in this share of them.
+LEAST_DOCS, LEAST_SHARE = 3, 0.005
 LARGE = 4
 CUT = 0.3
 
@@ -97,14 +98,19 @@ def _words(text: str) -> list[bytes]:
     return text.encode().translate(_PLAIN).split()
 
 
-def train(texts: list[str], labels: list[int]) -> ToxicityModel | None:
-    """Dictionaries from every other row, calibration on the rest."""
+def train(texts: list[str], labels: list[int], ordinary_per_toxic: float | None = None) -> ToxicityModel | None:
+    """Dictionaries from every other row, calibration on the rest.
+
+    `ordinary_per_toxic` is the ratio of the labels where the model will be used; without it, that
+    of the given rows.
+    """
     toxic, ordinary = ([t for t, y in zip(texts, labels) if y == wanted] for wanted in (1, 0))
     if len(toxic) < 2 or len(ordinary) < 2:
         return None
     known = {w for t in ordinary[::2] for w in _words(t)}
     spread = Counter(w for t in toxic[::2] for w in set(_words(t)) - known)
-    distinct = [b" ".join(w for w in _words(t) if spread[w] >= LEAST_DOCS) + b" " for t in toxic[::2]]
+    least = max(LEAST_DOCS, LEAST_SHARE * len(toxic[::2]))
+    distinct = [b" ".join(w for w in _words(t) if spread[w] >= least) + b" " for t in toxic[::2]]
     ordinary_dict = _dictionary([w for t in ordinary[::2] for w in windows(t)], ORDINARY_BYTES)
     toxic_dict = _dictionary([s for s in distinct if len(s) >= 8], TOXIC_BYTES)
 
@@ -114,8 +120,9 @@ def train(texts: list[str], labels: list[int]) -> ToxicityModel | None:
     weights = _logistic(x, y)
     p = 1 / (1 + np.exp(-x @ weights))
     order = np.argsort(-p, kind="stable")
-    hits = np.cumsum(y[order])
-    f1 = 2 * hits / (np.arange(1, len(y) + 1) + y.sum())
+    each = 1.0 if ordinary_per_toxic is None else ordinary_per_toxic * y.sum() / (len(y) - y.sum())
+    hits, wrong = np.cumsum(y[order]), np.cumsum(1 - y[order]) * each
+    f1 = 2 * hits / (hits + wrong + y.sum())
     last = np.append(p[order][1:] < p[order][:-1], True)
     best = int(np.argmax(np.where(last, f1, -1)))
     below = p[order][best + 1] if best + 1 < len(p) else 0.0
@@ -148,13 +155,17 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     """Learn from a bounded sample of labelled documents that are not held out, drawn by the key's hash."""
     named = labels.select(quoted(key).alias("key"), quoted(label).cast("int").alias("label"))
     usable = named.filter(F.col("label").isin(0, 1) & F.col("key").isNotNull() & ~held_out(F.col("key")))
-    chosen = bounded_sample(usable, "label", "key", SAMPLE)
+    counts = {r["label"]: r["count"] for r in usable.groupBy("label").count().collect()}
+    chosen = bounded_sample(usable.filter("label = 1"), "label", "key", TOXIC_DOCS).unionByName(
+        bounded_sample(usable.filter("label = 0"), "label", "key", ORDINARY_DOCS)
+    )
     texts = docs.select(quoted(key).alias("key"), quoted(text).alias("text")).filter(
         F.octet_length("text").between(1, TEXT_BYTES)
     )
-    # At most 2 * SAMPLE rows of two numbers.
+    # At most TOXIC_DOCS + ORDINARY_DOCS rows of two numbers.
     rows = texts.join(F.broadcast(chosen), "key").orderBy(F.xxhash64("key"), "key", "text").toArrow()
-    return train(rows.column("text").to_pylist(), rows.column("label").to_pylist())
+    ratio = counts.get(0, 0) / max(1, counts.get(1, 0))
+    return train(rows.column("text").to_pylist(), rows.column("label").to_pylist(), ratio)
 
 
 def add_score(docs: DataFrame, model: ToxicityModel | None, text: str = "text", into: tuple[str, str] = ("score", "predicted")):
