@@ -51,6 +51,8 @@ BUCKET_BYTES = 12 << 20
 SMALL, BLOCK = 16, 512
 #: A signature travels as its bucket and these low bytes; strangers that agree in them cost a comparison.
 SIGN_BYTES = 5
+#: Up to so many narrow rows (some 24 MB) are broadcast to the texts they pick; more are shuffled with them.
+BROADCAST_ROWS = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -255,6 +257,11 @@ def _runs(small: int):
     return find
 
 
+def _pick(texts: DataFrame, wanted: DataFrame, on) -> DataFrame:
+    """Join the texts with a narrow table that has been written; it is broadcast behind a check of its size."""
+    return texts.join(F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted, on)
+
+
 def _similar(one: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
     """Which of some sets are similar to one; all are ascending and none is empty."""
     sizes = np.array([len(x) for x in others])
@@ -291,7 +298,7 @@ def _linked(nearest: DataFrame, texts: DataFrame, block: int) -> DataFrame:
     centres = sized.select(
         "a", F.col("a").alias("class"), part, F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk")
     )
-    rows = members.unionByName(centres).join(texts, "class")
+    rows = _pick(texts, checkpoint(members.unionByName(centres)), "class")
     return rows.groupBy("part", "chunk").applyInArrow(_verify_stars, "a bigint, b bigint")
 
 
@@ -388,7 +395,9 @@ def _close(pairs: DataFrame, large: DataFrame, texts: DataFrame, links: DataFram
         .agg(F.collect_set("sign").alias("signs"))
         .join(family.select(F.col("node").alias("root"), F.col("root").alias("family")), "root")
     )
-    rows = _blocks(checkpoint(members).join(texts, "class"), block)
+    members = checkpoint(members)
+    picked = checkpoint(_pick(texts, checkpoint(members.select("class").distinct()), "class"))
+    rows = _blocks(members.join(picked, "class"), block)
     return links.unionByName(rows.groupBy("family", "x", "y").applyInArrow(_verify, "a bigint, b bigint"))
 
 
@@ -419,7 +428,7 @@ def similarity_classes(
         .agg(F.min(F.struct("key", "text_hash")).alias("doc"))
     )
     same = texts["key"].eqNullSafe(F.col("doc.key")) & (texts["text_hash"] == F.col("doc.text_hash"))
-    chosen = texts.join(first, same).select("class", "text")
+    chosen = _pick(texts, checkpoint(first), same).select("class", "text")
     twice = described.groupBy("key", "text_hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     if not twice.isEmpty():
         chosen = chosen.dropDuplicates(["class"])
