@@ -33,6 +33,10 @@ class Layout:
     def run_registry(self) -> str:
         return f"{self.base}/models/run_registry"
 
+    @property
+    def batches(self) -> str:
+        return f"{self.base}/metadata/batches"
+
     @property
     def high_marks(self) -> str:
         return f"{self.base}/metadata/high_marks"

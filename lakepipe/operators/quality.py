@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakepipe.functions.money import finer_than
+
 
 class QualityError(Exception):
     """At least one rule is violated."""
@@ -47,6 +49,20 @@ class AllowedValues:
         return F.count_if(outside)
 
 
+@dataclass(frozen=True)
+class FinerThan:
+    """Amounts with more places than exact sums keep."""
+
+    column: str
+
+    @property
+    def name(self) -> str:
+        return f"finer_than_sums({self.column})"
+
+    def violations(self) -> Column:
+        return F.count_if(finer_than(self.column))
+
+
 @dataclass(frozen=True)
 class NotEmpty:
     @property

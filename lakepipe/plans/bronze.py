@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakepipe.sources.readers import read_csv
+from lakepipe.sources.readers import BAD_RECORD, read_csv
 from lakepipe.sources.writers import write_partitioned
 
+BATCH = "batch_id"
+BATCH_COLUMNS = ["ingest_date", BATCH]
+
 # The columns of the transaction source.
 FEATURE_COLUMNS = [f"V{i}" for i in range(1, 29)]
 
@@ -27,6 +32,16 @@ def stamp_ingest(df: DataFrame, as_of: str | None = None) -> DataFrame:
     return df.withColumn("ingest_date", F.current_date() if as_of is None else F.lit(as_of).cast("date"))
 
 
+def batch_of(files: list[str], as_of: str) -> str:
+    """The name of the batch that some source files form on a day."""
+    return hashlib.md5("\n".join([as_of, *sorted(files)]).encode()).hexdigest()
+
+
+def rejected(path: str) -> str:
+    """Where a Bronze table keeps the rows that don't parse."""
+    return f"{path}_rejected"
+
+
 def ingest_dataset(
     spark: SparkSession,
     source_path: str,
@@ -34,8 +49,21 @@ def ingest_dataset(
     delimiter: str = ",",
     schema: T.StructType | None = None,
     as_of: str | None = None,
-    mode: str = "append",
-) -> None:
-    """Load CSV files into a Bronze table partitioned by ingest date; mode "replace" reloads the day."""
-    raw = read_csv(spark, source_path, schema, delimiter)
-    write_partitioned(stamp_ingest(raw, as_of), target_path, ["ingest_date"], mode)
+) -> str:
+    """Load CSV files into a Bronze table as one batch; returns the batch's name.
+
+    The table is partitioned by ingest date and batch. The same files on the same day are the same
+    batch and replace it; any other file adds a batch, so nothing is lost and nothing doubles. With
+    a schema, rows that don't parse go to a table of their own, with their text.
+    """
+    day = as_of or str(spark.sql("SELECT current_date()").first()[0])
+    raw = read_csv(spark, source_path, schema, delimiter, keep_bad_records=schema is not None)
+    batch = batch_of(raw.inputFiles(), day)
+    stamped = stamp_ingest(raw, day).withColumn(BATCH, F.lit(batch))
+    if schema is not None:
+        bad = F.col(BAD_RECORD).isNotNull()
+        # The parser fills the text of a bad row only where other columns are read with it.
+        write_partitioned(stamped.filter(bad), rejected(target_path), BATCH_COLUMNS, "replace")
+        stamped = stamped.filter(~bad).drop(BAD_RECORD)
+    write_partitioned(stamped, target_path, BATCH_COLUMNS, "replace")
+    return batch

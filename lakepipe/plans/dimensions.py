@@ -9,9 +9,6 @@ from lakepipe.functions.keys import date_key
 from lakepipe.operators.ordering import dense_ids
 from lakepipe.sources.readers import date_range, date_range_of
 
-# The days the calendar covers unless other ones are given.
-CALENDAR_FIRST, CALENDAR_LAST = "2020-01-01", "2026-12-31"
-
 
 def calendar_columns(days: DataFrame) -> DataFrame:
     """Date parts of `full_date`: weeks are ISO weeks, day_of_week 1 is Sunday."""
@@ -28,7 +25,7 @@ def calendar_columns(days: DataFrame) -> DataFrame:
     )
 
 
-def date_dimension(spark: SparkSession, first: str = CALENDAR_FIRST, last: str = CALENDAR_LAST) -> DataFrame:
+def date_dimension(spark: SparkSession, first: str, last: str) -> DataFrame:
     return calendar_columns(date_range(spark, first, last))
 
 

@@ -3,25 +3,47 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from lakepipe.functions.keys import date_key
 from lakepipe.operators.joins import lookup_join
 from lakepipe.operators.quality import NotNull, UniqueKey
 
+# The columns of the fact table.
 FACT_COLUMNS = ("transaction_sk", "customer_sk", "date_sk", "amount", "fraud_flag")
 FACT_RULES = (NotNull("transaction_sk"), UniqueKey(("transaction_sk",)))
 
 
+def version_ranges(customers: DataFrame) -> DataFrame:
+    """(customer_id, customer_sk, starts, ends): the days on which each version of a customer counts.
+
+    A version ends where the next one starts. The first one is open to the past and the last one to
+    the future, ended or not, so every day of a known customer belongs to exactly one version.
+    """
+    versions = Window.partitionBy("customer_id").orderBy("valid_from", "customer_sk")
+    starts = F.when(F.row_number().over(versions) > 1, F.col("valid_from"))
+    ends = F.lead("valid_from").over(versions)
+    return customers.select("customer_id", "customer_sk", starts.alias("starts"), ends.alias("ends"))
+
+
 def build_fact(transactions: DataFrame, customers: DataFrame, calendar: DataFrame | None = None) -> DataFrame:
     """Transactions of known customers with the surrogate keys of the star schema.
 
-    The transaction's own id is its surrogate key. Dates outside the calendar stay (see
-    operators.quality.orphans); since the calendar side is distinct and adds no column, Catalyst
-    drops that join.
+    A transaction gets the version of its customer that was valid on its day; a dimension without
+    validity dates has one version each. The transaction's own id is its surrogate key. Dates
+    outside the calendar stay (see operators.quality.orphans); since the calendar side is distinct
+    and adds no column, Catalyst drops that join.
     """
-    current = customers.filter("is_current = 1").select("customer_id", "customer_sk")
     needed = transactions.select("transaction_id", "customer_id", "transaction_date", "amount", "fraud_flag")
-    known = lookup_join(needed, current, ["customer_id"], spread=["transaction_id"])
+    if "valid_from" in customers.columns:
+        known = lookup_join(needed, version_ranges(customers), ["customer_id"], spread=["transaction_id"])
+        day = F.col("transaction_date")
+        after, before = F.col("starts").isNull() | (day >= F.col("starts")), F.col("ends").isNull() | (day < F.col("ends"))
+        known = known.filter(F.coalesce(after & before, F.col("starts").isNull()))
+    else:
+        current = customers.filter("is_current = 1").select("customer_id", "customer_sk")
+        known = lookup_join(needed, current, ["customer_id"], spread=["transaction_id"])
     fact = known.withColumn("date_sk", date_key("transaction_date")).withColumnRenamed(
         "transaction_id", "transaction_sk"
     )

@@ -5,16 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakepipe.layout import Layout
 from lakepipe.operators.history import merge_history
-from lakepipe.operators.quality import quality_report, require_clean
+from lakepipe.operators.quality import FinerThan, orphans, quality_report, require_clean
 from lakepipe.plans import bronze, dimensions, facts, features, marts, models, silver, training
 from lakepipe.session import scratch_path
 from lakepipe.sources.readers import read_table
-from lakepipe.sources.state import run_values
-from lakepipe.sources.writers import overwrite, stage
+from lakepipe.sources.state import note_batch, run_values
+from lakepipe.sources.writers import overwrite, remove, stage
 
 
 class Jobs:
@@ -29,33 +30,42 @@ class Jobs:
     def _feature(self, table: str) -> DataFrame:
         return read_table(self.spark, self.layout.features(table))
 
-    def ingest_transactions(self, source: str, as_of: str | None = None, mode: str = "replace") -> None:
+    def ingest_transactions(self, source: str, as_of: str | None = None) -> None:
         target = self.layout.bronze("transactions")
-        bronze.ingest_dataset(self.spark, source, target, ",", bronze.TRANSACTION_SOURCE, as_of, mode)
+        batch = bronze.ingest_dataset(self.spark, source, target, ",", bronze.TRANSACTION_SOURCE, as_of)
+        note_batch(self.spark, self.layout.batches, "transactions", batch, "ingested")
 
-    def ingest_customers(
-        self, source: str, schema: T.StructType | None = None, as_of: str | None = None, mode: str = "replace"
-    ) -> None:
-        bronze.ingest_dataset(self.spark, source, self.layout.bronze("customers"), ";", schema, as_of, mode)
+    def ingest_customers(self, source: str, schema: T.StructType | None = None, as_of: str | None = None) -> None:
+        bronze.ingest_dataset(self.spark, source, self.layout.bronze("customers"), ";", schema, as_of)
 
     def silver_customers(self, key: str | None = None) -> None:
         silver.load_customers(self.spark, self.layout, key)
 
-    def silver_transactions(self, against_history: bool = False) -> DataFrame | None:
-        return silver.load_transactions(self.spark, self.layout, against_history=against_history)
+    def silver_transactions(self) -> DataFrame | None:
+        return silver.load_transactions(self.spark, self.layout)
 
-    def date_dimension(self, first: str = dimensions.CALENDAR_FIRST, last: str = dimensions.CALENDAR_LAST) -> None:
-        overwrite(dimensions.date_dimension(self.spark, first, last), self.layout.gold("dim_date"))
+    def date_dimension(self, first: str | None = None, last: str | None = None) -> None:
+        """The given days, or those from the first to the last transaction."""
+        if first and last:
+            days = dimensions.date_dimension(self.spark, first, last)
+        else:
+            transactions = read_table(self.spark, self.layout.silver("transactions"))
+            days = dimensions.date_dimension_of(transactions, "transaction_date")
+        overwrite(days, self.layout.gold("dim_date"))
+
+    def _customers(self) -> DataFrame:
+        """Silver customers with what describes the customer, and nothing about the load."""
+        return read_table(self.spark, self.layout.silver("customers")).drop(*bronze.BATCH_COLUMNS)
 
     def customer_dimension(self, as_of: str | None = None) -> None:
-        customers = read_table(self.spark, self.layout.silver("customers"))
-        overwrite(dimensions.customer_dimension(customers, as_of), self.layout.gold("dim_customer"))
+        overwrite(dimensions.customer_dimension(self._customers(), as_of), self.layout.gold("dim_customer"))
 
     def update_customer_dimension(self, as_of: str) -> None:
         """Merge the current Silver customers into the dimension and keep the old versions."""
-        current = read_table(self.spark, self.layout.silver("customers"))
-        merged = merge_history(self._gold("dim_customer"), current, "customer_id", "customer_sk", as_of)
-        overwrite(stage(merged, scratch_path(self.spark, "dim_customer")), self.layout.gold("dim_customer"))
+        merged = merge_history(self._gold("dim_customer"), self._customers(), "customer_id", "customer_sk", as_of)
+        path = scratch_path(self.spark, "dim_customer")
+        overwrite(stage(merged, path), self.layout.gold("dim_customer"))
+        remove(self.spark, path)
 
     def fact_transactions(self) -> None:
         transactions = read_table(self.spark, self.layout.silver("transactions"))
@@ -63,9 +73,19 @@ class Jobs:
         overwrite(fact, self.layout.gold("fact_transactions"))
 
     def check_fact(self) -> DataFrame:
-        """The quality report of the fact table; raises when a rule is violated."""
-        report = quality_report(self._gold("fact_transactions"), "fact_transactions", facts.FACT_RULES)
-        require_clean(report)
+        """The quality report of the fact table; raises when a rule is violated.
+
+        Amounts finer than sums keep are reported and do not raise.
+        """
+        fact = self._gold("fact_transactions")
+        report = quality_report(fact, "fact_transactions", (*facts.FACT_RULES, FinerThan("amount")))
+        lost = orphans(fact, self._gold("dim_date"), "date_sk").agg(F.count(F.lit(1)).alias("violations"))
+        report = report.unionByName(
+            lost.select(
+                F.lit("fact_transactions").alias("table_name"), F.lit("known(date_sk)").alias("rule"), "violations"
+            )
+        )
+        require_clean(report.filter(F.col("rule") != FinerThan("amount").name))
         return report
 
     def _mart(self, table: str, build: Callable[[DataFrame, DataFrame], DataFrame], dimension: str) -> None:

@@ -10,16 +10,30 @@ from pyspark.sql import functions as F
 from lakepipe.functions.keys import bucket_of, row_key, row_token
 from lakepipe.functions.times import source_timestamp
 from lakepipe.layout import Layout
-from lakepipe.operators.dedup import keep_first, not_yet_loaded
+from lakepipe.operators.dedup import keep_first, keep_first_desc, not_yet_loaded
 from lakepipe.operators.ordering import dense_ids, dense_row_ids
 from lakepipe.operators.quality import AllowedValues, NotNull, UniqueKey, quality_report, require_clean
-from lakepipe.plans.bronze import FEATURE_COLUMNS
-from lakepipe.sources.readers import newer_than, read_table
-from lakepipe.sources.state import advance_high_mark, read_high_mark
-from lakepipe.sources.writers import overwrite, stage, write_partitioned
+from lakepipe.plans.bronze import BATCH, BATCH_COLUMNS, FEATURE_COLUMNS
+from lakepipe.sources.readers import read_or_empty, read_table
+from lakepipe.sources.state import note_batch, pending_batches
+from lakepipe.sources.writers import overwrite, remove, stage, write_partitioned
 
 BUSINESS_COLUMNS = [*FEATURE_COLUMNS, "amount", "fraud_flag"]
-TRANSACTION_RULES = (NotNull("amount"), AllowedValues("fraud_flag", (0, 1)), UniqueKey(("transaction_id",)))
+TRANSACTION_RULES = (
+    NotNull("transaction_id"),
+    NotNull("customer_id"),
+    NotNull("transaction_date"),
+    NotNull("amount"),
+    AllowedValues("fraud_flag", (0, 1)),
+    UniqueKey(("transaction_id",)),
+)
+
+
+def clean_customers(df: DataFrame, response: str = "y", yes: str = "yes") -> DataFrame:
+    """Dot-free column names and a 1/0 response flag."""
+    clean = df.withColumnsRenamed({c: c.replace(".", "_") for c in df.columns if "." in c})
+    flag = F.when(F.col(response) == yes, 1).otherwise(0)
+    return clean.withColumn("response_flag", flag).drop(response)
 
 
 def transform_customers(
@@ -30,10 +44,7 @@ def transform_customers(
     Ids are 0..N-1 without gaps, in the order of `key` when there is one; transactions are
     assigned to customers by number, so a gap would lose rows.
     """
-    renames = {c: c.replace(".", "_") for c in df.columns if "." in c}
-    clean = df.withColumnsRenamed(renames)
-    flag = F.when(F.col(response) == yes, 1).otherwise(0)
-    clean = clean.withColumn("response_flag", flag).drop(response)
+    clean = clean_customers(df, response, yes)
     numbered = dense_ids(clean, key, "customer_id") if key else dense_row_ids(clean, "customer_id")
     return numbered.select("customer_id", *clean.columns)
 
@@ -69,34 +80,77 @@ def transform_transactions(df: DataFrame, customer_count: int, draw: Column | No
     )
 
 
-def load_customers(spark: SparkSession, layout: Layout, key: str | None = None) -> None:
-    """Rebuild Silver customers from the latest ingest of Bronze."""
-    bronze = read_table(spark, layout.bronze("customers"))
-    latest = bronze.filter(F.col("ingest_date") == bronze.agg(F.max("ingest_date")).scalar())
-    overwrite(transform_customers(latest, key), layout.silver("customers"))
+def natural_keys(bronze: DataFrame, key: str | None) -> DataFrame:
+    """The newest row of every customer over all ingested days, with `_natural`, its key as text.
+
+    Without a key column a customer is a row's content; rows that one batch holds several times
+    are that many customers, told apart by a running number.
+    """
+    if key is not None:
+        newest = keep_first_desc(bronze, [key], BATCH_COLUMNS)
+        return newest.drop(BATCH).withColumn("_natural", F.col(f"`{key}`").cast("string"))
+    content = [f"`{c}`" for c in bronze.columns if c not in BATCH_COLUMNS]
+    counts = bronze.groupBy(*content, *BATCH_COLUMNS).agg(F.count(F.lit(1)).alias("_copies"))
+    newest = counts.groupBy(*content).agg(F.max("_copies").alias("_copies"), F.max("ingest_date").alias("ingest_date"))
+    numbered = newest.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_copies"))))
+    natural = F.concat_ws("-", row_key(*content), F.col("_copy").cast("string"))
+    return numbered.withColumn("_natural", natural).drop("_copies", "_copy")
 
 
-def load_transactions(
-    spark: SparkSession, layout: Layout, run_id: str | None = None, against_history: bool = False
-) -> DataFrame | None:
-    """Load the Bronze days after the high mark; returns the rows loaded, or None without new days.
+def load_customers(spark: SparkSession, layout: Layout, key: str | None = None) -> None:
+    """Rebuild Silver customers from all of Bronze; ids stay what they were.
 
-    The batch is staged, the staged rows are checked, the same rows are published, and the mark
-    moves last. Publishing replaces the batch's own folders, so a load that broke off half way can
-    be run again. `against_history` also drops rows whose content was loaded by an earlier batch.
+    A table of its own maps natural keys to ids. It is only appended to: new customers get the ids
+    after the highest one, so a customer keeps the id whatever other customers come or go.
     """
-    mark = read_high_mark(spark, layout.high_marks, "transactions")
-    bronze = newer_than(read_table(spark, layout.bronze("transactions")), "ingest_date", mark)
-    if bronze.isEmpty():
+    rows = natural_keys(read_table(spark, layout.bronze("customers")), key)
+    map_path = layout.silver("customer_ids")
+    known = read_or_empty(spark, map_path, "_natural string, customer_id bigint")
+    highest = known.agg(F.max("customer_id")).first()[0]
+    added = rows.select("_natural").join(known, "_natural", "left_anti")
+    added = stage(added, layout.staging("customer_ids", uuid.uuid4().hex))
+    if not added.isEmpty():
+        numbered = dense_ids(added, "_natural", "customer_id", start=0 if highest is None else highest + 1)
+        numbered.select("_natural", "customer_id").write.mode("append").parquet(map_path)
+    with_ids = clean_customers(rows).join(read_table(spark, map_path), "_natural").drop("_natural")
+    first = ["customer_id", *[c for c in with_ids.columns if c != "customer_id"]]
+    overwrite(with_ids.select(first), layout.silver("customers"))
+
+
+def load_transactions(spark: SparkSession, layout: Layout) -> DataFrame | None:
+    """Load every Bronze batch that has not been loaded; returns the rows added, or None without new batches.
+
+    Each batch is cleaned, staged, and left without rows that other batches have brought already.
+    What remains is checked and published into the batch's own folders; then the batch is noted as
+    loaded. A load that broke off at any point can be run again: the same batch replaces its own
+    folders. Of equal transactions the one loaded first stays, inside a batch the earliest.
+    """
+    pending = pending_batches(spark, layout.batches, "transactions")
+    if not pending:
         return None
+    bronze = read_table(spark, layout.bronze("transactions"))
     customer_count = read_table(spark, layout.silver("customers")).count()
-    silver = transform_transactions(bronze, customer_count)
-    target = layout.silver("transactions")
-    if against_history and mark is not None:
-        known = read_table(spark, target).filter(F.col("ingest_date") <= F.lit(mark).cast("date"))
-        silver = not_yet_loaded(silver, known, "transaction_id")
-    staged = stage(silver, layout.staging("transactions", run_id or uuid.uuid4().hex))
-    require_clean(quality_report(staged, "silver_transactions", TRANSACTION_RULES))
-    write_partitioned(staged, target, ["transaction_date", "ingest_date"], mode="replace")
-    advance_high_mark(bronze, "ingest_date", layout.high_marks, "transactions")
-    return staged
+    for batch in pending:
+        silver = transform_transactions(bronze.filter(F.col(BATCH) == batch), customer_count)
+        publish_transactions(silver, layout, batch)
+        note_batch(spark, layout.batches, "transactions", batch, "loaded")
+    return read_table(spark, layout.silver("transactions")).filter(F.col(BATCH).isin(pending))
+
+
+def publish_transactions(silver: DataFrame, layout: Layout, batch: str) -> None:
+    """Add the rows of a batch that no other batch has brought; check them first.
+
+    Keys are kept in a narrow table of their own, so that history costs 32 bytes a row. A batch
+    that Spark may broadcast meets it without a shuffle.
+    """
+    spark = silver.sparkSession
+    staging = layout.staging("transactions", f"{batch}-{uuid.uuid4().hex}")
+    staged = stage(silver, staging)
+    keys = layout.silver("transaction_keys")
+    others = read_or_empty(spark, keys, "transaction_id string, batch_id string").filter(F.col(BATCH) != batch)
+    fresh = not_yet_loaded(staged, others, "transaction_id")
+    require_clean(quality_report(fresh, "silver_transactions", TRANSACTION_RULES))
+    named = fresh.withColumn(BATCH, F.lit(batch))
+    write_partitioned(named, layout.silver("transactions"), ["transaction_date", BATCH], mode="replace")
+    write_partitioned(named.select("transaction_id", BATCH), keys, [BATCH], mode="replace")
+    remove(spark, staging)

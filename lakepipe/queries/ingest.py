@@ -7,11 +7,13 @@ from pyspark.sql import types as T
 
 from lakepipe.functions.money import exact_sum
 from lakepipe.layout import Layout
-from lakepipe.plans.silver import load_transactions, transform_customers, transform_transactions
+from lakepipe.plans.bronze import FEATURE_COLUMNS, rejected
+from lakepipe.plans.jobs import Jobs
+from lakepipe.plans.silver import transform_customers, transform_transactions
 from lakepipe.queries import views
 from lakepipe.queries.views import SILVER_SQL, money
 from lakepipe.session import scratch_path
-from lakepipe.sources.readers import newer_than, read_csv, read_table
+from lakepipe.sources.readers import BAD_RECORD, newer_than, read_csv, read_table
 from lakepipe.sources.state import advance_high_mark, high_marks, read_high_mark
 from lakepipe.sources.writers import overwrite, write_partitioned
 from lakepipe.streaming.incremental import start_incremental_load, start_silver_load
@@ -145,16 +147,69 @@ def transaction_key(spark, sf_dir):
     )
 
 
+def _lake(spark, sf_dir):
+    """Jobs over a new lake whose customers are in Silver already, and a folder for source files."""
+    jobs = Jobs(spark, Layout(scratch_path(spark, "lake")))
+    overwrite(views.customers(spark, sf_dir), jobs.layout.silver("customers"))
+    return jobs, scratch_path(spark, "source")
+
+
+def _write_source(rows, path):
+    """Transactions as the source has them: CSV files with a header."""
+    rows.select("Time", *FEATURE_COLUMNS, "Amount", "Class").write.option("header", True).csv(path)
+    return path
+
+
+def _halves(spark, sf_dir):
+    raw = views.raw_transactions(spark, sf_dir)
+    return raw.filter(F.col("ingest_date") <= FIRST_BATCH_END), raw.filter(F.col("ingest_date") > FIRST_BATCH_END)
+
+
 def silver_load(spark, sf_dir):
     """The whole incremental job in two batches and an empty third run."""
-    layout = Layout(scratch_path(spark, "lake"))
+    jobs, source = _lake(spark, sf_dir)
+    for n, part in enumerate(_halves(spark, sf_dir), 1):
+        jobs.ingest_transactions(_write_source(part, f"{source}/{n}"), f"2024-02-0{n}")
+        jobs.silver_transactions()
+    if jobs.silver_transactions() is not None:
+        raise ValueError("a load without new batches added rows")
+    return _daily(read_table(spark, jobs.layout.silver("transactions")))
+
+
+def bronze_two_files_one_day(spark, sf_dir):
+    """Two sources ingested on one day, before and after a load: both reach Silver."""
+    jobs, source = _lake(spark, sf_dir)
+    for n, part in enumerate(_halves(spark, sf_dir), 1):
+        jobs.ingest_transactions(_write_source(part, f"{source}/{n}"), "2024-02-01")
+        jobs.silver_transactions()
+    return _daily(read_table(spark, jobs.layout.silver("transactions")))
+
+
+def silver_repeated_file(spark, sf_dir):
+    """The same file on two days, and twice on the second: its rows are in Silver once."""
+    jobs, source = _lake(spark, sf_dir)
+    path = _write_source(views.raw_transactions(spark, sf_dir), source)
+    for day in ("2024-02-01", "2024-02-02", "2024-02-02"):
+        jobs.ingest_transactions(path, day)
+        jobs.silver_transactions()
+    return _daily(read_table(spark, jobs.layout.silver("transactions")))
+
+
+def csv_bad_records(spark, sf_dir):
+    """Rows that parse and rows that don't, after an ingest of a file where every event of user 7 has a bad time."""
+    jobs, source = _lake(spark, sf_dir)
     raw = views.raw_transactions(spark, sf_dir)
-    overwrite(views.customers(spark, sf_dir), layout.silver("customers"))
-    for part in (F.col("ingest_date") <= FIRST_BATCH_END, F.col("ingest_date") > FIRST_BATCH_END):
-        write_partitioned(raw.filter(part), layout.bronze("transactions"), ["ingest_date"])
-        load_transactions(spark, layout, against_history=True)
-    load_transactions(spark, layout, against_history=True)
-    return _daily(read_table(spark, layout.silver("transactions")))
+    bad = F.when(F.col("V1") == 8.0, F.lit("oops")).otherwise(F.col("Time").cast("string"))
+    _write_source(raw.withColumn("Time", bad), source)
+    jobs.ingest_transactions(source, "2024-02-01")
+    target = jobs.layout.bronze("transactions")
+    good, wrong = read_table(spark, target), read_table(spark, rejected(target))
+    return good.agg(F.count(F.lit(1)).alias("good_rows"), F.count_if(F.col("Time").isNull()).alias("good_without_time")).join(
+        wrong.agg(
+            F.count(F.lit(1)).alias("bad_rows"),
+            F.count_if(F.col(BAD_RECORD).startswith("oops,")).alias("bad_with_text"),
+        )
+    )
 
 
 def _daily(silver):
@@ -167,16 +222,99 @@ def _daily(silver):
 
 def stream_silver(spark, sf_dir):
     """The streaming form of the Silver load, run twice over one Bronze table."""
-    layout = Layout(scratch_path(spark, "lake"))
-    overwrite(views.customers(spark, sf_dir), layout.silver("customers"))
-    write_partitioned(views.raw_transactions(spark, sf_dir), layout.bronze("transactions"), ["ingest_date"])
+    jobs, source = _lake(spark, sf_dir)
+    jobs.ingest_transactions(_write_source(views.raw_transactions(spark, sf_dir), source), "2024-02-01")
     progress = scratch_path(spark, "silver-progress")
     for _ in range(2):
-        start_silver_load(spark, layout, progress).awaitTermination()
-    return _daily(read_table(spark, layout.silver("transactions")))
+        start_silver_load(spark, jobs.layout, progress).awaitTermination()
+    return _daily(read_table(spark, jobs.layout.silver("transactions")))
+
+
+def stream_silver_small_batches(spark, sf_dir):
+    """One file per micro-batch, then a new checkpoint, then the batch load: Silver holds every transaction once."""
+    jobs, source = _lake(spark, sf_dir)
+    for n, part in enumerate(_halves(spark, sf_dir), 1):
+        jobs.ingest_transactions(_write_source(part, f"{source}/{n}"), "2024-02-01")
+        start_silver_load(spark, jobs.layout, scratch_path(spark, "progress"), max_files=1).awaitTermination()
+    jobs.silver_transactions()
+    loaded = read_table(spark, jobs.layout.silver("transactions"))
+    return loaded.groupBy(F.col("V1").cast("bigint").alias("user_number")).agg(
+        F.count(F.lit(1)).alias("transactions"),
+        exact_sum("amount").alias("total_amount"),
+        F.sum("fraud_flag").alias("fraud_count"),
+    )
+
+
+def _customer_files(spark, sf_dir, jobs, days):
+    """Ingest {day: rows} of customers as semicolon-separated files."""
+    source = scratch_path(spark, "people")
+    for day, rows in days.items():
+        path = f"{source}/{day}"
+        rows.write.option("header", True).option("sep", ";").csv(path)
+        jobs.ingest_customers(path, CUSTOMER_SCHEMA, day)
+
+
+CUSTOMER_SCHEMA = T.StructType().add("cust_key", "long").add("acct.bal", "double").add("y", "string")
+
+
+def _people(spark, sf_dir, lift=0.0):
+    return views.table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("cust_key"),
+        (F.col("c_acctbal") + F.lit(lift)).alias("acct.bal"),
+        F.when(F.col("c_mktsegment") == "BUILDING", "yes").otherwise("no").alias("y"),
+    )
+
+
+def customers_two_days(spark, sf_dir):
+    """Odd customers on the first day; even ones, and every fifth again with another balance, on the second."""
+    jobs = Jobs(spark, Layout(scratch_path(spark, "lake")))
+    first = _people(spark, sf_dir).filter("cust_key % 2 = 1")
+    second = _people(spark, sf_dir, 8192.0).filter("cust_key % 2 = 0 OR cust_key % 5 = 0")
+    for day, rows in (("2024-01-01", first), ("2024-01-02", second)):
+        _customer_files(spark, sf_dir, jobs, {day: rows})
+        jobs.silver_customers("cust_key")
+    silver = read_table(spark, jobs.layout.silver("customers"))
+    ids = F.struct(F.min("customer_id").alias("low"), F.max("customer_id").alias("high"))
+    return silver.groupBy((F.col("cust_key") % 2).alias("odd")).agg(
+        F.count(F.lit(1)).alias("customers"),
+        F.countDistinct("customer_id").alias("ids"),
+        ids.getField("low").alias("lowest"),
+        ids.getField("high").alias("highest"),
+        exact_sum("acct_bal").alias("balance"),
+        F.max("ingest_date").alias("newest"),
+    )
+
+
+def _history(jobs, spark, sf_dir, days):
+    """The customer dimension after each day's file was ingested and merged."""
+    for n, (day, rows) in enumerate(days.items()):
+        _customer_files(spark, sf_dir, jobs, {day: rows})
+        jobs.silver_customers("cust_key")
+        jobs.update_customer_dimension(day) if n else jobs.customer_dimension(day)
+    dimension = read_table(spark, jobs.layout.gold("dim_customer"))
+    return dimension.select("cust_key", "acct_bal", "response_flag", "valid_from", "valid_to", "is_current")
+
+
+def scd2_repeat(spark, sf_dir):
+    """The same customers on two days: nothing changes."""
+    jobs, people = Jobs(spark, Layout(scratch_path(spark, "lake"))), _people(spark, sf_dir)
+    return _history(jobs, spark, sf_dir, {"2024-01-01": people, "2024-01-02": people})
+
+
+def scd2_renumber(spark, sf_dir):
+    """Customers before the first key come on the second day: the others keep their version."""
+    jobs, people = Jobs(spark, Layout(scratch_path(spark, "lake"))), _people(spark, sf_dir)
+    return _history(jobs, spark, sf_dir, {"2024-01-01": people.filter("cust_key >= 10"), "2024-01-02": people})
 
 
 QUERIES = {
+    "q_bronze_two_files_one_day": bronze_two_files_one_day,
+    "q_silver_repeated_file": silver_repeated_file,
+    "q_stream_silver_small_batches": stream_silver_small_batches,
+    "q_csv_bad_records": csv_bad_records,
+    "q_customers_two_days": customers_two_days,
+    "q_scd2_repeat": scd2_repeat,
+    "q_scd2_renumber": scd2_renumber,
     "q_stream_silver": stream_silver,
     "q_csv_roundtrip": csv_roundtrip,
     "q_partitioned_append": partitioned_append,
@@ -197,6 +335,16 @@ SILVER_DAILY_SQL = f"""
     FROM ({SILVER_SQL}) GROUP BY transaction_date
 """
 
+
+def _first_versions(valid_from: str) -> str:
+    return f"""
+        SELECT c_custkey AS cust_key, c_acctbal AS acct_bal,
+            CASE WHEN c_mktsegment = 'BUILDING' THEN 1 ELSE 0 END AS response_flag,
+            {valid_from} AS valid_from, CAST(NULL AS DATE) AS valid_to, 1 AS is_current
+        FROM customer
+    """
+
+
 ORACLE = {
     "q_csv_roundtrip": """
         SELECT 'part' AS source, p_partkey AS id, p_name || ', "' || p_brand || '"; ' || p_type AS label,
@@ -233,5 +381,28 @@ ORACLE = {
     """,
     "q_transaction_key": f"SELECT COUNT(*) AS silver_rows, COUNT(*) AS transaction_keys FROM ({SILVER_SQL})",
     "q_silver_load": SILVER_DAILY_SQL,
+    "q_bronze_two_files_one_day": SILVER_DAILY_SQL,
+    "q_silver_repeated_file": SILVER_DAILY_SQL,
+    "q_stream_silver_small_batches": f"""
+        SELECT user_id + 1 AS user_number, COUNT(*) AS transactions, {money("amount")} AS total_amount,
+            CAST(SUM(fraud_flag) AS BIGINT) AS fraud_count
+        FROM ({SILVER_SQL}) GROUP BY user_id
+    """,
+    "q_csv_bad_records": """
+        SELECT COUNT(*) FILTER (user_id <> 7) AS good_rows, 0::BIGINT AS good_without_time,
+            COUNT(*) FILTER (user_id = 7) AS bad_rows, COUNT(*) FILTER (user_id = 7) AS bad_with_text
+        FROM events
+    """,
+    "q_customers_two_days": f"""
+        SELECT odd, COUNT(*) AS customers, COUNT(*) AS ids, MIN(id) AS lowest, MAX(id) AS highest,
+            {money("balance")} AS balance, DATE '2024-01-02' AS newest
+        FROM (
+            SELECT c_custkey % 2 AS odd, row_number() OVER (ORDER BY c_custkey % 2 DESC, c_custkey) - 1 AS id,
+                c_acctbal + CASE WHEN c_custkey % 2 = 0 OR c_custkey % 5 = 0 THEN 8192.0::DOUBLE ELSE 0 END AS balance
+            FROM customer
+        ) GROUP BY odd
+    """,
+    "q_scd2_repeat": _first_versions("DATE '2024-01-01'"),
+    "q_scd2_renumber": _first_versions("CASE WHEN c_custkey >= 10 THEN DATE '2024-01-01' ELSE DATE '2024-01-02' END"),
     "q_stream_silver": SILVER_DAILY_SQL,
 }

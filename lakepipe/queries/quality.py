@@ -11,6 +11,7 @@ from lakepipe.operators.quality import (
     NotEmpty,
     NotNull,
     UniqueKey,
+    availability_report,
     quality_report,
     repeated_keys,
 )
@@ -54,7 +55,16 @@ def report(spark, sf_dir):
     return quality_report(views.table(spark, sf_dir, "lineitem"), "lineitem", rules)
 
 
+TABLES = ("customer", "orders", "events", "not_there")
+
+
+def availability(spark, sf_dir):
+    """Which tables are there and have rows; one isn't."""
+    return availability_report(spark, {name: f"{sf_dir}/{name}.parquet" for name in TABLES})
+
+
 QUERIES = {
+    "q_dq_availability": availability,
     "q_dq_nulls": nulls,
     "q_dq_domain": domain,
     "q_dq_duplicates": duplicates,
@@ -66,6 +76,15 @@ REPEATED_SQL = """
 """
 
 ORACLE = {
+    "q_dq_availability": " UNION ALL ".join(
+        [
+            *[
+                f"SELECT '{name}' AS table_name, 'available' AS rule, CAST(COUNT(*) = 0 AS BIGINT) AS violations FROM {name}"
+                for name in TABLES[:-1]
+            ],
+            f"SELECT '{TABLES[-1]}', 'available', 1::BIGINT",
+        ]
+    ),
     "q_dq_nulls": """
         SELECT 'orders' AS table_name, 'not_null(o_orderkey)' AS rule,
             COUNT(*) FILTER (o_orderkey IS NULL) AS violations FROM orders

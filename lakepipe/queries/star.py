@@ -8,7 +8,7 @@ from lakepipe.operators.history import merge_history
 from lakepipe.operators.joins import salted_join
 from lakepipe.operators.quality import orphans
 from lakepipe.plans import marts
-from lakepipe.plans.dimensions import customer_dimension
+from lakepipe.plans.dimensions import customer_dimension, date_dimension
 from lakepipe.plans.facts import build_fact
 from lakepipe.queries import views
 from lakepipe.queries.views import ORDER_FACT_SQL, money
@@ -41,6 +41,40 @@ def fact(spark, sf_dir):
     return build_fact(views.order_transactions(spark, sf_dir), views.customers(spark, sf_dir), calendar)
 
 
+def _customer_versions(spark, sf_dir):
+    """Every third customer changed on 1998-01-01, every fourth ended on 1999-01-01."""
+    every = views.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("customer_id"))
+    first = every.select(
+        (F.col("customer_id") * 2).alias("customer_sk"),
+        "customer_id",
+        F.lit("1996-06-01").cast("date").alias("valid_from"),
+        F.when(F.col("customer_id") % 3 == 0, F.lit("1998-01-01"))
+        .when(F.col("customer_id") % 4 == 0, F.lit("1999-01-01"))
+        .cast("date")
+        .alias("valid_to"),
+    )
+    second = every.filter("customer_id % 3 = 0").select(
+        (F.col("customer_id") * 2 + 1).alias("customer_sk"),
+        "customer_id",
+        F.lit("1998-01-01").cast("date").alias("valid_from"),
+        F.lit(None).cast("date").alias("valid_to"),
+    )
+    versions = first.unionByName(second)
+    return versions.withColumn("is_current", F.col("valid_to").isNull().cast("int"))
+
+
+def fact_history(spark, sf_dir):
+    """Facts with the version of the customer that was valid on their day."""
+    return build_fact(views.order_transactions(spark, sf_dir), _customer_versions(spark, sf_dir))
+
+
+def dim_date_range(spark, sf_dir):
+    """A calendar of given days, here from the first to the last urgent order."""
+    urgent = views.table(spark, sf_dir, "orders").filter("o_orderpriority = '1-URGENT'")
+    first, last = urgent.agg(F.to_date(F.min("o_orderdate")), F.to_date(F.max("o_orderdate"))).first()
+    return date_dimension(spark, str(first), str(last))
+
+
 def fact_salted(spark, sf_dir):
     """The customer join of the fact table with every larger customer cut into pieces."""
     transactions = views.order_transactions(spark, sf_dir)
@@ -98,6 +132,8 @@ QUERIES = {
     "q_dim_customer": dim_customer,
     "q_scd2_merge": scd2_merge,
     "q_fact": fact,
+    "q_fact_history": fact_history,
+    "q_dim_date_range": dim_date_range,
     "q_fact_salted": fact_salted,
     "q_orphan_dates": orphan_dates,
     "q_gold_daily": gold_daily,
@@ -116,14 +152,27 @@ DAILY_SQL = f"""
     FROM ({ORDER_FACT_SQL}) GROUP BY date_sk, full_date
 """
 
-ORACLE = {
-    "q_dim_date": """
+def _calendar_sql(where: str) -> str:
+    return f"""
         SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_sk, CAST(d AS DATE) AS full_date,
             CAST(year(d) AS INTEGER) AS year, CAST(month(d) AS INTEGER) AS month, CAST(day(d) AS INTEGER) AS day,
             CAST(quarter(d) AS INTEGER) AS quarter, CAST(dayofweek(d) + 1 AS INTEGER) AS day_of_week,
             CAST(weekofyear(d) AS INTEGER) AS week_of_year
         FROM (SELECT unnest(generate_series(
-            date_trunc('day', MIN(o_orderdate)), date_trunc('day', MAX(o_orderdate)), INTERVAL 1 DAY)) AS d FROM orders)
+            date_trunc('day', MIN(o_orderdate)), date_trunc('day', MAX(o_orderdate)), INTERVAL 1 DAY)) AS d FROM orders {where})
+    """
+
+
+ORACLE = {
+    "q_dim_date": _calendar_sql(""),
+    "q_dim_date_range": _calendar_sql("WHERE o_orderpriority = '1-URGENT'"),
+    "q_fact_history": """
+        SELECT o_orderkey AS transaction_sk,
+            o_custkey * 2 + CASE WHEN o_custkey % 3 = 0 AND o_orderdate >= DATE '1998-01-01' THEN 1 ELSE 0 END
+                AS customer_sk,
+            CAST(strftime(o_orderdate, '%Y%m%d') AS INTEGER) AS date_sk, o_totalprice AS amount,
+            CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS fraud_flag
+        FROM orders JOIN customer ON o_custkey = c_custkey
     """,
     "q_dim_customer": """
         SELECT row_number() OVER (ORDER BY c_custkey) - 1 AS customer_sk, c_custkey AS customer_id, c_name,

@@ -108,23 +108,32 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
     day_seconds = F.hour("ts") * 3600 + F.minute("ts") * 60 + F.second("ts")
     seconds = F.datediff(F.to_date("ts"), F.lit("2023-01-01").cast("date")) * 86400 + day_seconds
+    # Two features follow from something else than the user, so rows may differ in one of them alone.
+    own = {"V5": F.length("event_type"), "V28": F.col("event_id") % 2}
+    features = [
+        (F.col("user_id") + i + own.get(c, F.lit(0))).cast("double").alias(c) for i, c in enumerate(FEATURE_COLUMNS, 1)
+    ]
     return events.select(
         seconds.cast("double").alias("Time"),
-        *[(F.col("user_id") + i).cast("double").alias(c) for i, c in enumerate(FEATURE_COLUMNS, 1)],
+        *features,
         F.col("value").alias("Amount"),
         flag("event_type", "error").alias("Class"),
         F.to_date("ts").alias("ingest_date"),
     )
 
 
-FEATURES_SQL = ", ".join(f"CAST(user_id + {i} AS DOUBLE) AS {c}" for i, c in enumerate(FEATURE_COLUMNS, 1))
+_OWN_SQL = {"V5": " + length(event_type)", "V28": " + event_id % 2"}
+FEATURES_SQL = ", ".join(
+    f"CAST(user_id + {i}{_OWN_SQL.get(c, '')} AS DOUBLE) AS {c}" for i, c in enumerate(FEATURE_COLUMNS, 1)
+)
 
-# The earliest of the events that are equal in user, value and flag.
+# The earliest of the events that are equal in all features, value and flag.
 SILVER_SQL = f"""
     SELECT user_id, date_trunc('second', ts) AS transaction_timestamp, CAST(ts AS DATE) AS transaction_date,
         {FEATURES_SQL}, value AS amount, flag AS fraud_flag, CAST(ts AS DATE) AS ingest_date
     FROM (
-        SELECT *, row_number() OVER (PARTITION BY user_id, value, flag ORDER BY date_trunc('second', ts)) AS place
+        SELECT *, row_number() OVER (
+            PARTITION BY user_id, length(event_type), event_id % 2, value, flag ORDER BY date_trunc('second', ts)) AS place
         FROM (SELECT *, CASE WHEN event_type = 'error' THEN 1 ELSE 0 END AS flag FROM events)
     ) WHERE place = 1
 """

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,9 +29,7 @@ def read_csv(
     if keep_bad_records:
         schema = T.StructType([*schema.fields, T.StructField(BAD_RECORD, T.StringType())])
         reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", BAD_RECORD)
-    else:
-        reader = reader.option("enforceSchema", False)
-    return reader.schema(schema).csv(path)
+    return reader.option("enforceSchema", False).schema(schema).csv(path)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
@@ -38,6 +37,16 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A Parquet table of a known schema, without rows while it isn't there yet."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return spark.createDataFrame([], schema)
+        raise
+
+
 def newer_than(df: DataFrame, column: str, mark) -> DataFrame:
     """Rows with `column` after the mark; everything when there is no mark.
 

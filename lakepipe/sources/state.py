@@ -6,26 +6,19 @@ import datetime as dt
 from collections.abc import Mapping
 from typing import Any
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakepipe.sources.readers import read_or_empty
+
 MARK_SCHEMA = "source string, high_mark string, committed_at timestamp"
+BATCH_SCHEMA = "source string, batch_id string, state string, noted_at timestamp"
 REGISTRY_SCHEMA = "run_id string, kind string, name string, text string, number double"
 
 
-def _read_state(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return spark.createDataFrame([], schema)
-        raise
-
-
 def high_marks(spark: SparkSession, path: str) -> DataFrame:
     """The highest mark per source (ISO dates, so text order is date order)."""
-    return _read_state(spark, path, MARK_SCHEMA).groupBy("source").agg(F.max("high_mark").alias("high_mark"))
+    return read_or_empty(spark, path, MARK_SCHEMA).groupBy("source").agg(F.max("high_mark").alias("high_mark"))
 
 
 def read_high_mark(spark: SparkSession, path: str, source: str) -> str | None:
@@ -40,6 +33,28 @@ def advance_high_mark(loaded: DataFrame, column: str, path: str, source: str) ->
     row.coalesce(1).write.mode("append").parquet(path)
 
 
+def note_batch(spark: SparkSession, path: str, source: str, batch_id: str, state: str) -> None:
+    """Note that a batch is "ingested" or "loaded"."""
+    row = spark.range(1).select(
+        F.lit(source).alias("source"),
+        F.lit(batch_id).alias("batch_id"),
+        F.lit(state).alias("state"),
+        F.current_timestamp().alias("noted_at"),
+    )
+    row.coalesce(1).write.mode("append").parquet(path)
+
+
+def pending_batches(spark: SparkSession, path: str, source: str) -> list[str]:
+    """Batches that were ingested and not loaded since, the oldest first."""
+    noted = read_or_empty(spark, path, BATCH_SCHEMA).filter(F.col("source") == source)
+    last = noted.groupBy("batch_id").agg(
+        F.max(F.when(F.col("state") == "ingested", F.col("noted_at"))).alias("ingested"),
+        F.max(F.when(F.col("state") == "loaded", F.col("noted_at"))).alias("loaded"),
+    )
+    waiting = last.filter("ingested IS NOT NULL AND (loaded IS NULL OR loaded < ingested)")
+    return [r["batch_id"] for r in waiting.orderBy("ingested", "batch_id").collect()]
+
+
 def record_run(spark: SparkSession, path: str, run_id: str, entries: Mapping[str, Mapping[str, Any]]) -> None:
     """Append {kind: {name: value}} of one run; numbers go to `number`, everything also to `text`."""
     rows = []
@@ -52,7 +67,7 @@ def record_run(spark: SparkSession, path: str, run_id: str, entries: Mapping[str
 
 
 def read_runs(spark: SparkSession, path: str) -> DataFrame:
-    return _read_state(spark, path, REGISTRY_SCHEMA)
+    return read_or_empty(spark, path, REGISTRY_SCHEMA)
 
 
 def run_values(spark: SparkSession, path: str, run_id: str, kind: str) -> dict[str, float | str]:

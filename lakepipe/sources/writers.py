@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
 def write_partitioned(df: DataFrame, path: str, by: Sequence[str], mode: str = "append") -> None:
@@ -28,6 +28,12 @@ def overwrite(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that is no longer needed, on whatever file system it is."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def stage(df: DataFrame, path: str) -> DataFrame:
     """Write `df` once and return the written copy, so checks and publishing see the same rows."""
     df.write.mode("errorifexists").parquet(path)

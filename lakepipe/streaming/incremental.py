@@ -6,6 +6,7 @@ files, so such a file is read by the next run.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,9 +15,8 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from lakepipe.layout import Layout
-from lakepipe.operators.quality import quality_report, require_clean
-from lakepipe.plans.bronze import TRANSACTION_SOURCE
-from lakepipe.plans.silver import TRANSACTION_RULES, transform_transactions
+from lakepipe.plans.bronze import BATCH, TRANSACTION_SOURCE
+from lakepipe.plans.silver import publish_transactions, transform_transactions
 from lakepipe.sources.readers import read_table
 from lakepipe.sources.writers import write_partitioned
 
@@ -64,17 +64,23 @@ def start_incremental_load(
 def start_silver_load(
     spark: SparkSession, layout: Layout, checkpoint_path: str, max_files: int | None = None
 ) -> StreamingQuery:
-    """Bronze transactions not seen yet to Silver: cleaned, deduplicated per batch, checked."""
+    """Bronze transactions not seen yet to Silver, by the same steps and into the same folders as the
+    batch load: each micro-batch leaves out what any other batch has brought, so neither the size of
+    micro-batches nor a new checkpoint changes which transactions Silver holds."""
     customer_count = read_table(spark, layout.silver("customers")).count()
-    schema = T.StructType([*TRANSACTION_SOURCE.fields, T.StructField("ingest_date", T.DateType())])
-    return start_incremental_load(
-        spark,
-        layout.bronze("transactions"),
-        schema,
-        lambda batch: transform_transactions(batch, customer_count),
-        layout.silver("transactions"),
-        checkpoint_path,
-        partition_by=["transaction_date"],
-        max_files=max_files,
-        check=lambda batch: require_clean(quality_report(batch, "silver_transactions", TRANSACTION_RULES)),
+    fields = [T.StructField("ingest_date", T.DateType()), T.StructField(BATCH, T.StringType())]
+    name = hashlib.md5(checkpoint_path.encode()).hexdigest()[:12]
+
+    def publish(batch: DataFrame, batch_id: int) -> None:
+        publish_transactions(transform_transactions(batch, customer_count), layout, f"stream-{name}-{batch_id}")
+
+    reader = spark.readStream.schema(T.StructType([*TRANSACTION_SOURCE.fields, *fields]))
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return (
+        reader.parquet(layout.bronze("transactions"))
+        .writeStream.foreachBatch(publish)
+        .option("checkpointLocation", checkpoint_path)
+        .trigger(availableNow=True)
+        .start()
     )

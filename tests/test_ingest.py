@@ -8,15 +8,22 @@ from pyspark.sql import types as T
 
 from lakepipe.layout import Layout
 from lakepipe.operators.quality import QualityError
-from lakepipe.plans.bronze import FEATURE_COLUMNS, TRANSACTION_SOURCE, ingest_dataset, stamp_ingest
+from lakepipe.plans.bronze import FEATURE_COLUMNS, TRANSACTION_SOURCE, ingest_dataset, rejected, stamp_ingest
 from lakepipe.plans.silver import (
-    TRANSACTION_RULES,
+    load_customers,
     load_transactions,
     transform_customers,
     transform_transactions,
 )
 from lakepipe.sources.readers import newer_than, read_csv, read_table
-from lakepipe.sources.state import advance_high_mark, read_high_mark, record_run, run_values
+from lakepipe.sources.state import (
+    advance_high_mark,
+    note_batch,
+    pending_batches,
+    read_high_mark,
+    record_run,
+    run_values,
+)
 from lakepipe.sources.writers import overwrite, write_partitioned
 from lakepipe.streaming.incremental import start_incremental_load
 
@@ -52,16 +59,28 @@ def test_empty_csv(spark, tmp_path):
     assert read_csv(spark, csv(tmp_path, ""), SMALL).count() == 0
 
 
-def test_ingest_appends_or_replaces_a_day(spark, tmp_path):
+def test_every_file_of_a_day_is_kept_and_none_doubles(spark, tmp_path):
+    target = str(tmp_path / "bronze")
+    for name in ("one", "two"):
+        (tmp_path / name).mkdir()
+        csv(tmp_path / name, f"id,label,amount\n1,{name},1.0\n")
+    for name, day in (("one", "2024-01-01"), ("one", "2024-01-02"), ("one", "2024-01-02"), ("two", "2024-01-02")):
+        ingest_dataset(spark, str(tmp_path / name), target, schema=SMALL, as_of=day)
+    got = read_table(spark, target).groupBy("ingest_date", "label").count().collect()
+    assert sorted((str(r["ingest_date"]), r["label"], r["count"]) for r in got) == [
+        ("2024-01-01", "one", 1),
+        ("2024-01-02", "one", 1),
+        ("2024-01-02", "two", 1),
+    ]
+
+
+def test_bad_rows_go_to_a_table_of_their_own(spark, tmp_path):
     source, target = tmp_path / "source", str(tmp_path / "bronze")
     source.mkdir()
-    csv(source, "id,label,amount\n1,a,1.0\n")
+    csv(source, "id,label,amount\n1,a,1.0\nx,b,2.0\n3,c,3.0\n")
     ingest_dataset(spark, str(source), target, schema=SMALL, as_of="2024-01-01")
-    ingest_dataset(spark, str(source), target, schema=SMALL, as_of="2024-01-02")
-    ingest_dataset(spark, str(source), target, schema=SMALL, as_of="2024-01-02", mode="replace")
-    assert read_table(spark, target).groupBy("ingest_date").count().filter("count > 1").count() == 0
-    ingest_dataset(spark, str(source), target, schema=SMALL, as_of="2024-01-02")
-    assert read_table(spark, target).count() == 3
+    assert sorted(r["id"] for r in read_table(spark, target).collect()) == [1, 3]
+    assert [r["_corrupt_record"] for r in read_table(spark, rejected(target)).collect()] == ["x,b,2.0"]
 
 
 def test_ingest_date_defaults_to_today(spark):
@@ -180,41 +199,83 @@ def lake(spark, tmp_path):
     return layout
 
 
-def add_bronze(spark, layout, data):
-    write_partitioned(bronze_rows(spark, data), layout.bronze("transactions"), ["ingest_date"])
+def add_bronze(spark, layout, data, batch):
+    rows = bronze_rows(spark, data).withColumn("batch_id", F.lit(batch))
+    write_partitioned(rows, layout.bronze("transactions"), ["ingest_date", "batch_id"], "replace")
+    note_batch(spark, layout.batches, "transactions", batch, "ingested")
 
 
 def test_incremental_load(spark, lake):
-    add_bronze(spark, lake, [(1.0, 1.0, 5.0, 0, "2024-01-01"), (2.0, 2.0, 6.0, 1, "2024-01-01")])
+    add_bronze(spark, lake, [(1.0, 1.0, 5.0, 0, "2024-01-01"), (2.0, 2.0, 6.0, 1, "2024-01-01")], "a")
     assert load_transactions(spark, lake).count() == 2
     assert load_transactions(spark, lake) is None
-    add_bronze(spark, lake, [(3.0, 3.0, 7.0, 0, "2024-01-02"), (9.0, 1.0, 5.0, 0, "2024-01-02")])
-    assert load_transactions(spark, lake, against_history=True).count() == 1
+    add_bronze(spark, lake, [(3.0, 3.0, 7.0, 0, "2024-01-01"), (9.0, 1.0, 5.0, 0, "2024-01-01")], "b")
+    assert load_transactions(spark, lake).count() == 1
     assert read_table(spark, lake.silver("transactions")).count() == 3
-    assert read_high_mark(spark, lake.high_marks, "transactions") == "2024-01-02"
+    assert pending_batches(spark, lake.batches, "transactions") == []
 
 
-def test_a_load_that_broke_off_can_be_repeated(spark, lake, monkeypatch):
-    add_bronze(spark, lake, [(1.0, 1.0, 5.0, 0, "2024-01-01"), (2.0, 2.0, 6.0, 1, "2024-01-01")])
+def test_a_batch_ingested_again_is_loaded_again_and_adds_nothing(spark, lake):
+    for _ in range(2):
+        add_bronze(spark, lake, [(1.0, 1.0, 5.0, 0, "2024-01-01"), (2.0, 2.0, 6.0, 1, "2024-01-01")], "a")
+        load_transactions(spark, lake)
+    assert read_table(spark, lake.silver("transactions")).count() == 2
+
+
+@pytest.mark.parametrize("step", ["note_batch", "remove"])
+def test_a_load_that_broke_off_can_be_repeated(spark, lake, monkeypatch, step):
+    add_bronze(spark, lake, [(1.0, 1.0, 5.0, 0, "2024-01-01"), (2.0, 2.0, 6.0, 1, "2024-01-01")], "a")
 
     def fail(*_):
         raise OSError("lost")
 
     with monkeypatch.context() as patch:
-        patch.setattr("lakepipe.plans.silver.advance_high_mark", fail)
+        patch.setattr(f"lakepipe.plans.silver.{step}", fail)
         with pytest.raises(OSError):
             load_transactions(spark, lake)
-    assert load_transactions(spark, lake).count() == 2
-    assert read_table(spark, lake.silver("transactions")).count() == 2
+    add_bronze(spark, lake, [(1.0, 1.0, 5.0, 0, "2024-01-02"), (3.0, 4.0, 6.0, 1, "2024-01-02")], "b")
+    assert load_transactions(spark, lake).count() == 3
+    assert read_table(spark, lake.silver("transactions")).count() == 3
 
 
 @pytest.mark.parametrize("amount,flag", [(None, 0), (5.0, 2), (5.0, None)])
 def test_bad_rows_stop_the_load(spark, lake, amount, flag):
-    add_bronze(spark, lake, [(1.0, 1.0, amount, flag, "2024-01-01")])
+    add_bronze(spark, lake, [(1.0, 1.0, amount, flag, "2024-01-01")], "a")
     with pytest.raises(QualityError):
         load_transactions(spark, lake)
-    assert read_high_mark(spark, lake.high_marks, "transactions") is None
-    assert len(TRANSACTION_RULES) == 3
+    assert pending_batches(spark, lake.batches, "transactions") == ["a"]
+
+
+def test_a_row_without_a_time_stops_the_load(spark, lake):
+    add_bronze(spark, lake, [(None, 1.0, 1.0, 0, "2024-01-01")], "a")
+    with pytest.raises(QualityError, match="transaction_date"):
+        load_transactions(spark, lake)
+
+
+def people(spark, layout, rows, batch, day):
+    df = spark.createDataFrame(rows, "id int, `a.b` double, y string")
+    df = df.withColumn("ingest_date", F.lit(day).cast("date")).withColumn("batch_id", F.lit(batch))
+    write_partitioned(df, layout.bronze("customers"), ["ingest_date", "batch_id"], "replace")
+
+
+@pytest.mark.parametrize("key", ["id", None])
+def test_customers_keep_their_ids(spark, lake, key):
+    people(spark, lake, [(5, 1.0, "yes"), (7, 2.0, "no")], "a", "2024-01-01")
+    load_customers(spark, lake, key)
+    before = {r["id"]: r["customer_id"] for r in read_table(spark, lake.silver("customers")).collect()}
+    people(spark, lake, [(1, 1.0, "no"), (7, 2.0, "no")], "b", "2024-01-02")
+    for _ in range(2):
+        load_customers(spark, lake, key)
+        after = {r["id"]: r["customer_id"] for r in read_table(spark, lake.silver("customers")).collect()}
+        assert after == {**before, 1: 2} and sorted(before.values()) == [0, 1]
+
+
+def test_customers_that_are_equal_stay_several(spark, lake):
+    people(spark, lake, [(5, 1.0, "yes")] * 3 + [(None, None, None)], "a", "2024-01-01")
+    load_customers(spark, lake)
+    people(spark, lake, [(5, 1.0, "yes")] * 2, "b", "2024-01-02")
+    load_customers(spark, lake)
+    assert sorted(r["customer_id"] for r in read_table(spark, lake.silver("customers")).collect()) == [0, 1, 2, 3]
 
 
 def test_transaction_source_schema():

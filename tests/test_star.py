@@ -21,7 +21,7 @@ from lakepipe.plans.facts import build_fact
 
 
 def test_calendar(spark):
-    calendar = date_dimension(spark)
+    calendar = date_dimension(spark, "2020-01-01", "2026-12-31")
     assert calendar.count() == 2557
     by_key = {r["date_sk"]: r for r in calendar.collect()}
     leap = by_key[20200229]
@@ -46,7 +46,7 @@ def star(spark):
     customers = spark.createDataFrame(
         [(0, 10, 1), (1, 11, 1), (2, 12, 1), (3, 10, 0)], "customer_sk bigint, customer_id bigint, is_current int"
     )
-    return transactions, customers, date_dimension(spark)
+    return transactions, customers, date_dimension(spark, "2020-01-01", "2026-12-31")
 
 
 def test_fact_keeps_dates_outside_the_calendar_and_drops_unknown_customers(star, rows, plan_text):
