@@ -8,7 +8,7 @@ import numpy as np
 
 from lakepipe.llm.arrays import gather
 
-KEEP = 400_000
+KEEP = 300_000
 
 
 class PieceCache(ABC):

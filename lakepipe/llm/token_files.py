@@ -48,7 +48,7 @@ BLOCK, PERCENTILE = 1024, 90
 MAGIC = int.from_bytes(b"pforids1", "little")
 #: A file holds the ids of about this many bytes of text.
 FILE_BYTES = 16 << 20
-_GROUP = 512
+_GROUP, _WORDS = 512, 4096
 _STOP = re.compile(rb"([a-z])([.,])(?=[ \t\n\r\f\v]|$)")
 
 
@@ -155,9 +155,14 @@ class WordEncoder(PieceCache):
         return data.split()
 
     def encode_pieces(self, pieces: list[bytes]) -> tuple[list[int], np.ndarray, np.ndarray]:
-        found = self.tokenizer.encode_batch_fast([p.decode() for p in pieces], add_special_tokens=False)
-        ids = [e.ids for e in found]
-        return list(range(len(pieces))), np.array([i for own in ids for i in own], np.int32), np.array(list(map(len, ids)))
+        ids, length = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+        # The library's results are large objects: few are alive at a time.
+        for at in range(0, len(pieces), _WORDS):
+            part = [p.decode() for p in pieces[at : at + _WORDS]]
+            found = [e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
+            ids.append(np.array([i for own in found for i in own], np.int32))
+            length.append(np.array(list(map(len, found)), np.int64))
+        return list(range(len(pieces))), np.concatenate(ids), np.concatenate(length)
 
 
 @lru_cache(maxsize=1)
