@@ -10,13 +10,13 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
 SLICE_BYTES = 4 << 20
+HASH_BYTES = 1 << 19
 BYTE_BASE = 0x9E3779B97F4A7C15 & ~7 | 5
 WORD_BASE = 0xD1342543DE82EF95 & ~7 | 5
 _MODULUS = 1 << 64
@@ -38,19 +38,20 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(33))
 
 
-@lru_cache(maxsize=4)
-def _powers(base: int, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """base^i and base^-i for i below size, modulo 2^64."""
-    out = []
-    for b in (base, pow(base, -1, _MODULUS)):
-        p = np.full(size, b, np.uint64)
-        p[0] = 1
-        out.append(np.multiply.accumulate(p))
-    return out[0], out[1]
+_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
 def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    up, down = _powers(base, 1 << max(16, int(n).bit_length()))
+    """base^i and base^-i for i below n, modulo 2^64; the longest ones asked for are kept."""
+    if base not in _POWERS or len(_POWERS[base][0]) < n:
+        size = -(-n // 65_536) * 65_536
+        both = []
+        for b in (base, pow(base, -1, _MODULUS)):
+            p = np.full(size, b, np.uint64)
+            p[0] = 1
+            both.append(np.multiply.accumulate(p))
+        _POWERS[base] = (both[0], both[1])
+    up, down = _POWERS[base]
     return up[:n], down[:n]
 
 
@@ -128,8 +129,20 @@ def words_of(column: pa.Array, lower: bool = False) -> Words:
     end = np.flatnonzero(closes & ~space) + 1
     text = np.searchsorted(offsets, start, side="right") - 1
     first = np.searchsorted(start, offsets)
-    sums, down = prefix_sums(data.astype(np.uint64) + np.uint64(1), BYTE_BASE)
-    return Words(data, start, end, text, first, mix((sums[end] - sums[start]) * down[start]))
+    return Words(data, start, end, text, first, _word_hashes(data, start, end))
+
+
+def _word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """The hash of data[start:end] for words in order, over pieces of about HASH_BYTES of data."""
+    out, at = np.empty(len(start), np.uint64), 0
+    while at < len(start):
+        to = max(at + 1, int(np.searchsorted(end, start[at] + HASH_BYTES, side="right")))
+        low = start[at]
+        sums, down = prefix_sums(data[low : end[to - 1]].astype(np.uint64) + np.uint64(1), BYTE_BASE)
+        a, b = start[at:to] - low, end[at:to] - low
+        out[at:to] = mix((sums[b] - sums[a]) * down[a])
+        at = to
+    return out
 
 
 def windows(words: Words, length: int) -> tuple[np.ndarray, np.ndarray]:

@@ -30,7 +30,7 @@ DOCS_PER_LANGUAGE, SAMPLE_DOCS, WINDOWS_PER_DOC = 400, 4096, 3
 WINDOW = 256
 WIDTHS, FILTERS, EMBEDDING = (2, 3, 4), 16, 8
 EPOCHS, BATCH, RATE = 5, 64, 0.01
-CHUNK = 32
+CHUNK, PREDICT_BYTES = 32, 1 << 19
 
 _LETTER = regex.compile(r"\p{L}")
 
@@ -168,7 +168,7 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
 
 def _predict(model: LanguageModel, column: pa.Array) -> tuple[list[str], np.ndarray]:
     names, scores = [], np.zeros(len(column))
-    for at, part in slices(column):
+    for at, part in slices(column, PREDICT_BYTES):
         windows, bounds = cut_windows(part)
         letters = np.array([_LETTER.search(t) is not None for t in part.to_pylist()])
         if not model.languages:
