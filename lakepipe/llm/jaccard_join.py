@@ -257,6 +257,13 @@ def _runs(small: int):
     return find
 
 
+def _written(df: DataFrame, name: str) -> DataFrame:
+    """A copy in the shared folder, compressed, which cuts the lineage."""
+    path = scratch_path(df.sparkSession, f"jaccard-{name}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _pick(texts: DataFrame, wanted: DataFrame, on) -> DataFrame:
     """Join the texts with a narrow table that has been written; it is broadcast behind a check of its size."""
     return texts.join(F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted, on)
@@ -373,7 +380,7 @@ def _blocks(members: DataFrame, block: int) -> DataFrame:
         .otherwise(F.concat(spread, beside))
     )
     dealt = placed.withColumn("place", F.explode(place)).drop("top", "tops", "others")
-    return dealt.select("family", "place.*", "class", "root", "text", "signs")
+    return dealt.select("family", "place.*", "class", "root", "signs")
 
 
 def _close(pairs: DataFrame, large: DataFrame, texts: DataFrame, links: DataFrame, block: int) -> DataFrame:
@@ -385,19 +392,19 @@ def _close(pairs: DataFrame, large: DataFrame, texts: DataFrame, links: DataFram
     roots = connected_components(links).withColumnRenamed("node", "class")
     ties = pairs.select(F.explode(F.array("a", "b")).alias("class"), F.xxhash64("a", "b").alias("sign"))
     ties = ties.unionByName(large).join(roots, "class", "left").withColumn("root", F.coalesce("root", "class"))
-    ties = checkpoint(ties)
+    ties = _written(ties, "ties")
     by_sign = ties.groupBy("sign").agg(F.min("root").alias("low"), F.max("root").alias("high"))
     still_open = ties.join(by_sign.filter("low <> high"), "sign")
-    still_open = checkpoint(still_open.select("sign", "class", "root", "low"))
+    still_open = _written(still_open.select("sign", "class", "root", "low"), "open")
     family = connected_components(still_open.select(F.col("root").alias("a"), F.col("low").alias("b")).distinct())
     members = (
         still_open.groupBy("class", "root")
         .agg(F.collect_set("sign").alias("signs"))
         .join(family.select(F.col("node").alias("root"), F.col("root").alias("family")), "root")
     )
-    members = checkpoint(members)
-    picked = checkpoint(_pick(texts, checkpoint(members.select("class").distinct()), "class"))
-    rows = _blocks(members.join(picked, "class"), block)
+    members = _written(members, "members")
+    picked = _pick(texts, members.select("class").distinct(), "class")
+    rows = _blocks(members, block).join(picked, "class")
     return links.unionByName(rows.groupBy("family", "x", "y").applyInArrow(_verify, "a bigint, b bigint"))
 
 
@@ -416,7 +423,7 @@ def similarity_classes(
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
     rows = texts.select("text").mapInArrow(_signature_rows(buckets), "bucket int, signs binary, classes binary")
-    found = checkpoint(rows.groupBy("bucket").applyInArrow(_runs(small), "a bigint, b bigint, rank bigint"))
+    found = _written(rows.groupBy("bucket").applyInArrow(_runs(small), "a bigint, b bigint, rank bigint"), "runs")
 
     pairs = found.filter("rank < 0").select("a", "b").distinct()
     large = found.filter("rank >= 0").select(F.col("b").alias("sign"), F.col("a").alias("class"))
@@ -432,9 +439,7 @@ def similarity_classes(
     twice = described.groupBy("key", "text_hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     if not twice.isEmpty():
         chosen = chosen.dropDuplicates(["class"])
-    path = scratch_path(spark, "candidate-texts")
-    chosen.write.parquet(path)
-    chosen = spark.read.parquet(path)
+    chosen = _written(chosen, "texts")
 
     # First every class with the smallest partner it has, then what that leaves apart.
     nearest = pairs.groupBy("b").agg(F.min("a").alias("a"))
