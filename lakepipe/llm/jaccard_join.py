@@ -49,6 +49,8 @@ SIMILAR, OF = 80, 100
 #: Signature ranges are about this many bytes of text.
 BUCKET_BYTES = 12 << 20
 SMALL, BLOCK = 16, 512
+#: A chunk of a family is about BLOCK classes or this many bytes of text, whichever is less; two chunks meet in a block.
+CHUNK_BYTES = 16 << 20
 #: A signature travels as its bucket and these low bytes; strangers that agree in them cost a comparison.
 SIGN_BYTES = 5
 #: Up to so many narrow rows (some 24 MB) are broadcast to the texts they pick; more are shuffled with them.
@@ -344,20 +346,32 @@ def _verify(group: pa.Table) -> pa.Table:
     return pa.table({"a": pa.array(found_a, pa.int64()), "b": pa.array(found_b, pa.int64())})
 
 
-def _blocks(members: DataFrame, block: int) -> DataFrame:
-    """Deal the members (family, class, root, ...) to blocks in which all needed pairs meet.
+def _blocks(members: DataFrame, lengths: DataFrame, block: int, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+    """Deal the members (family, class, root, signs) to blocks in which all needed pairs meet.
 
-    A family of up to `block` classes is one block. In a larger one the classes of its largest
-    component need not meet each other: they are dealt to chunks, and every other class goes to all
-    of these; the others also meet in pairs of chunks among themselves.
+    `lengths` has (class, bytes). A family of one chunk is one block. In a larger one the classes of
+    its largest component need not meet each other. They are dealt to chunks, the others to chunks
+    of their own; every chunk of the others meets every chunk of the largest component, and every
+    other chunk of the others. A block never holds more than two chunks.
     """
-    by_root = members.groupBy("family", "root").agg(F.count(F.lit(1)).alias("n"))
-    families = by_root.groupBy("family").agg(F.sum("n").alias("size"), F.max(F.struct("n", "root")).alias("top"))
-    families = families.filter(F.col("size") > block).select(
+    by_root = (
+        members.select("family", "root", "class")
+        .join(lengths, "class")
+        .groupBy("family", "root")
+        .agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes"))
+    )
+    families = by_root.groupBy("family").agg(
+        F.sum("n").alias("size"), F.sum("bytes").alias("bytes"), F.max(F.struct("n", "root", "bytes")).alias("top")
+    )
+
+    def chunks(n, size):
+        return F.greatest(F.lit(1), F.ceil(n / block), F.ceil(size / chunk_bytes))
+
+    families = families.filter((F.col("size") > block) | (F.col("bytes") > chunk_bytes)).select(
         "family",
         F.col("top.root").alias("top"),
-        F.ceil(F.col("top.n") / block).alias("tops"),
-        F.greatest(F.lit(1), F.ceil((F.col("size") - F.col("top.n")) / block)).alias("others"),
+        chunks(F.col("top.n"), F.col("top.bytes")).alias("tops"),
+        chunks(F.col("size") - F.col("top.n"), F.col("bytes") - F.col("top.bytes")).alias("others"),
     )
     placed = members.join(families, "family", "left")
     own = F.pmod(F.xxhash64("class"), F.col("others"))
@@ -367,16 +381,20 @@ def _blocks(members: DataFrame, block: int) -> DataFrame:
             F.least(own, j).alias("x"), F.greatest(own, j).alias("y"), (own > j).cast("int").alias("side")
         ),
     )
+    # Chunk i of the others and chunk j of the largest component meet in block (-1 - i, j).
     beside = F.transform(
         F.sequence(F.lit(0), F.col("tops") - 1),
-        lambda j: F.struct(F.lit(-1).cast("bigint").alias("x"), j.alias("y"), F.lit(0).alias("side")),
+        lambda j: F.struct((-1 - own).alias("x"), j.alias("y"), F.lit(0).alias("side")),
     )
     chunk = F.pmod(F.xxhash64("class"), F.col("tops"))
-    alone = F.array(F.struct(F.lit(-1).cast("bigint").alias("x"), chunk.alias("y"), F.lit(1).alias("side")))
+    facing = F.transform(
+        F.sequence(F.lit(0), F.col("others") - 1),
+        lambda i: F.struct((-1 - i).alias("x"), chunk.alias("y"), F.lit(1).alias("side")),
+    )
     whole = F.array(F.struct(F.lit(0).cast("bigint").alias("x"), F.lit(0).cast("bigint").alias("y"), F.lit(0).alias("side")))
     place = (
         F.when(F.col("tops").isNull(), whole)
-        .when(F.col("root") == F.col("top"), alone)
+        .when(F.col("root") == F.col("top"), facing)
         .otherwise(F.concat(spread, beside))
     )
     dealt = placed.withColumn("place", F.explode(place)).drop("top", "tops", "others")
@@ -404,7 +422,8 @@ def _close(pairs: DataFrame, large: DataFrame, texts: DataFrame, links: DataFram
     )
     members = _written(members, "members")
     picked = _pick(texts, members.select("class").distinct(), "class")
-    rows = _blocks(members, block).join(picked, "class")
+    picked, lengths = picked.select("class", "text"), texts.select("class", "bytes")
+    rows = _blocks(members, lengths, block).join(picked, "class")
     return links.unionByName(rows.groupBy("family", "x", "y").applyInArrow(_verify, "a bigint, b bigint"))
 
 
@@ -439,11 +458,11 @@ def similarity_classes(
     twice = described.groupBy("key", "text_hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     if not twice.isEmpty():
         chosen = chosen.dropDuplicates(["class"])
-    chosen = _written(chosen, "texts")
+    chosen = _written(chosen.withColumn("bytes", F.octet_length("text").cast("bigint")), "texts")
 
     # First every class with the smallest partner it has, then what that leaves apart.
     nearest = pairs.groupBy("b").agg(F.min("a").alias("a"))
-    links = checkpoint(_linked(nearest, chosen, block))
+    links = checkpoint(_linked(nearest, chosen.select("class", "text"), block))
     rest = pairs.join(nearest, ["a", "b"], "left_anti")
     return described, checkpoint(_close(rest, large, chosen, links, block))
 

@@ -1,6 +1,7 @@
 import brute
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from lakepipe.llm import exact_dedup, jaccard_join, line_dedup, substring_dedup
 from lakepipe.llm.components import connected_components
@@ -108,6 +109,32 @@ def test_near_copies_that_link_only_in_a_chain(spark):
         assert ordered(got) == ordered(brute.components(rows))
 
 
+def block_members(spark, tops, others, length):
+    """One family: a component of `tops` classes and `others` that are alone."""
+    rows = [(7, c, 0 if c < tops else c, [1]) for c in range(tops + others)]
+    members = spark.createDataFrame(rows, "family bigint, class bigint, root bigint, signs array<bigint>")
+    return members, members.select("class", F.lit(length).cast("bigint").alias("bytes"))
+
+
+@pytest.mark.parametrize("tops, others, length", [(1, 600, 10), (300, 300, 10), (1, 200, 1000)])
+def test_blocks_of_a_large_family_are_bounded(spark, tops, others, length):
+    members, lengths = block_members(spark, tops, others, length)
+    dealt = jaccard_join._blocks(members, lengths, 100, 50_000).select("family", "x", "y", "side", "class").collect()
+    blocks = {}
+    for r in dealt:
+        blocks.setdefault((r.family, r.x, r.y), []).append(r)
+    most = 2 * min(100, 50_000 // length)
+    # Chunks are dealt by hash, so some hold more than the mean.
+    assert max(map(len, blocks.values())) <= 1.6 * most
+    met = set()
+    for rows in blocks.values():
+        one_side = len({r.side for r in rows}) == 1
+        for a in rows:
+            met |= {(a["class"], b["class"]) for b in rows if one_side or a.side != b.side}
+    everyone = range(tops + others)
+    assert all((a, b) in met for a in everyone for b in everyone if max(a, b) >= tops and a != b)
+
+
 def test_one_of_each_component(documents, corpus):
     got = jaccard_join.one_of_each(documents)
     assert got.columns == documents.columns
