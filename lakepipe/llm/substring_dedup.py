@@ -9,8 +9,12 @@ smallest hash of the ANCHOR-word stretches inside them. Equal windows have equal
 of anchors holds all places of its windows, and a segment needs its document and start only once. A
 slice of documents sends each of its windows once; windows that a slice holds several times are
 known to be repeated at once, so a passage that a third of the documents share costs one copy per
-slice and not one per document. In its bucket every window hash is counted; the repeated windows
-are merged into intervals, and the intervals of a document meet its text in one join.
+slice and not one per document. A phrase shorter than a window, with other words around it each
+time, is the anchor of ever new windows; anchors of more than HOT_WINDOWS windows (as a share of
+the documents shows) are therefore left, and each of their windows goes to the bucket of its own
+hash. All tasks know the same such anchors, so equal windows meet, whichever anchors these are. In
+its bucket every window hash is counted; the repeated windows are merged into intervals, and the
+intervals of a document meet its text in one join.
 
 Defined results: words are runs of bytes other than [\x20\x09-\x0D], compared unchanged; kept words
 are joined by one space. A null, empty or blank text has no words. A document with fewer words than
@@ -34,6 +38,8 @@ from lakepipe.llm.frames import fresh_name, quoted, ship, table
 WINDOW, ANCHOR = 35, 6
 #: Buckets of anchors are about this many bytes of text.
 BUCKET_BYTES = 12 << 20
+#: Anchors of more windows than this are hot; they are counted over one document in SHARE.
+HOT_WINDOWS, SHARE = 1 << 18, 64
 
 
 def _anchors(words: Words, start: np.ndarray) -> np.ndarray:
@@ -81,8 +87,29 @@ def _rows(bucket, known, documents, starts, lengths, hashes) -> pa.RecordBatch:
 SEGMENT_ROWS = "bucket int, known boolean, documents binary, starts binary, lengths binary, hashes binary"
 
 
-def _segments(buckets: int):
-    """The segments of every bucket, and the intervals that a slice knows already."""
+def _anchor_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(anchor, n): the windows of a slice at each anchor, equal ones once."""
+    for batch in batches:
+        for _, part in slices(batch.column("text")):
+            words = words_of(part)
+            start, hashes = windows(words, WINDOW)
+            if len(start):
+                first = np.unique(hashes, return_index=True)[1]
+                anchors, counts = np.unique(_anchors(words, start[first]), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(anchors.view(np.int64)), pa.array(counts)], ["anchor", "n"])
+
+
+def _hot_anchors(texts: DataFrame, hot_windows: int) -> np.ndarray:
+    """The anchors, ascending, that probably have more than `hot_windows` windows in (u, v, text)."""
+    some = texts.filter(F.pmod("v", F.lit(SHARE)) == 0).select("text")
+    counts = some.mapInArrow(_anchor_counts, "anchor bigint, n bigint").groupBy("anchor").agg(F.sum("n").alias("n"))
+    # At most one anchor for each `hot_windows` windows.
+    found = counts.filter(F.col("n") * SHARE > hot_windows).select("anchor").toArrow().column(0)
+    return np.sort(found.to_numpy().view(np.uint64))
+
+
+def _segments(buckets: int, hot):
+    """The segments of every bucket, and the intervals that a slice knows already; `hot` is a broadcast array."""
 
     def place(values: np.ndarray) -> np.ndarray:
         return (((mix(values) >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int64)
@@ -108,6 +135,8 @@ def _segments(buckets: int):
                 fresh[first] = True
                 anchor = _anchors(words, start)[fresh]
                 text, local, hashes = text[fresh], local[fresh], hashes[fresh]
+                if len(hot.value):
+                    anchor = np.where(np.isin(anchor, hot.value), hashes, anchor)
                 opens = np.ones(len(text), bool)
                 opens[1:] = (text[1:] != text[:-1]) | (local[1:] != local[:-1] + 1) | (anchor[1:] != anchor[:-1])
                 heads = np.flatnonzero(opens)
@@ -148,14 +177,17 @@ def _with_ids(docs: DataFrame, key: str, text: str, u: str, v: str) -> DataFrame
     return docs.withColumns({u: F.xxhash64(quoted(key), quoted(text)), v: F.xxhash64(quoted(text), quoted(key))})
 
 
-def repeated_intervals(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def repeated_intervals(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", hot_windows: int = HOT_WINDOWS
+) -> DataFrame:
     """(u, v, spans): for each document that loses words, intervals [first, end) of word numbers."""
     spark = docs.sparkSession
     ship(spark)
     texts = _with_ids(docs.select(quoted(key).alias("key"), quoted(text).alias("text")), "key", "text", "u", "v")
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
-    rows = texts.select("u", "v", "text").mapInArrow(_segments(buckets), SEGMENT_ROWS)
+    hot = spark.sparkContext.broadcast(_hot_anchors(texts, hot_windows))
+    rows = texts.select("u", "v", "text").mapInArrow(_segments(buckets, hot), SEGMENT_ROWS)
     spans = rows.groupBy("bucket").applyInArrow(_repeats, "u bigint, v bigint, first int, end int")
     return spans.groupBy("u", "v").agg(F.collect_list(F.struct("first", "end")).alias("spans"))
 
@@ -192,10 +224,12 @@ def remove_repeats(
     key: str = "doc_id",
     text: str = "text",
     into: tuple[str, str, str] = ("kept_text", "n_words", "n_removed"),
+    hot_windows: int = HOT_WINDOWS,
 ) -> DataFrame:
     """Add the words that stay, joined by spaces, and the numbers of words; columns of these names are replaced."""
     u, v, other, result = (fresh_name(docs, c) for c in ("_u", "_v", "_spans", "_result"))
-    spans = repeated_intervals(docs, key, text).select(F.col("u").alias(u), F.col("v").alias(v), F.col("spans").alias(other))
+    spans = repeated_intervals(docs, key, text, hot_windows)
+    spans = spans.select(F.col("u").alias(u), F.col("v").alias(v), F.col("spans").alias(other))
     kind = pa.struct([("kept", pa.string()), ("n_words", pa.int64()), ("n_removed", pa.int64())])
 
     @F.arrow_udf("kept string, n_words bigint, n_removed bigint")

@@ -1,9 +1,11 @@
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from lakepipe.llm import exact_dedup, jaccard_join, line_dedup, substring_dedup
+from lakepipe.llm.arrays import windows, words_of
 from lakepipe.llm.components import connected_components
 
 
@@ -53,6 +55,36 @@ def test_a_text_that_repeats_itself(spark):
     assert ordered(got) == ordered(brute.substring_dedup([(1, text), (2, " ".join(map(str, range(34))))], 35))
 
 
+def phrase_corpus(count=3000):
+    """A phrase of 10 words in a third of the documents, other words around it each time; some passages twice."""
+    draw = np.random.default_rng(11)
+    say = lambda n: [f"w{i}" for i in draw.integers(0, 50_000, n)]
+    # Of some phrases the one with the smallest hash inside, which is the anchor of all windows around it.
+    phrases = [f"this work is licensed under version {i} of license {i}".split() for i in range(300)]
+    lowest = lambda p: windows(words_of(pa.array([" ".join(p)])), substring_dedup.ANCHOR)[1].min()
+    phrase = min(phrases, key=lowest)
+    passage = say(20) + phrase + say(20)
+    rows = []
+    for i in range(count):
+        middle = phrase if i % 3 == 0 else passage if i % 300 == 1 else say(10)
+        rows.append((i, " ".join(say(40) + middle + say(40))))
+    return rows
+
+
+def test_a_common_phrase_does_not_fill_a_bucket(spark):
+    rows = phrase_corpus()
+    docs = spark.createDataFrame(rows, "doc_id int, text string").repartition(6)
+    texts = substring_dedup._with_ids(docs, "doc_id", "text", "u", "v")
+    hot = substring_dedup._hot_anchors(texts, 3000)
+    assert 1 <= len(hot) <= 5
+    segments = substring_dedup._segments(50, spark.sparkContext.broadcast(hot))
+    sent = texts.select("u", "v", "text").mapInArrow(segments, substring_dedup.SEGMENT_ROWS)
+    sizes = [r.n for r in sent.groupBy("bucket").agg((F.sum(F.length("hashes")) / 8).alias("n")).collect()]
+    assert sum(sizes) > 140_000 and max(sizes) <= 2 * np.mean(sizes)
+    got = substring_dedup.remove_repeats(docs, hot_windows=3000).select("doc_id", "n_words", "n_removed", "kept_text")
+    assert ordered(got.collect()) == ordered(brute.substring_dedup(rows, substring_dedup.WINDOW))
+
+
 @pytest.mark.parametrize("counters", [exact_dedup.COUNTERS, 3])
 def test_exact(documents, corpus, counters):
     got = exact_dedup.decide(documents, counters=counters).collect()
