@@ -180,7 +180,7 @@ def _with_ids(docs: DataFrame, key: str, text: str, u: str, v: str) -> DataFrame
 def repeated_intervals(
     docs: DataFrame, key: str = "doc_id", text: str = "text", hot_windows: int = HOT_WINDOWS
 ) -> DataFrame:
-    """(u, v, spans): for each document that loses words, intervals [first, end) of word numbers."""
+    """(u, v, spans): for each document that loses words, distinct intervals [first, end) of word numbers."""
     spark = docs.sparkSession
     ship(spark)
     texts = _with_ids(docs.select(quoted(key).alias("key"), quoted(text).alias("text")), "key", "text", "u", "v")
@@ -189,7 +189,7 @@ def repeated_intervals(
     hot = spark.sparkContext.broadcast(_hot_anchors(texts, hot_windows))
     rows = texts.select("u", "v", "text").mapInArrow(_segments(buckets, hot), SEGMENT_ROWS)
     spans = rows.groupBy("bucket").applyInArrow(_repeats, "u bigint, v bigint, first int, end int")
-    return spans.groupBy("u", "v").agg(F.collect_list(F.struct("first", "end")).alias("spans"))
+    return spans.groupBy("u", "v").agg(F.collect_set(F.struct("first", "end")).alias("spans"))
 
 
 def _removed(part: pa.Array, spans: pa.Array) -> pa.StructArray:

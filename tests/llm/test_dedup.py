@@ -55,6 +55,15 @@ def test_a_text_that_repeats_itself(spark):
     assert ordered(got) == ordered(brute.substring_dedup([(1, text), (2, " ".join(map(str, range(34))))], 35))
 
 
+def test_equal_rows_do_not_add_up_spans(spark):
+    rows = [(None, " ".join(f"w{i}" for i in range(60)))] * 200
+    docs = spark.createDataFrame(rows, "doc_id int, text string").repartition(4)
+    spans = substring_dedup.repeated_intervals(docs).collect()
+    # The whole text from each slice, and what the segments of its 26 windows cover.
+    found = [tuple(s) for s in spans[0].spans]
+    assert len(spans) == 1 and (0, 60) in found and len(found) == len(set(found)) <= 27
+
+
 def phrase_corpus(count=3000):
     """A phrase of 10 words in a third of the documents, other words around it each time; some passages twice."""
     draw = np.random.default_rng(11)
