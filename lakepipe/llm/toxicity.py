@@ -1,7 +1,8 @@
 """Toxicity by compression distance: how much better toxic text explains a window than ordinary text.
 
-Two zstandard dictionaries are trained: one on ordinary documents, one on what toxic documents hold
-beyond them (words that several toxic documents share and no ordinary one of the sample has). A text
+Two zstandard dictionaries are trained: one on ordinary documents, one on the words that toxic
+documents hold clearly more often (see `_toxic_words`): some ordinary rows may quote such a word or
+be labelled wrongly without taking it from the dictionary. A text
 is cut into windows of WINDOW to 2 * WINDOW bytes at white space, A-Z lower-cased. Each window is
 compressed knowing ordinary text, and knowing toxic text in front of the same ordinary text; the
 difference of the two lengths is its gap, which only toxic content can make large. A logistic
@@ -35,9 +36,10 @@ from lakepipe.llm.frames import bounded_sample, fresh_name, held_out, quoted, sh
 
 WINDOW, LEVEL = 64, 6
 TOXIC_DOCS, ORDINARY_DOCS, TEXT_BYTES = 2000, 6000, 1 << 16
-TOXIC_BYTES, ORDINARY_BYTES = 1024, 16384
-#: Toxic words stand in at least so many toxic documents of the sample, and in this share of them.
-LEAST_DOCS, LEAST_SHARE = 3, 0.005
+TOXIC_BYTES, ORDINARY_BYTES = 4096, 16384
+#: Toxic words stand in at least so many toxic documents of the sample, so many times as often there
+#: as in ordinary ones, with this log-likelihood ratio (2e-4 of unrelated words reach it).
+LEAST_DOCS, LEAST_RATIO, LEAST_EVIDENCE = 3, 4, 14
 LARGE = 4
 CUT = 0.3
 
@@ -98,6 +100,23 @@ def _words(text: str) -> list[bytes]:
     return text.encode().translate(_PLAIN).split()
 
 
+def _toxic_words(toxic: list[str], ordinary: list[str]) -> set[bytes]:
+    """Words whose smoothed document frequency is LEAST_RATIO times that of ordinary documents, beyond chance."""
+    inside, outside = (Counter(w for t in texts for w in set(_words(t))) for texts in (toxic, ordinary))
+    found = set()
+    for word, n in inside.items():
+        other = outside[word]
+        if n < LEAST_DOCS or (n + 0.5) * (len(ordinary) + 1) < LEAST_RATIO * (other + 0.5) * (len(toxic) + 1):
+            continue
+        expected = (n + other) * len(toxic) / (len(toxic) + len(ordinary))
+        evidence = n * np.log(n / expected)
+        if other:
+            evidence += other * np.log(other / (n + other - expected))
+        if 2 * evidence >= LEAST_EVIDENCE:
+            found.add(word)
+    return found
+
+
 def train(texts: list[str], labels: list[int], ordinary_per_toxic: float | None = None) -> ToxicityModel | None:
     """Dictionaries from every other row, calibration on the rest.
 
@@ -107,10 +126,8 @@ def train(texts: list[str], labels: list[int], ordinary_per_toxic: float | None
     toxic, ordinary = ([t for t, y in zip(texts, labels) if y == wanted] for wanted in (1, 0))
     if len(toxic) < 2 or len(ordinary) < 2:
         return None
-    known = {w for t in ordinary[::2] for w in _words(t)}
-    spread = Counter(w for t in toxic[::2] for w in set(_words(t)) - known)
-    least = max(LEAST_DOCS, LEAST_SHARE * len(toxic[::2]))
-    distinct = [b" ".join(w for w in _words(t) if spread[w] >= least) + b" " for t in toxic[::2]]
+    chosen = _toxic_words(toxic[::2], ordinary[::2])
+    distinct = [b" ".join(w for w in _words(t) if w in chosen) + b" " for t in toxic[::2]]
     ordinary_dict = _dictionary([w for t in ordinary[::2] for w in windows(t)], ORDINARY_BYTES)
     toxic_dict = _dictionary([s for s in distinct if len(s) >= 8], TOXIC_BYTES)
 

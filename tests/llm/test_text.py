@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import brute
@@ -138,6 +139,34 @@ def test_toxicity_of_held_out_documents(spark):
     assert sum(s >= 0.3 for s in ordinary) <= 0.05 * len(ordinary)
 
 
+INSULTS = [f"{a}{b}" for a in ("grub", "snot", "muck", "vile", "dolt") for b in ("face", "head", "wit", "bag", "worm", "ling", "ard", "fish")]
+
+
+def labelled_texts(seed, count):
+    """A tenth toxic, with insults; an ordinary text in 100 quotes one."""
+    draw = random.Random(seed)
+    rows = []
+    for i in range(count):
+        words = [f"{draw.choice('bdklmnprst')}{draw.choice('aeiou')}{draw.randrange(300)}" for _ in range(40)]
+        toxic = int(i % 10 == 0)
+        if toxic or draw.random() < 0.01:
+            for _ in range(3 if toxic else 1):
+                words.insert(draw.randrange(40), draw.choice(INSULTS))
+        rows.append((" ".join(words), toxic))
+    return rows
+
+
+@pytest.mark.parametrize("flipped", [0.0, 0.02])
+def test_toxicity_with_quotes_and_wrong_labels(flipped):
+    rows, draw = labelled_texts(1, 6000), random.Random(2)
+    given = [1 - y if draw.random() < flipped else y for _, y in rows]
+    # The first ordinary text is a list of all insults.
+    model = toxicity.train([" ".join(INSULTS), *(t for t, _ in rows)], [0, *given])
+    judged = [(toxicity.score(t, model) >= toxicity.CUT, y) for t, y in labelled_texts(3, 1500)]
+    hits = sum(p and y for p, y in judged)
+    assert hits >= 0.85 * sum(y for _, y in judged) and hits >= 0.85 * sum(p for p, _ in judged)
+
+
 def test_toxicity_of_odd_texts(spark, documents, nothing):
     usual = spark.read.parquet(f"{MIDDLE}/documents.parquet")
     labels = spark.read.parquet(f"{MIDDLE}/labels.parquet")
