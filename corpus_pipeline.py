@@ -19,8 +19,13 @@ LEAST_SCORE = 0.3
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language the network knows; learnt from the documents that come in."""
+    """Documents in a language the network knows; learnt from the documents that come in.
+
+    If no document tells its language, the network knows none: then all documents with letters stay.
+    """
     model = language_id.fit(docs)
+    if not model.languages:
+        return docs.filter(F.col("text").rlike(r"\p{L}"))
     lang, score = fresh_name(docs, "_lang_pred"), fresh_name(docs, "_lang_score")
     found = language_id.identify(docs, model, into=(lang, score))
     keep = (F.col(lang) != language_id.UNDETERMINED) & (F.col(score) >= LEAST_SCORE)

@@ -58,6 +58,13 @@ def test_every_stage_against_brute_force(spark, tmp_path):
         assert rows[key].decoded_sha256 == brute.sha(text)
 
 
+def test_documents_without_any_known_language_stay(spark):
+    rows = [(1, "a clean text"), (2, "ein anderer Text"), (3, "12 345"), (4, None), (5, "")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").selectExpr("*", "CAST(NULL AS string) AS lang")
+    got = corpus_pipeline.language(spark, docs, SMALL)
+    assert {r.doc_id for r in got.collect()} == {1, 2} and got.columns == docs.columns
+
+
 def test_stages_take_odd_documents_and_none(spark, documents, nothing, tmp_path):
     columns = [c for c in documents.columns if c != "a.b"]
     for docs in (documents.select(columns), nothing):
