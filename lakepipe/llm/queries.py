@@ -8,6 +8,7 @@ from lakepipe.llm import (
     language_id,
     line_dedup,
     sharding,
+    simhash,
     substring_dedup,
     token_files,
     toxicity,
@@ -24,6 +25,7 @@ MODULES = (
     sharding,
     token_files,
     language_id,
+    simhash,
 )
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 ORACLE = {name: sql for module in MODULES for name, sql in module.ORACLE.items()}
