@@ -14,7 +14,7 @@ even share of the bits, four sevenths for radius 2.
 Only distinct fingerprints enter the tables, however many copies a text has. A bucket with more than
 BUCKET of them is not compared pair by pair: its members go through another covering of the bits its
 mask leaves open, which keeps the guarantee, because the pair still differs in at most RADIUS of
-those. Masks grow until buckets are small, after four rounds at the latest.
+those. Masks grow until buckets are small, after a few rounds.
 
 Defined results: a null or empty text, or one without words, has the fingerprint zero, which is
 linked like any other. Fewer words than a shingle count as one shingle. A component is named after
@@ -132,16 +132,19 @@ def _pairs(codes: Column, radius: int) -> Column:
 
 def _rows_of(rows: DataFrame, masks: dict[int, list[int]]) -> DataFrame:
     """(mask, place, code): the buckets of every row under the masks that follow its own."""
-    after = F.lit(None).cast("array<bigint>")
-    for mask, more in masks.items():
-        choices = F.array(*[F.lit(_signed(m)).cast("bigint") for m in more])
-        after = F.when(F.col("mask") == _signed(mask), choices).otherwise(after)
-    split = rows.select("code", F.explode(after).alias("mask"))
+    pairs = [(_signed(mask), _signed(m)) for mask, more in masks.items() for m in more]
+    after = rows.sparkSession.createDataFrame(pairs, "mask bigint, next bigint")
+    # At most a few thousand rows of two numbers: 7 masks, then 49, then 343, whatever the table.
+    split = rows.join(F.broadcast(after), "mask").select("code", F.col("next").alias("mask"))
     return split.select("mask", F.col("code").bitwiseAND(F.col("mask")).alias("place"), "code")
 
 
 def links(codes: DataFrame, radius: int = RADIUS, bucket: int = BUCKET) -> DataFrame:
-    """All pairs (a, b), a < b, of the distinct `code` values that differ in at most `radius` bits."""
+    """All pairs (a, b), a < b, of the distinct `code` values that differ in at most `radius` bits.
+
+    Masks grow as long as 2^radius bits are open, so a bucket limit below 2^(2^radius - 1) is raised to that.
+    """
+    bucket = max(bucket, 1 << ((1 << radius) - 1))
     found, masks = [], _next_masks([0], radius)
     rows = _rows_of(codes.select("code", F.lit(0).cast("bigint").alias("mask")), masks)
     while masks:
