@@ -2,6 +2,7 @@
 
 from lakepipe.llm import (
     byte_bpe,
+    conversations,
     decontamination,
     exact_dedup,
     jaccard_join,
@@ -26,6 +27,7 @@ MODULES = (
     token_files,
     language_id,
     simhash,
+    conversations,
 )
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 ORACLE = {name: sql for module in MODULES for name, sql in module.ORACLE.items()}
