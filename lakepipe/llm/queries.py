@@ -10,6 +10,7 @@ from lakepipe.llm import (
     line_dedup,
     sharding,
     simhash,
+    spelling,
     substring_dedup,
     token_files,
     toxicity,
@@ -28,6 +29,7 @@ MODULES = (
     language_id,
     simhash,
     conversations,
+    spelling,
 )
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 ORACLE = {name: sql for module in MODULES for name, sql in module.ORACLE.items()}
