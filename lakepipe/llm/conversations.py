@@ -407,4 +407,79 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op12_conversation_repair": op12_conversation_repair}
-ORACLE: dict[str, str] = {}
+ORACLE = {
+    "op12_conversation_repair": f"""
+        WITH RECURSIVE octets AS (SELECT unnest(range(256)) AS b),
+        bits AS (
+            SELECT b, 0 AS k, b AS v FROM octets
+            UNION ALL SELECT b, k + 1, xor(v >> 1, CASE WHEN v & 1 = 1 THEN 3988292384 ELSE 0 END) FROM bits WHERE k < 8),
+        step AS (SELECT b, v FROM bits WHERE k = 8),
+        given AS (
+            SELECT *, dense_rank() OVER (ORDER BY conv_id NULLS FIRST) AS k,
+                   coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS name
+            FROM conversations),
+        -- The checksum of a name, one character after the other.
+        crc AS (
+            SELECT name, 0 AS at_char, 4294967295 AS v FROM (SELECT DISTINCT name FROM given)
+            UNION ALL
+            SELECT name, at_char + 1, xor(crc.v >> 8, step.v)
+            FROM crc JOIN step ON step.b = xor(crc.v & 255, ascii(substr(name, at_char + 1, 1))) WHERE at_char < length(name)),
+        choices AS (SELECT name, xor(4294967295, v) % 20 AS choice FROM crc WHERE at_char = length(name)),
+        damaged AS (
+            SELECT k, turn, CASE WHEN choice = 4 THEN 'user' ELSE coalesce(role, ' ') END AS role,
+                   CASE choice WHEN 1 THEN '' WHEN 2 THEN translate(coalesce(text, ' '), '.!?', '')
+                               ELSE coalesce(text, ' ') END AS text,
+                   unnest(CASE WHEN choice = 3 THEN [1, 2] ELSE [1] END) AS copy
+            FROM given JOIN choices USING (name) WHERE choice <> 0),
+        numbered AS (
+            SELECT *, left(role, 1) AS initial,
+                   row_number() OVER (PARTITION BY k ORDER BY turn NULLS FIRST, role, md5(text), copy) AS i,
+                   row_number() OVER (PARTITION BY k, role, text ORDER BY turn NULLS FIRST, copy) AS seen
+            FROM damaged),
+        faulty AS (
+            SELECT *, CASE WHEN NOT regexp_matches(text, '[^\\x20\\x09-\\x0D]') THEN 1 WHEN seen > 1 THEN 2
+                           WHEN NOT regexp_matches(text, '[.!?][\\x20\\x09-\\x0D]*$') THEN 3 ELSE 0 END AS fault,
+                   lag(initial) OVER (PARTITION BY k ORDER BY i) || initial AS pair
+            FROM numbered),
+        counts AS (
+            SELECT k, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) AS n,
+                   count(*) FILTER (fault = 1) AS blank, count(*) FILTER (fault = 2) AS duplicate,
+                   count(*) FILTER (fault = 3) AS truncated,
+                   count(*) FILTER (pair IS NOT NULL AND pair NOT IN ('su', 'ua', 'au')) AS illegal
+            FROM faulty GROUP BY k),
+        wanted(q, next, wanted_role) AS (VALUES (0, 2, 'user'), (1, 2, 'user'), (2, 3, 'assistant'), (3, 2, 'user')),
+        kept(q, initial, next) AS (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)),
+        inserts AS (
+            SELECT q, q AS mid, 0 AS cost, '' AS letters, '' AS lines FROM wanted
+            UNION ALL SELECT q, next, {INSERT}, 'I', chr(10) || wanted_role || ':' FROM wanted
+            UNION ALL SELECT a.q, b.next, {2 * INSERT}, 'II', chr(10) || a.wanted_role || ':' || chr(10) || b.wanted_role || ':'
+                      FROM wanted a JOIN wanted b ON b.q = a.next),
+        -- All ways over one row from each state.
+        ways AS (
+            SELECT k, i, s.q, s.mid AS next, s.cost + {DELETE} AS cost, letters || 'D' AS letters, lines
+            FROM faulty, inserts s
+            UNION ALL
+            SELECT k, i, s.q, kept.next, s.cost + CASE WHEN fault = 3 THEN {UNFINISHED} ELSE 0 END, letters || 'K',
+                   lines || chr(10) || role || ':' || text
+            FROM faulty, inserts s JOIN kept ON kept.q = s.mid WHERE kept.initial = faulty.initial AND fault NOT IN (1, 2)
+            UNION ALL
+            SELECT k, i, s.q, w.next, s.cost + {RENAME} + CASE WHEN fault = 3 THEN {UNFINISHED} ELSE 0 END, letters || 'R',
+                   lines || chr(10) || w.wanted_role || ':' || text
+            FROM faulty, inserts s JOIN wanted w ON w.q = s.mid WHERE fault NOT IN (1, 2)),
+        best AS (
+            SELECT DISTINCT k, CAST(0 AS BIGINT) AS i, 0 AS q, {{'cost': 0, 'letters': '', 'lines': ''}} AS b FROM given
+            UNION ALL
+            SELECT best.k, ways.i, ways.next, min({{'cost': b.cost + ways.cost, 'letters': b.letters || ways.letters,
+                                                   'lines': b.lines || ways.lines}})
+            FROM best JOIN ways ON ways.k = best.k AND ways.i = best.i + 1 AND ways.q = best.q
+            GROUP BY best.k, ways.i, ways.next),
+        ended AS (
+            SELECT best.k, min({{'cost': b.cost + s.cost, 'letters': b.letters || s.letters, 'lines': b.lines || s.lines}}) AS b
+            FROM best JOIN inserts s ON s.q = best.q LEFT JOIN counts ON counts.k = best.k
+            WHERE i = coalesce(n, 0) AND s.mid IN (0, 3) GROUP BY best.k)
+        SELECT DISTINCT conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+               coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(b.cost AS BIGINT) AS cost,
+               b.letters AS audit, sha256(substr(b.lines, 2)) AS repaired_sha256
+        FROM given JOIN ended USING (k) LEFT JOIN counts USING (k)
+    """
+}

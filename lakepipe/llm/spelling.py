@@ -42,8 +42,8 @@ LEAST_POINTS, LEAST_COUNT, RATIO = 6, 5, 5
 GROUP, LEAST_SYMBOLS = 8, 4
 #: Fixed by the contract: letters of a run, and one of so many runs loses a letter.
 RUN, DAMAGED = "[a-zÀ-ÿ]+", 199
-#: Words whose neighbourhoods are made at once, and the bytes a word takes in a broadcast table.
-CHUNK, ROW_BYTES = 2048, 64
+#: Letters of the words whose neighbourhoods are made at once, and the bytes a word takes in a broadcast table.
+CHUNK, ROW_BYTES = 1 << 14, 64
 
 _BASE = np.uint64(0x9E3779B97F4A7C15 & ~7 | 5)
 _BACK = np.uint64(pow(int(_BASE), -1, 1 << 64))
@@ -109,14 +109,26 @@ def _hashed(vocabulary: DataFrame, symbols: int) -> DataFrame:
     return vocabulary.select("word", "n").mapInArrow(hashes, "word string, n bigint, reduced bigint")
 
 
+def _chunks(words: list[str]) -> Iterator[list[str]]:
+    """The words in pieces of about CHUNK letters, or one longer word."""
+    chunk, letters = [], 0
+    for word in words:
+        if chunk and letters + len(word) > CHUNK:
+            yield chunk
+            chunk, letters = [], 0
+        chunk.append(word)
+        letters += len(word)
+    if chunk:
+        yield chunk
+
+
 def _neighbours(sample: DataFrame, symbols: int) -> DataFrame:
     """(reduced, near): the neighbourhood of every reduced word, of which `sample` has a word each."""
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            words = batch.column("word").to_pylist()
-            for at in range(0, len(words), CHUNK):
-                for _, reduced in _reduced(words[at : at + CHUNK], symbols):
+            for words in _chunks(batch.column("word").to_pylist()):
+                for _, reduced in _reduced(words, symbols):
                     own = _prefixes(reduced)[0][:, -1]
                     near = np.sort(neighbourhood(reduced, symbols), axis=1)
                     fresh = np.ones(near.shape, bool)
@@ -219,11 +231,11 @@ ORACLE = {
             SELECT b, 0 AS k, b AS v FROM octets
             UNION ALL SELECT b, k + 1, xor(v >> 1, CASE WHEN v & 1 = 1 THEN 3988292384 ELSE 0 END) FROM bits WHERE k < 8),
         step AS (SELECT b, v FROM bits WHERE k = 8),
-        r AS (
+        found AS (
             SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
                                   'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]+')) AS run
             FROM documents),
-        runs AS (SELECT doc_id, run, count(*) AS n FROM r GROUP BY ALL),
+        runs AS (SELECT doc_id, run, count(*) AS n FROM found GROUP BY ALL),
         names AS (
             SELECT DISTINCT doc_id, run, hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)) AS octets FROM runs),
         most AS (SELECT max(length(octets)) // 2 AS n FROM names),
@@ -246,8 +258,8 @@ ORACLE = {
             SELECT doc_id, run, xor(4294967295, xor(sums.v, start.v)) AS h FROM sums JOIN start ON start.d = size),
         w AS (
             SELECT CASE WHEN h % {DAMAGED} = 0
-                        THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n
-            FROM runs JOIN hashed ON runs.run = hashed.run AND runs.doc_id IS NOT DISTINCT FROM hashed.doc_id),
+                        THEN substr(r.run, 1, h % length(r.run)) || substr(r.run, h % length(r.run) + 2) ELSE r.run END AS word, n
+            FROM runs r JOIN hashed ON r.run = hashed.run AND r.doc_id IS NOT DISTINCT FROM hashed.doc_id),
         v AS (
             SELECT word, CAST(sum(n) AS BIGINT) AS n FROM w WHERE length(word) >= {LEAST_POINTS}
             GROUP BY word HAVING sum(n) >= {LEAST_COUNT}),
@@ -266,9 +278,9 @@ ORACLE = {
                    CASE WHEN -best.less >= {RATIO} * v.n THEN -best.less END AS form_n
             FROM v LEFT JOIN best USING (word)),
         chain AS (
-            SELECT word, word AS at, 0 AS steps FROM f
-            UNION ALL SELECT chain.word, f.form, steps + 1 FROM chain JOIN f ON f.word = chain.at WHERE f.form IS NOT NULL)
-        SELECT f.word, form, arg_max(at, steps) AS root, any_value(f.n) AS n, any_value(n_near) AS n_near, form_n
+            SELECT word, word AS reached, 0 AS steps FROM f
+            UNION ALL SELECT chain.word, f.form, steps + 1 FROM chain JOIN f ON f.word = chain.reached WHERE f.form IS NOT NULL)
+        SELECT f.word, form, arg_max(reached, steps) AS root, any_value(f.n) AS n, any_value(n_near) AS n_near, form_n
         FROM f JOIN chain ON chain.word = f.word GROUP BY f.word, form, form_n
     """
 }

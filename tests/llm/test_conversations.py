@@ -3,6 +3,7 @@ import random
 import re
 import zlib
 
+import duckdb
 import pytest
 
 from lakepipe.llm import conversations
@@ -127,6 +128,10 @@ def test_damage_and_repair(spark, turns, tmp_path):
     got = conversations.op12_conversation_repair(spark, str(tmp_path)).collect()
     want = [(c, *plain_conversation(rows)) for c, rows in plain_damage(turns + more).items()]
     assert ordered(got) == ordered(want)
+    db = duckdb.connect()
+    db.sql(f"CREATE VIEW conversations AS SELECT * FROM '{tmp_path}/conversations.parquet/*.parquet' WHERE conv_id IS DISTINCT FROM 101")
+    fewer = [r for r in want if r[0] != 101]
+    assert ordered(db.sql(conversations.ORACLE["op12_conversation_repair"]).fetchall()) == ordered(fewer)
     assert any(r.audit == "" and r.repaired_sha256 == hashlib.sha256(b"").hexdigest() for r in got)
 
 
