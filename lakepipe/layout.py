@@ -41,5 +41,9 @@ class Layout:
     def high_marks(self) -> str:
         return f"{self.base}/metadata/high_marks"
 
+    @property
+    def load_plans(self) -> str:
+        return f"{self.base}/metadata/load_plans"
+
     def staging(self, table: str, run_id: str) -> str:
         return f"{self.base}/staging/{table}/{run_id}"

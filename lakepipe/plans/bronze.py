@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import hashlib
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakepipe.sources.readers import BAD_RECORD, read_csv
-from lakepipe.sources.writers import write_partitioned
+from lakepipe.sources.writers import replace_folder
 
 BATCH = "batch_id"
 BATCH_COLUMNS = ["ingest_date", BATCH]
@@ -27,6 +28,12 @@ TRANSACTION_SOURCE = T.StructType(
 )
 
 
+#: What Bronze transactions have besides: types of the folder names, so that none is guessed.
+BRONZE_TRANSACTIONS = T.StructType(
+    [*TRANSACTION_SOURCE.fields, T.StructField("ingest_date", T.DateType()), T.StructField(BATCH, T.StringType())]
+)
+
+
 def stamp_ingest(df: DataFrame, as_of: str | None = None) -> DataFrame:
     """Add `ingest_date`: today, or a given day when a load is repeated."""
     return df.withColumn("ingest_date", F.current_date() if as_of is None else F.lit(as_of).cast("date"))
@@ -49,21 +56,26 @@ def ingest_dataset(
     delimiter: str = ",",
     schema: T.StructType | None = None,
     as_of: str | None = None,
+    batch: str | None = None,
 ) -> str:
     """Load CSV files into a Bronze table as one batch; returns the batch's name.
 
-    The table is partitioned by ingest date and batch. The same files on the same day are the same
-    batch and replace it; any other file adds a batch, so nothing is lost and nothing doubles. With
-    a schema, rows that don't parse go to a table of their own, with their text.
+    The table is partitioned by ingest date and batch. A batch is named after its files and its day,
+    unless `batch` names it. The same batch of the same day replaces what it held, rejected rows
+    included, also when nothing is left of them; any other batch is added, so nothing is lost and
+    nothing doubles. With a schema, rows that don't parse go to a table of their own, with their text.
     """
     day = as_of or str(spark.sql("SELECT current_date()").first()[0])
     raw = read_csv(spark, source_path, schema, delimiter, keep_bad_records=schema is not None)
-    batch = batch_of(raw.inputFiles(), day)
-    stamped = stamp_ingest(raw, day).withColumn(BATCH, F.lit(batch))
+    batch = batch or batch_of(raw.inputFiles(), day)
+    if not re.fullmatch(r"[\w.-]+", batch):
+        raise ValueError(f"a batch is named with letters, digits, dots, dashes and underscores, not {batch!r}")
+    folder = f"ingest_date={day}/{BATCH}={batch}"
+    rows = raw
     if schema is not None:
         bad = F.col(BAD_RECORD).isNotNull()
         # The parser fills the text of a bad row only where other columns are read with it.
-        write_partitioned(stamped.filter(bad), rejected(target_path), BATCH_COLUMNS, "replace")
-        stamped = stamped.filter(~bad).drop(BAD_RECORD)
-    write_partitioned(stamped, target_path, BATCH_COLUMNS, "replace")
+        replace_folder(raw.filter(bad), rejected(target_path), folder)
+        rows = raw.filter(~bad).drop(BAD_RECORD)
+    replace_folder(rows, target_path, folder)
     return batch

@@ -12,10 +12,9 @@ from lakepipe.layout import Layout
 from lakepipe.operators.history import merge_history
 from lakepipe.operators.quality import FinerThan, orphans, quality_report, require_clean
 from lakepipe.plans import bronze, dimensions, facts, features, marts, models, silver, training
-from lakepipe.session import scratch_path
 from lakepipe.sources.readers import read_table
 from lakepipe.sources.state import note_batch, run_values
-from lakepipe.sources.writers import overwrite, remove, stage
+from lakepipe.sources.writers import overwrite
 
 
 class Jobs:
@@ -30,9 +29,10 @@ class Jobs:
     def _feature(self, table: str) -> DataFrame:
         return read_table(self.spark, self.layout.features(table))
 
-    def ingest_transactions(self, source: str, as_of: str | None = None) -> None:
+    def ingest_transactions(self, source: str, as_of: str | None = None, batch: str | None = None) -> None:
+        """A corrected delivery replaces the first one if it has the same files and day, or the same `batch` and day."""
         target = self.layout.bronze("transactions")
-        batch = bronze.ingest_dataset(self.spark, source, target, ",", bronze.TRANSACTION_SOURCE, as_of)
+        batch = bronze.ingest_dataset(self.spark, source, target, ",", bronze.TRANSACTION_SOURCE, as_of, batch)
         note_batch(self.spark, self.layout.batches, "transactions", batch, "ingested")
 
     def ingest_customers(self, source: str, schema: T.StructType | None = None, as_of: str | None = None) -> None:
@@ -63,9 +63,7 @@ class Jobs:
     def update_customer_dimension(self, as_of: str) -> None:
         """Merge the current Silver customers into the dimension and keep the old versions."""
         merged = merge_history(self._gold("dim_customer"), self._customers(), "customer_id", "customer_sk", as_of)
-        path = scratch_path(self.spark, "dim_customer")
-        overwrite(stage(merged, path), self.layout.gold("dim_customer"))
-        remove(self.spark, path)
+        overwrite(merged, self.layout.gold("dim_customer"))
 
     def fact_transactions(self) -> None:
         transactions = read_table(self.spark, self.layout.silver("transactions"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,15 +11,23 @@ from pyspark.sql import functions as F
 from lakepipe.functions.keys import bucket_of, row_key, row_token
 from lakepipe.functions.times import source_timestamp
 from lakepipe.layout import Layout
-from lakepipe.operators.dedup import keep_first, keep_first_desc, not_yet_loaded
+from lakepipe.operators.dedup import keep_first, keep_first_desc
 from lakepipe.operators.ordering import dense_ids, dense_row_ids
 from lakepipe.operators.quality import AllowedValues, NotNull, UniqueKey, quality_report, require_clean
-from lakepipe.plans.bronze import BATCH, BATCH_COLUMNS, FEATURE_COLUMNS
+from lakepipe.plans import ledger
+from lakepipe.plans.bronze import BATCH, BATCH_COLUMNS, BRONZE_TRANSACTIONS, FEATURE_COLUMNS
 from lakepipe.sources.readers import read_or_empty, read_table
-from lakepipe.sources.state import note_batch, pending_batches
-from lakepipe.sources.writers import overwrite, remove, stage, write_partitioned
+from lakepipe.sources.state import first_loads, note_batch, pending_batches
+from lakepipe.sources.writers import overwrite, remove, stage, subfolders, write_partitioned
 
 BUSINESS_COLUMNS = [*FEATURE_COLUMNS, "amount", "fraud_flag"]
+SILVER_SCHEMA = ", ".join(
+    [
+        "transaction_id string, customer_id bigint, transaction_timestamp timestamp_ntz",
+        *[f"{c} double" for c in FEATURE_COLUMNS],
+        f"amount double, fraud_flag int, ingest_date date, transaction_date date, {BATCH} string",
+    ]
+)
 TRANSACTION_RULES = (
     NotNull("transaction_id"),
     NotNull("customer_id"),
@@ -49,16 +58,18 @@ def transform_customers(
     return numbered.select("customer_id", *clean.columns)
 
 
-def transform_transactions(df: DataFrame, customer_count: int, draw: Column | None = None) -> DataFrame:
+def transform_transactions(
+    df: DataFrame, customer_count: int, draw: Column | None = None, within: Sequence[str] = ()
+) -> DataFrame:
     """Typed, deduplicated transactions with keys.
 
-    Of rows equal in every business column the earliest stays. `transaction_id` is a hash of the
-    business columns and customer_id a hash of them modulo the number of customers (or `draw`
-    modulo that number), so a repeated load gives the same ids.
+    Of rows equal in every business column, and in the columns `within`, the earliest stays.
+    `transaction_id` is a hash of the business columns and customer_id a hash of them modulo the
+    number of customers (or `draw` modulo that number), so a repeated load gives the same ids.
     """
     named = df.withColumnsRenamed({"Class": "fraud_flag", "Amount": "amount"})
-    needed = named.select("Time", *BUSINESS_COLUMNS, "ingest_date")
-    first = keep_first(needed, BUSINESS_COLUMNS, ["ingest_date", "Time"])
+    needed = named.select("Time", *BUSINESS_COLUMNS, "ingest_date", *within)
+    first = keep_first(needed, [*BUSINESS_COLUMNS, *within], ["ingest_date", "Time"])
     token = row_token(*BUSINESS_COLUMNS) if draw is None else draw
     return (
         first.withColumn("transaction_timestamp", source_timestamp("Time"))
@@ -76,6 +87,7 @@ def transform_transactions(df: DataFrame, customer_count: int, draw: Column | No
             "transaction_date",
             *BUSINESS_COLUMNS,
             "ingest_date",
+            *within,
         )
     )
 
@@ -108,49 +120,100 @@ def load_customers(spark: SparkSession, layout: Layout, key: str | None = None)
     known = read_or_empty(spark, map_path, "_natural string, customer_id bigint")
     highest = known.agg(F.max("customer_id")).first()[0]
     added = rows.select("_natural").join(known, "_natural", "left_anti")
-    added = stage(added, layout.staging("customer_ids", uuid.uuid4().hex))
+    staging = layout.staging("customer_ids", uuid.uuid4().hex)
+    added = stage(added, staging)
     if not added.isEmpty():
         numbered = dense_ids(added, "_natural", "customer_id", start=0 if highest is None else highest + 1)
         numbered.select("_natural", "customer_id").write.mode("append").parquet(map_path)
+    remove(spark, staging)
     with_ids = clean_customers(rows).join(read_table(spark, map_path), "_natural").drop("_natural")
     first = ["customer_id", *[c for c in with_ids.columns if c != "customer_id"]]
     overwrite(with_ids.select(first), layout.silver("customers"))
 
 
 def load_transactions(spark: SparkSession, layout: Layout) -> DataFrame | None:
-    """Load every Bronze batch that has not been loaded; returns the rows added, or None without new batches.
+    """Load every Bronze batch that has not been loaded as it is; returns its rows, or None without new batches.
 
-    Each batch is cleaned, staged, and left without rows that other batches have brought already.
-    What remains is checked and published into the batch's own folders; then the batch is noted as
-    loaded. A load that broke off at any point can be run again: the same batch replaces its own
-    folders. Of equal transactions the one loaded first stays, inside a batch the earliest.
+    A batch that was ingested again is corrected: what it no longer holds goes, see `load_batch`.
     """
+    finished = finish_loads(spark, layout)
     pending = pending_batches(spark, layout.batches, "transactions")
-    if not pending:
-        return None
-    bronze = read_table(spark, layout.bronze("transactions"))
-    customer_count = read_table(spark, layout.silver("customers")).count()
     for batch in pending:
-        silver = transform_transactions(bronze.filter(F.col(BATCH) == batch), customer_count)
-        publish_transactions(silver, layout, batch)
-        note_batch(spark, layout.batches, "transactions", batch, "loaded")
-    return read_table(spark, layout.silver("transactions")).filter(F.col(BATCH).isin(pending))
+        load_batch(spark, layout, batch)
+    loaded = sorted({*finished, *pending})
+    return silver_transactions(spark, layout).filter(F.col(BATCH).isin(loaded)) if loaded else None
+
 
+def silver_transactions(spark: SparkSession, layout: Layout) -> DataFrame:
+    return read_or_empty(spark, layout.silver("transactions"), SILVER_SCHEMA)
 
-def publish_transactions(silver: DataFrame, layout: Layout, batch: str) -> None:
-    """Add the rows of a batch that no other batch has brought; check them first.
 
-    Keys are kept in a narrow table of their own, so that history costs 32 bytes a row. A batch
-    that Spark may broadcast meets it without a shuffle.
+def load_batch(spark: SparkSession, layout: Layout, batch: str) -> None:
+    """Make Silver hold what Bronze now holds of one batch.
+
+    Of equal transactions Silver has one, that of the batch loaded first; inside a batch the earliest.
+    A ledger knows which batches hold a transaction and which one owns it. So the load is a
+    difference: the batch's rows that no other batch owns replace those it owned, and transactions it
+    has withdrawn come back from the batch loaded first among the others that hold them, if any.
+
+    All of this is worked out and checked first, and staged as a plan: the new content of every
+    folder it touches. Only then is anything changed, folder by folder. A load that breaks off before
+    its plan is complete has changed nothing; one that breaks off later is finished by the next load,
+    whose writes are the same again. One load runs at a time.
     """
-    spark = silver.sparkSession
-    staging = layout.staging("transactions", f"{batch}-{uuid.uuid4().hex}")
-    staged = stage(silver, staging)
-    keys = layout.silver("transaction_keys")
-    others = read_or_empty(spark, keys, "transaction_id string, batch_id string").filter(F.col(BATCH) != batch)
-    fresh = not_yet_loaded(staged, others, "transaction_id")
+    plan = f"{layout.load_plans}/{uuid.uuid4().hex}"
+    customer_count = read_table(spark, layout.silver("customers")).count()
+    bronze = read_or_empty(spark, layout.bronze("transactions"), BRONZE_TRANSACTIONS)
+    rows = stage(transform_transactions(bronze.filter(F.col(BATCH) == batch), customer_count), f"{plan}/rows")
+    known = read_or_empty(spark, layout.silver("transaction_ledger"), ledger.SCHEMA)
+    change = ledger.difference(rows, batch, known, first_loads(spark, layout.batches, "transactions"))
+
+    added = change.owned_rows.withColumn(BATCH, F.lit(batch))
+    sources = [r[BATCH] for r in change.heirs.select(BATCH).distinct().collect()]
+    if sources:
+        again = transform_transactions(bronze.filter(F.col(BATCH).isin(sources)), customer_count, within=[BATCH])
+        returned = again.join(change.heirs.select("transaction_id", BATCH), ["transaction_id", BATCH], "left_semi")
+        beside = silver_transactions(spark, layout).join(change.folders, ledger.FOLDER, "left_semi")
+        beside = beside.join(change.heirs.select("transaction_id"), "transaction_id", "left_anti")
+        checked = added.unionByName(returned)
+        whole = checked.unionByName(beside)
+    else:
+        checked = whole = added
+    staged = stage(whole, f"{plan}/transactions")
+    fresh = staged if whole is checked else stage(checked, f"{plan}/checked")
     require_clean(quality_report(fresh, "silver_transactions", TRANSACTION_RULES))
-    named = fresh.withColumn(BATCH, F.lit(batch))
-    write_partitioned(named, layout.silver("transactions"), ["transaction_date", BATCH], mode="replace")
-    write_partitioned(named.select("transaction_id", BATCH), keys, [BATCH], mode="replace")
-    remove(spark, staging)
+    stage(change.entries, f"{plan}/ledger")
+    stage(change.stale, f"{plan}/stale")
+    stage(spark.range(1).select(F.lit(batch).alias(BATCH)), f"{plan}/{READY}")
+    _carry_out(spark, layout, plan, batch)
+
+
+#: The part of a plan that is written last.
+READY = "ready"
+
+
+def _carry_out(spark: SparkSession, layout: Layout, plan: str, batch: str) -> None:
+    """Change the tables as a complete plan says; doing it twice changes nothing more."""
+    tables = {"transactions": SILVER_SCHEMA, "ledger": ledger.SCHEMA}
+    paths = {"transactions": layout.silver("transactions"), "ledger": layout.silver("transaction_ledger")}
+    for name, schema in tables.items():
+        write_partitioned(read_or_empty(spark, f"{plan}/{name}", schema), paths[name], ledger.FOLDER, mode="replace")
+    # At most two folders for each day of one batch.
+    for row in read_table(spark, f"{plan}/stale").collect():
+        remove(spark, f"{paths[row['table_name']]}/transaction_date={row['transaction_date']}/{BATCH}={batch}")
+    note_batch(spark, layout.batches, "transactions", batch, "loaded")
+    remove(spark, plan)
+
+
+def finish_loads(spark: SparkSession, layout: Layout) -> list[str]:
+    """Carry out plans that were complete when a load broke off, and drop the others; returns their batches."""
+    batches = []
+    for name in subfolders(spark, layout.load_plans):
+        plan = f"{layout.load_plans}/{name}"
+        ready = read_or_empty(spark, f"{plan}/{READY}", f"{BATCH} string").first()
+        if ready is None:
+            remove(spark, plan)
+        else:
+            _carry_out(spark, layout, plan, ready[BATCH])
+            batches.append(ready[BATCH])
+    return batches

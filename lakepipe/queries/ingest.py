@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,9 +16,9 @@ from lakepipe.plans.silver import transform_customers, transform_transactions
 from lakepipe.queries import views
 from lakepipe.queries.views import SILVER_SQL, money
 from lakepipe.session import scratch_path
-from lakepipe.sources.readers import BAD_RECORD, newer_than, read_csv, read_table
+from lakepipe.sources.readers import BAD_RECORD, newer_than, read_csv, read_or_empty, read_table
 from lakepipe.sources.state import advance_high_mark, high_marks, read_high_mark
-from lakepipe.sources.writers import overwrite, write_partitioned
+from lakepipe.sources.writers import overwrite, stage, write_partitioned
 from lakepipe.streaming.incremental import start_incremental_load, start_silver_load
 
 # Where the two-batch loads cut the events.
@@ -210,6 +213,59 @@ def csv_bad_records(spark, sf_dir):
     ).withColumns({"bad_rows": wrong.agg(F.count(F.lit(1))).scalar(), "bad_with_text": wrong.agg(with_text).scalar()})
 
 
+# Deliveries of two sources, each a range of user numbers (V1): the first ones, and three corrections.
+DELIVERIES = (
+    ("a", "V1 <= 100"),
+    ("b", "V1 > 50"),
+    ("a", "V1 <= 25 OR V1 BETWEEN 60 AND 80"),
+    ("a", "V1 <= 10 OR V1 >= 140"),
+    ("b", "V1 > 90 AND V1 < 145"),
+)
+# What Silver holds after each delivery: (owner, condition).
+OWNED = (
+    (("a", "V1 <= 100"),),
+    (("a", "V1 <= 100"), ("b", "V1 > 100")),
+    (("a", "V1 <= 25 OR V1 BETWEEN 60 AND 80"), ("b", "V1 > 50 AND V1 NOT BETWEEN 60 AND 80")),
+    (("a", "V1 <= 10"), ("b", "V1 > 50")),
+    (("a", "V1 <= 10 OR V1 >= 145"), ("b", "V1 > 90 AND V1 < 145")),
+)
+
+
+def _batch_correction(spark, sf_dir, load):
+    """Who brought which users' transactions after each delivery, and rejected rows: users 7 and 20 come broken first."""
+    jobs, source = _lake(spark, sf_dir)
+    raw = views.raw_transactions(spark, sf_dir)
+    time = F.col("Time").cast("string")
+    broken = raw.withColumn("Time", F.when(F.col("V1").isin(7.0, 20.0), F.concat(F.lit("x"), time)).otherwise(time))
+    parts = []
+    for n, (batch, rows) in enumerate(DELIVERIES, 1):
+        path = _write_source((raw if n > 1 else broken).filter(rows), f"{source}/{n}")
+        jobs.ingest_transactions(path, "2024-02-01", batch)
+        load(jobs)
+        owned = read_table(spark, jobs.layout.silver("transactions")).groupBy(
+            F.col("batch_id").alias("owner"), F.col("V1").cast("bigint").alias("user_number")
+        )
+        owned = owned.agg(F.count(F.lit(1)).alias("transactions"), exact_sum("amount").alias("total_amount"))
+        wrong = read_or_empty(spark, rejected(jobs.layout.bronze("transactions")), f"{BAD_RECORD} string").count()
+        state = owned.select(F.lit(n).alias("delivery"), "*", F.lit(wrong).cast("bigint").alias("rejected_rows"))
+        # The next delivery changes the files that this state is read from.
+        parts.append(stage(state, scratch_path(spark, "correction")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def batch_correction(spark, sf_dir):
+    """Corrected deliveries of two sources that share transactions, loaded in batches."""
+    return _batch_correction(spark, sf_dir, lambda jobs: jobs.silver_transactions())
+
+
+def stream_batch_correction(spark, sf_dir):
+    """The same deliveries, loaded by the stream."""
+    progress = scratch_path(spark, "correction-progress")
+    return _batch_correction(
+        spark, sf_dir, lambda jobs: start_silver_load(spark, jobs.layout, progress).awaitTermination()
+    )
+
+
 def _daily(silver):
     return silver.groupBy("transaction_date").agg(
         F.count(F.lit(1)).alias("transactions"),
@@ -306,6 +362,8 @@ def scd2_renumber(spark, sf_dir):
 
 
 QUERIES = {
+    "q_batch_correction": batch_correction,
+    "q_stream_batch_correction": stream_batch_correction,
     "q_bronze_two_files_one_day": bronze_two_files_one_day,
     "q_silver_repeated_file": silver_repeated_file,
     "q_stream_silver_small_batches": stream_silver_small_batches,
@@ -334,6 +392,20 @@ SILVER_DAILY_SQL = f"""
 """
 
 
+def _correction_sql() -> str:
+    parts = []
+    for n, owned in enumerate(OWNED, 1):
+        wrong = "(SELECT COUNT(*) FROM events WHERE user_id + 1 IN (7, 20))" if n <= 2 else "0"
+        sound = " AND V1 NOT IN (7, 20)" if n <= 2 else ""
+        for owner, rows in owned:
+            parts.append(f"""
+                SELECT {n} AS delivery, '{owner}' AS owner, user_id + 1 AS user_number, COUNT(*) AS transactions,
+                    {money("amount")} AS total_amount, CAST({wrong} AS BIGINT) AS rejected_rows
+                FROM ({SILVER_SQL}) WHERE ({rows}){sound} GROUP BY user_id
+            """)
+    return " UNION ALL ".join(parts)
+
+
 def _first_versions(valid_from: str) -> str:
     return f"""
         SELECT c_custkey AS cust_key, c_acctbal AS acct_bal,
@@ -344,6 +416,8 @@ def _first_versions(valid_from: str) -> str:
 
 
 ORACLE = {
+    "q_batch_correction": _correction_sql(),
+    "q_stream_batch_correction": _correction_sql(),
     "q_csv_roundtrip": """
         SELECT 'part' AS source, p_partkey AS id, p_name || ', "' || p_brand || '"; ' || p_type AS label,
             p_retailprice AS amount FROM part

@@ -68,6 +68,26 @@ def fact_history(spark, sf_dir):
     return build_fact(views.order_transactions(spark, sf_dir), _customer_versions(spark, sf_dir))
 
 
+MANY_VERSIONS = 1000
+
+
+def fact_many_versions(spark, sf_dir):
+    """Every fiftieth customer has a thousand versions, one for every second day; each other customer has three."""
+    every = views.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("customer_id"))
+    many = F.col("customer_id") % 50 == 0
+    last = F.when(many, MANY_VERSIONS - 1).otherwise(2)
+    numbered = every.withColumn("number", F.explode(F.sequence(F.lit(0), last)))
+    days = F.when(many, F.col("number") * 2).otherwise(F.col("number") * 700)
+    versions = numbered.select(
+        (F.col("customer_id") * MANY_VERSIONS + F.col("number")).alias("customer_sk"),
+        "customer_id",
+        F.date_add(F.lit("1995-06-01").cast("date"), days.cast("int")).alias("valid_from"),
+        F.lit(None).cast("date").alias("valid_to"),
+        (F.col("number") == last).cast("int").alias("is_current"),
+    )
+    return build_fact(views.order_transactions(spark, sf_dir), versions)
+
+
 def dim_date_range(spark, sf_dir):
     """A calendar of given days, here from the first to the last urgent order."""
     urgent = views.table(spark, sf_dir, "orders").filter("o_orderpriority = '1-URGENT'")
@@ -133,6 +153,7 @@ QUERIES = {
     "q_scd2_merge": scd2_merge,
     "q_fact": fact,
     "q_fact_history": fact_history,
+    "q_fact_many_versions": fact_many_versions,
     "q_dim_date_range": dim_date_range,
     "q_fact_salted": fact_salted,
     "q_orphan_dates": orphan_dates,
@@ -174,6 +195,16 @@ ORACLE = {
             CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS fraud_flag
         FROM orders JOIN customer ON o_custkey = c_custkey
     """,
+    "q_fact_many_versions": f"""
+        SELECT o_orderkey AS transaction_sk,
+            CAST(o_custkey * {MANY_VERSIONS} + greatest(0, CASE WHEN o_custkey % 50 = 0
+                THEN least({MANY_VERSIONS - 1}, datediff('day', DATE '1995-06-01', CAST(o_orderdate AS DATE)) // 2)
+                ELSE least(2, datediff('day', DATE '1995-06-01', CAST(o_orderdate AS DATE)) // 700) END) AS BIGINT)
+                AS customer_sk,
+            CAST(strftime(o_orderdate, '%Y%m%d') AS INTEGER) AS date_sk, o_totalprice AS amount,
+            CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS fraud_flag
+        FROM orders JOIN customer ON o_custkey = c_custkey
+    """,
     "q_dim_customer": """
         SELECT row_number() OVER (ORDER BY c_custkey) - 1 AS customer_sk, c_custkey AS customer_id, c_name,
             c_nationkey, c_acctbal, c_mktsegment, DATE '2024-01-01' AS valid_from, CAST(NULL AS DATE) AS valid_to,

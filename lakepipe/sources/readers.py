@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakepipe.sources.writers import exists, settle
+
 BAD_RECORD = "_corrupt_record"
 
 
@@ -32,19 +34,35 @@ def read_csv(
     return reader.option("enforceSchema", False).schema(schema).csv(path)
 
 
+def _found(error: AnalysisException) -> bool:
+    return error.getCondition() != "PATH_NOT_FOUND"
+
+
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """A Parquet table; partition columns come back from the folder names."""
-    return spark.read.parquet(path)
+    """A Parquet table; partition columns come back from the folder names.
+
+    A table that is gone because its publication broke off is put back first.
+    """
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as error:
+        if _found(error):
+            raise
+        settle(spark, path)
+        return spark.read.parquet(path)
 
 
-def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
+def read_or_empty(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
     """A Parquet table of a known schema, without rows while it isn't there yet."""
     try:
         return spark.read.schema(schema).parquet(path)
     except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return spark.createDataFrame([], schema)
-        raise
+        if _found(error):
+            raise
+        settle(spark, path)
+    if exists(spark, path):
+        return spark.read.schema(schema).parquet(path)
+    return spark.createDataFrame([], schema)
 
 
 def newer_than(df: DataFrame, column: str, mark) -> DataFrame:

@@ -55,6 +55,18 @@ def pending_batches(spark: SparkSession, path: str, source: str) -> list[str]:
     return [r["batch_id"] for r in waiting.orderBy("ingested", "batch_id").collect()]
 
 
+def noted_batches(spark: SparkSession, path: str, source: str, state: str) -> set[str]:
+    """Batches that were ever noted with a state."""
+    noted = read_or_empty(spark, path, BATCH_SCHEMA).filter((F.col("source") == source) & (F.col("state") == state))
+    return {r["batch_id"] for r in noted.select("batch_id").distinct().collect()}
+
+
+def first_loads(spark: SparkSession, path: str, source: str) -> DataFrame:
+    """(batch_id, first_loaded): when each batch was loaded for the first time."""
+    loaded = read_or_empty(spark, path, BATCH_SCHEMA).filter((F.col("source") == source) & (F.col("state") == "loaded"))
+    return loaded.groupBy("batch_id").agg(F.min("noted_at").alias("first_loaded"))
+
+
 def record_run(spark: SparkSession, path: str, run_id: str, entries: Mapping[str, Mapping[str, Any]]) -> None:
     """Append {kind: {name: value}} of one run; numbers go to `number`, everything also to `text`."""
     rows = []

@@ -1,7 +1,8 @@
-"""Parquet writers."""
+"""Parquet writers, and the few file operations that publishing a table needs."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,15 +24,90 @@ def write_partitioned(df: DataFrame, path: str, by: Sequence[str], mode: str = "
         raise ValueError(f"unknown mode {mode}")
 
 
-def overwrite(df: DataFrame, path: str) -> None:
-    """Replace the whole table. `df` must not read from `path`."""
-    df.write.mode("overwrite").parquet(path)
+def _located(spark: SparkSession, path: str):
+    """(file system, path) on whatever file system it is."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    files, target = _located(spark, path)
+    return files.exists(target)
+
+
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder, in order; none if it isn't there."""
+    files, target = _located(spark, path)
+    if not files.exists(target):
+        return []
+    return sorted(f.getPath().getName() for f in files.listStatus(target) if f.isDirectory())
 
 
 def remove(spark: SparkSession, path: str) -> None:
-    """Delete a folder that is no longer needed, on whatever file system it is."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    """Delete a folder that is no longer needed."""
+    files, target = _located(spark, path)
+    files.delete(target, True)
+
+
+def move(spark: SparkSession, path: str, to: str) -> None:
+    """Rename a folder; the folder it goes to must not be there."""
+    files, source = _located(spark, path)
+    target = _located(spark, to)[1]
+    files.mkdirs(target.getParent())
+    if files.exists(target) or not files.rename(source, target):
+        raise OSError(f"cannot move {path} to {to}")
+
+
+# The next version of a table stands beside it until it is complete, the last one until it is replaced.
+NEXT, LAST, COMPLETE = ".next", ".last", "_COMPLETE"
+
+
+def settle(spark: SparkSession, path: str) -> None:
+    """Finish or undo a publication of the table that broke off.
+
+    A next version that was written completely takes the table's place; without one, the last
+    version goes back where it was.
+    """
+    following, last = path + NEXT, path + LAST
+    if exists(spark, f"{following}/{COMPLETE}"):
+        if exists(spark, path):
+            remove(spark, last)
+            move(spark, path, last)
+        move(spark, following, path)
+    elif not exists(spark, path) and exists(spark, last):
+        move(spark, last, path)
+    remove(spark, last)
+
+
+def overwrite(df: DataFrame, path: str) -> None:
+    """Replace the whole table, which `df` may read from.
+
+    The new version is written beside the table and marked as complete; then folders are renamed. A
+    write that breaks off leaves the table as it was. One that breaks off between the renames is
+    finished by the next reader or writer (see `settle`), so some complete version can always be
+    read. Readers in the middle of the old version have to start again; a table has one writer.
+    """
+    spark = df.sparkSession
+    settle(spark, path)
+    df.write.mode("overwrite").parquet(path + NEXT)
+    files, mark = _located(spark, f"{path}{NEXT}/{COMPLETE}")
+    files.create(mark).close()
+    settle(spark, path)
+
+
+def replace_folder(df: DataFrame, path: str, folder: str) -> None:
+    """Make `folder`, one partition of the table at `path`, hold just the rows of `df`; no rows, no folder.
+
+    The rows are written aside first, in a folder that readers of the table don't see.
+    """
+    spark, target = df.sparkSession, f"{path}/{folder}"
+    aside = f"{path}/_next-{uuid.uuid4().hex}"
+    df.hint("rebalance").write.parquet(aside)
+    empty = spark.read.parquet(aside).isEmpty()
+    remove(spark, target)
+    if not empty:
+        move(spark, aside, target)
+    remove(spark, aside)
 
 
 def stage(df: DataFrame, path: str) -> DataFrame:

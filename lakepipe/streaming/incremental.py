@@ -6,7 +6,6 @@ files, so such a file is read by the next run.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,9 +14,10 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from lakepipe.layout import Layout
-from lakepipe.plans.bronze import BATCH, TRANSACTION_SOURCE
-from lakepipe.plans.silver import publish_transactions, transform_transactions
-from lakepipe.sources.readers import read_table
+from lakepipe.plans.bronze import BATCH, BRONZE_TRANSACTIONS
+from lakepipe.plans.silver import finish_loads, load_batch
+from lakepipe.sources.readers import read_or_empty
+from lakepipe.sources.state import noted_batches, pending_batches
 from lakepipe.sources.writers import write_partitioned
 
 BATCH_COLUMN = "batch_id"
@@ -64,17 +64,28 @@ def start_incremental_load(
 def start_silver_load(
     spark: SparkSession, layout: Layout, checkpoint_path: str, max_files: int | None = None
 ) -> StreamingQuery:
-    """Bronze transactions not seen yet to Silver, by the same steps and into the same folders as the
-    batch load: each micro-batch leaves out what any other batch has brought, so neither the size of
-    micro-batches nor a new checkpoint changes which transactions Silver holds."""
-    customer_count = read_table(spark, layout.silver("customers")).count()
-    fields = [T.StructField("ingest_date", T.DateType()), T.StructField(BATCH, T.StringType())]
-    name = hashlib.md5(checkpoint_path.encode()).hexdigest()[:12]
+    """Bronze transactions not seen yet to Silver, by the steps of the batch load and into the same folders.
 
-    def publish(batch: DataFrame, batch_id: int) -> None:
-        publish_transactions(transform_transactions(batch, customer_count), layout, f"stream-{name}-{batch_id}")
+    New files tell that batches wait; a batch is always loaded as a whole, so neither the size of
+    micro-batches nor a new checkpoint changes which transactions Silver holds. A batch is loaded once
+    for each time that it was noted as ingested, or whenever files of it come if it never was. Batches
+    that were corrected to nothing have no new files and are loaded at the start.
+    """
+
+    def publish(files: DataFrame, _: int) -> None:
+        finish_loads(spark, layout)
+        waiting = pending_batches(spark, layout.batches, "transactions")
+        noted = noted_batches(spark, layout.batches, "transactions", "ingested")
+        seen = sorted(r[BATCH] for r in files.select(BATCH).distinct().collect())
+        for batch in [*waiting, *[b for b in seen if b not in noted]]:
+            load_batch(spark, layout, batch)
 
-    reader = spark.readStream.schema(T.StructType([*TRANSACTION_SOURCE.fields, *fields]))
+    finish_loads(spark, layout)
+    bronze = read_or_empty(spark, layout.bronze("transactions"), BRONZE_TRANSACTIONS)
+    for batch in pending_batches(spark, layout.batches, "transactions"):
+        if bronze.filter(F.col(BATCH) == batch).isEmpty():
+            load_batch(spark, layout, batch)
+    reader = spark.readStream.schema(BRONZE_TRANSACTIONS)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return (

@@ -8,14 +8,17 @@ from pyspark.sql import types as T
 
 from lakepipe.layout import Layout
 from lakepipe.operators.quality import QualityError
+from lakepipe.plans import ledger, silver
 from lakepipe.plans.bronze import FEATURE_COLUMNS, TRANSACTION_SOURCE, ingest_dataset, rejected, stamp_ingest
 from lakepipe.plans.silver import (
     load_customers,
     load_transactions,
+    silver_transactions,
     transform_customers,
     transform_transactions,
 )
-from lakepipe.sources.readers import newer_than, read_csv, read_table
+from lakepipe.sources import writers
+from lakepipe.sources.readers import newer_than, read_csv, read_or_empty, read_table
 from lakepipe.sources.state import (
     advance_high_mark,
     note_batch,
@@ -24,7 +27,7 @@ from lakepipe.sources.state import (
     record_run,
     run_values,
 )
-from lakepipe.sources.writers import overwrite, write_partitioned
+from lakepipe.sources.writers import overwrite, remove, write_partitioned
 from lakepipe.streaming.incremental import start_incremental_load
 
 SMALL = T.StructType().add("id", "integer").add("label", "string").add("amount", "double")
@@ -329,3 +332,90 @@ def test_stream_check_keeps_a_batch_out(spark, tmp_path):
         query.awaitTermination()
     start_incremental_load(spark, source, schema, lambda b: b, target, progress).awaitTermination()
     assert read_table(spark, target).count() == 3
+
+
+def silver_of(spark, lake):
+    return sorted((r["V1"], r["batch_id"]) for r in read_table(spark, lake.silver("transactions")).collect())
+
+
+def test_a_corrected_batch_gives_back_what_others_hold(spark, lake):
+    row = lambda v, day=1: (float(v + 86_400 * day), float(v), 5.0, 0, "2024-01-01")
+    add_bronze(spark, lake, [row(1), row(2), row(3)], "a")
+    load_transactions(spark, lake)
+    add_bronze(spark, lake, [row(1, 2), row(4, 2)], "b")
+    add_bronze(spark, lake, [row(1, 3), row(2, 3)], "c")
+    load_transactions(spark, lake)
+    assert silver_of(spark, lake) == [(1.0, "a"), (2.0, "a"), (3.0, "a"), (4.0, "b")]
+    for withdrawn, left in (("a", [(1.0, "b"), (2.0, "c"), (4.0, "b")]), ("b", [(1.0, "c"), (2.0, "c")]), ("c", [])):
+        # A day with nothing left of the batch.
+        remove(spark, f"{lake.bronze('transactions')}/ingest_date=2024-01-01/batch_id={withdrawn}")
+        note_batch(spark, lake.batches, "transactions", withdrawn, "ingested")
+        load_transactions(spark, lake)
+        assert silver_transactions(spark, lake).count() == len(left)
+        assert not left or silver_of(spark, lake) == left
+    assert read_or_empty(spark, lake.silver("transaction_ledger"), ledger.SCHEMA).count() == 0
+
+
+@pytest.mark.parametrize("step", ["write_partitioned", "note_batch"])
+def test_a_correction_that_broke_off_is_finished(spark, lake, monkeypatch, step):
+    add_bronze(spark, lake, [(1.0, 1.0, 5.0, 0, "2024-01-01"), (2.0, 2.0, 5.0, 0, "2024-01-01")], "a")
+    add_bronze(spark, lake, [(90_000.0, 1.0, 5.0, 0, "2024-01-01")], "b")
+    load_transactions(spark, lake)
+    add_bronze(spark, lake, [(2.0, 2.0, 5.0, 0, "2024-01-01"), (200_000.0, 3.0, 5.0, 0, "2024-01-01")], "a")
+    real = getattr(silver, step)
+    calls = []
+
+    def fail(*args, **named):
+        calls.append(args)
+        if len(calls) == (2 if step == "write_partitioned" else 1):
+            raise OSError("lost")
+        return real(*args, **named)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(silver, step, fail)
+        with pytest.raises(OSError):
+            load_transactions(spark, lake)
+    assert load_transactions(spark, lake).count() == 2
+    assert silver_of(spark, lake) == [(1.0, "b"), (2.0, "a"), (3.0, "a")]
+    assert load_transactions(spark, lake) is None
+
+
+def test_a_batch_that_is_ingested_again_replaces_its_rejected_rows(spark, tmp_path):
+    source, target = tmp_path / "source", str(tmp_path / "bronze")
+    source.mkdir()
+    for text, good, bad in (("x,b,2.0\n1,a,1.0\n", 1, 1), ("2,b,2.0\n1,a,1.0\n", 2, 0), ("", 0, 0)):
+        csv(source, f"id,label,amount\n{text}")
+        ingest_dataset(spark, str(source), target, schema=SMALL, as_of="2024-01-01", batch="d-1")
+        counts = [read_or_empty(spark, p, SMALL).count() for p in (target, rejected(target))]
+        assert counts == [good, bad]
+    with pytest.raises(ValueError):
+        ingest_dataset(spark, str(source), target, schema=SMALL, batch="d/1")
+
+
+def test_a_broken_write_leaves_the_table(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    overwrite(spark.range(3), path)
+    broken = spark.range(5).withColumn("id", F.when(F.col("id") < 4, F.col("id")).otherwise(F.raise_error(F.lit("no"))))
+    with pytest.raises(PySparkException):
+        overwrite(broken, path)
+    assert read_table(spark, path).count() == 3
+    # A table may be replaced from itself.
+    overwrite(read_table(spark, path).filter("id > 0"), path)
+    assert read_table(spark, path).count() == 2
+    moves, real = [], writers.move
+
+    def fail(spark, *paths):
+        moves.append(paths)
+        if len(moves) == 2:
+            raise OSError("lost")
+        real(spark, *paths)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(writers, "move", fail)
+        with pytest.raises(OSError):
+            overwrite(spark.range(7), path)
+    assert not (tmp_path / "t").exists()
+    assert read_table(spark, path).count() == 7
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["t"]
+    overwrite(spark.range(1), path)
+    assert read_or_empty(spark, path, "id bigint").count() == 1

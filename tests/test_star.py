@@ -17,7 +17,7 @@ from lakepipe.operators.quality import (
 )
 from lakepipe.plans import marts
 from lakepipe.plans.dimensions import customer_dimension, date_dimension
-from lakepipe.plans.facts import build_fact
+from lakepipe.plans.facts import build_fact, version_lists
 
 
 def test_calendar(spark):
@@ -148,3 +148,34 @@ def test_quality_of_an_empty_table(spark):
     empty = spark.createDataFrame([], "id bigint")
     report = {r["rule"]: r["violations"] for r in quality_report(empty, "t", [NotEmpty(), NotNull("id")]).collect()}
     assert report == {"not_empty": 1, "not_null(id)": 0}
+
+
+def test_a_transaction_meets_one_row_of_its_customer(spark):
+    """A thousand versions each: the join gives as many rows as there are facts."""
+    start = dt.date(2000, 1, 1)
+    versions = spark.range(3).selectExpr("id AS customer_id", "explode(sequence(0, 999)) AS n").selectExpr(
+        "customer_id * 1000 + n AS customer_sk", "customer_id", "date_add(DATE '2000-01-01', n * 3) AS valid_from"
+    )
+    days = [start - dt.timedelta(5), start, start + dt.timedelta(7), start + dt.timedelta(2997), dt.date(2100, 1, 1), None]
+    rows = [(10 * c + i, c, day, 1.0, 0) for c in range(4) for i, day in enumerate(days)]
+    schema = "transaction_id bigint, customer_id bigint, transaction_date date, amount double, fraud_flag int"
+    transactions = spark.createDataFrame(rows, schema)
+    got = {r["transaction_sk"]: r["customer_sk"] for r in build_fact(transactions, versions).collect()}
+    want = {10 * c + i: c * 1000 + v for c in range(3) for i, v in enumerate([0, 0, 2, 999, 999, 0])}
+    assert got == want
+    lists = version_lists(versions)
+    assert lists.count() == 3 and lists.filter("size(versions) = 1000").count() == 3
+
+
+def test_versions_that_start_on_one_day_or_never(spark):
+    versions = spark.createDataFrame(
+        [(1, 7, None), (2, 7, dt.date(2020, 1, 1)), (3, 7, dt.date(2020, 1, 1)), (4, 7, dt.date(2021, 1, 1))],
+        "customer_sk bigint, customer_id bigint, valid_from date",
+    )
+    days = [dt.date(2019, 1, 1), dt.date(2020, 1, 1), dt.date(2020, 6, 1), dt.date(2022, 1, 1)]
+    transactions = spark.createDataFrame(
+        [(i, 7, day, 1.0, 0) for i, day in enumerate(days)],
+        "transaction_id bigint, customer_id bigint, transaction_date date, amount double, fraud_flag int",
+    )
+    got = sorted((r["transaction_sk"], r["customer_sk"]) for r in build_fact(transactions, versions).collect())
+    assert got == [(0, 1), (1, 3), (2, 3), (3, 4)]
