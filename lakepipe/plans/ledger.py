@@ -23,37 +23,48 @@ KEY = "transaction_id"
 
 @dataclass(frozen=True)
 class Difference:
-    """What a batch's new content changes.
+    """What a batch's content changes.
 
-    `owned_rows` are the batch's rows for Silver. `heirs` (transaction_id, transaction_date,
-    batch_id) are other batches' rows that Silver gets back, `folders` the folders these are in.
-    `entries` is the new content of all ledger folders touched, `stale` (table_name,
-    transaction_date) names the batch's folders that nothing is left in.
+    `owned_rows` are the batch's rows for Silver, `entries` is the new content of all ledger folders
+    touched. A correction also has `heirs` (transaction_id, transaction_date, batch_id), other
+    batches' rows that Silver gets back, `folders`, where these are, and `stale` (table_name,
+    transaction_date), the batch's folders that nothing is left in.
     """
 
     owned_rows: DataFrame
-    heirs: DataFrame
-    folders: DataFrame
     entries: DataFrame
-    stale: DataFrame
+    heirs: DataFrame | None = None
+    folders: DataFrame | None = None
+    stale: DataFrame | None = None
 
 
-def difference(rows: DataFrame, batch: str, known: DataFrame, first_loads: DataFrame) -> Difference:
-    """Compare the rows a batch now holds, unique by transaction, with the ledger `known`.
+def addition(rows: DataFrame, batch: str, known: DataFrame) -> Difference:
+    """The rows of a batch that the ledger `known` has nothing of, unique by transaction.
 
-    The ledger is read once in full, two narrow columns, and reduced to the transactions concerned
-    before anything is shuffled; a batch that Spark may broadcast meets it without a shuffle. What
-    was withdrawn goes to the batch with the earliest of `first_loads`; ties go by name.
+    The ledger is read once, two narrow columns, and reduced to the transactions concerned before
+    anything is shuffled; a batch that Spark may broadcast meets it without a shuffle.
+    """
+    others = known.filter(F.col("owned") & (F.col(BATCH) != batch))
+    return _owned(rows, batch, checkpoint(others.join(rows.select(KEY), KEY, "left_semi").select(KEY)))
+
+
+def _owned(rows: DataFrame, batch: str, taken: DataFrame) -> Difference:
+    entries = rows.join(taken.withColumn("_taken", F.lit(True)), KEY, "left")
+    owned = F.col("_taken").isNull().alias("owned")
+    return Difference(
+        rows.join(taken, KEY, "left_anti"), entries.select(KEY, owned, "transaction_date", F.lit(batch).alias(BATCH))
+    )
+
+
+def correction(rows: DataFrame, batch: str, known: DataFrame, first_loads: DataFrame) -> Difference:
+    """The rows a batch now holds, unique by transaction, against what the ledger `known` has of it.
+
+    What was withdrawn goes to the batch with the earliest of `first_loads`; ties go by name.
     """
     own = known.filter(F.col(BATCH) == batch)
     concerned = rows.select(KEY).unionByName(own.select(KEY)).distinct()
     held = checkpoint(known.filter(F.col(BATCH) != batch).join(concerned, KEY, "left_semi"))
-    taken = held.filter("owned").select(KEY)
-
-    owned_rows = rows.join(taken, KEY, "left_anti")
-    entry = rows.join(taken.withColumn("_taken", F.lit(True)), KEY, "left").select(
-        KEY, F.col("_taken").isNull().alias("owned"), "transaction_date", F.lit(batch).alias(BATCH)
-    )
+    added = _owned(rows, batch, held.filter("owned").select(KEY))
 
     withdrawn = own.filter("owned").select(KEY).join(rows.select(KEY), KEY, "left_anti")
     order = F.struct(F.col("first_loaded").isNull().alias("unknown"), "first_loaded", BATCH, "transaction_date")
@@ -64,10 +75,10 @@ def difference(rows: DataFrame, batch: str, known: DataFrame, first_loads: DataF
     passed_on = known.join(folders, FOLDER, "left_semi").join(heirs.withColumn("_heir", F.lit(True)), [KEY, *FOLDER], "left")
     passed_on = passed_on.select(KEY, (F.col("owned") | F.col("_heir").isNotNull()).alias("owned"), *FOLDER)
 
-    gone = own.select("transaction_date").distinct().join(rows.select("transaction_date"), "transaction_date", "left_anti")
-    bare = own.filter("owned").select("transaction_date").distinct()
-    bare = bare.join(owned_rows.select("transaction_date"), "transaction_date", "left_anti")
-    stale = bare.select(F.lit("transactions").alias("table_name"), "transaction_date").unionByName(
-        gone.select(F.lit("ledger").alias("table_name"), "transaction_date")
+    day = "transaction_date"
+    gone = own.select(day).distinct().join(rows.select(day), day, "left_anti")
+    bare = own.filter("owned").select(day).distinct().join(added.owned_rows.select(day), day, "left_anti")
+    stale = bare.select(F.lit("transactions").alias("table_name"), day).unionByName(
+        gone.select(F.lit("ledger").alias("table_name"), day)
     )
-    return Difference(owned_rows, heirs, folders, entry.unionByName(passed_on), stale)
+    return Difference(added.owned_rows, added.entries.unionByName(passed_on), heirs, folders, stale)

@@ -166,24 +166,25 @@ def load_batch(spark: SparkSession, layout: Layout, batch: str) -> None:
     bronze = read_or_empty(spark, layout.bronze("transactions"), BRONZE_TRANSACTIONS)
     rows = stage(transform_transactions(bronze.filter(F.col(BATCH) == batch), customer_count), f"{plan}/rows")
     known = read_or_empty(spark, layout.silver("transaction_ledger"), ledger.SCHEMA)
-    change = ledger.difference(rows, batch, known, first_loads(spark, layout.batches, "transactions"))
+    before = first_loads(spark, layout.batches, "transactions")
+    if before.filter(F.col(BATCH) == batch).isEmpty():
+        change, sources = ledger.addition(rows, batch, known), []
+    else:
+        change = ledger.correction(rows, batch, known, before)
+        sources = [r[BATCH] for r in change.heirs.select(BATCH).distinct().collect()]
+        stage(change.stale, f"{plan}/stale")
 
-    added = change.owned_rows.withColumn(BATCH, F.lit(batch))
-    sources = [r[BATCH] for r in change.heirs.select(BATCH).distinct().collect()]
+    checked = whole = change.owned_rows.withColumn(BATCH, F.lit(batch))
     if sources:
         again = transform_transactions(bronze.filter(F.col(BATCH).isin(sources)), customer_count, within=[BATCH])
         returned = again.join(change.heirs.select("transaction_id", BATCH), ["transaction_id", BATCH], "left_semi")
         beside = silver_transactions(spark, layout).join(change.folders, ledger.FOLDER, "left_semi")
         beside = beside.join(change.heirs.select("transaction_id"), "transaction_id", "left_anti")
-        checked = added.unionByName(returned)
+        checked = stage(checked.unionByName(returned), f"{plan}/checked")
         whole = checked.unionByName(beside)
-    else:
-        checked = whole = added
     staged = stage(whole, f"{plan}/transactions")
-    fresh = staged if whole is checked else stage(checked, f"{plan}/checked")
-    require_clean(quality_report(fresh, "silver_transactions", TRANSACTION_RULES))
+    require_clean(quality_report(checked if sources else staged, "silver_transactions", TRANSACTION_RULES))
     stage(change.entries, f"{plan}/ledger")
-    stage(change.stale, f"{plan}/stale")
     stage(spark.range(1).select(F.lit(batch).alias(BATCH)), f"{plan}/{READY}")
     _carry_out(spark, layout, plan, batch)
 
@@ -199,7 +200,7 @@ def _carry_out(spark: SparkSession, layout: Layout, plan: str, batch: str) -> No
     for name, schema in tables.items():
         write_partitioned(read_or_empty(spark, f"{plan}/{name}", schema), paths[name], ledger.FOLDER, mode="replace")
     # At most two folders for each day of one batch.
-    for row in read_table(spark, f"{plan}/stale").collect():
+    for row in read_or_empty(spark, f"{plan}/stale", "table_name string, transaction_date date").collect():
         remove(spark, f"{paths[row['table_name']]}/transaction_date={row['transaction_date']}/{BATCH}={batch}")
     note_batch(spark, layout.batches, "transactions", batch, "loaded")
     remove(spark, plan)

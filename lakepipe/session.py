@@ -32,13 +32,16 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder all executors see: the session's checkpoint folder.
 
     It comes from `spark.checkpoint.dir`. A session without that setting uses a folder of its
-    warehouse (`spark.sql.warehouse.dir`), which its executors share as well.
+    warehouse (`spark.sql.warehouse.dir`), which its executors share as well; on a cluster that may
+    not be a folder of one machine.
     """
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         configured = spark.conf.get("spark.checkpoint.dir", None)
         if configured is None:
             configured = f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints"
+            if configured.startswith("file:") and not context.master.startswith("local"):
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(configured)
     return context.getCheckpointDir()
 
