@@ -1,13 +1,16 @@
 """Arrow strings as flat numpy arrays: words, their hashes, windows of words, and sets of them.
 
 Everything works on whole batches at once. Words are maximal runs of bytes other than
-[\\x20\\x09-\\x0D]; these bytes never occur inside a longer UTF-8 character. Hashes are polynomials
-modulo 2^64 with an odd base, so that the hash of any stretch is a difference of two prefix sums
-(the Rabin-Karp identity) followed by a bijective mix.
+[\\x20\\x09-\\x0D]; these bytes never occur inside a longer UTF-8 character. The hash of a word adds
+up a fixed random number for each byte at its offset, modulo 2^64; no two words agree by their form,
+as they can with polynomials. The hash of a stretch of words is a polynomial of the word hashes with
+an odd base, so it is a difference of two prefix sums (the Rabin-Karp identity); a bijective mix
+follows either.
 """
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -17,7 +20,8 @@ import pyarrow.compute as pc
 
 SLICE_BYTES = 4 << 20
 HASH_BYTES = 1 << 19
-BYTE_BASE = 0x9E3779B97F4A7C15 & ~7 | 5
+#: Offsets in a word that have numbers of their own; further ones mix the numbers of these.
+OFFSETS = 32
 WORD_BASE = 0xD1342543DE82EF95 & ~7 | 5
 _MODULUS = 1 << 64
 
@@ -63,6 +67,20 @@ def prefix_sums(values: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray]:
     return sums, down
 
 
+try:
+    _trim = ctypes.CDLL("libc.so.6").malloc_trim
+except (OSError, AttributeError):  # another C library
+
+    def _trim(_: int) -> int:
+        return 0
+
+
+def give_back() -> None:
+    """Return memory that is free to the system; idle Python workers would keep it otherwise."""
+    pa.default_memory_pool().release_unused()
+    _trim(0)
+
+
 def slices(column: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, pa.Array]]:
     """Consecutive pieces of a string column with about `most` bytes each, or one longer text; nulls as empty."""
     column = pc.fill_null(column, "")
@@ -75,6 +93,7 @@ def slices(column: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, pa.
         to = max(at + 1, int(np.searchsorted(ends, before + most, side="right")))
         yield at, column.slice(at, to - at)
         at = to
+    give_back()
 
 
 def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -132,15 +151,28 @@ def words_of(column: pa.Array, lower: bool = False) -> Words:
     return Words(data, start, end, text, first, _word_hashes(data, start, end))
 
 
+def _numbers() -> np.ndarray:
+    """A number for every offset below OFFSETS and every byte, the same everywhere."""
+    return mix(mix(np.arange(OFFSETS * 256, dtype=np.uint64) + np.uint64(0x9E3779B97F4A7C15)) + np.uint64(0x2545F4914F6CDD1D))
+
+
+_NUMBERS = _numbers()
+
+
 def _word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """The hash of data[start:end] for words in order, over pieces of about HASH_BYTES of data."""
     out, at = np.empty(len(start), np.uint64), 0
     while at < len(start):
         to = max(at + 1, int(np.searchsorted(end, start[at] + HASH_BYTES, side="right")))
-        low = start[at]
-        sums, down = prefix_sums(data[low : end[to - 1]].astype(np.uint64) + np.uint64(1), BYTE_BASE)
-        a, b = start[at:to] - low, end[at:to] - low
-        out[at:to] = mix((sums[b] - sums[a]) * down[a])
+        length = end[at:to] - start[at:to]
+        first = np.cumsum(length) - length
+        offset = np.arange(int(length.sum())) - np.repeat(first, length)
+        octet = data[np.repeat(start[at:to], length) + offset]
+        numbers = _NUMBERS[(offset % OFFSETS << 8) | octet]
+        far = np.flatnonzero(offset >= OFFSETS)
+        if len(far):
+            numbers[far] = mix(numbers[far] + (offset[far] // OFFSETS).astype(np.uint64) * np.uint64(WORD_BASE))
+        out[at:to] = mix(np.add.reduceat(numbers, first) + length.astype(np.uint64))
         at = to
     return out
 

@@ -62,15 +62,30 @@ def held_out(doc_id: Column) -> Column:
 
 
 def bounded_sample(rows: DataFrame, group: str, key: str, most: int) -> DataFrame:
-    """Up to `most` rows of each group, those with the smallest hashes of the key.
+    """(group, key, text_hash) of up to `most` different documents of each group, those with the smallest draws.
 
-    Counts come first: only about twice the wanted rows of a group pass a threshold on the hash and
-    meet in one task to be ranked, whatever the size of the table.
+    `rows` has the columns group, key and text_hash. The draw is a hash of key and text, so rows
+    without a key, or with the same one, are drawn one by one; rows that agree in both count once.
+    Counts come first: only about twice the wanted rows of a group pass a threshold on the draw. Those
+    that agree are merged before the shuffle, so few rows meet in one task to be ranked, whatever the
+    size of the table and however many rows are alike. Fewer than `most` may be drawn where many are.
     """
-    draw = F.shiftrightunsigned(F.xxhash64(key), 11) / F.lit(float(1 << 53))
+    own = [group, key, "text_hash"]
+    draw = F.shiftrightunsigned(F.xxhash64(F.isnull(key), key, "text_hash"), 11) / F.lit(float(1 << 53))
     counts = rows.groupBy(group).agg(F.count(F.lit(1)).alias("_n")).orderBy(F.desc("_n"), group).limit(MOST_GROUPS)
     # At most MOST_GROUPS rows.
-    near = rows.withColumn("_draw", draw).join(F.broadcast(counts), group)
-    near = near.filter(F.col("_draw") * F.col("_n") <= 2.0 * most + 100)
-    rank = F.row_number().over(Window.partitionBy(group).orderBy("_draw", key))
-    return near.withColumn("_rank", rank).filter(F.col("_rank") <= most).drop("_n", "_draw", "_rank")
+    near = rows.select(*own, draw.alias("_draw")).join(F.broadcast(counts), group)
+    near = near.filter(F.col("_draw") * F.col("_n") <= 2.0 * most + 100).select(*own, "_draw").distinct()
+    rank = F.row_number().over(Window.partitionBy(group).orderBy("_draw", key, "text_hash"))
+    return near.withColumn("_rank", rank).filter(F.col("_rank") <= most).drop("_draw", "_rank")
+
+
+def texts_of(rows: DataFrame, chosen: DataFrame, *also: str) -> DataFrame:
+    """The text of every chosen (key, text_hash), once however many rows of (key, text_hash, text) have it.
+
+    `chosen` is broadcast: it comes from `bounded_sample`. Columns `also` of it are kept.
+    """
+    picked = chosen.select(F.struct("key", "text_hash").alias("_chosen"), *also)
+    same = F.col("key").eqNullSafe(F.col("_chosen.key")) & (F.col("text_hash") == F.col("_chosen.text_hash"))
+    met = rows.select("key", "text_hash", "text").join(F.broadcast(picked), same)
+    return met.groupBy("_chosen", *also).agg(F.min("text").alias("text")).drop("_chosen")

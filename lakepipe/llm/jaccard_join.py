@@ -42,6 +42,7 @@ from lakepipe.llm.arrays import mix, shingle_sets, slices, words_of
 from lakepipe.llm.components import connected_components
 from lakepipe.llm.frames import LOWER, UPPER, fresh_name, quoted, ship, table
 from lakepipe.session import checkpoint, scratch_path
+from lakepipe.sources.writers import remove
 
 SHINGLE = 5
 #: Similarity as a ratio of whole numbers: 80 * |A or B| <= 100 * |A and B|.
@@ -259,11 +260,19 @@ def _runs(small: int):
     return find
 
 
-def _written(df: DataFrame, name: str) -> DataFrame:
-    """A copy in the shared folder, compressed, which cuts the lineage."""
-    path = scratch_path(df.sparkSession, f"jaccard-{name}")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+class _Copy:
+    """A copy of a table in the shared folder, compressed, which cuts the lineage.
+
+    It is dropped once everything that was made from it has been written itself.
+    """
+
+    def __init__(self, df: DataFrame, name: str):
+        self.spark, self.path = df.sparkSession, scratch_path(df.sparkSession, f"jaccard-{name}")
+        df.write.parquet(self.path)
+        self.rows = self.spark.read.schema(df.schema).parquet(self.path)
+
+    def drop(self) -> None:
+        remove(self.spark, self.path)
 
 
 def _pick(texts: DataFrame, wanted: DataFrame, on) -> DataFrame:
@@ -401,30 +410,40 @@ def _blocks(members: DataFrame, lengths: DataFrame, block: int, chunk_bytes: int
     return dealt.select("family", "place.*", "class", "root", "signs")
 
 
-def _close(pairs: DataFrame, large: DataFrame, texts: DataFrame, links: DataFrame, block: int) -> DataFrame:
-    """Compare what the pairs (a, b) and the large buckets (sign, class) still hold apart.
+def _close(
+    found: _Copy, pairs: DataFrame, large: DataFrame, texts: DataFrame, links: DataFrame, block: int
+) -> DataFrame:
+    """Compare what the pairs (a, b) and the large buckets (sign, class), both read from `found`, still hold apart.
 
     Components that some signature ties are a family; a family's texts meet in one block, or in
-    several if it is large. Only links come out.
+    several if it is large. Only links come out, those given and the new ones, written.
     """
     roots = connected_components(links).withColumnRenamed("node", "class")
     ties = pairs.select(F.explode(F.array("a", "b")).alias("class"), F.xxhash64("a", "b").alias("sign"))
     ties = ties.unionByName(large).join(roots, "class", "left").withColumn("root", F.coalesce("root", "class"))
-    ties = _written(ties, "ties")
-    by_sign = ties.groupBy("sign").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-    still_open = ties.join(by_sign.filter("low <> high"), "sign")
-    still_open = _written(still_open.select("sign", "class", "root", "low"), "open")
+    ties = _Copy(ties, "ties")
+    found.drop()
+    by_sign = ties.rows.groupBy("sign").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+    still_open = ties.rows.join(by_sign.filter("low <> high"), "sign")
+    kept = _Copy(still_open.select("sign", "class", "root", "low"), "open")
+    ties.drop()
+    still_open = kept.rows
     family = connected_components(still_open.select(F.col("root").alias("a"), F.col("low").alias("b")).distinct())
     members = (
         still_open.groupBy("class", "root")
         .agg(F.collect_set("sign").alias("signs"))
         .join(family.select(F.col("node").alias("root"), F.col("root").alias("family")), "root")
     )
-    members = _written(members, "members")
+    copy = _Copy(members, "members")
+    kept.drop()
+    members = copy.rows
     picked = _pick(texts, members.select("class").distinct(), "class")
     picked, lengths = picked.select("class", "text"), texts.select("class", "bytes")
     rows = _blocks(members, lengths, block).join(picked, "class")
-    return links.unionByName(rows.groupBy("family", "x", "y").applyInArrow(_verify, "a bigint, b bigint"))
+    closing = rows.groupBy("family", "x", "y").applyInArrow(_verify, "a bigint, b bigint")
+    closed = checkpoint(links.unionByName(closing))
+    copy.drop()
+    return closed
 
 
 def similarity_classes(
@@ -442,10 +461,10 @@ def similarity_classes(
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
     rows = texts.select("text").mapInArrow(_signature_rows(buckets), "bucket int, signs binary, classes binary")
-    found = _written(rows.groupBy("bucket").applyInArrow(_runs(small), "a bigint, b bigint, rank bigint"), "runs")
+    found = _Copy(rows.groupBy("bucket").applyInArrow(_runs(small), "a bigint, b bigint, rank bigint"), "runs")
 
-    pairs = found.filter("rank < 0").select("a", "b").distinct()
-    large = found.filter("rank >= 0").select(F.col("b").alias("sign"), F.col("a").alias("class"))
+    pairs = found.rows.filter("rank < 0").select("a", "b").distinct()
+    large = found.rows.filter("rank >= 0").select(F.col("b").alias("sign"), F.col("a").alias("class"))
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
     # The text of one document of each class that is in a pair; similar sets are made from it again.
     first = (
@@ -458,13 +477,16 @@ def similarity_classes(
     twice = described.groupBy("key", "text_hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     if not twice.isEmpty():
         chosen = chosen.dropDuplicates(["class"])
-    chosen = _written(chosen.withColumn("bytes", F.octet_length("text").cast("bigint")), "texts")
+    copy = _Copy(chosen.withColumn("bytes", F.octet_length("text").cast("bigint")), "texts")
+    chosen = copy.rows
 
     # First every class with the smallest partner it has, then what that leaves apart.
     nearest = pairs.groupBy("b").agg(F.min("a").alias("a"))
     links = checkpoint(_linked(nearest, chosen.select("class", "text"), block))
     rest = pairs.join(nearest, ["a", "b"], "left_anti")
-    return described, checkpoint(_close(rest, large, chosen, links, block))
+    closed = _close(found, rest, large, chosen, links, block)
+    copy.drop()
+    return described, closed
 
 
 def components(

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakepipe.llm.arrays import flat, slices
-from lakepipe.llm.frames import bounded_sample, fresh_name, held_out, quoted, ship, table
+from lakepipe.llm.frames import bounded_sample, fresh_name, held_out, quoted, ship, table, texts_of
 
 UNDETERMINED = "und"
 #: Bounds of the training sample: documents of each language and of all, windows of each document.
@@ -149,15 +149,20 @@ def _sampled_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
 
 
 def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> LanguageModel:
-    """Learn from the documents that are not held out; the sample is bounded and drawn by the key's hash."""
+    """Learn from the documents that are not held out; the sample is bounded and drawn by a hash of key and text.
+
+    A missing key is not held out, like the key of an empty text. Rows that agree in key, text and
+    language are one document of the sample.
+    """
     ship(docs.sparkSession)
     known = docs.select(quoted(key).alias("key"), quoted(text).alias("text"), quoted(lang).alias("lang")).filter(
         F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & ~held_out(F.col("key"))
     )
-    drawn = bounded_sample(known.select("key", "lang"), "lang", "key", DOCS_PER_LANGUAGE)
-    chosen = drawn.orderBy(F.xxhash64("key"), "key", "lang").limit(SAMPLE_DOCS)
-    # At most SAMPLE_DOCS rows of a key and a language.
-    sample = known.drop("lang").join(F.broadcast(chosen), "key").select("lang", "text")
+    known = known.withColumn("text_hash", F.xxhash64("text"))
+    drawn = bounded_sample(known, "lang", "key", DOCS_PER_LANGUAGE)
+    # At most SAMPLE_DOCS rows of a key, a language and a hash.
+    chosen = drawn.orderBy(F.xxhash64("text_hash", "key"), "key", "lang").limit(SAMPLE_DOCS)
+    sample = texts_of(known.select("key", "text_hash", "text"), chosen, "lang")
     rows = sample.mapInArrow(_sampled_windows, "lang string, window binary").orderBy("lang", "window").toArrow()
     languages = sorted(set(rows.column("lang").to_pylist()))
     code = {name: i for i, name in enumerate(languages)}

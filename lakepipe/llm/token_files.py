@@ -13,8 +13,9 @@ A block stores every id less the block's minimum in as many bits as PERCENTILE p
 need; larger ones are exceptions, listed with their full value. The last block is filled up with
 its last id. Block starts make every id reachable without reading the file from its start.
 
-Files are written through Spark's writer, one for each range partition, so any file system Spark
-knows will do and a lost executor's file is written again; the writer ends each with a line feed.
+Files are written through Spark's writer, one for each range partition or several where its texts
+are longer than usual, so any file system Spark knows will do and a lost executor's files are
+written again; the writer ends each with a line feed.
 
 Defined results: a null or empty text has no ids but the end id. A null key comes before all others.
 Rows of equal keys are ordered by a hash of their texts, so repeated rows stand together. Without
@@ -23,6 +24,7 @@ rows there is a file without documents, or none. Keys are integers; other column
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
@@ -46,9 +48,9 @@ from lakepipe.session import scratch_path
 TOKENIZER_FILE, END_ID = "word_bpe_49k.json", 1
 BLOCK, PERCENTILE = 1024, 90
 MAGIC = int.from_bytes(b"pforids1", "little")
-#: A file holds the ids of about this many bytes of text.
-FILE_BYTES = 16 << 20
-_GROUP, _WORDS = 512, 4096
+#: A file holds the ids of about this many bytes of text; they are encoded and packed a slice at a time.
+FILE_BYTES, SLICE = 16 << 20, 1 << 20
+_GROUP, _WORDS, _JOINED = 64, 4096, 128
 _STOP = re.compile(rb"([a-z])([.,])(?=[ \t\n\r\f\v]|$)")
 
 
@@ -112,12 +114,43 @@ def unpack_blocks(data: np.ndarray, starts: np.ndarray, total: int) -> np.ndarra
     return grid.reshape(-1)[:total]
 
 
-def build_file(part: int, keys: pa.Array, lengths: np.ndarray, ids: np.ndarray) -> bytes:
-    blocks, starts = pack_blocks(ids)
-    head = np.array([MAGIC, part, len(keys), len(ids), len(starts) - 1], "<i8").tobytes()
-    known = keys.is_valid().to_numpy(zero_copy_only=False).astype(np.uint8).tobytes()
-    numbers = keys.fill_null(0).to_numpy(zero_copy_only=False).astype("<i8").tobytes()
-    return b"".join([head, known, numbers, lengths.astype("<i8").tobytes(), starts.astype("<i8").tobytes(), blocks])
+class FileBuilder:
+    """One file, packed block by block as its documents come."""
+
+    def __init__(self, part: int):
+        self.part = part
+        self.keys: list[pa.Array] = []
+        self.lengths: list[np.ndarray] = []
+        self.blocks: list[bytes] = []
+        self.starts: list[np.ndarray] = [np.zeros(1, np.int64)]
+        self.rest = np.zeros(0, np.int32)
+        self.total = self.text_bytes = 0
+
+    def _pack(self, ids: np.ndarray) -> None:
+        blocks, starts = pack_blocks(ids)
+        self.starts.append(starts[1:] + self.starts[-1][-1])
+        self.blocks.append(blocks)
+
+    def add(self, keys: pa.Array, lengths: np.ndarray, ids: np.ndarray, text_bytes: int) -> None:
+        self.keys.append(keys)
+        self.lengths.append(lengths)
+        self.total, self.text_bytes = self.total + len(ids), self.text_bytes + text_bytes
+        ids = np.concatenate([self.rest, ids])
+        whole = len(ids) // BLOCK * BLOCK
+        if whole:
+            self._pack(ids[:whole])
+        self.rest = ids[whole:].copy()
+
+    def content(self) -> bytes:
+        if len(self.rest):
+            self._pack(self.rest)
+            self.rest = self.rest[:0]
+        keys, starts = pa.concat_arrays(self.keys), np.concatenate(self.starts)
+        head = np.array([MAGIC, self.part, len(keys), self.total, len(starts) - 1], "<i8").tobytes()
+        known = keys.is_valid().to_numpy(zero_copy_only=False).astype(np.uint8).tobytes()
+        numbers = keys.fill_null(0).to_numpy(zero_copy_only=False).astype("<i8").tobytes()
+        lengths = np.concatenate(self.lengths).astype("<i8").tobytes()
+        return b"".join([head, known, numbers, lengths, starts.astype("<i8").tobytes(), *self.blocks])
 
 
 def read_file(content: bytes) -> tuple[int, list[int | None], np.ndarray, np.ndarray]:
@@ -147,6 +180,12 @@ class WordEncoder(PieceCache):
         super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_str(definition)
+        # Ids that end a piece, if the vocabulary tells; only letters make pieces of a whole word.
+        model = json.loads(definition)["model"]
+        suffix, vocabulary = model.get("end_of_word_suffix"), model["vocab"]
+        self.ending = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        if suffix:
+            self.ending[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
 
     def split(self, text: str) -> list[bytes]:
         data = text.encode()
@@ -154,11 +193,40 @@ class WordEncoder(PieceCache):
             data = _STOP.sub(rb"\1 \2", data.translate(LOWER_BYTES))
         return data.split()
 
+    def _encode_letters(self, words: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
+        """(ids, ids per word) of words of letters, each in its own Encoding no more: a text of many is encoded.
+
+        A word has at least one piece, and every piece ends with an id that ends a word; if there are
+        as many of those as words, each word is one piece. Otherwise there is no result.
+        """
+        joined = [" ".join(words[at : at + _JOINED]) for at in range(0, len(words), _JOINED)]
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)]
+        ids = np.array([i for own in found for i in own], np.int32)
+        ends = np.flatnonzero(self.ending[ids]) + 1
+        return (ids, np.diff(ends, prepend=0)) if len(ends) == len(words) else None
+
     def encode_pieces(self, pieces: list[bytes]) -> tuple[list[int], np.ndarray, np.ndarray]:
+        words = [p.decode() for p in pieces]
+        letters = [i for i, w in enumerate(words) if w.isalpha()] if self.ending.any() else []
+        others = [i for i, w in enumerate(words) if not w.isalpha()] if letters else list(range(len(words)))
+        ids, length, order = [], [], []
+        for at in range(0, len(letters), _WORDS):
+            part = letters[at : at + _WORDS]
+            found = self._encode_letters([words[i] for i in part])
+            if found is None:
+                others += part
+                continue
+            order += part
+            ids.append(found[0])
+            length.append(found[1])
+        _, own, sizes = self._encode_each([words[i] for i in others])
+        return order + others, np.concatenate([*ids, own]), np.concatenate([*length, sizes])
+
+    def _encode_each(self, pieces: list[str]) -> tuple[list[int], np.ndarray, np.ndarray]:
         ids, length = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
         # The library's results are large objects: few are alive at a time.
         for at in range(0, len(pieces), _WORDS):
-            part = [p.decode() for p in pieces[at : at + _WORDS]]
+            part = pieces[at : at + _WORDS]
             found = [e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
             ids.append(np.array([i for own in found for i in own], np.int32))
             length.append(np.array(list(map(len, found)), np.int64))
@@ -186,21 +254,23 @@ def write_tokens(
     ordered = rows.repartitionByRange(parts, "key", "tie").sortWithinPartitions("key", "tie").select("key", "text")
 
     def files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(definition.value)
-        keys, lengths, ids = [], [], []
+        encoder, first = _encoder(definition.value), TaskContext.get().partitionId() << 32
+        file, number = FileBuilder(first), 0
         for batch in batches:
-            keys.append(batch.column("key"))
-            for _, part in slices(batch.column("text")):
+            for at, part in slices(batch.column("text"), SLICE):
+                if file.text_bytes >= FILE_BYTES:
+                    yield pa.RecordBatch.from_arrays([pa.array([file.content()], pa.binary())], ["content"])
+                    number += 1
+                    file = FileBuilder(first + number)
                 found, bounds = encoder.encode(part.to_pylist())
-                lengths.append(np.diff(bounds) + 1)
-                ids.append(np.insert(found, bounds[1:], end_id))
-        if keys:
-            content = build_file(
-                TaskContext.get().partitionId(), pa.concat_arrays(keys), np.concatenate(lengths), np.concatenate(ids)
-            )
-            yield pa.RecordBatch.from_arrays([pa.array([content], pa.binary())], ["content"])
-
-    ordered.mapInArrow(files, "content binary").select(F.col("content").cast("string")).write.text(path)
+                ids = np.insert(found, bounds[1:], end_id)
+                file.add(batch.column("key").slice(at, len(part)), np.diff(bounds) + 1, ids, part.nbytes)
+        if file.keys:
+            yield pa.RecordBatch.from_arrays([pa.array([file.content()], pa.binary())], ["content"])
+
+    written = ordered.mapInArrow(files, "content binary").select(F.col("content").cast("string"))
+    # Each row becomes a file of its own.
+    written.write.option("maxRecordsPerFile", 1).text(path)
 
 
 def read_tokens(spark: SparkSession, path: str, ids: bool = True) -> DataFrame:

@@ -169,9 +169,13 @@ def score(text: str | None, model: ToxicityModel | None) -> float:
 
 
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic"):
-    """Learn from a bounded sample of labelled documents that are not held out, drawn by the key's hash."""
+    """Learn from a bounded sample of labelled documents that are not held out, drawn by a hash of key and label.
+
+    Of documents with the same key one is learnt from, the one whose text has the smallest hash.
+    """
     named = labels.select(quoted(key).alias("key"), quoted(label).cast("int").alias("label"))
     usable = named.filter(F.col("label").isin(0, 1) & F.col("key").isNotNull() & ~held_out(F.col("key")))
+    usable = usable.withColumn("text_hash", F.xxhash64("label"))
     counts = {r["label"]: r["count"] for r in usable.groupBy("label").count().collect()}
     chosen = bounded_sample(usable.filter("label = 1"), "label", "key", TOXIC_DOCS).unionByName(
         bounded_sample(usable.filter("label = 0"), "label", "key", ORDINARY_DOCS)
@@ -180,7 +184,10 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
         F.octet_length("text").between(1, TEXT_BYTES)
     )
     # At most TOXIC_DOCS + ORDINARY_DOCS rows of two numbers.
-    rows = texts.join(F.broadcast(chosen), "key").orderBy(F.xxhash64("key"), "key", "text").toArrow()
+    labelled = texts.join(F.broadcast(chosen.select("key", "label")), "key")
+    first = F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("first")
+    rows = labelled.groupBy("key", "label").agg(first).select("key", "label", "first.text")
+    rows = rows.orderBy(F.xxhash64("key"), "key", "label").toArrow()
     ratio = counts.get(0, 0) / max(1, counts.get(1, 0))
     return train(rows.column("text").to_pylist(), rows.column("label").to_pylist(), ratio)
 

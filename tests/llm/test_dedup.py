@@ -1,3 +1,5 @@
+import os
+
 import brute
 import numpy as np
 import pyarrow as pa
@@ -210,3 +212,11 @@ def test_connected_components(spark):
     links = spark.createDataFrame([(5, 4), (4, 3), (3, 9), (7, 8), (8, 7), (1, 1), (6, 5)], "a bigint, b bigint")
     got = {(r.node, r.root) for r in connected_components(links).collect()}
     assert got == {(1, 1), (3, 3), (4, 3), (5, 3), (6, 3), (9, 3), (7, 7), (8, 7)}
+
+
+def test_copies_of_the_join_are_removed(spark, corpus, documents):
+    from lakepipe.session import shared_dir
+
+    jaccard_join.components(documents).count()
+    folder = shared_dir(spark).removeprefix("file:")
+    assert not [n for n in os.listdir(folder) if n.startswith("jaccard-")]

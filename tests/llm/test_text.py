@@ -248,7 +248,11 @@ def test_token_files(spark, documents, corpus, nothing, tmp_path, monkeypatch):
     import numpy as np
 
     monkeypatch.setattr(token_files, "FILE_BYTES", 50_000)
+    monkeypatch.setattr(token_files, "SLICE", 20_000)
     path = str(tmp_path / "tokens")
+    token_files.write_tokens(documents.unionByName(documents.filter("doc_id = 1009")).coalesce(1), path)
+    assert len(list((tmp_path / "tokens").glob("part-*"))) > 2
+    path = str(tmp_path / "whole")
     token_files.write_tokens(documents, path)
     got = sorted(token_files.read_tokens(spark, path).collect(), key=lambda r: r.start)
     library = Tokenizer.from_file(public_tokenizers.path(token_files.TOKENIZER_FILE))
