@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -55,3 +56,13 @@ def checkpoint(df: DataFrame) -> DataFrame:
     """Write `df` to the shared folder once and continue from the written copy."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def release_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of queries that are over.
+
+    Spark deletes them when the driver's garbage collector finds their query unused, which may take
+    half an hour. Call it where a written table has cut the lineage, so nothing needs them any more.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
