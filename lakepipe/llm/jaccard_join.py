@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from lakepipe.llm.arrays import mix, shingle_sets, slices, words_of
 from lakepipe.llm.components import connected_components
 from lakepipe.llm.frames import LOWER, UPPER, fresh_name, quoted, ship, table
-from lakepipe.session import checkpoint, release_shuffles, scratch_path
+from lakepipe.session import checkpoint, scratch_path, shuffles_removed
 from lakepipe.sources.writers import remove
 
 SHINGLE = 5
@@ -268,8 +268,8 @@ class _Copy:
 
     def __init__(self, df: DataFrame, name: str):
         self.spark, self.path = df.sparkSession, scratch_path(df.sparkSession, f"jaccard-{name}")
-        df.write.parquet(self.path)
-        release_shuffles(self.spark)
+        with shuffles_removed(self.spark):
+            df.write.parquet(self.path)
         self.rows = self.spark.read.schema(df.schema).parquet(self.path)
 
     def drop(self) -> None:
