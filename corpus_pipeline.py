@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from lakepipe.llm import byte_bpe, decontamination, exact_dedup, jaccard_join, language_id
 from lakepipe.llm.frames import fresh_name, table
-from lakepipe.session import scratch_path
+from lakepipe.session import scratch_path, shuffles_removed
 from lakepipe.sources.writers import remove
 
 #: A document whose language gets a lower score than this is rejected.
@@ -91,7 +91,9 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         path = scratch_path(spark, f"pipeline-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
+        kept = stage(spark, docs, sf_dir)
+        with shuffles_removed(spark):
+            kept.write.parquet(path)
         docs = spark.read.parquet(path)
         if before is not None:
             remove(spark, before)

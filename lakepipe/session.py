@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-import gc
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def build_session(app_name: str = "lakepipe", master: str | None = None, **settings: str) -> SparkSession:
     """A session in UTC with adaptive execution; `settings` overrides or adds any Spark setting."""
     builder = SparkSession.builder.appName(app_name)
@@ -52,17 +56,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Write `df` to the shared folder once and continue from the written copy."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Inside, every query's shuffle files are deleted when it ends, not when the driver collects its objects.
 
+    For queries whose result is written: nothing reads their shuffles again.
+    """
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(CLEANUP, before)
 
-def release_shuffles(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of queries that are over.
 
-    Spark deletes them when the driver's garbage collector finds their query unused, which may take
-    half an hour. Call it where a written table has cut the lineage, so nothing needs them any more.
-    """
-    gc.collect()
-    spark._jvm.System.gc()
+def checkpoint(df: DataFrame) -> DataFrame:
+    """Write `df` to the shared folder once and continue from the written copy."""
+    shared_dir(df.sparkSession)
+    with shuffles_removed(df.sparkSession):
+        return df.checkpoint(eager=True)
