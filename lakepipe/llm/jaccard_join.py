@@ -16,9 +16,11 @@ Sets equal in all elements are one class, so copies cost one row each. Signature
 packed by signature range. In a bucket of equal signatures up to SMALL members are all paired; in a
 larger one its smallest member is paired with the rest. First every class is compared with its
 smallest partner, and the links are merged into components. Then only what is still apart is
-compared (`_close`): components that share a signature form families, and the sets of a family meet
-in blocks of bounded size, where every pair that shares a signature and is not in one component yet
-is verified. Every link comes from an exact comparison, and no candidate is left out.
+compared (`_close`): components that share a signature form families, and parity sketches of a
+family's sets meet in blocks of bounded size. Two sketches differ in at most as many bits as the sets
+differ in elements, so a pair whose sketches differ in more than similar sets may is ruled out. Every
+other pair that shares a signature and is not in one component yet is verified on its texts. Every
+link comes from an exact comparison, and no candidate is left out.
 
 Defined results: words are runs of bytes other than [\\x20\\x09-\\x0D], A-Z lower-cased; a text with
 fewer words than a shingle has its word sequence as its only one; null, empty and blank texts have
@@ -54,6 +56,9 @@ SMALL, BLOCK = 16, 512
 CHUNK_BYTES = 16 << 20
 #: A signature travels as its bucket and these low bytes; strangers that agree in them cost a comparison.
 SIGN_BYTES = 5
+#: A parity sketch has this many bits; sketches are made for slices of so much text, and a chunk of them
+#: holds SKETCHED times as many classes as one of texts.
+SKETCH_BITS, SKETCH_SLICE, SKETCHED = 2048, 1 << 20, 8
 #: Up to so many narrow rows (some 24 MB) are broadcast to the texts they pick; more are shuffled with them.
 BROADCAST_ROWS = 1_000_000
 
@@ -321,30 +326,76 @@ def _linked(nearest: DataFrame, texts: DataFrame, block: int) -> DataFrame:
     return rows.groupBy("part", "chunk").applyInArrow(_verify_stars, "a bigint, b bigint")
 
 
-def _verify(group: pa.Table) -> pa.Table:
-    """The links between members of one block that share a signature and are in different components.
+def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(class, size, sketch): bit h(x) of the sketch is flipped for every shingle x of the set.
+
+    Two sketches differ in at most as many bits as the sets differ in elements.
+    """
+    for batch in batches:
+        for at, part in slices(batch.column("text"), SKETCH_SLICE):
+            bounds, elements = shingle_sets(words_of(part, lower=True), SHINGLE)
+            sizes = np.diff(bounds)
+            bit = (mix(elements ^ np.uint64(0x8EBC6AF09C88C6E3)) % np.uint64(SKETCH_BITS)).astype(np.int64)
+            cell = np.repeat(np.arange(len(sizes)), sizes) * SKETCH_BITS + bit
+            odd = (np.bincount(cell, minlength=len(sizes) * SKETCH_BITS) & 1).astype(np.uint8)
+            rows = np.packbits(odd.reshape(len(sizes), SKETCH_BITS), axis=1)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("class").slice(at, len(part)),
+                    pa.array(sizes.astype(np.int64)),
+                    pa.array([r.tobytes() for r in rows], pa.binary()),
+                ],
+                ["class", "size", "sketch"],
+            )
+
+
+def _screen(group: pa.Table) -> pa.Table:
+    """The pairs of one block that share a signature, are in different components, and whose sizes and
+    sketches allow a link.
 
     Members of side 0 and side 1 are compared with each other, or all of them if there is one side.
     """
-    classes, roots = (group.column(c).to_numpy() for c in ("class", "root"))
-    sets = _sets_of(group.column("text"))
-    sides = group.column("side").to_numpy()
-    signs = group.column("signs").to_pylist()
-    owner = np.repeat(np.arange(len(signs)), [len(x) for x in signs])
-    sign = np.array([x for own in signs for x in own], np.int64)
+    classes, roots, sizes, sides = (group.column(c).to_numpy() for c in ("class", "root", "size", "side"))
+    sketches = np.frombuffer(b"".join(group.column("sketch").to_pylist()), np.uint64).reshape(len(classes), -1)
+    signs = group.column("signs").combine_chunks()
+    sign, owner = signs.flatten().to_numpy(), np.repeat(np.arange(len(classes)), signs.value_lengths().to_numpy())
     order = np.argsort(sign, kind="stable")
     edges = np.flatnonzero(np.concatenate([[True], np.diff(sign[order]) != 0, [True]]))
     candidate = np.zeros((len(classes), len(classes)), bool)
     for low, high in zip(edges[:-1], edges[1:]):
-        members = owner[order[low:high]]
-        candidate[np.ix_(members, members)] = True
-    if sides.any() and not sides.all():
-        candidate &= sides[:, None] != sides[None, :]
-    sizes = np.array([len(x) for x in sets])
-    found_a, found_b = [], []
+        if high - low > 1:
+            members = owner[order[low:high]]
+            candidate[np.ix_(members, members)] = True
+    two = sides.any() and not sides.all()
+    found_i, found_j = [], []
     for i in range(len(classes)):
         near = np.flatnonzero(candidate[i, i + 1 :]) + i + 1
-        near = near[(roots[near] != roots[i]) & (OF * np.minimum(sizes[near], sizes[i]) >= SIMILAR * np.maximum(sizes[near], sizes[i]))]
+        near = near[roots[near] != roots[i]]
+        if two:
+            near = near[sides[near] != sides[i]]
+        near = near[OF * np.minimum(sizes[near], sizes[i]) >= SIMILAR * np.maximum(sizes[near], sizes[i])]
+        total = sizes[near] + sizes[i]
+        apart = np.bitwise_count(sketches[near] ^ sketches[i]).sum(axis=1, dtype=np.int64)
+        near = near[apart * (OF + SIMILAR) <= (OF - SIMILAR) * total]
+        found_i.append(np.full(len(near), i))
+        found_j.append(near)
+    i, j = np.concatenate(found_i), np.concatenate(found_j)
+    family = np.full(len(i), group.column("family")[0].as_py())
+    columns = {"family": family, "a": classes[i], "a_root": roots[i], "b": classes[j], "b_root": roots[j]}
+    return pa.table({name: pa.array(values, pa.int64()) for name, values in columns.items()})
+
+
+def _verify(group: pa.Table) -> pa.Table:
+    """The links among rows (class, root, partners, text): each class is compared with its partners.
+
+    Pairs whose components are linked by then are left out.
+    """
+    classes, roots = (group.column(c).to_numpy() for c in ("class", "root"))
+    sets, place = _sets_of(group.column("text")), {int(c): i for i, c in enumerate(classes)}
+    found_a, found_b = [], []
+    for i, partners in enumerate(group.column("partners").to_pylist()):
+        near = np.array([place[b] for b in partners], np.int64)
+        near = near[roots[near] != roots[i]]
         if not len(near):
             continue
         linked = near[_similar(sets[i], [sets[j] for j in near])]
@@ -356,8 +407,32 @@ def _verify(group: pa.Table) -> pa.Table:
     return pa.table({"a": pa.array(found_a, pa.int64()), "b": pa.array(found_b, pa.int64())})
 
 
-def _blocks(members: DataFrame, lengths: DataFrame, block: int, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """Deal the members (family, class, root, signs) to blocks in which all needed pairs meet.
+def _verified(screened: DataFrame, texts: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+    """The links among the screened pairs (family, a, a_root, b, b_root), by the texts (class, text, bytes).
+
+    The classes of a family that are in a pair are dealt to chunks of about `chunk_bytes` of text. A
+    pair is compared where its two chunks meet, and only texts that have a pair there are sent.
+    """
+    own = screened.select("family", F.explode(F.array("a", "b")).alias("class")).distinct()
+    size = own.join(texts.select("class", "bytes"), "class").groupBy("family").agg(F.sum("bytes").alias("bytes"))
+    parts = size.select("family", F.greatest(F.lit(1), F.ceil(F.col("bytes") / chunk_bytes)).alias("parts"))
+    dealt = screened.join(parts, "family").withColumns(
+        {c: F.pmod(F.xxhash64(side), F.col("parts")) for c, side in (("x", "a"), ("y", "b"))}
+    )
+    one = dealt.select("family", "x", "y", F.col("a").alias("class"), F.col("a_root").alias("root"), F.col("b").alias("partner"))
+    other = dealt.select(
+        "family", "x", "y", F.col("b").alias("class"), F.col("b_root").alias("root"), F.lit(None).cast("bigint").alias("partner")
+    )
+    rows = one.unionByName(other).groupBy("family", "x", "y", "class", "root")
+    rows = checkpoint(rows.agg(F.collect_set("partner").alias("partners")))
+    sent = _pick(texts.select("class", "text"), rows, "class")
+    return sent.groupBy("family", "x", "y").applyInArrow(_verify, "a bigint, b bigint")
+
+
+def _blocks(
+    members: DataFrame, lengths: DataFrame, block: int, chunk_bytes: int = CHUNK_BYTES, carried: tuple[str, ...] = ()
+) -> DataFrame:
+    """Deal the members (family, class, root, signs, and what is carried) to blocks in which all needed pairs meet.
 
     `lengths` has (class, bytes). A family of one chunk is one block. In a larger one the classes of
     its largest component need not meet each other. They are dealt to chunks, the others to chunks
@@ -408,7 +483,7 @@ def _blocks(members: DataFrame, lengths: DataFrame, block: int, chunk_bytes: int
         .otherwise(F.concat(spread, beside))
     )
     dealt = placed.withColumn("place", F.explode(place)).drop("top", "tops", "others")
-    return dealt.select("family", "place.*", "class", "root", "signs")
+    return dealt.select("family", "place.*", "class", "root", "signs", *carried)
 
 
 def _close(
@@ -416,8 +491,9 @@ def _close(
 ) -> DataFrame:
     """Compare what the pairs (a, b) and the large buckets (sign, class), both read from `found`, still hold apart.
 
-    Components that some signature ties are a family; a family's texts meet in one block, or in
-    several if it is large. Only links come out, those given and the new ones, written.
+    Components that some signature ties are a family; sketches of a family's sets meet in one block,
+    or in several if it is large. Only the texts of pairs that the sketches don't rule out are sent
+    to be compared. Only links come out, those given and the new ones, written.
     """
     roots = connected_components(links).withColumnRenamed("node", "class")
     ties = pairs.select(F.explode(F.array("a", "b")).alias("class"), F.xxhash64("a", "b").alias("sign"))
@@ -432,18 +508,21 @@ def _close(
     family = connected_components(still_open.select(F.col("root").alias("a"), F.col("low").alias("b")).distinct())
     members = (
         still_open.groupBy("class", "root")
-        .agg(F.collect_set("sign").alias("signs"))
+        # Signatures that agree in these bits cost a comparison of sketches.
+        .agg(F.collect_set(F.hash("sign")).alias("signs"))
         .join(family.select(F.col("node").alias("root"), F.col("root").alias("family")), "root")
     )
-    copy = _Copy(members, "members")
+    picked = _pick(texts, still_open.select("class").distinct(), "class").select("class", "text")
+    sketches = picked.mapInArrow(_sketches, "class bigint, size bigint, sketch binary")
+    copy = _Copy(members.join(sketches, "class"), "members")
     kept.drop()
-    members = copy.rows
-    picked = _pick(texts, members.select("class").distinct(), "class")
-    picked, lengths = picked.select("class", "text"), texts.select("class", "bytes")
-    rows = _blocks(members, lengths, block).join(picked, "class")
-    closing = rows.groupBy("family", "x", "y").applyInArrow(_verify, "a bigint, b bigint")
-    closed = checkpoint(links.unionByName(closing))
+    lengths = copy.rows.select("class", (F.size("signs") * 4 + SKETCH_BITS // 8).cast("bigint").alias("bytes"))
+    rows = _blocks(copy.rows, lengths, block * SKETCHED, CHUNK_BYTES, ("size", "sketch"))
+    pairs_schema = "family bigint, a bigint, a_root bigint, b bigint, b_root bigint"
+    screened = _Copy(rows.groupBy("family", "x", "y").applyInArrow(_screen, pairs_schema), "screened")
     copy.drop()
+    closed = checkpoint(links.unionByName(_verified(screened.rows, texts)))
+    screened.drop()
     return closed
 
 
