@@ -40,3 +40,32 @@ def bucket_of(token: Column, count: Column | int) -> Column:
     """A bucket 0..count-1 from a 64-bit token."""
     size = F.lit(count) if isinstance(count, int) else count
     return F.pmod(token, size.cast("bigint"))
+
+
+# A prime just below 2^47, and a multiplier whose products with smaller numbers stay below 2^63.
+DRAW_MODULUS, DRAW_FACTOR = (1 << 47) - 115, 48271
+#: A key jumps about ln(count) times; more jumps than this happen to one key in 10^12 of 10^9 buckets.
+MOST_JUMPS = 64
+
+
+def jump_bucket(token: Column, count: Column | int) -> Column:
+    """A bucket 0..count-1 that seldom changes with the count: jump consistent hashing.
+
+    Each bucket that is added takes its share of every other one, so from N to N + 1 buckets one key in
+    N + 1 moves, all of them to the new bucket. A key's draws follow from its token alone: from bucket b
+    it jumps to floor((b + 1) / draw) while that is below the count. NULL without
+    buckets or a token.
+    """
+    size = (F.lit(count) if isinstance(count, int) else count).cast("bigint")
+
+    def jump(state: Column, _: Column) -> Column:
+        drawn = state["s"] * DRAW_FACTOR % DRAW_MODULUS
+        share = drawn.cast("double") / F.lit(float(DRAW_MODULUS))
+        there = F.floor(F.least((state["next"] + 1).cast("double") / share, size.cast("double")))
+        moved = F.struct(drawn.alias("s"), state["next"].alias("at"), there.alias("next"))
+        return F.when(state["next"] < size, moved).otherwise(state)
+
+    seed = F.pmod(token, F.lit(DRAW_MODULUS - 1)) + 1
+    start = F.struct(seed.alias("s"), F.lit(-1).cast("bigint").alias("at"), F.lit(0).cast("bigint").alias("next"))
+    bucket = F.aggregate(F.sequence(F.lit(1), F.lit(MOST_JUMPS)), start, jump, lambda state: state["at"])
+    return F.when(token.isNotNull() & (bucket >= 0), bucket)

@@ -45,5 +45,13 @@ class Layout:
     def load_plans(self) -> str:
         return f"{self.base}/metadata/load_plans"
 
+    @property
+    def customer_counts(self) -> str:
+        return f"{self.base}/metadata/customer_counts"
+
+    @property
+    def touched_days(self) -> str:
+        return f"{self.base}/metadata/touched_days"
+
     def staging(self, table: str, run_id: str) -> str:
         return f"{self.base}/staging/{table}/{run_id}"

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +13,7 @@ from pyspark.sql import types as T
 from lakepipe.layout import Layout
 from lakepipe.operators.history import merge_history
 from lakepipe.operators.quality import FinerThan, orphans, quality_report, require_clean
-from lakepipe.plans import bronze, dimensions, facts, features, marts, models, silver, training
+from lakepipe.plans import bronze, dimensions, facts, features, marts, models, refresh, silver, training
 from lakepipe.sources.readers import read_table
 from lakepipe.sources.state import note_batch, run_values
 from lakepipe.sources.writers import overwrite
@@ -58,11 +60,16 @@ class Jobs:
         return read_table(self.spark, self.layout.silver("customers")).drop(*bronze.BATCH_COLUMNS)
 
     def customer_dimension(self, as_of: str | None = None) -> None:
+        refresh.note_silver_days(self.spark, self.layout, uuid.uuid4().hex)
         overwrite(dimensions.customer_dimension(self._customers(), as_of), self.layout.gold("dim_customer"))
 
     def update_customer_dimension(self, as_of: str) -> None:
         """Merge the current Silver customers into the dimension and keep the old versions."""
-        merged = merge_history(self._gold("dim_customer"), self._customers(), "customer_id", "customer_sk", as_of)
+        before = self._gold("dim_customer")
+        merged = merge_history(before, self._customers(), "customer_id", "customer_sk", as_of)
+        changed, since = refresh.changed_since(before, merged, as_of)
+        if changed:
+            refresh.note_silver_days(self.spark, self.layout, uuid.uuid4().hex, since)
         overwrite(merged, self.layout.gold("dim_customer"))
 
     def fact_transactions(self) -> None:
@@ -103,6 +110,13 @@ class Jobs:
         daily = self._gold("daily_transaction_summary")
         overwrite(marts.fraud_rate_by_day(daily), self.layout.gold("fraud_rate_by_day"))
 
+    def refresh(self) -> list[dt.date]:
+        """Facts of the days that changed since the last refresh, and all marts; returns these days.
+
+        In place of `fact_transactions` and the four mart steps; the facts are in `fact_by_day`.
+        """
+        return refresh.refresh(self.spark, self.layout)
+
     def lifetime_features(self) -> None:
         life = features.lifetime(self._gold("fact_transactions"))
         overwrite(life, self.layout.features("customer_lifetime_features"))

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakepipe.functions.keys import bucket_of, row_key, row_token
+from lakepipe.functions.keys import bucket_of, jump_bucket, row_key, row_token
 from lakepipe.functions.times import source_timestamp
 from lakepipe.layout import Layout
 from lakepipe.operators.dedup import keep_first, keep_first_desc
@@ -16,8 +16,9 @@ from lakepipe.operators.ordering import dense_ids, dense_row_ids
 from lakepipe.operators.quality import AllowedValues, NotNull, UniqueKey, quality_report, require_clean
 from lakepipe.plans import ledger
 from lakepipe.plans.bronze import BATCH, BATCH_COLUMNS, BRONZE_TRANSACTIONS, FEATURE_COLUMNS
+from lakepipe.plans.refresh import note_days
 from lakepipe.sources.readers import read_or_empty, read_table
-from lakepipe.sources.state import first_loads, note_batch, pending_batches
+from lakepipe.sources.state import customer_count_of, customer_counts, first_loads, note_batch, pending_batches
 from lakepipe.sources.writers import overwrite, remove, stage, subfolders, write_partitioned
 
 BUSINESS_COLUMNS = [*FEATURE_COLUMNS, "amount", "fraud_flag"]
@@ -59,24 +60,28 @@ def transform_customers(
 
 
 def transform_transactions(
-    df: DataFrame, customer_count: int, draw: Column | None = None, within: Sequence[str] = ()
+    df: DataFrame, customer_count: Column | int, draw: Column | None = None, within: Sequence[str] = ()
 ) -> DataFrame:
     """Typed, deduplicated transactions with keys.
 
     Of rows equal in every business column, and in the columns `within`, the earliest stays.
-    `transaction_id` is a hash of the business columns and customer_id a hash of them modulo the
-    number of customers (or `draw` modulo that number), so a repeated load gives the same ids.
+    `transaction_id` is a hash of the business columns and customer_id a bucket that such a hash falls
+    into (or `draw` modulo the number of customers), so a repeated load gives the same ids; when
+    customers are added few transactions would change theirs.
     """
     named = df.withColumnsRenamed({"Class": "fraud_flag", "Amount": "amount"})
     needed = named.select("Time", *BUSINESS_COLUMNS, "ingest_date", *within)
     first = keep_first(needed, [*BUSINESS_COLUMNS, *within], ["ingest_date", "Time"])
-    token = row_token(*BUSINESS_COLUMNS) if draw is None else draw
+    if draw is None:
+        customer = jump_bucket(row_token(*BUSINESS_COLUMNS), customer_count)
+    else:
+        customer = bucket_of(draw, customer_count)
     return (
         first.withColumn("transaction_timestamp", source_timestamp("Time"))
         .withColumns(
             {
                 "transaction_date": F.to_date("transaction_timestamp"),
-                "customer_id": bucket_of(token, customer_count),
+                "customer_id": customer,
                 "transaction_id": row_key(*BUSINESS_COLUMNS),
             }
         )
@@ -162,7 +167,8 @@ def load_batch(spark: SparkSession, layout: Layout, batch: str) -> None:
     whose writes are the same again. One load runs at a time.
     """
     plan = f"{layout.load_plans}/{uuid.uuid4().hex}"
-    customer_count = read_table(spark, layout.silver("customers")).count()
+    customers = read_table(spark, layout.silver("customers"))
+    customer_count = customer_count_of(spark, layout.customer_counts, batch, customers)
     bronze = read_or_empty(spark, layout.bronze("transactions"), BRONZE_TRANSACTIONS)
     rows = stage(transform_transactions(bronze.filter(F.col(BATCH) == batch), customer_count), f"{plan}/rows")
     known = read_or_empty(spark, layout.silver("transaction_ledger"), ledger.SCHEMA)
@@ -176,7 +182,12 @@ def load_batch(spark: SparkSession, layout: Layout, batch: str) -> None:
 
     checked = whole = change.owned_rows.withColumn(BATCH, F.lit(batch))
     if sources:
-        again = transform_transactions(bronze.filter(F.col(BATCH).isin(sources)), customer_count, within=[BATCH])
+        # Every batch deals its transactions out among the customers there were when it came.
+        counts = customer_counts(spark, layout.customer_counts)
+        held = bronze.filter(F.col(BATCH).isin(sources)).join(counts.filter(F.col(BATCH).isin(sources)), BATCH, "left")
+        held = held.fillna(customer_count, ["customer_count"])
+        again = transform_transactions(held, F.col("customer_count"), within=[BATCH, "customer_count"])
+        again = again.drop("customer_count")
         returned = again.join(change.heirs.select("transaction_id", BATCH), ["transaction_id", BATCH], "left_semi")
         beside = silver_transactions(spark, layout).join(change.folders, ledger.FOLDER, "left_semi")
         beside = beside.join(change.heirs.select("transaction_id"), "transaction_id", "left_anti")
@@ -194,13 +205,21 @@ READY = "ready"
 
 
 def _carry_out(spark: SparkSession, layout: Layout, plan: str, batch: str) -> None:
-    """Change the tables as a complete plan says; doing it twice changes nothing more."""
+    """Change the tables as a complete plan says; doing it twice changes nothing more.
+
+    The days it touches are noted first, for the next refresh of facts and marts.
+    """
+    stale = read_or_empty(spark, f"{plan}/stale", "table_name string, transaction_date date")
+    staged = read_or_empty(spark, f"{plan}/transactions", SILVER_SCHEMA)
+    note_days(
+        staged.select("transaction_date").unionByName(stale.select("transaction_date")), layout, plan.rpartition("/")[2]
+    )
     tables = {"transactions": SILVER_SCHEMA, "ledger": ledger.SCHEMA}
     paths = {"transactions": layout.silver("transactions"), "ledger": layout.silver("transaction_ledger")}
     for name, schema in tables.items():
         write_partitioned(read_or_empty(spark, f"{plan}/{name}", schema), paths[name], ledger.FOLDER, mode="replace")
     # At most two folders for each day of one batch.
-    for row in read_or_empty(spark, f"{plan}/stale", "table_name string, transaction_date date").collect():
+    for row in stale.collect():
         remove(spark, f"{paths[row['table_name']]}/transaction_date={row['transaction_date']}/{BATCH}={batch}")
     note_batch(spark, layout.batches, "transactions", batch, "loaded")
     remove(spark, plan)

@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakepipe.functions.money import exact_sum
+from lakepipe.functions.money import exact_sum, rate
 from lakepipe.layout import Layout
+from lakepipe.plans import marts
 from lakepipe.plans.bronze import FEATURE_COLUMNS, rejected
+from lakepipe.plans.facts import build_fact
 from lakepipe.plans.jobs import Jobs
 from lakepipe.plans.silver import transform_customers, transform_transactions
 from lakepipe.queries import views
@@ -19,7 +21,7 @@ from lakepipe.session import scratch_path
 from lakepipe.sources.readers import BAD_RECORD, newer_than, read_csv, read_or_empty, read_table
 from lakepipe.sources.state import advance_high_mark, high_marks, read_high_mark
 from lakepipe.sources.writers import overwrite, stage, write_partitioned
-from lakepipe.streaming.incremental import start_incremental_load, start_silver_load
+from lakepipe.streaming.incremental import load_distinct, start_incremental_load, start_silver_load
 
 # Where the two-batch loads cut the events.
 FIRST_BATCH_END = "2024-01-15"
@@ -266,6 +268,93 @@ def stream_batch_correction(spark, sf_dir):
     )
 
 
+# Three deliveries of events: each repeats the last days of the one before, the last one brings rows that are late.
+HELD_BACK = "event_id % 97 = 5 AND ts < TIMESTAMP'2024-01-05'"
+EVENT_DELIVERIES = (
+    f"ts < TIMESTAMP'2024-01-11' AND NOT ({HELD_BACK})",
+    "ts >= TIMESTAMP'2024-01-08' AND ts < TIMESTAMP'2024-01-21'",
+    f"ts >= TIMESTAMP'2024-01-18' OR ({HELD_BACK})",
+)
+
+
+def stream_stateful_dedup(spark, sf_dir):
+    """Events per day after a stream that remembers keys for five days, its rows and the late ones among them."""
+    events = views.table(spark, sf_dir, "events").select(
+        "event_id", "value", F.col("ts").cast("timestamp").alias("ts"), F.to_date("ts").alias("event_date")
+    )
+    source, target, progress = (scratch_path(spark, f"distinct-{n}") for n in ("source", "target", "progress"))
+    runs = []
+    for rows in EVENT_DELIVERIES:
+        events.filter(rows).write.mode("append").parquet(source)
+        runs.append(
+            load_distinct(spark, source, events.schema, ["event_id"], "ts", "5 days", target, progress, ["event_date"])
+        )
+    return read_table(spark, target).groupBy("event_date").agg(
+        F.count(F.lit(1)).alias("events"),
+        exact_sum("value").alias("total"),
+        F.lit(sum(r.rows_in for r in runs)).cast("bigint").alias("rows_in"),
+        F.lit(sum(r.late_rows for r in runs)).cast("bigint").alias("late_rows"),
+    )
+
+
+# What source "a" holds when it is corrected: these users' events up to FIRST_BATCH_END.
+CORRECTED = "V1 <= 100"
+
+
+def mart_refresh(spark, sf_dir):
+    """Marts refreshed after each of three loads (two halves of the days, then the first half corrected).
+
+    `differences` counts rows by which any mart differs from one that is built from all facts.
+    """
+    jobs, source = _lake(spark, sf_dir)
+    overwrite(views.customers(spark, sf_dir), jobs.layout.gold("dim_customer"))
+    first, second = _halves(spark, sf_dir)
+    parts = []
+    for n, (batch, rows) in enumerate((("a", first), ("b", second), ("a", first.filter(CORRECTED))), 1):
+        jobs.ingest_transactions(_write_source(rows, f"{source}/{n}"), "2024-02-01", batch)
+        jobs.silver_transactions()
+        jobs.date_dimension()
+        jobs.refresh()
+        parts.append(stage(_mart_state(jobs, n), scratch_path(spark, "refreshed")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _mart_state(jobs, delivery):
+    """Every day and month, and all customers together."""
+
+    def gold(name):
+        return read_table(jobs.spark, jobs.layout.gold(name))
+
+    calendar, customers = gold("dim_date"), gold("dim_customer")
+    fact = build_fact(read_table(jobs.spark, jobs.layout.silver("transactions")), customers)
+    daily, monthly = gold("daily_transaction_summary"), gold("monthly_revenue_summary")
+    activity = gold("customer_activity_summary")
+    different = F.lit(0).cast("bigint")
+    for mart, full in (
+        (daily, marts.daily_summary(fact, calendar)),
+        (monthly, marts.monthly_summary(fact, calendar)),
+        (activity, marts.customer_activity(fact, customers)),
+        (gold("fraud_rate_by_day"), marts.fraud_rate_by_day(marts.daily_summary(fact, calendar))),
+    ):
+        full = full.select(mart.columns)
+        odd = mart.exceptAll(full).unionByName(full.exceptAll(mart))
+        different += F.lit(odd.count())
+    measures = ["total_transactions", "total_amount", "fraud_count", "fraud_rate"]
+    lifetime = activity.agg(
+        F.sum("transaction_count").alias("total_transactions"),
+        exact_sum("total_spent").alias("total_amount"),
+        F.sum("fraud_count").alias("fraud_count"),
+    ).withColumn("fraud_rate", rate("fraud_count", "total_transactions"))
+    rows = [
+        daily.select(F.lit("day").alias("level"), F.col("date_sk").alias("period"), *measures),
+        monthly.select(F.lit("month").alias("level"), (F.col("year") * 100 + F.col("month")).alias("period"), *measures),
+        lifetime.select(F.lit("all").alias("level"), F.lit(0).alias("period"), *measures),
+    ]
+    return reduce(DataFrame.unionByName, rows).withColumns(
+        {"delivery": F.lit(delivery), "differences": different}
+    )
+
+
 def _daily(silver):
     return silver.groupBy("transaction_date").agg(
         F.count(F.lit(1)).alias("transactions"),
@@ -362,6 +451,8 @@ def scd2_renumber(spark, sf_dir):
 
 
 QUERIES = {
+    "q_stream_stateful_dedup": stream_stateful_dedup,
+    "q_mart_refresh": mart_refresh,
     "q_batch_correction": batch_correction,
     "q_stream_batch_correction": stream_batch_correction,
     "q_bronze_two_files_one_day": bronze_two_files_one_day,
@@ -406,6 +497,26 @@ def _correction_sql() -> str:
     return " UNION ALL ".join(parts)
 
 
+def _refresh_sql() -> str:
+    early = f"CAST(ts AS DATE) <= DATE '{FIRST_BATCH_END}'"
+    held = (early, "TRUE", f"NOT ({early}) OR user_id + 1 <= 100")
+    parts = []
+    for n, rows in enumerate(held, 1):
+        silver = SILVER_SQL.replace("FROM events)", f"FROM events WHERE {rows})")
+        for level, period in (
+            ("day", "CAST(strftime(transaction_date, '%Y%m%d') AS INTEGER)"),
+            ("month", "CAST(strftime(transaction_date, '%Y%m') AS INTEGER)"),
+            ("all", "0"),
+        ):
+            parts.append(f"""
+                SELECT {n} AS delivery, '{level}' AS level, {period} AS period, COUNT(*) AS total_transactions,
+                    {money("amount")} AS total_amount, CAST(SUM(fraud_flag) AS BIGINT) AS fraud_count,
+                    ROUND(SUM(fraud_flag) / COUNT(*), 4) AS fraud_rate, 0::BIGINT AS differences
+                FROM ({silver}) GROUP BY period
+            """)
+    return " UNION ALL ".join(parts)
+
+
 def _first_versions(valid_from: str) -> str:
     return f"""
         SELECT c_custkey AS cust_key, c_acctbal AS acct_bal,
@@ -415,7 +526,15 @@ def _first_versions(valid_from: str) -> str:
     """
 
 
+_ROWS_IN = " + ".join(f"COUNT(*) FILTER ({rows})" for rows in EVENT_DELIVERIES)
+
 ORACLE = {
+    "q_stream_stateful_dedup": f"""
+        SELECT CAST(ts AS DATE) AS event_date, COUNT(*) AS events, {money("value")} AS total,
+            (SELECT {_ROWS_IN} FROM events) AS rows_in, (SELECT COUNT(*) FROM events WHERE {HELD_BACK}) AS late_rows
+        FROM events WHERE NOT ({HELD_BACK}) GROUP BY 1
+    """,
+    "q_mart_refresh": _refresh_sql(),
     "q_batch_correction": _correction_sql(),
     "q_stream_batch_correction": _correction_sql(),
     "q_csv_roundtrip": """

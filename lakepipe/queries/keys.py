@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lakepipe.functions.keys import bucket_of
+from lakepipe.functions.keys import DRAW_FACTOR, DRAW_MODULUS, bucket_of, jump_bucket
 from lakepipe.operators import sampling
 from lakepipe.operators.dedup import keep_first
 from lakepipe.operators.evaluation import class_distribution
@@ -41,6 +41,18 @@ def assign_customer(spark, sf_dir):
     return events.select("event_id", bucket_of(F.col("event_id") * 7919, count).alias("customer_id"))
 
 
+def assign_growth(spark, sf_dir):
+    """The customer that every event is dealt to, before and after one customer is added."""
+    count = views.table(spark, sf_dir, "customer").agg(F.count(F.lit(1))).scalar()
+    token = F.conv(F.substring(F.md5(F.col("event_id").cast("string")), 1, 12), 16, 10).cast("bigint")
+    counted = views.table(spark, sf_dir, "events").select("event_id", token.alias("token"), count.alias("n"))
+    return counted.select(
+        "event_id",
+        jump_bucket(F.col("token"), F.col("n")).alias("customer_id"),
+        jump_bucket(F.col("token"), F.col("n") + 1).alias("grown_customer_id"),
+    )
+
+
 def hash_split(spark, sf_dir):
     train, test = sampling.hash_split(views.event_fact(spark, sf_dir), "transaction_sk")
     return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
@@ -84,6 +96,7 @@ QUERIES = {
     "q_surrogate_key": surrogate_key,
     "q_row_ids": row_ids,
     "q_assign_customer": assign_customer,
+    "q_assign_growth": assign_growth,
     "q_hash_split": hash_split,
     "q_split_anti": split_anti,
     "q_subtract": subtract,
@@ -112,6 +125,20 @@ ORACLE = {
     "q_assign_customer": """
         SELECT event_id, event_id * 7919 % (SELECT COUNT(*) FROM customer) AS customer_id FROM events
     """,
+    "q_assign_growth": f"""
+        WITH RECURSIVE jumps AS (
+            SELECT event_id, grown, n, -1::BIGINT AS place, 0::BIGINT AS following,
+                CAST(('0x' || substr(md5(CAST(event_id AS VARCHAR)), 1, 12)) AS BIGINT) % {DRAW_MODULUS - 1} + 1 AS s
+            FROM events, (SELECT unnest([0, 1]) AS grown, COUNT(*) + unnest([0, 1]) AS n FROM customer)
+            UNION ALL
+            SELECT event_id, grown, n, following,
+                CAST(floor(least(CAST(following + 1 AS DOUBLE)
+                    / (CAST(s * {DRAW_FACTOR} % {DRAW_MODULUS} AS DOUBLE) / {DRAW_MODULUS}::DOUBLE), n)) AS BIGINT),
+                s * {DRAW_FACTOR} % {DRAW_MODULUS}
+            FROM jumps WHERE following < n)
+        SELECT event_id, MAX(place) FILTER (grown = 0) AS customer_id, MAX(place) FILTER (grown = 1) AS grown_customer_id
+        FROM jumps GROUP BY event_id
+    """,
     "q_hash_split": f"""
         SELECT *, CASE WHEN {unit("transaction_sk")} < 0.8 THEN 'train' ELSE 'test' END AS part FROM {FACT}
     """,

@@ -13,6 +13,7 @@ from lakepipe.sources.readers import read_or_empty
 
 MARK_SCHEMA = "source string, high_mark string, committed_at timestamp"
 BATCH_SCHEMA = "source string, batch_id string, state string, noted_at timestamp"
+COUNT_SCHEMA = "batch_id string, customer_count bigint, noted_at timestamp"
 REGISTRY_SCHEMA = "run_id string, kind string, name string, text string, number double"
 
 
@@ -67,6 +68,27 @@ def first_loads(spark: SparkSession, path: str, source: str) -> DataFrame:
     return loaded.groupBy("batch_id").agg(F.min("noted_at").alias("first_loaded"))
 
 
+def customer_counts(spark: SparkSession, path: str) -> DataFrame:
+    """(batch_id, customer_count): among how many customers each batch's transactions are dealt out."""
+    noted = read_or_empty(spark, path, COUNT_SCHEMA)
+    return noted.groupBy("batch_id").agg(F.min_by("customer_count", "noted_at").alias("customer_count"))
+
+
+def customer_count_of(spark: SparkSession, path: str, batch_id: str, customers: DataFrame) -> int:
+    """The number of customers when the batch was loaded first; now, and noted, if it never was."""
+    noted = customer_counts(spark, path).filter(F.col("batch_id") == batch_id).first()
+    if noted is not None:
+        return noted["customer_count"]
+    count = customers.count()
+    row = spark.range(1).select(
+        F.lit(batch_id).alias("batch_id"),
+        F.lit(count).cast("bigint").alias("customer_count"),
+        F.current_timestamp().alias("noted_at"),
+    )
+    row.coalesce(1).write.mode("append").parquet(path)
+    return count
+
+
 def record_run(spark: SparkSession, path: str, run_id: str, entries: Mapping[str, Mapping[str, Any]]) -> None:
     """Append {kind: {name: value}} of one run; numbers go to `number`, everything also to `text`."""
     rows = []

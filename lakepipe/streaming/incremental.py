@@ -1,4 +1,4 @@
-"""Incremental load where Spark's checkpoint, not a date, remembers what was read.
+"""Incremental loads where Spark's checkpoint, not a date, remembers what was read.
 
 A high mark of day grain never sees a second file of the same day. The file source remembers
 files, so such a file is read by the next run.
@@ -7,6 +7,7 @@ files, so such a file is read by the next run.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -95,3 +96,59 @@ def start_silver_load(
         .trigger(availableNow=True)
         .start()
     )
+
+
+@dataclass(frozen=True)
+class DedupRun:
+    """What a run of the stateful load did: late rows are those older than the watermark, which it left out."""
+
+    rows_in: int
+    late_rows: int
+
+
+#: State that doesn't fit into an executor's memory goes to its disk.
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def load_distinct(
+    spark: SparkSession,
+    source_path: str,
+    schema: T.StructType,
+    keys: Sequence[str],
+    event_time: str,
+    horizon: str,
+    target_path: str,
+    checkpoint_path: str,
+    partition_by: Sequence[str] = (),
+    max_files: int | None = None,
+) -> DedupRun:
+    """Append the rows of new Parquet files whose keys were not seen within the horizon, then stop.
+
+    For streams too long to keep every key: the state store has a key until the watermark, which
+    follows `event_time` at the distance `horizon`, has passed the key's first row by the horizon. A copy
+    that comes within it is dropped; of copies in one micro-batch any may stay. A row older than the
+    watermark could be a copy of a key that is forgotten; it is left out and counted. The sink's log
+    knows which micro-batches it holds, so one that is repeated adds nothing.
+    """
+    reader = spark.readStream.schema(schema)
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    distinct = reader.parquet(source_path).withWatermark(event_time, horizon).dropDuplicatesWithinWatermark(list(keys))
+    writer = distinct.writeStream.outputMode("append").option("checkpointLocation", checkpoint_path)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    before = spark.conf.get(STATE_STORE)
+    spark.conf.set(STATE_STORE, ROCKS)
+    try:
+        query = writer.trigger(availableNow=True).format("parquet").start(target_path)
+    finally:
+        spark.conf.set(STATE_STORE, before)
+    # The query itself only remembers its last hundred micro-batches.
+    done, ended = {}, False
+    while not ended:
+        ended = query.awaitTermination(1)
+        for progress in query.recentProgress:
+            late = sum(operator.numRowsDroppedByWatermark for operator in progress.stateOperators)
+            done[progress.batchId] = (progress.numInputRows, late)
+    return DedupRun(sum(n for n, _ in done.values()), sum(late for _, late in done.values()))

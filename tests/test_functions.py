@@ -5,7 +5,16 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from lakepipe.functions.keys import bucket_of, date_key, hash_unit, row_key, row_token
+from lakepipe.functions.keys import (
+    DRAW_FACTOR,
+    DRAW_MODULUS,
+    bucket_of,
+    date_key,
+    hash_unit,
+    jump_bucket,
+    row_key,
+    row_token,
+)
 from lakepipe.functions.money import exact_avg, exact_sum, rate
 from lakepipe.functions.risk import flag_above, risk_bucket
 from lakepipe.functions.times import source_timestamp
@@ -82,3 +91,33 @@ def test_risk_limits_are_exclusive(spark, score, bucket):
 def test_flag_on_the_threshold(spark):
     row = spark.range(1).select(flag_above(F.lit(0.5), 0.5), flag_above(F.lit(0.5), 0.5, inclusive=True)).first()
     assert tuple(row) == (0, 1)
+
+
+def jump_by_hand(token, count):
+    drawn, at, following = token % (DRAW_MODULUS - 1) + 1, -1, 0
+    while following < count:
+        drawn = drawn * DRAW_FACTOR % DRAW_MODULUS
+        at, following = following, int((following + 1) / (drawn / DRAW_MODULUS))
+    return at
+
+
+def test_jump_bucket(spark):
+    tokens = [0, 1, -1, 2**63 - 1, -(2**63), DRAW_MODULUS, *range(10**15, 10**15 + 200)]
+    df = spark.createDataFrame([(t,) for t in tokens], "t bigint")
+    for count in (1, 2, 7, 1000, 10**12):
+        got = df.select("t", jump_bucket(F.col("t"), count).alias("b")).collect()
+        assert all(r["b"] == jump_by_hand(r["t"], count) for r in got)
+        assert all(0 <= r["b"] < count for r in got)
+    assert df.select(jump_bucket(F.col("t"), 0).alias("b")).filter("b IS NOT NULL").count() == 0
+    assert spark.range(1).select(jump_bucket(F.lit(None).cast("bigint"), 5)).first()[0] is None
+
+
+def test_jump_buckets_are_even_and_grow_by_their_share(spark):
+    keys = spark.range(60_000).select(F.xxhash64("id").alias("t"))
+    dealt = keys.select(jump_bucket(F.col("t"), 20).alias("a"), jump_bucket(F.col("t"), 21).alias("b")).cache()
+    sizes = [r["count"] for r in dealt.groupBy("a").count().collect()]
+    assert len(sizes) == 20 and sum((s - 3000) ** 2 / 3000 for s in sizes) < 50
+    moved = dealt.filter("a <> b")
+    assert moved.filter("b <> 20").count() == 0
+    assert 0.9 * 60_000 / 21 < moved.count() < 1.1 * 60_000 / 21
+    dealt.unpersist()
