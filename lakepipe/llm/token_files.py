@@ -34,24 +34,26 @@ from functools import lru_cache
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 from tokenizers import Tokenizer
 
-from lakepipe.llm.arrays import LOWER_BYTES, slices
+from lakepipe.llm.arrays import gather, slices
 from lakepipe.llm.frames import quoted, ship, table
-from lakepipe.llm.pieces import PieceCache
+from lakepipe.llm.pieces import KEEP, PieceCache
 from lakepipe.session import scratch_path
 
 TOKENIZER_FILE, END_ID = "word_bpe_49k.json", 1
 BLOCK, PERCENTILE = 1024, 90
 MAGIC = int.from_bytes(b"pforids1", "little")
 #: A file holds the ids of about this many bytes of text; they are encoded and packed a slice at a time.
-FILE_BYTES, SLICE = 16 << 20, 1 << 20
+FILE_BYTES, SLICE = 16 << 20, 2 << 20
 _GROUP, _WORDS, _JOINED = 64, 4096, 128
-_STOP = re.compile(rb"([a-z])([.,])(?=[ \t\n\r\f\v]|$)")
+#: A small letter, and the ASCII punctuation that ends the word after it; an apostrophe may start a piece with letters.
+_TAIL = re.compile(r"(.*[a-z\u00E0-\u00F6\u00F8-\u00FF])([!-&(-/:-@\[-`{-~]+)", re.DOTALL)
 
 
 def pack_blocks(ids: np.ndarray) -> tuple[bytes, np.ndarray]:
@@ -172,14 +174,20 @@ class WordEncoder(PieceCache):
 
     The tokenizer drops white space and treats no two words together, so the ids of a text are those
     of its words; words here end at ASCII white space only. It also lower-cases, and takes letters
-    and a full stop or comma after them apart, so doing that first gives the same ids and makes
-    fewer words differ. Texts that may spell special tokens are left as they are.
+    and the punctuation after them apart, so doing that first gives the same ids and makes fewer
+    words differ. Texts that may spell special tokens are left as they are. Arrow splits all texts of
+    a slice, numbers their distinct words and looks them up in a table of the words met most often;
+    only words that it lacks are taken apart and encoded.
     """
 
     def __init__(self, definition: str):
         super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_str(definition)
+        # Word i has word_ids[word_start[i]:][:word_length[i]].
+        self.words = pa.array([], pa.string())
+        self.word_ids = np.zeros(0, np.int32)
+        self.word_start = self.word_length = self.met = np.zeros(0, np.int64)
         # Ids that end a piece, if the vocabulary tells; only letters make pieces of a whole word.
         model = json.loads(definition)["model"]
         suffix, vocabulary = model.get("end_of_word_suffix"), model["vocab"]
@@ -187,11 +195,48 @@ class WordEncoder(PieceCache):
         if suffix:
             self.ending[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
 
-    def split(self, text: str) -> list[bytes]:
-        data = text.encode()
-        if b"<|" not in data:
-            data = _STOP.sub(rb"\1 \2", data.translate(LOWER_BYTES))
-        return data.split()
+    def split(self, text: str) -> list[str]:
+        """One or two pieces of a word: punctuation at its end stands by itself."""
+        if text.isalpha() or "<|" in text:
+            return [text]
+        tail = _TAIL.fullmatch(text)
+        return list(tail.groups()) if tail else [text] if text else []
+
+    def encode(self, texts: pa.Array | list[str]) -> tuple[np.ndarray, np.ndarray]:
+        texts = (texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())).fill_null("")
+        special = pc.match_substring(texts, "<|")
+        words = pc.ascii_split_whitespace(pc.if_else(special, texts, pc.ascii_lower(texts)))
+        ends, words = words.offsets.to_numpy(), words.flatten().dictionary_encode()
+        place, distinct = words.indices.to_numpy(), words.dictionary
+        at = self._places(distinct)
+        self.met += np.bincount(at[place], minlength=len(self.met))
+        length = self.word_length[at][place]
+        before = np.concatenate([[0], np.cumsum(length)])
+        return gather(self.word_ids, self.word_start[at][place], length), before[ends]
+
+    def _places(self, distinct: pa.Array) -> np.ndarray:
+        """The places of some different words in the table of whole words, which learns those it lacks."""
+        at = pc.index_in(distinct, self.words)
+        if at.null_count and len(self.words) + at.null_count > KEEP:
+            kept = np.sort(np.argsort(-self.met, kind="stable")[: KEEP // 2])
+            self.words = self.words.take(pa.array(kept))
+            self.word_ids = gather(self.word_ids, self.word_start[kept], self.word_length[kept])
+            self.word_length, self.met = self.word_length[kept], self.met[kept] // 2
+            self.word_start = np.cumsum(self.word_length) - self.word_length
+            at = pc.index_in(distinct, self.words)
+        if at.null_count:
+            new = distinct.filter(at.is_null())
+            ids, bounds = super().encode(new.to_numpy(zero_copy_only=False).tolist())
+            known = len(self.words)
+            self.words = pa.concat_arrays([self.words, new])
+            self.word_start = np.concatenate([self.word_start, len(self.word_ids) + bounds[:-1]])
+            self.word_length = np.concatenate([self.word_length, np.diff(bounds)])
+            self.word_ids = np.concatenate([self.word_ids, ids])
+            self.met = np.concatenate([self.met, np.zeros(len(new), np.int64)])
+            found = at.fill_null(0).to_numpy().astype(np.int64)
+            found[at.is_null().to_numpy(zero_copy_only=False)] = known + np.arange(len(new))
+            return found
+        return at.to_numpy().astype(np.int64)
 
     def _encode_letters(self, words: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
         """(ids, ids per word) of words of letters, each in its own Encoding no more: a text of many is encoded.
@@ -205,8 +250,7 @@ class WordEncoder(PieceCache):
         ends = np.flatnonzero(self.ending[ids]) + 1
         return (ids, np.diff(ends, prepend=0)) if len(ends) == len(words) else None
 
-    def encode_pieces(self, pieces: list[bytes]) -> tuple[list[int], np.ndarray, np.ndarray]:
-        words = [p.decode() for p in pieces]
+    def encode_pieces(self, words: list[str]) -> tuple[list[int], np.ndarray, np.ndarray]:
         letters = [i for i, w in enumerate(words) if w.isalpha()] if self.ending.any() else []
         others = [i for i, w in enumerate(words) if not w.isalpha()] if letters else list(range(len(words)))
         ids, length, order = [], [], []
@@ -262,7 +306,7 @@ def write_tokens(
                     yield pa.RecordBatch.from_arrays([pa.array([file.content()], pa.binary())], ["content"])
                     number += 1
                     file = FileBuilder(first + number)
-                found, bounds = encoder.encode(part.to_pylist())
+                found, bounds = encoder.encode(part)
                 ids = np.insert(found, bounds[1:], end_id)
                 file.add(batch.column("key").slice(at, len(part)), np.diff(bounds) + 1, ids, part.nbytes)
         if file.keys:

@@ -237,6 +237,29 @@ def test_words_encode_like_the_text(text):
     assert ids[bounds[0] : bounds[1]].tolist() == own.tokenizer.encode(text, add_special_tokens=False).ids
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(st.sampled_from("abZsé÷ÿİßı'’.,!<|>=\u0301\u0338 \t\x0b\x1c\x85\u20282½一"), max_size=20), min_size=1, max_size=5))
+def test_punctuation_and_repeated_words_encode_like_the_text(texts):
+    own = words_of_library()
+    ids, bounds = own.encode(texts)
+    for text, low, high in zip(texts, bounds, bounds[1:]):
+        assert ids[low:high].tolist() == own.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_a_small_table_of_words_gives_the_same_ids(monkeypatch):
+    from lakepipe.llm import pieces
+
+    monkeypatch.setattr(pieces, "KEEP", 40)
+    monkeypatch.setattr(token_files, "KEEP", 40)
+    with open(public_tokenizers.path(token_files.TOKENIZER_FILE), encoding="utf-8") as f:
+        own = token_files.WordEncoder(f.read())
+    for start in range(0, 200, 10):
+        texts = [f"the word{i}, and its {i}th copy..." for i in range(start, start + 10)]
+        ids, bounds = own.encode(texts)
+        for text, low, high in zip(texts, bounds, bounds[1:]):
+            assert ids[low:high].tolist() == own.tokenizer.encode(text, add_special_tokens=False).ids
+
+
 def words_of_library(kept=[]):  # noqa: B006  one for all examples
     if not kept:
         with open(public_tokenizers.path(token_files.TOKENIZER_FILE), encoding="utf-8") as f:
