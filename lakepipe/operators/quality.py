@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -130,6 +130,35 @@ def quality_report(df: DataFrame, table_name: str, rules: Sequence) -> DataFrame
     return reduce(DataFrame.unionByName, parts)
 
 
+class WatchedRules:
+    """Rules checked while rows are written: row rules are counted by the write itself.
+
+    Write `rows`, then call `require_clean` with what was written; a unique-key rule reads only its
+    key columns again.
+    """
+
+    def __init__(self, df: DataFrame, table_name: str, rules: Sequence):
+        self.table_name = table_name
+        self.unique = [r for r in rules if isinstance(r, UniqueKey)]
+        self.watched = [r for r in rules if not isinstance(r, UniqueKey)]
+        self.observation = Observation()
+        counts = [
+            F.coalesce(F.max(F.lit(r.missing(df))) if isinstance(r, HasSchema) else r.violations(), F.lit(0))
+            for r in self.watched
+        ]
+        named = [c.cast("bigint").alias(r.name) for r, c in zip(self.watched, counts)]
+        self.rows = df.observe(self.observation, *named) if named else df
+
+    def require_clean(self, written: DataFrame) -> None:
+        """Raise when a rule is violated; the write must be over."""
+        counts = self.observation.get if self.watched else {}
+        broken = [(rule.name, counts[rule.name]) for rule in self.watched if counts[rule.name]]
+        if broken:
+            raise QualityError("; ".join(f"{self.table_name}: {name} violated {n} times" for name, n in broken))
+        if self.unique:
+            require_clean(quality_report(written, self.table_name, self.unique))
+
+
 def availability_report(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:
     """Whether each table of {name: path} is there and has rows; looks at one row of each."""
 

@@ -13,7 +13,7 @@ from lakepipe.functions.times import source_timestamp
 from lakepipe.layout import Layout
 from lakepipe.operators.dedup import keep_first, keep_first_desc
 from lakepipe.operators.ordering import dense_ids, dense_row_ids
-from lakepipe.operators.quality import AllowedValues, NotNull, UniqueKey, quality_report, require_clean
+from lakepipe.operators.quality import AllowedValues, NotNull, UniqueKey, WatchedRules
 from lakepipe.plans import ledger
 from lakepipe.plans.bronze import BATCH, BATCH_COLUMNS, BRONZE_TRANSACTIONS, FEATURE_COLUMNS
 from lakepipe.plans.refresh import note_days
@@ -180,7 +180,10 @@ def load_batch(spark: SparkSession, layout: Layout, batch: str) -> None:
         sources = [r[BATCH] for r in change.heirs.select(BATCH).distinct().collect()]
         stage(change.stale, f"{plan}/stale")
 
-    checked = whole = change.owned_rows.withColumn(BATCH, F.lit(batch))
+    checked = change.owned_rows.withColumn(BATCH, F.lit(batch))
+    if not sources:
+        watched = WatchedRules(checked, "silver_transactions", TRANSACTION_RULES)
+        checked = stage(watched.rows, f"{plan}/transactions")
     if sources:
         # Every batch deals its transactions out among the customers there were when it came.
         counts = customer_counts(spark, layout.customer_counts)
@@ -191,10 +194,10 @@ def load_batch(spark: SparkSession, layout: Layout, batch: str) -> None:
         returned = again.join(change.heirs.select("transaction_id", BATCH), ["transaction_id", BATCH], "left_semi")
         beside = silver_transactions(spark, layout).join(change.folders, ledger.FOLDER, "left_semi")
         beside = beside.join(change.heirs.select("transaction_id"), "transaction_id", "left_anti")
-        checked = stage(checked.unionByName(returned), f"{plan}/checked")
-        whole = checked.unionByName(beside)
-    staged = stage(whole, f"{plan}/transactions")
-    require_clean(quality_report(checked if sources else staged, "silver_transactions", TRANSACTION_RULES))
+        watched = WatchedRules(checked.unionByName(returned), "silver_transactions", TRANSACTION_RULES)
+        checked = stage(watched.rows, f"{plan}/checked")
+        stage(checked.unionByName(beside), f"{plan}/transactions")
+    watched.require_clean(checked)
     stage(change.entries, f"{plan}/ledger")
     stage(spark.range(1).select(F.lit(batch).alias(BATCH)), f"{plan}/{READY}")
     _carry_out(spark, layout, plan, batch)

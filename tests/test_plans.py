@@ -104,3 +104,39 @@ def test_adaptive_execution_splits_a_skewed_join(spark, no_broadcast):
     finally:
         for name, value in before.items():
             spark.conf.set(name, value)
+
+
+def test_rules_are_counted_by_the_write(spark, tmp_path):
+    """One job writes and counts; it reads the rows once, and an empty table counts as well."""
+    from lakepipe.operators.quality import AllowedValues, NotEmpty, NotNull, QualityError, UniqueKey, WatchedRules
+
+    rules = [NotNull("a"), AllowedValues("b", (0, 1)), UniqueKey(("a",))]
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    def write(rows, rules, name):
+        watched = WatchedRules(rows, "t", rules)
+        watched.rows.write.parquet(str(tmp_path / name))
+        watched.require_clean(spark.read.schema(rows.schema).parquet(str(tmp_path / name)))
+
+    good = spark.range(1000).selectExpr("id AS a", "id % 2 AS b").mapInArrow(counted, "a bigint, b bigint")
+    write(good, rules, "good")
+    assert seen.value == 1000
+    bad = {
+        "null": ("if(id = 7, null, id) AS a", "0L AS b", "not_null(a) violated 1 times"),
+        "value": ("id AS a", "id % 3 AS b", "allowed_values(b) violated 333 times"),
+        "twice": ("id DIV 2 AS a", "0L AS b", "unique(a) violated 500 times"),
+    }
+    for name, (a, b, message) in bad.items():
+        with pytest.raises(QualityError) as raised:
+            write(spark.range(1000).selectExpr(a, b), rules, name)
+        assert message in str(raised.value)
+    nothing = good.filter("a < 0")
+    write(nothing, rules, "nothing")
+    write(nothing.filter("false"), rules, "known_nothing")
+    with pytest.raises(QualityError):
+        write(nothing, [NotEmpty()], "empty")
