@@ -12,7 +12,12 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 
-from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression
+from pyspark.ml.classification import (
+    GBTClassificationModel,
+    GBTClassifier,
+    LogisticRegression,
+    LogisticRegressionModel,
+)
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.tuning import ParamGridBuilder
@@ -36,6 +41,7 @@ from lakepipe.operators.sampling import (
     with_class_weights,
 )
 from lakepipe.plans.training import ALL_FEATURES, LABEL, fill_missing
+from lakepipe.session import scratch_path
 from lakepipe.sources.state import record_run, run_values
 from lakepipe.sources.writers import overwrite
 
@@ -130,7 +136,12 @@ def train_logistic_regression(
     """Weighted logistic regression on an 80/20 split: (model, predictions of the hold-out)."""
     train, test = hash_split(with_class_weights(training, LABEL), KEY, 0.8, SEED)
     model = logistic_regression(max_iter).fit(assemble(fit_order(train), features))
-    return model, predict(model, assemble(test, features), predictions_path)
+    # A fitted model holds its summary, and that the session, which tasks can't have once it has e.g.
+    # observed a write; a loaded one holds neither.
+    stored = scratch_path(training.sparkSession, "logistic-regression")
+    model.write().save(stored)
+    scoring = LogisticRegressionModel.load(stored)
+    return model, predict(scoring, assemble(test, features), predictions_path)
 
 
 def train_trees(

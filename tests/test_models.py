@@ -2,6 +2,7 @@
 
 import pytest
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from lakepipe.plans import models
@@ -39,3 +40,11 @@ def test_grid_is_that_of_single_fits(points, spark):
         model = models.gradient_boosted_trees(TreeSettings(depth, trees)).fit(train)
         assert evaluator.evaluate(model.transform(test)) == pytest.approx(area, abs=1e-9)
     assert len(grid) == 4
+
+
+def test_logistic_regression_scores_in_a_session_that_has_observed(points, spark, tmp_path):
+    seen = Observation()
+    spark.range(3).observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(f"{tmp_path}/seen")
+    assert seen.get == {"n": 3}
+    _, scored = models.train_logistic_regression(points.drop("features"), f"{tmp_path}/scored", ["a", "b"], 5)
+    assert scored.count() == models.hash_split(points, models.KEY)[1].count() > 0
