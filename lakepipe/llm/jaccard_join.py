@@ -18,8 +18,9 @@ larger one its smallest member is paired with the rest. First every class is com
 smallest partner, and the links are merged into components. Then only what is still apart is
 compared (`_close`): components that share a signature form families, and parity sketches of a
 family's sets meet in blocks of bounded size. Two sketches differ in at most as many bits as the sets
-differ in elements, so a pair whose sketches differ in more than similar sets may is ruled out. Every
-other pair that shares a signature and is not in one component yet is verified on its texts. Every
+differ in elements, so a pair whose sketches differ in more than similar sets may is ruled out. Of the
+others a forest of nearest pairs is verified on its texts first, and the links are merged; then every
+pair that shares a signature and is not in one component yet. Every
 link comes from an exact comparison, and no candidate is left out.
 
 Defined results: words are runs of bytes other than [\\x20\\x09-\\x0D], A-Z lower-cased; a text with
@@ -59,6 +60,8 @@ SIGN_BYTES = 5
 #: A parity sketch has this many bits; sketches are made for slices of so much text, and a chunk of them
 #: holds SKETCHED times as many classes as one of texts.
 SKETCH_BITS, SKETCH_SLICE, SKETCHED = 2048, 1 << 20, 8
+#: So often the classes of a family are compared with their nearest only, before all pairs still apart are.
+NEAREST_ROUNDS = 1
 #: Up to so many narrow rows (some 24 MB) are broadcast to the texts they pick; more are shuffled with them.
 BROADCAST_ROWS = 1_000_000
 
@@ -349,50 +352,97 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _screen(group: pa.Table) -> pa.Table:
-    """The pairs of one block that share a signature, are in different components, and whose sizes and
-    sketches allow a link.
+def _allowed(group: pa.Table):
+    """(classes, roots, find) of one block: find(i, among) gives those of the members `among` that are in another
+    component than member i and whose sizes and sketches allow a link with it, and the share of
+    their elements that the sketches differ in.
 
     Members of side 0 and side 1 are compared with each other, or all of them if there is one side.
     """
     classes, roots, sizes, sides = (group.column(c).to_numpy() for c in ("class", "root", "size", "side"))
     sketches = np.frombuffer(b"".join(group.column("sketch").to_pylist()), np.uint64).reshape(len(classes), -1)
+    two = sides.any() and not sides.all()
+
+    def find(i: int, among: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        near = among[roots[among] != roots[i]]
+        if two:
+            near = near[sides[near] != sides[i]]
+        near = near[OF * np.minimum(sizes[near], sizes[i]) >= SIMILAR * np.maximum(sizes[near], sizes[i])]
+        total = sizes[near] + sizes[i]
+        apart = np.bitwise_count(sketches[near] ^ sketches[i]).sum(axis=1, dtype=np.int64)
+        allowed = apart * (OF + SIMILAR) <= (OF - SIMILAR) * total
+        return near[allowed], (apart / total)[allowed]
+
+    return classes, roots, find
+
+
+def _pairs_of(group: pa.Table, classes: np.ndarray, roots: np.ndarray, i: np.ndarray, j: np.ndarray) -> pa.Table:
+    family = np.full(len(i), group.column("family")[0].as_py())
+    columns = {"family": family, "a": classes[i], "a_root": roots[i], "b": classes[j], "b_root": roots[j]}
+    return pa.table({name: pa.array(values, pa.int64()) for name, values in columns.items()})
+
+
+def _nearest(group: pa.Table) -> pa.Table:
+    """A forest of the pairs of one block that sizes and sketches allow: every class is tied to the nearest, by
+    the sketches, of those tied before it (Prim's algorithm; components are tied already).
+
+    It ties all that `_screen` gives pairs of, with at most one pair a class.
+    """
+    classes, roots, find = _allowed(group)
+    distance, partner = np.full(len(classes), np.inf), np.zeros(len(classes), np.int64)
+    waiting = np.ones(len(classes), bool)
+    found_i, found_j = [], []
+    for _ in range(len(classes)):
+        i = int(np.argmin(np.where(waiting, distance, np.inf)))
+        if not waiting[i] or not np.isfinite(distance[i]):
+            i = int(np.argmax(waiting))
+        elif distance[i] >= 0:
+            found_i.append(int(partner[i]))
+            found_j.append(i)
+        waiting[i] = False
+        distance[waiting & (roots == roots[i])] = -1.0
+        near, apart = find(i, np.flatnonzero(waiting))
+        closer = apart < distance[near]
+        distance[near[closer]], partner[near[closer]] = apart[closer], i
+    return _pairs_of(group, classes, roots, np.array(found_i, np.int64), np.array(found_j, np.int64))
+
+
+def _screen(group: pa.Table) -> pa.Table:
+    """The pairs of one block that share a signature, are in different components, and whose sizes and
+    sketches allow a link."""
+    classes, roots, find = _allowed(group)
     signs = group.column("signs").combine_chunks()
     sign, owner = signs.flatten().to_numpy(), np.repeat(np.arange(len(classes)), signs.value_lengths().to_numpy())
     order = np.argsort(sign, kind="stable")
     edges = np.flatnonzero(np.concatenate([[True], np.diff(sign[order]) != 0, [True]]))
+    _, component, counts = np.unique(roots, return_inverse=True, return_counts=True)
+    # Members of the largest component need not meet each other.
+    inside = component == (np.argmax(counts) if len(counts) else 0)
     candidate = np.zeros((len(classes), len(classes)), bool)
     for low, high in zip(edges[:-1], edges[1:]):
-        if high - low > 1:
-            members = owner[order[low:high]]
-            candidate[np.ix_(members, members)] = True
-    two = sides.any() and not sides.all()
+        members = owner[order[low:high]]
+        others = members[~inside[members]]
+        if len(members) > 1 and len(others):
+            candidate[np.ix_(others, members)] = True
     found_i, found_j = [], []
     for i in range(len(classes)):
-        near = np.flatnonzero(candidate[i, i + 1 :]) + i + 1
-        near = near[roots[near] != roots[i]]
-        if two:
-            near = near[sides[near] != sides[i]]
-        near = near[OF * np.minimum(sizes[near], sizes[i]) >= SIMILAR * np.maximum(sizes[near], sizes[i])]
-        total = sizes[near] + sizes[i]
-        apart = np.bitwise_count(sketches[near] ^ sketches[i]).sum(axis=1, dtype=np.int64)
-        near = near[apart * (OF + SIMILAR) <= (OF - SIMILAR) * total]
+        later = np.arange(i + 1, len(classes))
+        near, _ = find(i, later[candidate[i, later] | candidate[later, i]])
         found_i.append(np.full(len(near), i))
         found_j.append(near)
-    i, j = np.concatenate(found_i), np.concatenate(found_j)
-    family = np.full(len(i), group.column("family")[0].as_py())
-    columns = {"family": family, "a": classes[i], "a_root": roots[i], "b": classes[j], "b_root": roots[j]}
-    return pa.table({name: pa.array(values, pa.int64()) for name, values in columns.items()})
+    return _pairs_of(group, classes, roots, np.concatenate(found_i), np.concatenate(found_j))
 
 
 def _verify(group: pa.Table) -> pa.Table:
-    """The links among rows (class, root, partners, text): each class is compared with its partners.
+    """The links among rows (class, root, partners, text), with the components they tie: each class is compared
+    with its partners.
 
     Pairs whose components are linked by then are left out.
     """
-    classes, roots = (group.column(c).to_numpy() for c in ("class", "root"))
+    classes, own_roots = (group.column(c).to_numpy() for c in ("class", "root"))
+    roots = own_roots
     sets, place = _sets_of(group.column("text")), {int(c): i for i, c in enumerate(classes)}
-    found_a, found_b = [], []
+    found_i, found_j = [], []
     for i, partners in enumerate(group.column("partners").to_pylist()):
         near = np.array([place[b] for b in partners], np.int64)
         near = near[roots[near] != roots[i]]
@@ -401,14 +451,17 @@ def _verify(group: pa.Table) -> pa.Table:
         linked = near[_similar(sets[i], [sets[j] for j in near])]
         for j in linked.tolist():
             if roots[j] != roots[i]:
-                found_a.append(classes[i])
-                found_b.append(classes[j])
+                found_i.append(i)
+                found_j.append(j)
                 roots = np.where(roots == roots[j], roots[i], roots)
-    return pa.table({"a": pa.array(found_a, pa.int64()), "b": pa.array(found_b, pa.int64())})
+    i, j = np.array(found_i, np.int64), np.array(found_j, np.int64)
+    columns = {"a": classes[i], "b": classes[j], "a_root": own_roots[i], "b_root": own_roots[j]}
+    return pa.table({name: pa.array(values, pa.int64()) for name, values in columns.items()})
 
 
 def _verified(screened: DataFrame, texts: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """The links among the screened pairs (family, a, a_root, b, b_root), by the texts (class, text, bytes).
+    """The links (a, b, a_root, b_root) among the screened pairs (family, a, a_root, b, b_root), by the texts
+    (class, text, bytes).
 
     The classes of a family that are in a pair are dealt to chunks of about `chunk_bytes` of text. A
     pair is compared where its two chunks meet, and only texts that have a pair there are sent.
@@ -426,7 +479,7 @@ def _verified(screened: DataFrame, texts: DataFrame, chunk_bytes: int = CHUNK_BY
     rows = one.unionByName(other).groupBy("family", "x", "y", "class", "root")
     rows = checkpoint(rows.agg(F.collect_set("partner").alias("partners")))
     sent = _pick(texts.select("class", "text"), rows, "class")
-    return sent.groupBy("family", "x", "y").applyInArrow(_verify, "a bigint, b bigint")
+    return sent.groupBy("family", "x", "y").applyInArrow(_verify, "a bigint, b bigint, a_root bigint, b_root bigint")
 
 
 def _blocks(
@@ -493,7 +546,9 @@ def _close(
 
     Components that some signature ties are a family; sketches of a family's sets meet in one block,
     or in several if it is large. Only the texts of pairs that the sketches don't rule out are sent
-    to be compared. Only links come out, those given and the new ones, written.
+    to be compared: first a forest of the nearest, a pair for each class of a block, which ties most of what
+    belongs together, then every pair that is still apart. Only links come out, those given and the
+    new ones, written.
     """
     roots = connected_components(links).withColumnRenamed("node", "class")
     ties = pairs.select(F.explode(F.array("a", "b")).alias("class"), F.xxhash64("a", "b").alias("sign"))
@@ -516,14 +571,33 @@ def _close(
     sketches = picked.mapInArrow(_sketches, "class bigint, size bigint, sketch binary")
     copy = _Copy(members.join(sketches, "class"), "members")
     kept.drop()
-    lengths = copy.rows.select("class", (F.size("signs") * 4 + SKETCH_BITS // 8).cast("bigint").alias("bytes"))
-    rows = _blocks(copy.rows, lengths, block * SKETCHED, CHUNK_BYTES, ("size", "sketch"))
-    pairs_schema = "family bigint, a bigint, a_root bigint, b bigint, b_root bigint"
-    screened = _Copy(rows.groupBy("family", "x", "y").applyInArrow(_screen, pairs_schema), "screened")
+    for compared in (*[_nearest] * NEAREST_ROUNDS, _screen):
+        lengths = copy.rows.select("class", (F.size("signs") * 4 + SKETCH_BITS // 8).cast("bigint").alias("bytes"))
+        rows = _blocks(copy.rows, lengths, block * SKETCHED, CHUNK_BYTES, ("size", "sketch"))
+        pairs_schema = "family bigint, a bigint, a_root bigint, b bigint, b_root bigint"
+        screened = _Copy(rows.groupBy("family", "x", "y").applyInArrow(compared, pairs_schema), "screened")
+        if screened.rows.isEmpty():
+            screened.drop()
+            break
+        closed = checkpoint(_verified(screened.rows, texts))
+        screened.drop()
+        links = links.unionByName(closed.select("a", "b"))
+        if compared is _nearest and not closed.isEmpty():
+            merged = _Copy(_merged(copy.rows, closed), "members")
+            copy.drop()
+            copy = merged
     copy.drop()
-    closed = checkpoint(links.unionByName(_verified(screened.rows, texts)))
-    screened.drop()
-    return closed
+    return checkpoint(links)
+
+
+def _merged(members: DataFrame, closed: DataFrame) -> DataFrame:
+    """The members with the components that the links leave; families that have become one component go."""
+    ties = closed.select(F.col("a_root").alias("a"), F.col("b_root").alias("b"))
+    roots = connected_components(ties).select(F.col("node").alias("root"), F.col("root").alias("low"))
+    rooted = members.join(roots, "root", "left").withColumn("root", F.coalesce("low", "root"))
+    apart = rooted.groupBy("family").agg(F.min("root").alias("first"), F.max("root").alias("last"))
+    left = apart.filter("first <> last").select("family")
+    return rooted.join(left, "family", "left_semi").select(members.columns)
 
 
 def similarity_classes(

@@ -220,3 +220,28 @@ def test_copies_of_the_join_are_removed(spark, corpus, documents):
     jaccard_join.components(documents).count()
     folder = shared_dir(spark).removeprefix("file:")
     assert not [n for n in os.listdir(folder) if n.startswith("jaccard-")]
+
+
+def test_family_of_near_copies_is_tied_by_few_pairs(spark, monkeypatch):
+    """Each text differs from the first in some words, most pairs link: pairs in the order of texts are compared."""
+    draw = np.random.default_rng(5)
+    base, rows = [f"w{i}" for i in range(300)], []
+    for i in range(120):
+        words = list(base)
+        for at in draw.integers(0, 300, int(draw.integers(1, 9))):
+            words[at] = f"n{i}x{at}"
+        rows.append((i, " ".join(words)))
+    counts, verified = [], jaccard_join._verified
+
+    def counted(screened, *rest):
+        counts.append(screened.count())
+        return verified(screened, *rest)
+
+    monkeypatch.setattr(jaccard_join, "_verified", counted)
+    # The first step ties only classes that share a partner, so texts are left for the second.
+    monkeypatch.setattr(jaccard_join, "_linked", lambda nearest, *_: nearest.select("a", "b").limit(0))
+    docs = spark.createDataFrame(rows, "doc_id int, text string")
+    for block in (512, 4):
+        got = jaccard_join.components(docs, block=block).select("key", "n", "component").collect()
+        assert ordered(got) == ordered(brute.components(rows))
+    assert 0 < sum(counts) <= 12 * len(rows)
