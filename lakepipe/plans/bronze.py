@@ -77,5 +77,6 @@ def ingest_dataset(
         # The parser fills the text of a bad row only where other columns are read with it.
         replace_folder(raw.filter(bad), rejected(target_path), folder)
         rows = raw.filter(~bad).drop(BAD_RECORD)
-    replace_folder(rows, target_path, folder)
+    # Nearly all that is read is written, and Spark packs small files into splits already.
+    replace_folder(rows, target_path, folder, rebalance=False)
     return batch

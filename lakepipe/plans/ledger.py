@@ -48,12 +48,25 @@ def addition(rows: DataFrame, batch: str, known: DataFrame) -> Difference:
     return _owned(rows, batch, checkpoint(others.join(rows.select(KEY), KEY, "left_semi").select(KEY)))
 
 
+#: Up to so many keys (some 60 MB) are broadcast to the rows they meet; more are shuffled with them.
+BROADCAST_KEYS = 500_000
+
+
 def _owned(rows: DataFrame, batch: str, taken: DataFrame) -> Difference:
-    entries = rows.join(taken.withColumn("_taken", F.lit(True)), KEY, "left")
+    """What the batch owns of its rows: those not `taken`, keys that are counted before wide rows meet them."""
+    count = taken.count()
+    taken = F.broadcast(taken) if count <= BROADCAST_KEYS else taken
+    entries = rows.select(KEY, "transaction_date").join(taken.withColumn("_taken", F.lit(True)), KEY, "left")
     owned = F.col("_taken").isNull().alias("owned")
-    return Difference(
-        rows.join(taken, KEY, "left_anti"), entries.select(KEY, owned, "transaction_date", F.lit(batch).alias(BATCH))
-    )
+    entries = entries.select(KEY, owned, "transaction_date", F.lit(batch).alias(BATCH))
+    if count == 0:
+        return Difference(rows, entries)
+    if count <= BROADCAST_KEYS:
+        return Difference(rows.join(taken, KEY, "left_anti"), entries)
+    # Where others own nearly all, the few keys left pick their rows without a shuffle.
+    free = checkpoint(rows.select(KEY).join(taken, KEY, "left_anti"))
+    left = free.count()
+    return Difference(rows.join(F.broadcast(free) if left <= BROADCAST_KEYS else free, KEY, "left_semi"), entries)
 
 
 def correction(rows: DataFrame, batch: str, known: DataFrame, first_loads: DataFrame) -> Difference:

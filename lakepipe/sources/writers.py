@@ -95,14 +95,15 @@ def overwrite(df: DataFrame, path: str) -> None:
     settle(spark, path)
 
 
-def replace_folder(df: DataFrame, path: str, folder: str) -> None:
+def replace_folder(df: DataFrame, path: str, folder: str, rebalance: bool = True) -> None:
     """Make `folder`, one partition of the table at `path`, hold just the rows of `df`; no rows, no folder.
 
-    The rows are written aside first, in a folder that readers of the table don't see.
+    The rows are written aside first, in a folder that readers of the table don't see. Without `rebalance`
+    they aren't shuffled: every task writes what it reads.
     """
     spark, target = df.sparkSession, f"{path}/{folder}"
     aside = f"{path}/_next-{uuid.uuid4().hex}"
-    df.hint("rebalance").write.parquet(aside)
+    (df.hint("rebalance") if rebalance else df).write.parquet(aside)
     empty = spark.read.parquet(aside).isEmpty()
     remove(spark, target)
     if not empty:

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from lakepipe.layout import Layout
 from lakepipe.operators.quality import QualityError
-from lakepipe.plans import ledger, silver
+from lakepipe.plans import bronze, ledger, silver
 from lakepipe.plans.bronze import FEATURE_COLUMNS, TRANSACTION_SOURCE, ingest_dataset, rejected, stamp_ingest
 from lakepipe.plans.silver import (
     load_customers,
@@ -27,7 +27,7 @@ from lakepipe.sources.state import (
     record_run,
     run_values,
 )
-from lakepipe.sources.writers import overwrite, remove, write_partitioned
+from lakepipe.sources.writers import overwrite, remove, replace_folder, write_partitioned
 from lakepipe.streaming.incremental import start_incremental_load
 
 SMALL = T.StructType().add("id", "integer").add("label", "string").add("amount", "double")
@@ -419,3 +419,39 @@ def test_a_broken_write_leaves_the_table(spark, tmp_path, monkeypatch):
     assert sorted(p.name for p in tmp_path.iterdir()) == ["t"]
     overwrite(spark.range(1), path)
     assert read_or_empty(spark, path, "id bigint").count() == 1
+
+
+def ledger_rows(spark, ids):
+    day = F.lit("2024-01-01").cast("date")
+    return spark.createDataFrame([(f"t{i}", float(i)) for i in ids], "transaction_id string, V1 double").withColumn(
+        "transaction_date", day
+    )
+
+
+@pytest.mark.parametrize("taken, most", [(range(0), 500), (range(3, 9), 500), (range(3, 9), 0), (range(9), 0), (range(9), 3)])
+def test_rows_that_no_other_batch_owns(spark, monkeypatch, plan_text, taken, most):
+    monkeypatch.setattr(ledger, "BROADCAST_KEYS", most)
+    known = ledger_rows(spark, taken).select(
+        "transaction_id", F.lit(True).alias("owned"), "transaction_date", F.lit("a").alias("batch_id")
+    )
+    change = ledger.addition(ledger_rows(spark, range(9)), "b", known)
+    assert sorted(r["transaction_id"] for r in change.owned_rows.collect()) == [f"t{i}" for i in range(9) if i not in taken]
+    owned = {r["transaction_id"]: r["owned"] for r in change.entries.collect()}
+    assert owned == {f"t{i}": i not in taken for i in range(9)}
+    if not taken:
+        assert "Exchange" not in plan_text(change.owned_rows) and "Join" not in plan_text(change.owned_rows)
+
+
+def test_rows_that_parse_are_written_as_they_are_read(spark, tmp_path, monkeypatch):
+    shuffled = {}
+
+    def noted(rows, path, folder, rebalance=True):
+        shuffled[path] = rebalance
+        replace_folder(rows, path, folder, rebalance)
+
+    monkeypatch.setattr(bronze, "replace_folder", noted)
+    spark.range(5).select("id").write.option("header", True).csv(f"{tmp_path}/source")
+    schema = T.StructType().add("id", "long")
+    bronze.ingest_dataset(spark, f"{tmp_path}/source", f"{tmp_path}/bronze", schema=schema, as_of="2024-01-01", batch="a")
+    assert shuffled == {f"{tmp_path}/bronze": False, f"{tmp_path}/bronze_rejected": True}
+    assert spark.read.parquet(f"{tmp_path}/bronze").count() == 5
