@@ -16,12 +16,12 @@ Sets equal in all elements are one class, so copies cost one row each. Signature
 packed by signature range. In a bucket of equal signatures up to SMALL members are all paired; in a
 larger one its smallest member is paired with the rest. First every class is compared with its
 smallest partner, and the links are merged into components. Then only what is still apart is
-compared (`_close`): components that share a signature form families, and parity sketches of a
-family's sets meet in blocks of bounded size. Two sketches differ in at most as many bits as the sets
-differ in elements, so a pair whose sketches differ in more than similar sets may is ruled out. Of the
-others a forest of nearest pairs is verified on its texts first, and the links are merged; then every
-pair that shares a signature and is not in one component yet. Every
-link comes from an exact comparison, and no candidate is left out.
+compared (`_close`): parity sketches of the sets that share a signature meet, those of a large bucket in
+blocks of bounded size. Two sketches differ in at most as many bits as the sets differ in elements, so
+a pair whose sketches differ in more than similar sets may is ruled out. Of the others a forest, each
+class with the nearest of those before it, is verified on its texts first, and the links are
+merged; then every pair that shares a signature and is not in one component yet. Every link comes
+from an exact comparison, and no candidate is left out.
 
 Defined results: words are runs of bytes other than [\\x20\\x09-\\x0D], A-Z lower-cased; a text with
 fewer words than a shingle has its word sequence as its only one; null, empty and blank texts have
@@ -60,10 +60,14 @@ SIGN_BYTES = 5
 #: A parity sketch has this many bits; sketches are made for slices of so much text, and a chunk of them
 #: holds SKETCHED times as many classes as one of texts.
 SKETCH_BITS, SKETCH_SLICE, SKETCHED = 2048, 1 << 20, 8
-#: So often the classes of a family are compared with their nearest only, before all pairs still apart are.
+#: About so many members of signatures meet in a group; so many of their pairs are compared at a time, by so many
+#: words of the sketches first.
+PART_ROWS, PAIRS, FIRST_WORDS = 16_384, 1 << 15, 8
+#: So often the classes are compared with their nearest only, before all pairs still apart are.
 NEAREST_ROUNDS = 1
 #: Up to so many narrow rows (some 24 MB) are broadcast to the texts they pick; more are shuffled with them.
 BROADCAST_ROWS = 1_000_000
+PAIR = ("a", "b", "a_root", "b_root", "apart")
 
 
 @dataclass(frozen=True)
@@ -352,85 +356,65 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _allowed(group: pa.Table):
-    """(classes, roots, find) of one block: find(i, among) gives those of the members `among` that are in another
-    component than member i and whose sizes and sketches allow a link with it, and the share of
-    their elements that the sketches differ in.
+def _allowed(group: pa.Table) -> tuple[np.ndarray, ...]:
+    """(a, b, a_root, b_root, apart) of the pairs a < b of one group that share a signature, are in different
+    components, and whose sizes and sketches allow a link; apart is the share of their elements that
+    the sketches differ in. A pair that shares several signatures may come several times.
 
-    Members of side 0 and side 1 are compared with each other, or all of them if there is one side.
+    Members of side 0 and side 1 of a signature are compared with each other, or all of them if there is one side.
     """
-    classes, roots, sizes, sides = (group.column(c).to_numpy() for c in ("class", "root", "size", "side"))
+    group = group.sort_by("sign")
+    sign, classes, roots, sizes, sides = (group.column(c).to_numpy() for c in ("sign", "class", "root", "size", "side"))
     sketches = np.frombuffer(b"".join(group.column("sketch").to_pylist()), np.uint64).reshape(len(classes), -1)
-    two = sides.any() and not sides.all()
-
-    def find(i: int, among: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        near = among[roots[among] != roots[i]]
-        if two:
-            near = near[sides[near] != sides[i]]
-        near = near[OF * np.minimum(sizes[near], sizes[i]) >= SIMILAR * np.maximum(sizes[near], sizes[i])]
-        total = sizes[near] + sizes[i]
-        apart = np.bitwise_count(sketches[near] ^ sketches[i]).sum(axis=1, dtype=np.int64)
-        allowed = apart * (OF + SIMILAR) <= (OF - SIMILAR) * total
-        return near[allowed], (apart / total)[allowed]
-
-    return classes, roots, find
-
-
-def _pairs_of(group: pa.Table, classes: np.ndarray, roots: np.ndarray, i: np.ndarray, j: np.ndarray) -> pa.Table:
-    family = np.full(len(i), group.column("family")[0].as_py())
-    columns = {"family": family, "a": classes[i], "a_root": roots[i], "b": classes[j], "b_root": roots[j]}
-    return pa.table({name: pa.array(values, pa.int64()) for name, values in columns.items()})
+    starts = np.flatnonzero(np.concatenate([[True], sign[1:] != sign[:-1]]))
+    members = np.diff(np.append(starts, len(sign)))
+    two = np.logical_or.reduceat(sides > 0, starts) & np.logical_or.reduceat(sides == 0, starts)
+    # A member meets those behind it in its signature.
+    two, behind = np.repeat(two, members), np.repeat(starts + members, members) - np.arange(len(sign)) - 1
+    before, at = np.concatenate([[0], np.cumsum(behind)]), 0
+    found = []
+    while at < len(sign):
+        stop = max(at + 1, int(np.searchsorted(before, before[at] + PAIRS, "right")) - 1)
+        count = behind[at:stop]
+        i = np.repeat(np.arange(at, stop), count)
+        j = i + 1 + np.arange(len(i)) - np.repeat(before[at:stop] - before[at], count)
+        at = stop
+        fits = (roots[i] != roots[j]) & ~(two[i] & (sides[i] == sides[j]))
+        fits &= OF * np.minimum(sizes[i], sizes[j]) >= SIMILAR * np.maximum(sizes[i], sizes[j])
+        i, j = i[fits], j[fits]
+        total, apart = sizes[i] + sizes[j], np.zeros(len(i), np.int64)
+        # Most strangers differ in too many bits of the first words already.
+        for words in (slice(0, FIRST_WORDS), slice(FIRST_WORDS, None)):
+            apart += np.bitwise_count(sketches[i, words] ^ sketches[j, words]).sum(axis=1, dtype=np.int64)
+            near = apart * (OF + SIMILAR) <= (OF - SIMILAR) * total
+            i, j, total, apart = i[near], j[near], total[near], apart[near]
+        found.append((i, j, apart / total))
+    i, j, apart = (np.concatenate(c) for c in zip(*found))
+    turned = classes[i] > classes[j]
+    i, j = np.where(turned, j, i), np.where(turned, i, j)
+    return classes[i], classes[j], roots[i], roots[j], apart
+
+
+def _pairs(kept: np.ndarray, columns: tuple[np.ndarray, ...]) -> pa.Table:
+    return pa.table({name: pa.array(values[kept]) for name, values in zip(PAIR, columns)})
 
 
 def _nearest(group: pa.Table) -> pa.Table:
-    """A forest of the pairs of one block that sizes and sketches allow: every class is tied to the nearest, by
-    the sketches, of those tied before it (Prim's algorithm; components are tied already).
-
-    It ties all that `_screen` gives pairs of, with at most one pair a class.
-    """
-    classes, roots, find = _allowed(group)
-    distance, partner = np.full(len(classes), np.inf), np.zeros(len(classes), np.int64)
-    waiting = np.ones(len(classes), bool)
-    found_i, found_j = [], []
-    for _ in range(len(classes)):
-        i = int(np.argmin(np.where(waiting, distance, np.inf)))
-        if not waiting[i] or not np.isfinite(distance[i]):
-            i = int(np.argmax(waiting))
-        elif distance[i] >= 0:
-            found_i.append(int(partner[i]))
-            found_j.append(i)
-        waiting[i] = False
-        distance[waiting & (roots == roots[i])] = -1.0
-        near, apart = find(i, np.flatnonzero(waiting))
-        closer = apart < distance[near]
-        distance[near[closer]], partner[near[closer]] = apart[closer], i
-    return _pairs_of(group, classes, roots, np.array(found_i, np.int64), np.array(found_j, np.int64))
+    """Of the pairs a < b that the group allows, the nearest one of each b."""
+    found = _allowed(group)
+    a, b, *_, apart = found
+    order = np.lexsort((a, apart, b))
+    return _pairs(order[np.diff(b[order], prepend=b[order[:1]] - 1) != 0], found)
 
 
 def _screen(group: pa.Table) -> pa.Table:
-    """The pairs of one block that share a signature, are in different components, and whose sizes and
-    sketches allow a link."""
-    classes, roots, find = _allowed(group)
-    signs = group.column("signs").combine_chunks()
-    sign, owner = signs.flatten().to_numpy(), np.repeat(np.arange(len(classes)), signs.value_lengths().to_numpy())
-    order = np.argsort(sign, kind="stable")
-    edges = np.flatnonzero(np.concatenate([[True], np.diff(sign[order]) != 0, [True]]))
-    _, component, counts = np.unique(roots, return_inverse=True, return_counts=True)
-    # Members of the largest component need not meet each other.
-    inside = component == (np.argmax(counts) if len(counts) else 0)
-    candidate = np.zeros((len(classes), len(classes)), bool)
-    for low, high in zip(edges[:-1], edges[1:]):
-        members = owner[order[low:high]]
-        others = members[~inside[members]]
-        if len(members) > 1 and len(others):
-            candidate[np.ix_(others, members)] = True
-    found_i, found_j = [], []
-    for i in range(len(classes)):
-        later = np.arange(i + 1, len(classes))
-        near, _ = find(i, later[candidate[i, later] | candidate[later, i]])
-        found_i.append(np.full(len(near), i))
-        found_j.append(near)
-    return _pairs_of(group, classes, roots, np.concatenate(found_i), np.concatenate(found_j))
+    """All pairs a < b that the group allows, once each."""
+    found = _allowed(group)
+    a, b, *_ = found
+    order = np.lexsort((a, b))
+    fresh = np.ones(len(order), bool)
+    fresh[1:] = (np.diff(a[order]) != 0) | (np.diff(b[order]) != 0)
+    return _pairs(order[fresh], found)
 
 
 def _verify(group: pa.Table) -> pa.Table:
@@ -482,10 +466,8 @@ def _verified(screened: DataFrame, texts: DataFrame, chunk_bytes: int = CHUNK_BY
     return sent.groupBy("family", "x", "y").applyInArrow(_verify, "a bigint, b bigint, a_root bigint, b_root bigint")
 
 
-def _blocks(
-    members: DataFrame, lengths: DataFrame, block: int, chunk_bytes: int = CHUNK_BYTES, carried: tuple[str, ...] = ()
-) -> DataFrame:
-    """Deal the members (family, class, root, signs, and what is carried) to blocks in which all needed pairs meet.
+def _blocks(members: DataFrame, lengths: DataFrame, block: int, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+    """Deal the members (family, class, root, and others that are carried) to blocks in which all needed pairs meet.
 
     `lengths` has (class, bytes). A family of one chunk is one block. In a larger one the classes of
     its largest component need not meet each other. They are dealt to chunks, the others to chunks
@@ -535,8 +517,35 @@ def _blocks(
         .when(F.col("root") == F.col("top"), facing)
         .otherwise(F.concat(spread, beside))
     )
-    dealt = placed.withColumn("place", F.explode(place)).drop("top", "tops", "others")
-    return dealt.select("family", "place.*", "class", "root", "signs", *carried)
+    dealt = placed.withColumn("place", F.explode(place))
+    return dealt.select("family", "place.*", *[c for c in members.columns if c != "family"])
+
+
+def _meetings(opened: DataFrame, sketches: DataFrame, block: int) -> DataFrame:
+    """The members (sign, class, root, n) of signatures that n classes share, with their sketches, dealt to groups
+    (part, x, y) in which those that share a signature meet.
+
+    A part holds many signatures whole; one of more than `block` classes is cut into blocks of its own.
+    """
+    parts = max(1, -(-opened.count() // PART_ROWS))
+    none = F.lit(0).cast("bigint")
+    part = F.pmod(F.xxhash64("sign"), F.lit(parts)).alias("part")
+    whole = opened.filter(F.col("n") <= block)
+    dealt = whole.select(part, none.alias("x"), none.alias("y"), F.lit(0).alias("side"), "sign", "class", "root")
+    wide = opened.filter(F.col("n") > block).select(F.col("sign").alias("family"), "class", "root").distinct()
+    if not wide.isEmpty():
+        lengths = wide.select("class", F.lit(SKETCH_BITS // 8).cast("bigint").alias("bytes")).distinct()
+        # The part depends on the block: a part that is the signature's would keep all its blocks in one task.
+        cut = _blocks(wide, lengths, block).withColumns({"sign": F.col("family"), "part": F.xxhash64("family", "x", "y")})
+        dealt = dealt.unionByName(cut.select(dealt.columns))
+    return dealt.join(sketches, "class")
+
+
+def _with_family(screened: DataFrame) -> DataFrame:
+    """Pairs whose components are tied by pairs are a family."""
+    families = connected_components(screened.select(F.col("a_root").alias("a"), F.col("b_root").alias("b")).distinct())
+    families = families.select(F.col("node").alias("a_root"), F.col("root").alias("family"))
+    return screened.join(families, "a_root").select("family", *PAIR[:4])
 
 
 def _close(
@@ -544,60 +553,57 @@ def _close(
 ) -> DataFrame:
     """Compare what the pairs (a, b) and the large buckets (sign, class), both read from `found`, still hold apart.
 
-    Components that some signature ties are a family; sketches of a family's sets meet in one block,
-    or in several if it is large. Only the texts of pairs that the sketches don't rule out are sent
-    to be compared: first a forest of the nearest, a pair for each class of a block, which ties most of what
-    belongs together, then every pair that is still apart. Only links come out, those given and the
-    new ones, written.
+    Sketches of the classes that share a signature meet in one group. Only the texts of pairs that
+    the sketches don't rule out are sent to be compared: first every class with the nearest of those before
+    it, which ties most of what belongs together, then every pair that is still apart. Only links
+    come out, those given and the new ones, written.
     """
     roots = connected_components(links).withColumnRenamed("node", "class")
     ties = pairs.select(F.explode(F.array("a", "b")).alias("class"), F.xxhash64("a", "b").alias("sign"))
     ties = ties.unionByName(large).join(roots, "class", "left").withColumn("root", F.coalesce("root", "class"))
     ties = _Copy(ties, "ties")
     found.drop()
-    by_sign = ties.rows.groupBy("sign").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-    still_open = ties.rows.join(by_sign.filter("low <> high"), "sign")
-    kept = _Copy(still_open.select("sign", "class", "root", "low"), "open")
+    opened = _Copy(_apart(ties.rows), "open")
     ties.drop()
-    still_open = kept.rows
-    family = connected_components(still_open.select(F.col("root").alias("a"), F.col("low").alias("b")).distinct())
-    members = (
-        still_open.groupBy("class", "root")
-        # Signatures that agree in these bits cost a comparison of sketches.
-        .agg(F.collect_set(F.hash("sign")).alias("signs"))
-        .join(family.select(F.col("node").alias("root"), F.col("root").alias("family")), "root")
-    )
-    picked = _pick(texts, still_open.select("class").distinct(), "class").select("class", "text")
-    sketches = picked.mapInArrow(_sketches, "class bigint, size bigint, sketch binary")
-    copy = _Copy(members.join(sketches, "class"), "members")
-    kept.drop()
+    picked = _pick(texts, opened.rows.select("class").distinct(), "class").select("class", "text")
+    sketches = _Copy(picked.mapInArrow(_sketches, "class bigint, size bigint, sketch binary"), "sketches")
     for compared in (*[_nearest] * NEAREST_ROUNDS, _screen):
-        lengths = copy.rows.select("class", (F.size("signs") * 4 + SKETCH_BITS // 8).cast("bigint").alias("bytes"))
-        rows = _blocks(copy.rows, lengths, block * SKETCHED, CHUNK_BYTES, ("size", "sketch"))
-        pairs_schema = "family bigint, a bigint, a_root bigint, b bigint, b_root bigint"
-        screened = _Copy(rows.groupBy("family", "x", "y").applyInArrow(compared, pairs_schema), "screened")
+        groups = _meetings(opened.rows, sketches.rows, block * SKETCHED).groupBy("part", "x", "y")
+        met = groups.applyInArrow(compared, "a bigint, b bigint, a_root bigint, b_root bigint, apart double")
+        if compared is _nearest:
+            least = F.min(F.struct("apart", "a", "a_root", "b_root")).alias("least")
+            met = met.groupBy("b").agg(least).select("b", "least.*").select(*PAIR)
+        screened = _Copy(met.drop("apart").distinct(), "screened")
         if screened.rows.isEmpty():
             screened.drop()
             break
-        closed = checkpoint(_verified(screened.rows, texts))
+        closed = checkpoint(_verified(checkpoint(_with_family(screened.rows)), texts))
         screened.drop()
         links = links.unionByName(closed.select("a", "b"))
         if compared is _nearest and not closed.isEmpty():
-            merged = _Copy(_merged(copy.rows, closed), "members")
-            copy.drop()
-            copy = merged
-    copy.drop()
+            merged = _Copy(_merged(opened.rows, closed), "open")
+            opened.drop()
+            opened = merged
+    opened.drop()
+    sketches.drop()
     return checkpoint(links)
 
 
-def _merged(members: DataFrame, closed: DataFrame) -> DataFrame:
-    """The members with the components that the links leave; families that have become one component go."""
+def _apart(ties: DataFrame) -> DataFrame:
+    """The members (sign, class, root, n) of the signatures that different components share, n classes each."""
+    by_sign = ties.groupBy("sign").agg(
+        F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("n")
+    )
+    return ties.select("sign", "class", "root").join(by_sign.filter("low <> high").select("sign", "n"), "sign")
+
+
+def _merged(opened: DataFrame, closed: DataFrame) -> DataFrame:
+    """What the links leave of the members of signatures; those that have become one component go."""
     ties = closed.select(F.col("a_root").alias("a"), F.col("b_root").alias("b"))
     roots = connected_components(ties).select(F.col("node").alias("root"), F.col("root").alias("low"))
-    rooted = members.join(roots, "root", "left").withColumn("root", F.coalesce("low", "root"))
-    apart = rooted.groupBy("family").agg(F.min("root").alias("first"), F.max("root").alias("last"))
-    left = apart.filter("first <> last").select("family")
-    return rooted.join(left, "family", "left_semi").select(members.columns)
+    return _apart(opened.join(roots, "root", "left").withColumn("root", F.coalesce("low", "root")))
+
+
 
 
 def similarity_classes(

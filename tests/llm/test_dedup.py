@@ -137,6 +137,29 @@ def test_frequent_values_survive_the_summaries(spark):
     assert {b"\x01", b"\x02"} <= found and len(found) <= 20
 
 
+def test_unique_documents_travel_once(documents, monkeypatch):
+    """Whole texts are shuffled for one join at most, and for none where the decisions are few."""
+    plans = {}
+    for most in (0, 1_000_000):
+        monkeypatch.setattr(exact_dedup, "BROADCAST_ROWS", most)
+        kept = exact_dedup.keep_unique(documents.filter("doc_id IS NULL OR doc_id <> 1005"))
+        plans[most] = kept._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
+    assert "SortMergeJoin" not in plans[1_000_000] and plans[1_000_000].count("BroadcastHashJoin") == 1
+    assert plans[0].count("Exchange hashpartitioning") <= 2
+
+
+@pytest.mark.parametrize("most", [0, 1_000_000])
+def test_unique_documents_of_shuffled_and_broadcast_decisions(documents, corpus, monkeypatch, most):
+    monkeypatch.setattr(exact_dedup, "BROADCAST_ROWS", most)
+    doubled = documents.unionByName(documents)
+    got = sorted((r.doc_id is not None, r.doc_id or 0, r.text or "") for r in exact_dedup.keep_unique(doubled).collect())
+    best = {}
+    for k, t in corpus:
+        low = (t or "").translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
+        best[low] = max(best.get(low, (False, 0)), (k is not None, k or 0))
+    assert [(known, k) for known, k, _ in got] == sorted(best.values())
+
+
 @pytest.mark.parametrize("small, block", [(jaccard_join.SMALL, jaccard_join.BLOCK), (2, 3)])
 def test_components(documents, corpus, small, block):
     got = jaccard_join.components(documents, small=small, block=block).select("key", "n", "component").collect()
@@ -178,6 +201,54 @@ def test_blocks_of_a_large_family_are_bounded(spark, tops, others, length):
     assert all((a, b) in met for a in everyone for b in everyone if max(a, b) >= tops and a != b)
 
 
+def test_signatures_meet_by_themselves(spark):
+    """A chain of signatures of two classes each, which ties all classes to one family, and a wide signature."""
+    chain = [(s, c, c, 2) for s in range(400) for c in (s, s + 1)]
+    wide = [(1000, c, c, 300) for c in range(300)]
+    opened = spark.createDataFrame(chain + wide, "sign bigint, class bigint, root bigint, n bigint")
+    sketches = opened.select("class", F.lit(1).alias("size"), F.lit("").alias("sketch")).distinct()
+    groups, dealt = {}, jaccard_join._meetings(opened, sketches, 50).collect()
+    for r in dealt:
+        groups.setdefault((r.part, r.x, r.y, r.sign), []).append(r)
+    assert sum(r.sign < 1000 for r in dealt) == len(chain)
+    assert all({r["class"] for r in groups[key]} == {key[3], key[3] + 1} for key in groups if key[3] < 1000)
+    blocks = [g for key, g in groups.items() if key[3] == 1000]
+    assert len(blocks) > 1 and max(map(len, blocks)) <= 1.6 * 100
+    met = set()
+    for g in blocks:
+        one_side = len({r.side for r in g}) == 1
+        met |= {(a["class"], b["class"]) for a in g for b in g if one_side or a.side != b.side}
+    assert all((a, b) in met for a in range(300) for b in range(300) if a != b)
+
+
+def test_allowed_pairs_are_those_of_brute_force():
+    """Over several slabs of pairs, with both sides, copies of components and signatures of any size."""
+    draw = np.random.default_rng(3)
+    rows = []
+    for sign, members, sides in ((5, 2, False), (9, 400, False), (-7, 300, True), (11, 1, False)):
+        near = np.arange(members) % 7
+        for c, kind in zip(draw.choice(1000, members, replace=False), near):
+            bits = np.zeros(jaccard_join.SKETCH_BITS, np.uint8)
+            bits[np.random.default_rng(kind).choice(2048, 200, replace=False)] = 1
+            bits[draw.choice(2048, 10 + 3 * kind, replace=False)] ^= 1
+            side = int(c) % 2 if sides else 0
+            rows.append((sign, int(c), int(c) // 3, int(180 + draw.integers(60)), side, np.packbits(bits).tobytes()))
+    names = ("sign", "class", "root", "size", "side", "sketch")
+    group = pa.table({n: pa.array(v) for n, v in zip(names, zip(*rows))})
+    want = {}
+    for s, c, r, n, side, sketch in rows:
+        for s2, c2, r2, n2, side2, sketch2 in rows:
+            if s == s2 and c < c2 and r != r2 and (s != -7 or side != side2) and 100 * min(n, n2) >= 80 * max(n, n2):
+                apart = (int.from_bytes(sketch) ^ int.from_bytes(sketch2)).bit_count()
+                if apart * 180 <= 20 * (n + n2):
+                    want[c, c2] = min(want.get((c, c2), 2), apart / (n + n2))
+    pairs = jaccard_join._screen(group).to_pylist()
+    assert len(want) > 100 and len(pairs) == len(want) == len({(p["a"], p["b"]) for p in pairs})
+    assert all((p["a"], p["b"]) in want and p["a_root"] == p["a"] // 3 and p["b_root"] == p["b"] // 3 for p in pairs)
+    least = {b: min(d for (_, y), d in want.items() if y == b) for _, b in want}
+    assert {p["b"]: p["apart"] for p in jaccard_join._nearest(group).to_pylist()} == least
+
+
 def test_one_of_each_component(documents, corpus):
     got = jaccard_join.one_of_each(documents)
     assert got.columns == documents.columns
