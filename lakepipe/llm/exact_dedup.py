@@ -26,6 +26,8 @@ from lakepipe.llm.frames import ascii_lower, fresh_name, quoted, ship, table
 from lakepipe.session import checkpoint
 
 COUNTERS = 4096
+#: Up to so many decisions (40 bytes each, and what a hash table adds) are broadcast to the texts; more are shuffled with them.
+BROADCAST_ROWS = 1_000_000
 
 
 def digest(text: Column) -> Column:
@@ -95,20 +97,27 @@ def decide(docs: DataFrame, key: str = "doc_id", text: str = "text", counters: i
 def keep_unique(docs: DataFrame, key: str = "doc_id", text: str = "text", counters: int = COUNTERS) -> DataFrame:
     """The rows of `docs` that stay, with all their columns."""
     mark, other = fresh_name(docs, "_digest"), fresh_name(docs, "_decision")
-    decisions = (
+    decisions = checkpoint(
         decide(docs, key, text, counters)
         .groupBy("key", "digest")
         .agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("copies"))
         .filter(~F.col("kept") | (F.col("copies") > 1))
-        .select(F.struct("key", "digest", "kept").alias(other))
+        .select(F.struct("key", "digest").alias(other), "kept")
     )
     marked = docs.withColumn(mark, digest(quoted(text)))
     same = quoted(key).eqNullSafe(F.col(f"{other}.key")) & (F.col(mark) == F.col(f"{other}.digest"))
-    joined = marked.join(decisions, same, "left")
-    once = joined.filter(F.col(other).isNull())
+
+    def narrow(rows: DataFrame) -> DataFrame:
+        few = rows.count() <= BROADCAST_ROWS
+        return F.broadcast(rows.select(other)) if few else rows.select(other)
+
+    once = marked.join(narrow(decisions), same, "left_anti")
     # Rows that agree in key and text: one of them stays.
-    repeated = joined.filter(F.col(f"{other}.kept")).dropDuplicates([key, mark])
-    return once.unionByName(repeated).drop(mark, other)
+    repeated = decisions.filter("kept")
+    if not repeated.isEmpty():
+        found = marked.join(narrow(repeated), same, "left_semi").dropDuplicates([key, mark])
+        once = once.unionByName(found)
+    return once.drop(mark)
 
 
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
