@@ -46,6 +46,8 @@ def bucket_of(token: Column, count: Column | int) -> Column:
 DRAW_MODULUS, DRAW_FACTOR = (1 << 47) - 115, 48271
 #: A key jumps about ln(count) times; more jumps than this happen to one key in 10^12 of 10^9 buckets.
 MOST_JUMPS = 64
+#: Jumps are made in turns of so many; a key that has arrived skips the turns that are left.
+JUMPS_A_TURN = 8
 
 
 def jump_bucket(token: Column, count: Column | int) -> Column:
@@ -57,15 +59,24 @@ def jump_bucket(token: Column, count: Column | int) -> Column:
     buckets or a token.
     """
     size = (F.lit(count) if isinstance(count, int) else count).cast("bigint")
+    most, modulus, factor = size.cast("double"), F.lit(float(DRAW_MODULUS)), F.lit(DRAW_FACTOR).cast("bigint")
 
+    def drawn(s: Column) -> Column:
+        return s * factor % F.lit(DRAW_MODULUS)
+
+    # `s` is drawn for the jump from `next`, so no draw is worked out twice.
     def jump(state: Column, _: Column) -> Column:
-        drawn = state["s"] * DRAW_FACTOR % DRAW_MODULUS
-        share = drawn.cast("double") / F.lit(float(DRAW_MODULUS))
-        there = F.floor(F.least((state["next"] + 1).cast("double") / share, size.cast("double")))
-        moved = F.struct(drawn.alias("s"), state["next"].alias("at"), there.alias("next"))
+        there = F.floor(F.least((state["next"] + F.lit(1)).cast("double") / (state["s"].cast("double") / modulus), most))
+        moved = F.struct(drawn(state["s"]).alias("s"), state["next"].alias("at"), there.alias("next"))
         return F.when(state["next"] < size, moved).otherwise(state)
 
-    seed = F.pmod(token, F.lit(DRAW_MODULUS - 1)) + 1
+    def turn(state: Column, _: Column) -> Column:
+        further = F.aggregate(F.sequence(F.lit(1), F.lit(JUMPS_A_TURN)), state, jump)
+        return F.when(state["next"] < size, further).otherwise(state)
+
+    seed = drawn(F.pmod(token, F.lit(DRAW_MODULUS - 1)) + 1)
     start = F.struct(seed.alias("s"), F.lit(-1).cast("bigint").alias("at"), F.lit(0).cast("bigint").alias("next"))
-    bucket = F.aggregate(F.sequence(F.lit(1), F.lit(MOST_JUMPS)), start, jump, lambda state: state["at"])
-    return F.when(token.isNotNull() & (bucket >= 0), bucket)
+    turns = F.sequence(F.lit(1), F.lit(MOST_JUMPS // JUMPS_A_TURN))
+    # The bucket is named once: what is named twice is worked out twice.
+    bucket = F.aggregate(turns, start, turn, lambda state: F.when(state["at"] >= 0, state["at"]))
+    return F.when(token.isNotNull(), bucket)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import hashlib
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -73,10 +73,14 @@ def ingest_dataset(
     folder = f"ingest_date={day}/{BATCH}={batch}"
     rows = raw
     if schema is not None:
-        bad = F.col(BAD_RECORD).isNotNull()
         # The parser fills the text of a bad row only where other columns are read with it.
-        replace_folder(raw.filter(bad), rejected(target_path), folder)
-        rows = raw.filter(~bad).drop(BAD_RECORD)
+        bad = F.col(BAD_RECORD).isNotNull()
+        seen = Observation()
+        rows = raw.observe(seen, F.count_if(bad).alias("bad")).filter(~bad).drop(BAD_RECORD)
     # Nearly all that is read is written, and Spark packs small files into splits already.
     replace_folder(rows, target_path, folder, rebalance=False)
+    if schema is not None:
+        # Files are parsed again only where a row was bad.
+        wrong = raw.filter(bad) if seen.get["bad"] else spark.createDataFrame([], raw.schema)
+        replace_folder(wrong, rejected(target_path), folder)
     return batch

@@ -70,6 +70,23 @@ def shuffles_removed(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(CLEANUP, before)
 
 
+HUGE_METHOD, COMPILED_BYTES = "spark.sql.codegen.hugeMethodLimit", "8000"
+
+
+@contextmanager
+def methods_compiled(spark: SparkSession) -> Iterator[None]:
+    """Inside, a stage whose code HotSpot would only interpret, as a method beyond its limit, is cut into operators.
+
+    For queries over many columns.
+    """
+    before = spark.conf.get(HUGE_METHOD)
+    spark.conf.set(HUGE_METHOD, COMPILED_BYTES)
+    try:
+        yield
+    finally:
+        spark.conf.set(HUGE_METHOD, before)
+
+
 def checkpoint(df: DataFrame) -> DataFrame:
     """Write `df` to the shared folder once and continue from the written copy."""
     shared_dir(df.sparkSession)

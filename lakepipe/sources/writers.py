@@ -8,14 +8,22 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 
-def write_partitioned(df: DataFrame, path: str, by: Sequence[str], mode: str = "append") -> None:
+#: Keys of hex digits take half the room, and so do features.
+CODEC = "zstd"
+
+
+def write_partitioned(
+    df: DataFrame, path: str, by: Sequence[str], mode: str = "append", rebalance: bool = True
+) -> None:
     """Write into one folder per value of `by`.
 
     mode "append" adds files. mode "replace" overwrites just the folders present in `df`, so a
     batch can be written again without doubling its rows. Rows are rebalanced first: few files
-    per folder, and a folder with very many rows is written by several tasks.
+    per folder, and a folder with very many rows is written by several tasks. Without `rebalance`
+    every task writes what it has.
     """
-    writer = df.hint("rebalance", *by).write.partitionBy(*by)
+    rows = df.hint("rebalance", *by) if rebalance else df
+    writer = rows.write.partitionBy(*by).option("compression", CODEC)
     if mode == "replace":
         writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
     elif mode == "append":
@@ -103,7 +111,7 @@ def replace_folder(df: DataFrame, path: str, folder: str, rebalance: bool = True
     """
     spark, target = df.sparkSession, f"{path}/{folder}"
     aside = f"{path}/_next-{uuid.uuid4().hex}"
-    (df.hint("rebalance") if rebalance else df).write.parquet(aside)
+    (df.hint("rebalance") if rebalance else df).write.option("compression", CODEC).parquet(aside)
     empty = spark.read.parquet(aside).isEmpty()
     remove(spark, target)
     if not empty:
@@ -113,5 +121,35 @@ def replace_folder(df: DataFrame, path: str, folder: str, rebalance: bool = True
 
 def stage(df: DataFrame, path: str) -> DataFrame:
     """Write `df` once and return the written copy, so checks and publishing see the same rows."""
-    df.write.mode("errorifexists").parquet(path)
+    df.write.mode("errorifexists").option("compression", CODEC).parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def leaf_folders(spark: SparkSession, path: str, depth: int = 2) -> list[str]:
+    """The partition folders below a folder, as paths from it; none if it isn't there."""
+    names = [n for n in subfolders(spark, path) if "=" in n]
+    if depth == 1:
+        return names
+    return [f"{n}/{below}" for n in names for below in leaf_folders(spark, f"{path}/{n}", depth - 1)]
+
+
+def publish_folders(spark: SparkSession, staged: str, path: str, replace: bool = True) -> None:
+    """Move what is staged into the table at `path`, folder by folder; what was moved before stays moved.
+
+    `replace` puts a staged folder in the place of the table's; without it the staged files are added to
+    the table's folder. A publication that breaks off is finished by doing it again.
+    """
+    for folder in leaf_folders(spark, staged):
+        if replace:
+            remove(spark, f"{path}/{folder}")
+            move(spark, f"{staged}/{folder}", f"{path}/{folder}")
+            continue
+        files, source = _located(spark, f"{staged}/{folder}")
+        target = _located(spark, f"{path}/{folder}")[1]
+        files.mkdirs(target)
+        for name in [f.getPath().getName() for f in files.listStatus(source)]:
+            # File names are unique; one that is there already was copied by a move that broke off.
+            to = _located(spark, f"{path}/{folder}/{name}")[1]
+            files.delete(to, False)
+            if not files.rename(_located(spark, f"{staged}/{folder}/{name}")[1], to):
+                raise OSError(f"cannot move {name} to {path}/{folder}")

@@ -455,3 +455,68 @@ def test_rows_that_parse_are_written_as_they_are_read(spark, tmp_path, monkeypat
     bronze.ingest_dataset(spark, f"{tmp_path}/source", f"{tmp_path}/bronze", schema=schema, as_of="2024-01-01", batch="a")
     assert shuffled == {f"{tmp_path}/bronze": False, f"{tmp_path}/bronze_rejected": True}
     assert spark.read.parquet(f"{tmp_path}/bronze").count() == 5
+
+
+def test_only_files_with_bad_rows_are_parsed_again(spark, tmp_path, monkeypatch):
+    read = {}
+
+    def noted(rows, path, folder, rebalance=True):
+        read[path.rpartition("/")[2]] = len(rows.inputFiles())
+        replace_folder(rows, path, folder, rebalance)
+
+    monkeypatch.setattr(bronze, "replace_folder", noted)
+    (tmp_path / "source").mkdir()
+    path = csv(tmp_path / "source", "id,label,amount\n1,a,1.0\n")
+    ingest_dataset(spark, path, str(tmp_path / "sound"), schema=SMALL, as_of="2024-01-01", batch="a")
+    csv(tmp_path / "source", "id,label,amount\nx,a,1.0\n")
+    ingest_dataset(spark, path, str(tmp_path / "broken"), schema=SMALL, as_of="2024-01-01", batch="a")
+    assert read == {"sound": 1, "sound_rejected": 0, "broken": 1, "broken_rejected": 1}
+
+
+def test_keys_of_a_batch_have_the_day_of_the_earliest_copy(spark):
+    rows = [("t1", "2024-01-05", "2024-02-02"), ("t1", "2024-01-09", "2024-02-01"), ("t1", "2024-01-08", "2024-02-01")]
+    rows += [("t2", "1969-12-30", "2024-02-01"), ("t3", None, "2024-02-01"), ("t3", "2024-01-01", "2024-02-01")]
+    columns = "transaction_id string, transaction_date string, ingest_date string"
+    df = spark.createDataFrame(rows, columns).selectExpr(
+        "transaction_id", "CAST(transaction_date AS date) AS transaction_date", "CAST(ingest_date AS date) AS ingest_date"
+    )
+    got = {r["transaction_id"]: (str(r["transaction_date"]), r["copies"]) for r in ledger.distinct_keys(df).collect()}
+    assert got == {"t1": ("2024-01-08", 3), "t2": ("1969-12-30", 1), "t3": ("None", 2)}
+
+
+@pytest.mark.parametrize("most", [0, 2, 500_000])
+def test_a_correction_adds_to_the_files_of_other_batches(spark, lake, monkeypatch, tmp_path, most):
+    monkeypatch.setattr(ledger, "BROADCAST_KEYS", most)
+    row = lambda v, time: (float(time), float(v), 5.0, 0, "2024-01-01")
+    add_bronze(spark, lake, [row(1, 10), row(2, 10), row(3, 10), row(3, 5)], "a")
+    load_transactions(spark, lake)
+    # Two copies of 1 and 4, the later one a day later.
+    add_bronze(spark, lake, [row(1, 20), row(1, 90_000), row(2, 20), row(4, 20), row(4, 90_000), row(5, 20)], "b")
+    load_transactions(spark, lake)
+    assert silver_of(spark, lake) == [(1.0, "a"), (2.0, "a"), (3.0, "a"), (4.0, "b"), (5.0, "b")]
+    folder = f"{lake.silver('transactions')}/transaction_date=2023-01-01/batch_id=b"
+    before = set(spark.read.parquet(folder).inputFiles())
+    add_bronze(spark, lake, [row(3, 7)], "a")
+    with monkeypatch.context() as patch:
+        patch.setattr(silver, "publish_folders", _breaks_off_at(2))
+        with pytest.raises(OSError):
+            load_transactions(spark, lake)
+    load_transactions(spark, lake)
+    assert silver_of(spark, lake) == [(1.0, "b"), (2.0, "b"), (3.0, "a"), (4.0, "b"), (5.0, "b")]
+    times = read_table(spark, lake.silver("transactions")).selectExpr("V1", "CAST(transaction_timestamp AS string) AS t")
+    assert {r["V1"]: r["t"][-2:] for r in times.collect()} == {1.0: "20", 2.0: "20", 3.0: "07", 4.0: "20", 5.0: "20"}
+    assert before < set(spark.read.parquet(folder).inputFiles())
+    owners = read_table(spark, lake.silver("transaction_ledger")).filter("owned").groupBy("batch_id").count().collect()
+    assert {r["batch_id"]: r["count"] for r in owners} == {"a": 1, "b": 4}
+
+
+def _breaks_off_at(call):
+    calls = []
+
+    def publish(*args, **named):
+        calls.append(args)
+        if len(calls) == call:
+            raise OSError("lost")
+        writers.publish_folders(*args, **named)
+
+    return publish
