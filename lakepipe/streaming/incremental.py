@@ -90,7 +90,9 @@ def start_silver_load(
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return (
+        # Only the names of batches are asked of the files; all columns would be read otherwise.
         reader.parquet(layout.bronze("transactions"))
+        .select(BATCH)
         .writeStream.foreachBatch(publish)
         .option("checkpointLocation", checkpoint_path)
         .trigger(availableNow=True)

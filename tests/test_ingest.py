@@ -5,6 +5,7 @@ from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import DataStreamWriter
 
 from lakepipe.layout import Layout
 from lakepipe.operators.quality import QualityError
@@ -28,7 +29,7 @@ from lakepipe.sources.state import (
     run_values,
 )
 from lakepipe.sources.writers import overwrite, remove, replace_folder, write_partitioned
-from lakepipe.streaming.incremental import start_incremental_load
+from lakepipe.streaming.incremental import start_incremental_load, start_silver_load
 
 SMALL = T.StructType().add("id", "integer").add("label", "string").add("amount", "double")
 
@@ -520,3 +521,16 @@ def _breaks_off_at(call):
         writers.publish_folders(*args, **named)
 
     return publish
+
+
+def test_the_stream_asks_files_only_for_their_batches(spark, lake, monkeypatch, tmp_path):
+    seen, real = [], DataStreamWriter.foreachBatch
+
+    def noted(writer, publish):
+        return real(writer, lambda files, n: (seen.append(files.columns), publish(files, n))[1])
+
+    monkeypatch.setattr(DataStreamWriter, "foreachBatch", noted)
+    add_bronze(spark, lake, [(1.0, 1.0, 5.0, 0, "2024-01-01"), (2.0, 1.0, 5.0, 0, "2024-01-01")], "a")
+    start_silver_load(spark, lake, str(tmp_path / "progress")).awaitTermination()
+    assert seen == [["batch_id"]]
+    assert silver_of(spark, lake) == [(1.0, "a")]
